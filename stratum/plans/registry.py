@@ -31,4 +31,5 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from stratum.plans import (  # noqa: F401
         q_relational,
+        q_seasons,
     )

@@ -99,6 +99,7 @@ def with_views(names: list[str], body: str) -> str:
     """Prefix ``body`` with CTEs for the named views (oracle SQL)."""
     ctes = ",\n".join(f"{n} AS ({sql_text(n)})" for n in names)
     b = body.strip()
-    if b[:5].upper() == "WITH ":
-        return f"WITH {ctes},\n{b[5:]}"
+    m = re.match(r"WITH\s", b, re.IGNORECASE)
+    if m:
+        return f"WITH {ctes},\n{b[m.end():]}"
     return f"WITH {ctes}\n{b}"
