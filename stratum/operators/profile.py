@@ -22,3 +22,257 @@ def describe_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                      F.col(f"{c}__sd").alias("stddev"), F.col(f"{c}__min").alias("min"),
                      F.col(f"{c}__max").alias("max")) for c in cols]
     return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+
+
+def _bounds(df: DataFrame, col: str):
+    """(min, max, count) of a column: one aggregate row fetched to the driver."""
+    r = df.agg(F.min(col), F.max(col), F.count(col)).first()
+    return r[0], r[1], r[2]
+
+
+def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: float | None = None) -> DataFrame:
+    """Exactly ``bins`` equal-width bins over [lo, hi] (data range by default); the last bin is closed.
+
+    Returns (bin, lower, upper, n, density) with density = n / (N · width).
+    Values outside [lo, hi] and NULLs are not counted. One partial-aggregated
+    pass (plus one tiny aggregate when the range comes from the data).
+    """
+    if lo is None or hi is None:
+        dlo, dhi, _ = _bounds(df, col)
+        lo = dlo if lo is None else lo
+        hi = dhi if hi is None else hi
+    if lo is None:
+        return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, n long, density double")
+    lo, hi = float(lo), float(hi)
+    span = hi - lo if hi > lo else 1.0
+    x = F.col(col).cast("double")
+    b = F.least(F.floor((x - F.lit(lo)) * F.lit(float(bins)) / F.lit(span)), F.lit(bins - 1)).cast("int")
+    inside = df.where((x >= lo) & (x <= hi)).select(b.alias("bin"))
+    counts = inside.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window_all())
+    w = span / bins
+    return counts.select("bin", (F.lit(lo) + F.col("bin") * F.lit(w)).alias("lower"),
+                         (F.lit(lo) + (F.col("bin") + 1) * F.lit(w)).alias("upper"), "n",
+                         (F.col("n") / (total * F.lit(w))).alias("density"))
+
+
+def Window_all():
+    """Window over a *bounded* aggregate table (≤ bins rows), never over raw rows."""
+    from pyspark.sql import Window
+
+    return Window.partitionBy()
+
+
+def hist2d(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
+    """Square 2-D binning (hexbin / joint-plot data): counts per (xbin, ybin) over the data range."""
+    r = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    if r[0] is None:
+        return df.sparkSession.createDataFrame([], "xbin int, ybin int, n long")
+
+    def b(c, lo, hi):
+        span = float(hi - lo) if hi > lo else 1.0
+        return F.least(F.floor((F.col(c).cast("double") - F.lit(float(lo))) * F.lit(float(bins)) / F.lit(span)),
+                       F.lit(bins - 1)).cast("int")
+
+    s = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return s.groupBy(b(x, r[0], r[1]).alias("xbin"), b(y, r[2], r[3]).alias("ybin")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def rank_within(df: DataFrame, group: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
+    """0-based rank of every row by ``value`` within its group, without a single-task window.
+
+    Range-partition on (group, value) so even a hot group is spread over many
+    tasks; rank locally per (partition, group); add the counts of the same
+    group in earlier partitions (a small table). The ranked data is cut from
+    its lineage with a reliable checkpoint so both passes see the same
+    partitioning after executor loss.
+    """
+    from pyspark.sql import Window
+
+    from stratum.session import cut_lineage
+
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(group)
+    x = df.where(F.col(value).isNotNull()).repartitionByRange(n_parts, *keys, value)
+    x = x.withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("_pid", *keys).orderBy(value)
+    x = cut_lineage(x.withColumn("_local", F.row_number().over(w) - 1))
+    counts = x.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    wo = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(wo), F.lit(0))).drop("_cnt")
+    from stratum.operators.joins import fits
+
+    offs = F.broadcast(offs) if fits(offs, 2_000_000) else offs
+    return x.join(offs, ["_pid", *keys]).withColumn("rank", (F.col("_off") + F.col("_local")).cast("long")) \
+        .drop("_pid", "_local", "_off")
+
+
+def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """Exact linear-interpolation quantiles (R type 7 / ``percentile``) per group, scalable.
+
+    Uses :func:`rank_within` then fetches only the ≤ 2·len(probs) rows per
+    group that the quantile positions need. Output: (group…, p, q).
+    """
+    keys = list(group)
+    ranked = rank_within(df, keys, value)
+    n = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ps = F.array(*[F.lit(float(p)) for p in probs])
+    tgt = n.select(*keys, "_n", F.explode(ps).alias("p"))
+    tgt = tgt.withColumn("_pos", F.col("p") * (F.col("_n") - 1)).withColumn("_k", F.floor("_pos").cast("long"))
+    need = tgt.select(*keys, F.explode(F.array(F.col("_k"), F.least(F.col("_k") + 1, F.col("_n") - 1))).alias("rank")) \
+        .distinct()
+    vals = ranked.join(need, [*keys, "rank"], "left_semi").select(*keys, "rank", F.col(value).alias("_v"))
+    lo = vals.withColumnRenamed("rank", "_k").withColumnRenamed("_v", "_vlo")
+    hi = vals.withColumn("_k", F.col("rank") - 1).drop("rank").withColumnRenamed("_v", "_vhi")
+    t = tgt.join(lo, [*keys, "_k"], "left").join(hi, [*keys, "_k"], "left")
+    frac = F.col("_pos") - F.col("_k")
+    q = F.when(frac == 0, F.col("_vlo")).otherwise(F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo")))
+    return t.select(*keys, "p", q.alias("q"))
+
+
+def box_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """min / Q1 / median / Q3 / max per group (whiskers at the extremes), exact."""
+    keys = list(group)
+    q = exact_quantiles(df, keys, value, [0.0, 0.25, 0.5, 0.75, 1.0])
+    names = {0.0: "min", 0.25: "q1", 0.5: "median", 0.75: "q3", 1.0: "max"}
+    return q.groupBy(*keys).pivot("p", list(names)).agg(F.first("q")).select(
+        *keys, *[F.col(f"`{p}`").alias(n) for p, n in names.items()])
+
+
+def bandwidth_nrd0(df: DataFrame, col: str) -> float:
+    """Silverman's rule (R ``bw.nrd0``): 0.9·min(sd, IQR/1.34)·n^(−1/5)."""
+    s = df.agg(F.stddev_samp(col).alias("sd"), F.count(col).alias("n")).first()
+    q = exact_quantiles(df.select(F.lit(0).alias("_g"), col), ["_g"], col, [0.25, 0.75]).orderBy("p").collect()
+    iqr = q[1]["q"] - q[0]["q"]
+    lo = min(s["sd"], iqr / 1.34) if iqr > 0 else s["sd"]
+    return 0.9 * lo * s["n"] ** (-0.2)
+
+
+def kde_grid(df: DataFrame, col: str, n: int = 512, adjust: float = 1.0, cut: float = 3.0,
+             bw: float | None = None) -> DataFrame:
+    """Gaussian kernel density on an ``n``-point grid over [min − cut·bw, max + cut·bw].
+
+    As R's ``density`` does, the data are first linearly binned onto the grid
+    (each value splits its weight between the two nearest grid points) in one
+    partial-aggregated pass, so the data-sized work is linear; the kernel sum
+    then runs on the ≤ n binned weights × n grid points (a bounded table).
+    """
+    lo_v, hi_v, cnt = _bounds(df, col)
+    h = (bw if bw is not None else bandwidth_nrd0(df, col)) * adjust
+    lo = lo_v - cut * h
+    hi = hi_v + cut * h
+    delta = (hi - lo) / (n - 1)
+    x = F.col(col).cast("double")
+    pos = (x - F.lit(lo)) / F.lit(delta)
+    j = F.floor(pos).cast("int")
+    fr = pos - j
+    w = df.where(x.isNotNull()).select(j.alias("_j"), fr.alias("_f"))
+    w = w.select(F.explode(F.array(F.struct(F.col("_j").alias("k"), (1 - F.col("_f")).alias("w")),
+                                   F.struct((F.col("_j") + 1).alias("k"), F.col("_f").alias("w")))).alias("_s"))
+    binned = w.select("_s.*").groupBy("k").agg(F.sum("w").alias("w")).where(F.col("k") < n)
+    grid = binned.select("k", "w", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("g"))
+    u = ((F.col("g") - F.col("k")) * F.lit(delta)) / F.lit(h)
+    kern = F.exp(-0.5 * u * u) / F.lit((2 * 3.141592653589793) ** 0.5)
+    dens = grid.groupBy("g").agg(F.sum(F.col("w") * kern).alias("_s"))
+    return dens.select(F.col("g").alias("i"), (F.lit(lo) + F.col("g") * F.lit(delta)).alias("x"),
+                       (F.col("_s") / F.lit(cnt * h)).alias("density"))
+
+
+def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every column pair (a < b) in one aggregate pass, long form."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    wide = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("corr"))
+            for a, b in pairs]
+    return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+
+
+MAX_KENDALL_CELLS = 5_000_000
+
+
+def kendall_tau_b(df: DataFrame, x: str, y: str, max_cells: int = MAX_KENDALL_CELLS) -> DataFrame:
+    """Exact Kendall τ-b of two columns from their contingency table of distinct (x, y) cells.
+
+    The data are reduced in Spark to distinct (x, y) cells with counts (a
+    partial-aggregated groupBy); the cell table — bounded by the number of
+    distinct pairs, checked against ``max_cells`` — is then swept once in
+    x order with a Fenwick tree over y ranks (O(K log K)). Round or bin x/y
+    before calling when the columns are continuous and huge.
+    """
+    import numpy as np
+
+    from stratum.operators.joins import fits
+
+    s = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    cells = s.groupBy(x, y).agg(F.count(F.lit(1)).alias("c"))
+    if not fits(cells, max_cells):
+        raise ValueError(f"more than {max_cells} distinct ({x}, {y}) cells; bin the columns first")
+    pdf = cells.toPandas()
+    spark = df.sparkSession
+    if len(pdf) == 0:
+        return spark.createDataFrame([(None, 0)], "tau_b double, n long")
+    xs = pdf[x].to_numpy(dtype=float)
+    ys = pdf[y].to_numpy(dtype=float)
+    cs = pdf["c"].to_numpy(dtype=np.int64)
+    n = int(cs.sum())
+    n0 = n * (n - 1) // 2
+    tx = pdf.groupby(x)["c"].sum().to_numpy(dtype=np.int64)
+    ty = pdf.groupby(y)["c"].sum().to_numpy(dtype=np.int64)
+    n1 = int((tx * (tx - 1) // 2).sum())
+    n2 = int((ty * (ty - 1) // 2).sum())
+    yr = np.searchsorted(np.unique(ys), ys)
+    m = int(yr.max()) + 1
+    tree = np.zeros(m + 1, dtype=np.int64)
+
+    def add(i, v):
+        i += 1
+        while i <= m:
+            tree[i] += v
+            i += i & -i
+
+    def prefix(i):  # sum of counts with rank < i
+        s_ = 0
+        while i > 0:
+            s_ += tree[i]
+            i -= i & -i
+        return s_
+
+    order = np.lexsort((ys, xs))
+    xs_o, yr_o, cs_o = xs[order], yr[order], cs[order]
+    S = 0
+    seen = 0
+    i = 0
+    K = len(order)
+    while i < K:
+        j = i
+        while j < K and xs_o[j] == xs_o[i]:
+            j += 1
+        for t in range(i, j):  # pairs against strictly smaller x
+            below = prefix(int(yr_o[t]))
+            above = seen - prefix(int(yr_o[t]) + 1)
+            S += int(cs_o[t]) * (below - above)
+        for t in range(i, j):
+            add(int(yr_o[t]), int(cs_o[t]))
+            seen += int(cs_o[t])
+        i = j
+    import math
+
+    den = math.sqrt(float((n0 - n1) * (n0 - n2)))
+    tau = float(S) / den if den > 0 else None
+    return spark.createDataFrame([(tau, n)], "tau_b double, n long")
+
+
+def qq_table(df: DataFrame, p: str) -> DataFrame:
+    """Q-Q table of p-values: NaN/NULL dropped, sorted ascending; expected −log10(i/n), observed −log10(p).
+
+    The global order comes from :func:`rank_within` (range-partitioned), not a
+    single-partition window.
+    """
+    clean = df.where(F.col(p).isNotNull() & ~F.isnan(p)).select(F.lit(0).alias("_g"), F.col(p))
+    ranked = rank_within(clean, ["_g"], p)
+    n = clean.count()
+    i = F.col("rank") + 1
+    return ranked.select(i.alias("i"), F.col(p).alias("p"), (-F.log10(i / F.lit(float(n)))).alias("expected"),
+                         (-F.log10(F.col(p))).alias("observed"))

@@ -32,4 +32,5 @@ def load_all() -> None:
     from stratum.plans import (  # noqa: F401
         q_relational,
         q_seasons,
+        q_profile,
     )
