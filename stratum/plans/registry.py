@@ -33,4 +33,5 @@ def load_all() -> None:
         q_relational,
         q_seasons,
         q_profile,
+        q_text,
     )
