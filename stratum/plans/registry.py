@@ -34,4 +34,5 @@ def load_all() -> None:
         q_seasons,
         q_profile,
         q_text,
+        q_stream,
     )
