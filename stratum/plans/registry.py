@@ -35,4 +35,5 @@ def load_all() -> None:
         q_profile,
         q_text,
         q_stream,
+        q_genotype,
     )
