@@ -37,4 +37,5 @@ def load_all() -> None:
         q_stream,
         q_genotype,
         q_io,
+        q_ml,
     )
