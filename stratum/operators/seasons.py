@@ -27,6 +27,10 @@ def score_seasons(players: DataFrame, year: str = "year") -> DataFrame:
     Pass 1: ``fg=(fgp−avg fgp)·fga``, ``ft=(ftp−avg ftp)·fta``; tp, trb, pts are
     population z-scores; tov is a negated z-score. Pass 2: z-score of fg, ft.
     """
+    from stratum.session import cut_lineage
+
+    # several passes read the same rows: materialise them once on shared storage
+    players = cut_lineage(players)
     s1 = W.with_group_stats(players, [year], [F.avg("fgp").alias("_afgp"), F.avg("ftp").alias("_aftp")])
     s1 = (s1.withColumn("fg", (F.col("fgp") - F.col("_afgp")) * F.col("fga"))
             .withColumn("ft", (F.col("ftp") - F.col("_aftp")) * F.col("fta")).drop("_afgp", "_aftp"))

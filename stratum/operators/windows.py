@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.operators.joins import fits
 
 GROUP_STATS_MAX_ROWS = 5_000_000
 
@@ -28,8 +27,18 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
     row count is checked, else joined by shuffle (AQE splits skewed partitions).
     """
     stats = df.groupBy(*keys).agg(*aggs)
-    side = F.broadcast(stats) if fits(stats, max_rows) else stats
-    return df.join(side, list(keys), "left")
+    return df.join(bounded_side(stats, max_rows), list(keys), "left")
+
+
+def bounded_side(stats: DataFrame, max_rows: int) -> DataFrame:
+    """A join side proven small: computed once, at most ``max_rows`` rows fetched, and
+    re-planted as a broadcast local relation (the upstream is not recomputed by the
+    join). Above the bound the aggregate stays distributed (shuffle join, AQE)."""
+    rows = stats.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return stats
+    local = stats.sparkSession.createDataFrame(rows, stats.schema)
+    return F.broadcast(local)
 
 
 def safe_div(num: Column, den: Column) -> Column:
