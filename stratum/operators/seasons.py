@@ -89,29 +89,40 @@ def cumulative_vectors(scored: DataFrame, entity: str = "name", order: str = "ye
 
 
 def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name", level: str = "experience",
-                          vec: str = "vec") -> DataFrame:
+                          vec: str = "vec", projections: int = 4) -> DataFrame:
     """Ordered pairs of distinct entities at the same level with RMS distance ≤ ``radius``.
 
-    Exact, without all pairs: for vectors of length L, RMS(a−b) ≤ r implies
-    |mean(a)−mean(b)| ≤ r and |altmean(a)−altmean(b)| ≤ r (Cauchy–Schwarz with
-    the unit vectors 1/√L and ±1/√L). Cells of width r on those two
-    projections: each left row is replicated to its 3×3 neighbouring cells and
-    equi-joined with right rows on (level, cell); the exact distance filters.
-    Only neighbouring-cell candidates are compared.
+    Exact, without comparing all pairs: for any ±1 pattern h of the vector
+    length L, u = h/√L is a unit vector, so by Cauchy–Schwarz
+    |h·a/L − h·b/L| ≤ ‖a−b‖/√L = RMS(a−b) ≤ r. The first ``projections`` Walsh
+    patterns (all +1, then signs from bits of the index) give k projections;
+    rows are blocked on a grid of width r over them. The left side is
+    replicated to the 3^k neighbouring cells and equi-joined with the right
+    side on (level, cells); each candidate pair meets exactly once and the
+    exact distance decides.
     """
+    import itertools
+
     n = F.size(vec).cast("double")
-    mean = F.aggregate(vec, F.lit(0.0), lambda a, x: a + x) / n
-    alt = F.aggregate(F.transform(vec, lambda x, i: F.when(i % 2 == 0, x).otherwise(-x)), F.lit(0.0),
-                      lambda a, x: a + x) / n
+
+    def walsh(k):
+        if k == 0:
+            return F.aggregate(vec, F.lit(0.0), lambda a, x: a + x) / n
+        bit = 1 << (k - 1)
+        signed = F.transform(vec, lambda x, i: F.when(F.floor(i / bit) % 2 == 0, x).otherwise(-x))
+        return F.aggregate(signed, F.lit(0.0), lambda a, x: a + x) / n
+
+    cells = [f"_c{k}" for k in range(projections)]
     base = (vectors.where(F.forall(vec, lambda x: x.isNotNull()))
-            .select(entity, level, "year", vec, F.floor(mean / radius).cast("long").alias("_c1"),
-                    F.floor(alt / radius).cast("long").alias("_c2")))
-    offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    left = (base.withColumn("_d1", F.explode(offs)).withColumn("_d2", F.explode(offs))
-            .select(entity, level, "year", F.col(vec).alias("_va"), (F.col("_c1") + F.col("_d1")).alias("_c1"),
-                    (F.col("_c2") + F.col("_d2")).alias("_c2")))
-    right = base.select(F.col(entity).alias("similar_" + entity), level, F.col(vec).alias("_vb"), "_c1", "_c2")
-    pairs = left.join(right, [level, "_c1", "_c2"]).where(F.col(entity) != F.col("similar_" + entity))
+            .select(entity, level, "year", vec, *[F.floor(walsh(k) / radius).cast("long").alias(c)
+                                                  for k, c in enumerate(cells)]))
+    offsets = F.array(*[F.array(*[F.lit(o) for o in combo])
+                        for combo in itertools.product((-1, 0, 1), repeat=projections)])
+    left = base.select(entity, level, "year", F.col(vec).alias("_va"), *cells, F.explode(offsets).alias("_o"))
+    left = left.select(entity, level, "year", "_va",
+                       *[(F.col(c) + F.col("_o")[k]).alias(c) for k, c in enumerate(cells)])
+    right = base.select(F.col(entity).alias("similar_" + entity), level, F.col(vec).alias("_vb"), *cells)
+    pairs = left.join(right, [level, *cells]).where(F.col(entity) != F.col("similar_" + entity))
     pairs = pairs.withColumn("similarity_score", rms_distance("_va", "_vb"))
     return pairs.where(F.col("similarity_score") <= radius).select(
         level, "year", entity, "similar_" + entity, "similarity_score")
