@@ -238,3 +238,9 @@ def variant_annotated(spark, sf):
     e = e.where(F.coalesce(F.col("gt") > 0, F.lit(True)))
     return e.select("variant_id", "sample_id", "gt", F.col("sa.super_population").alias("super_population"),
                     F.col("sa.is_female").alias("is_female"))
+
+
+@query("assoc_logistic")
+def assoc_logistic(spark, sf):
+    """Per-variant logistic regression (case = purple hair) on gt + sex, Wald test; Newton steps as aggregates."""
+    return GT.logistic_wald(_g(spark, sf), _s(spark, sf), "purple_hair", "is_female")

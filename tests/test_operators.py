@@ -157,3 +157,31 @@ def test_grouped_ols_recovers_polynomial(spark):
                                "metric string, x1 double, x2 double, y double")
     c = grouped_ols2(df, "metric", "y", "x1", "x2").first()
     assert abs(c["b0"] - 4) < 1e-9 and abs(c["b1"] - 6) < 1e-9 and abs(c["b2"] - 2) < 1e-9
+
+
+def test_logistic_wald_matches_numpy_newton(spark):
+    rnd = np.random.default_rng(4)
+    n_s = 120
+    samples = [(s, bool(rnd.random() < 0.5), bool(rnd.random() < 0.4)) for s in range(n_s)]
+    rows = []
+    for v in range(3):
+        for s in range(n_s):
+            rows.append((v, s, int(rnd.integers(0, 3))))
+    g = spark.createDataFrame(rows, "variant_id int, sample_id long, gt int")
+    sm = spark.createDataFrame(samples, "sample_id long, case boolean, female boolean")
+    got = {r["variant_id"]: r for r in GT.logistic_wald(g, sm, "case", "female").collect()}
+    yv = np.array([float(c) for _, c, _ in samples])
+    fv = np.array([float(f) for _, _, f in samples])
+    for v in range(3):
+        gt = np.array([float(x) for vv, _, x in rows if vv == v])
+        X = np.column_stack([np.ones(n_s), gt, fv])
+        b = np.zeros(3)
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-X @ b))
+            H = X.T @ (X * (p * (1 - p))[:, None])
+            b = b + np.linalg.solve(H, X.T @ (yv - p))
+        p = 1 / (1 + np.exp(-X @ b))
+        H = X.T @ (X * (p * (1 - p))[:, None])
+        se = math.sqrt(np.linalg.inv(H)[1, 1])
+        assert abs(got[v]["beta"] - b[1]) < 1e-7 and abs(got[v]["se"] - se) < 1e-7
+        assert abs(got[v]["p_wald"] - math.erfc(abs(b[1] / se) / math.sqrt(2))) < 1e-7
