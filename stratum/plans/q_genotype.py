@@ -244,3 +244,14 @@ def variant_annotated(spark, sf):
 def assoc_logistic(spark, sf):
     """Per-variant logistic regression (case = purple hair) on gt + sex, Wald test; Newton steps as aggregates."""
     return GT.logistic_wald(_g(spark, sf), _s(spark, sf), "purple_hair", "is_female")
+
+
+@query("geno_pca")
+def geno_pca(spark, sf):
+    """Top 5 principal-component scores per sample of the standardised genotype matrix (subspace iteration)."""
+    from stratum.operators.pca import standardized_genotypes, subspace_pca
+
+    z = standardized_genotypes(_g(spark, sf))
+    scores, lam = subspace_pca(z, "sample_id", "variant_id", "z", k=5, iters=20)
+    ev = spark.createDataFrame([(i, float(v)) for i, v in enumerate(lam)], "pc int, eigenvalue double")
+    return scores.join(F.broadcast(ev), "pc")

@@ -185,3 +185,24 @@ def test_logistic_wald_matches_numpy_newton(spark):
         se = math.sqrt(np.linalg.inv(H)[1, 1])
         assert abs(got[v]["beta"] - b[1]) < 1e-7 and abs(got[v]["se"] - se) < 1e-7
         assert abs(got[v]["p_wald"] - math.erfc(abs(b[1] / se) / math.sqrt(2))) < 1e-7
+
+
+def test_subspace_pca_matches_svd(spark):
+    from stratum.operators.pca import subspace_pca
+
+    rnd = np.random.default_rng(2)
+    n, d = 40, 30
+    base = rnd.normal(size=(n, 3)) * np.array([6.0, 3.0, 1.5])
+    X = base @ rnd.normal(size=(3, d)) + 0.05 * rnd.normal(size=(n, d))
+    rows = [(i, j, float(X[i, j])) for i in range(n) for j in range(d)]
+    df = spark.createDataFrame(rows, "r int, c int, v double")
+    scores, lam = subspace_pca(df, "r", "c", "v", k=3, oversample=3, iters=25)
+    U, s, _ = np.linalg.svd(X, full_matrices=False)
+    assert np.allclose(lam[:3], (s[:3] ** 2), rtol=1e-6)
+    got = np.zeros((n, 3))
+    for r in scores.collect():
+        got[r["r"], r["pc"]] = r["score"]
+    want = U[:, :3] * s[:3]
+    for c in range(3):
+        w = want[:, c] * np.sign(want[np.argmax(np.abs(want[:, c])), c])
+        assert np.allclose(got[:, c], w, atol=1e-5)
