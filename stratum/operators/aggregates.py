@@ -97,9 +97,11 @@ def fraction_where(df: DataFrame, group: Sequence[str], pred: Column, name: str
     return df.groupBy(*group).agg(F.avg(pred.cast("double")).alias(name))
 
 
-def conditional_counts(df: DataFrame, preds: dict[str, Column]) -> DataFrame:
-    """Several predicate counts in one pass."""
-    return df.agg(*[F.count_if(p).alias(n) for n, p in preds.items()])
+def conditional_counts(df: DataFrame, preds: dict[str, Column], extra: dict[str, Column] | None = None) -> DataFrame:
+    """Several predicate counts (plus any other aggregates) in one pass."""
+    aggs = [F.count_if(p).alias(n) for n, p in preds.items()]
+    aggs += [c.alias(n) for n, c in (extra or {}).items()]
+    return df.agg(*aggs)
 
 
 def monthly_sum(df: DataFrame, date_col: str, value_cols: Sequence[str], fmt: str = "yyyyMM",

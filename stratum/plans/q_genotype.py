@@ -255,3 +255,35 @@ def geno_pca(spark, sf):
     scores, lam = subspace_pca(z, "sample_id", "variant_id", "z", k=5, iters=20)
     ev = spark.createDataFrame([(i, float(v)) for i, v in enumerate(lam)], "pc int, eigenvalue double")
     return scores.join(F.broadcast(ev), "pc")
+
+
+@query("split_multi_allelic", with_views(_G, """
+, m AS (
+  SELECT a.variant_id AS site, a.sample_id, a.gt AS g1, b.gt AS g2
+  FROM genotypes a JOIN genotypes b ON b.variant_id = a.variant_id + 1 AND a.sample_id = b.sample_id
+  WHERE a.variant_id % 2 = 0),
+al AS (
+  SELECT site, sample_id,
+         CASE WHEN g1 IS NULL OR g2 IS NULL THEN NULL
+              ELSE least(g1, 2) END AS c1,
+         CASE WHEN g1 IS NULL OR g2 IS NULL THEN NULL
+              ELSE least(g2, 2 - least(g1, 2)) END AS c2 FROM m)
+SELECT site, allele_index, count(gt) AS n_called, CAST(sum(gt) AS BIGINT) AS alt_alleles FROM (
+  SELECT site, 1 AS allele_index, c1 AS gt FROM al UNION ALL SELECT site, 2 AS allele_index, c2 AS gt FROM al) t
+GROUP BY site, allele_index"""))
+def split_multi_allelic(spark, sf):
+    """Two adjacent variants merged into one tri-allelic site (diploid allele pairs), then split back to
+    bi-allelic rows with per-allele alternate counts."""
+    g = _g(spark, sf)
+    a = g.where(F.col("variant_id") % 2 == 0).select(F.col("variant_id").alias("site"), "sample_id", F.col("gt").alias("g1"))
+    b = g.select((F.col("variant_id") - 1).alias("site"), "sample_id", F.col("gt").alias("g2"))
+    m = a.join(b, ["site", "sample_id"])
+    c1 = F.least(F.col("g1"), F.lit(2))
+    c2 = F.least(F.col("g2"), 2 - c1)
+    alleles = F.concat(F.array_repeat(F.lit(1), c1), F.array_repeat(F.lit(2), c2),
+                       F.array_repeat(F.lit(0), 2 - c1 - c2))
+    multi = m.select("site", "sample_id", F.array(F.lit("G"), F.lit("T")).alias("alts"),
+                     F.when(F.col("g1").isNotNull() & F.col("g2").isNotNull(), alleles).alias("alleles"))
+    split = GT.split_multi(multi)
+    return split.groupBy("site", "allele_index").agg(F.count("gt").alias("n_called"),
+                                                     F.sum("gt").cast("long").alias("alt_alleles"))

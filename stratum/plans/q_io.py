@@ -153,3 +153,149 @@ def binary_files_scan(spark, sf):
     SK.write_text(d, path)
     b = RD.read_binary_files(spark, path, glob="part-*", label=1)
     return b.agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("total_bytes"), F.max("label").alias("label"))
+
+
+@query("csv_header_infer", """
+SELECT p_type, count(*) AS n, round(avg(p_retailprice), 8) AS avg_price, CAST(sum(p_size) AS BIGINT) AS sum_size
+FROM part GROUP BY 1""")
+def csv_header_infer(spark, sf):
+    """Directory of CSV files with a header line, types inferred."""
+    path = _scratch(spark, "csvh")
+    SK.write_csv(load(spark, sf, "part"), path, header=True)
+    back = RD.read_csv_header(spark, path, infer=True)
+    return back.groupBy("p_type").agg(F.count(F.lit(1)).alias("n"), R(F.avg("p_retailprice")).alias("avg_price"),
+                                      F.sum("p_size").cast("long").alias("sum_size"))
+
+
+@query("annotation_table_enrich", with_views(["genotypes", "samples"], """
+SELECT super_population, count(gt) AS n_called, CAST(sum(gt) AS BIGINT) AS alt_alleles,
+       count(*) FILTER (WHERE purple_hair) AS n_purple
+FROM genotypes LEFT JOIN samples USING (sample_id) GROUP BY 1"""))
+def annotation_table_enrich(spark, sf):
+    """Tab-separated sample annotations (header, imputed types) nested under ``sa`` on the genotypes."""
+    from stratum.operators.joins import enrich_nested
+
+    path = _scratch(spark, "ann")
+    SK.export_delimited(view(spark, sf, "samples"), path, sep="\t", header=True)
+    ann = RD.read_annotation_table(spark, path, "sample_id")
+    g = enrich_nested(view(spark, sf, "genotypes"), ann, "sample_id", "sa")
+    return g.groupBy(F.col("sa.super_population").alias("super_population")).agg(
+        F.count("gt").alias("n_called"), F.sum("gt").cast("long").alias("alt_alleles"),
+        F.count_if(F.col("sa.purple_hair")).alias("n_purple"))
+
+
+@query("interval_file_filter", with_views(["genotypes"], """
+, iv AS (SELECT CASE WHEN p_partkey % 20 = 0 THEN 'X' ELSE CAST(p_partkey % 20 AS VARCHAR) END AS contig,
+                p_partkey * 700 % 200000 AS start, p_partkey * 700 % 200000 + p_size * 30 AS "end" FROM part)
+SELECT contig, count(DISTINCT variant_id) AS n_variants, count(*) AS n_genotypes FROM genotypes g
+WHERE EXISTS (SELECT 1 FROM iv WHERE iv.contig = g.contig AND g.pos BETWEEN iv.start AND iv."end") GROUP BY contig"""))
+def interval_file_filter(spark, sf):
+    """Interval list written as a TSV file, read back, and used as a range filter (binned semi join)."""
+    from stratum.operators.joins import interval_semi_join
+
+    p = load(spark, sf, "part")
+    contig = F.when(F.col("p_partkey") % 20 == 0, F.lit("X")).otherwise((F.col("p_partkey") % 20).cast("string"))
+    start = F.col("p_partkey") * 700 % 200000
+    iv = p.select(contig.alias("contig"), start.alias("start"), (start + F.col("p_size") * 30).alias("end"))
+    path = _scratch(spark, "iv")
+    SK.export_delimited(iv, path, sep="\t", header=True)
+    back = RD.read_csv_schema(spark, path, "contig STRING, start BIGINT, end BIGINT", sep="\t", header=True)
+    g = interval_semi_join(view(spark, sf, "genotypes"), back, bin_size=5_000)
+    return g.groupBy("contig").agg(F.count_distinct("variant_id").alias("n_variants"), F.count(F.lit(1)).alias("n_genotypes"))
+
+
+@query("bucketed_tables_join", """
+SELECT o_orderstatus, count(*) AS n_lines, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def bucketed_tables_join(spark, sf):
+    """Managed tables bucketed by the join key (saveAsTable at a shared path, then CTAS): the join reads
+    co-located buckets instead of shuffling both sides."""
+    tag = uuid.uuid4().hex[:8]
+    base = _scratch(spark, "bucketed")
+    li, od = f"stratum_li_{tag}", f"stratum_od_{tag}"
+    li_df = load(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
+    od_df = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    li_df.write.mode("overwrite").option("path", os.path.join(base, "li")).bucketBy(16, "l_orderkey") \
+        .sortBy("l_orderkey").saveAsTable(li)
+    od_df.write.mode("overwrite").option("path", os.path.join(base, "od")).bucketBy(16, "o_orderkey") \
+        .sortBy("o_orderkey").saveAsTable(od)
+    summary = f"stratum_rev_{tag}"
+    spark.sql(f"DROP TABLE IF EXISTS {summary}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {summary} USING parquet LOCATION '{os.path.join(base, 'rev')}' AS "
+              f"SELECT o_orderstatus, l_extendedprice * (1 - l_discount) AS rev FROM {li} JOIN {od} "
+              f"ON l_orderkey = o_orderkey")
+    return spark.table(summary).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_lines"),
+                                                            F.round(F.sum("rev"), 4).alias("revenue"))
+
+
+@query("export_sample_qc", with_views(["genotypes"], """
+SELECT sample_id, count(gt) AS n_called, round(count(gt) / count(*), 8) AS call_rate FROM genotypes GROUP BY 1"""))
+def export_sample_qc(spark, sf):
+    """Chosen fields (``sample_id``, ``qc.*``) exported as tab-separated text and read back."""
+    from stratum.operators.genotype import sample_qc
+
+    q = sample_qc(view(spark, sf, "genotypes"))
+    nested = q.select("sample_id", F.struct("n_called", "call_rate").alias("qc"))
+    path = _scratch(spark, "export")
+    SK.export_delimited(nested.select("sample_id", "qc.*"), path)
+    back = RD.read_csv_schema(spark, path, "sample_id BIGINT, n_called BIGINT, call_rate DOUBLE", sep="\t", header=True)
+    return back.select("sample_id", "n_called", R(F.col("call_rate")).alias("call_rate"))
+
+
+@query("fill_empty_cells", with_views(["flights"], """
+SELECT origin, round(sum(coalesce(dep_delay, 0)), 6) AS sum_dep, round(sum(coalesce(arr_delay, 0)), 6) AS sum_arr,
+       count(*) AS n FROM flights GROUP BY origin"""))
+def fill_empty_cells(spark, sf):
+    """CSV with empty cells (missing delays) read with a schema; empty numeric cells filled with 0."""
+    from stratum.operators.clean import fill_missing
+
+    f = view(spark, sf, "flights").select("origin", "dep_delay", "arr_delay")
+    path = _scratch(spark, "empty")
+    SK.write_csv(f, path)
+    back = RD.read_csv_schema(spark, path, "origin STRING, dep_delay DOUBLE, arr_delay DOUBLE")
+    back = fill_missing(back, 0.0, ["dep_delay", "arr_delay"])
+    return back.groupBy("origin").agg(R(F.sum("dep_delay"), 6).alias("sum_dep"), R(F.sum("arr_delay"), 6).alias("sum_arr"),
+                                      F.count(F.lit(1)).alias("n"))
+
+
+@query("junk_lines_cleanup", with_views(["raw_seasons"], """
+SELECT year, count(*) AS n_rows, count(*) FILTER (WHERE team = 'TOT') AS n_total_rows, round(sum(fga), 6) AS sum_fga
+FROM raw_seasons GROUP BY year"""))
+def junk_lines_cleanup(spark, sf):
+    """Season text files with repeated header lines, blank lines and ``*`` markers after names:
+    junk lines dropped, markers stripped, year taken from the file path."""
+    from stratum.operators.clean import drop_junk_lines
+
+    raw = view(spark, sf, "raw_seasons")
+    name = F.when(F.col("team") == "TOT", F.concat("name", F.lit("*"))).otherwise(F.col("name"))
+    lines = raw.select("year", F.concat_ws(",", name, "team", F.col("fga").cast("string")).alias("value"))
+    junk = raw.select("year").distinct().select("year", F.explode(F.array(F.lit("Player,Tm,FGA"), F.lit(""),
+                                                                          F.lit("Player,Tm,FGA"))).alias("value"))
+    path = _scratch(spark, "junk")
+    lines.unionByName(junk).write.mode("overwrite").partitionBy("year").text(path)
+    txt = RD.with_path_value(RD.read_lines(spark, os.path.join(path, "*")).select("value", "_metadata"),
+                             r"year=(\d+)", "year")
+    clean = drop_junk_lines(txt, "value", header_marker="FGA", require=",", strip="*")
+    parts = F.split("value", ",")
+    rows = clean.select("year", parts.getItem(1).alias("team"), parts.getItem(2).cast("double").alias("fga"))
+    return rows.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("team") == "TOT").alias("n_total_rows"),
+                                    R(F.sum("fga"), 6).alias("sum_fga"))
+
+
+@query("stream_json_values", with_views(["readings", "tag_mappings"], """
+SELECT sensor_name, count(*) AS n, round(sum(value), 6) AS sum_value
+FROM readings JOIN tag_mappings USING (tag_id) GROUP BY sensor_name"""))
+def stream_json_values(spark, sf):
+    """Message-queue shape: JSON strings in a text stream → typed columns (schema given) → enrichment."""
+    from stratum.streaming import sensors as ST
+
+    r = view(spark, sf, "readings")
+    path = _scratch(spark, "jsonstream")
+    r.select(F.to_json(F.struct("record_time", "tag_id", "value")).alias("value")).write.mode("overwrite").text(path)
+    stream = spark.readStream.format("text").option("pathGlobFilter", "part-*").load(path)
+    parsed = ST.parse_json_values(stream, ST.READING_SCHEMA)
+    enriched = ST.enrich_stream(parsed, view(spark, sf, "tag_mappings")).select("sensor_name", "value")
+    out = ST.run_available_now(enriched, "jsonvalues")
+    back = ST.read_output(spark, out, T.StructType([T.StructField("sensor_name", T.StringType()),
+                                                    T.StructField("value", T.DoubleType())]))
+    return back.groupBy("sensor_name").agg(F.count(F.lit(1)).alias("n"), R(F.sum("value"), 6).alias("sum_value"))

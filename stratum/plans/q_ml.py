@@ -242,3 +242,30 @@ def split_and_sample(spark, sf):
     s = c.sample(False, 0.5, 83)
     return spark.createDataFrame([("train", a.count()), ("test", b.count()), ("sample", s.count())],
                                  "part string, n long")
+
+
+@query("one_hot_features")
+def one_hot_features(spark, sf):
+    """Category → index → one-hot sub-pipeline feeding an assembler (vector width and rows per category)."""
+    from pyspark.ml.functions import vector_to_array
+
+    sub, vec = ML.one_hot_stage("state")
+    c = _churn(spark, sf)
+    m = Pipeline(stages=[sub, VectorAssembler(inputCols=[vec, "n_calls"], outputCol="features")]).fit(c)
+    out = m.transform(c)
+    return out.groupBy("state").agg(F.count(F.lit(1)).alias("n"),
+                                    F.max(F.size(vector_to_array("features"))).alias("width"))
+
+
+@query("poly_fit_lbfgs")
+def poly_fit_lbfgs(spark, sf):
+    """The cubic fit by an iterative optimiser (L-BFGS) instead of normal equations."""
+    li = load(spark, sf, "lineitem").select((F.col("l_discount") * 60 - 2).alias("x"))
+    y = 4 + 6 * F.col("x") + 2 * F.col("x") * F.col("x") - F.col("x") * F.col("x") * F.col("x")
+    d = li.withColumn("y", y + F.randn(42) * 0.5)
+    d = VectorAssembler(inputCols=["x"], outputCol="x1").transform(d)
+    d = PolynomialExpansion(degree=3, inputCol="x1", outputCol="features").transform(d)
+    m = LinearRegression(labelCol="y", solver="l-bfgs", maxIter=200, tol=1e-9).fit(d)
+    c = m.coefficients.toArray()
+    return spark.createDataFrame([(float(m.intercept), float(c[0]), float(c[1]), float(c[2]))],
+                                 "intercept double, c1 double, c2 double, c3 double")

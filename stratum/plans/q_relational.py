@@ -370,3 +370,61 @@ def centroid_anomalies(spark, sf):
     a = _assigned(spark, sf)
     far = G.farthest_points(a, "sqdist", 100)
     return far.select("vec_id", "label", "cluster", R(F.col("sqdist"), 6).alias("sqdist"))
+
+
+@query("shift_codes", with_views(["cover"], """
+SELECT CAST(slope % 4 AS DOUBLE) AS size_code, CAST(cover_type AS DOUBLE) AS cover_code, count(*) AS n
+FROM cover GROUP BY 1, 2"""))
+def shift_codes(spark, sf):
+    """1-based category codes shifted to start at zero (typed double for ML)."""
+    c = view(spark, sf, "cover").select((F.col("slope") % 4 + 1).alias("size_code"),
+                                        (F.col("cover_type") + 1).alias("cover_code"))
+    s = C.shift_codes(c, ["size_code", "cover_code"], 1)
+    return s.groupBy("size_code", "cover_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sample_conditional_counts", with_views(["samples"], """
+SELECT count(*) AS n_samples, count(*) FILTER (WHERE is_female) AS n_female,
+       count(*) FILTER (WHERE purple_hair) AS n_purple, count(*) FILTER (WHERE caffeine > 5) AS n_high_caffeine,
+       array_to_string(list_sort(list_distinct(list(super_population))), ',') AS populations FROM samples"""))
+def sample_conditional_counts(spark, sf):
+    """Several predicate counts and the set of populations in one aggregate pass."""
+    s = view(spark, sf, "samples")
+    extra = {"n_samples": F.count(F.lit(1)),
+             "populations": F.array_join(F.sort_array(F.collect_set("super_population")), ",")}
+    return A.conditional_counts(s, {"n_female": F.col("is_female"), "n_purple": F.col("purple_hair"),
+                                    "n_high_caffeine": F.col("caffeine") > 5}, extra)
+
+
+@query("nations_per_region", """
+SELECT r_name, array_to_string(list_sort(list_distinct(list(n_name))), ',') AS nations, count(*) AS n
+FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
+def nations_per_region(spark, sf):
+    """Distinct values collected per group (sorted set, joined to a string)."""
+    n = load(spark, sf, "nation").join(F.broadcast(load(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    return n.groupBy("r_name").agg(F.array_join(F.sort_array(F.collect_set("n_name")), ",").alias("nations"),
+                                   F.count(F.lit(1)).alias("n"))
+
+
+@query("sensor_daily_sums", with_views(["readings", "tag_mappings"], """
+SELECT day, round(sum(v), 6) AS total FROM (
+  SELECT CAST(CAST(record_time AS DATE) AS VARCHAR) AS day, value AS v FROM readings WHERE tag_id = 0
+  UNION ALL SELECT CAST(CAST(record_time AS DATE) AS VARCHAR), value FROM readings WHERE tag_id = 1
+  UNION ALL SELECT CAST(CAST(record_time AS DATE) AS VARCHAR), value * 2 FROM readings WHERE tag_id = 2) t GROUP BY day"""))
+def sensor_daily_sums(spark, sf):
+    """N per-metric tables sharing a key summed per key (union + one aggregate, not an N-way join)."""
+    r = view(spark, sf, "readings").withColumn("day", F.to_date("record_time").cast("string"))
+    frames = [r.where(F.col("tag_id") == 0).select("day", F.col("value").alias("a")),
+              r.where(F.col("tag_id") == 1).select("day", F.col("value").alias("b")),
+              r.where(F.col("tag_id") == 2).select("day", (F.col("value") * 2).alias("c"))]
+    s = J.sum_by_key(frames, "day", ["a", "b", "c"], out="total")
+    return s.select("day", R(F.col("total"), 6).alias("total"))
+
+
+@query("pixel_scaling", with_views(["sessions"], """
+SELECT label, count(*) AS n, round(sum(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (1.0 / 255.0) + -0.5))), 6) AS sum_scaled
+FROM sessions GROUP BY label"""))
+def pixel_scaling(spark, sf):
+    """Element-wise x/255 − 0.5 over array features."""
+    s = view(spark, sf, "sessions").withColumn("scaled", S.scale_pixels("embedding"))
+    return s.groupBy("label").agg(F.count(F.lit(1)).alias("n"), R(F.sum(S.array_sum("scaled")), 6).alias("sum_scaled"))

@@ -218,3 +218,22 @@ def sum_metric_predictions(spark, sf):
         "_p", F.col("b0") + F.col("b1") * F.col("x1") + F.col("b2") * F.col("x2"))
     return pred.groupBy("name", "year").agg(R(F.sum("_p"), 6).alias("predicted_total"),
                                             F.count(F.lit(1)).alias("n_metrics"))
+
+
+@query("season_mean_by_year", _sql("SELECT year, count(*) AS n, " + ", ".join(
+    f"round(avg({c}), 8) AS avg_{c}" for c in ["fga", "fgp", "pts", "tov"]) + " FROM dedup GROUP BY year"))
+def season_mean_by_year(spark, sf):
+    d = SN.dedup_seasons(view(spark, sf, "raw_seasons"))
+    return d.groupBy("year").agg(F.count(F.lit(1)).alias("n"),
+                                 *[R(F.avg(c)).alias(f"avg_{c}") for c in ["fga", "fgp", "pts", "tov"]])
+
+
+@query("top_scores_last_year", _sql("""
+SELECT name, year, round(ztot, 8) AS ztot FROM players WHERE year = (SELECT max(year) FROM players) AND ztot IS NOT NULL
+ORDER BY ztot DESC, name LIMIT 10"""))
+def top_scores_last_year(spark, sf):
+    """Top 10 entities by total score in the latest year (the limit is the report)."""
+    s = _scored(spark, sf)
+    last = s.agg(F.max("year")).first()[0]
+    t = W.top_k(s.where(F.col("ztot").isNotNull()), "ztot", 10, where=F.col("year") == F.lit(last))
+    return t.orderBy(F.col("ztot").desc(), "name").limit(10).select("name", "year", R(F.col("ztot")).alias("ztot"))
