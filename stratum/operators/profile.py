@@ -189,76 +189,134 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
-MAX_KENDALL_CELLS = 5_000_000
+LOCAL_KENDALL_CELLS = 200_000
+KENDALL_GROUP_CELLS = 50_000
 
 
-def kendall_tau_b(df: DataFrame, x: str, y: str, max_cells: int = MAX_KENDALL_CELLS) -> DataFrame:
-    """Exact Kendall τ-b of two columns from their contingency table of distinct (x, y) cells.
-
-    The data are reduced in Spark to distinct (x, y) cells with counts (a
-    partial-aggregated groupBy); the cell table — bounded by the number of
-    distinct pairs, checked against ``max_cells`` — is then swept once in
-    x order with a Fenwick tree over y ranks (O(K log K)). Round or bin x/y
-    before calling when the columns are continuous and huge.
-    """
+def _weighted_inversions(xs, vs, cs) -> int:
+    """Σ c_i c_j over pairs with x_i < x_j and v_i > v_j (strict), by a Fenwick sweep in x order."""
     import numpy as np
 
-    from stratum.operators.joins import fits
-
-    s = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    cells = s.groupBy(x, y).agg(F.count(F.lit(1)).alias("c"))
-    if not fits(cells, max_cells):
-        raise ValueError(f"more than {max_cells} distinct ({x}, {y}) cells; bin the columns first")
-    pdf = cells.toPandas()
-    spark = df.sparkSession
-    if len(pdf) == 0:
-        return spark.createDataFrame([(None, 0)], "tau_b double, n long")
-    xs = pdf[x].to_numpy(dtype=float)
-    ys = pdf[y].to_numpy(dtype=float)
-    cs = pdf["c"].to_numpy(dtype=np.int64)
-    n = int(cs.sum())
-    n0 = n * (n - 1) // 2
-    tx = pdf.groupby(x)["c"].sum().to_numpy(dtype=np.int64)
-    ty = pdf.groupby(y)["c"].sum().to_numpy(dtype=np.int64)
-    n1 = int((tx * (tx - 1) // 2).sum())
-    n2 = int((ty * (ty - 1) // 2).sum())
-    yr = np.searchsorted(np.unique(ys), ys)
-    m = int(yr.max()) + 1
-    tree = np.zeros(m + 1, dtype=np.int64)
-
-    def add(i, v):
-        i += 1
-        while i <= m:
-            tree[i] += v
-            i += i & -i
-
-    def prefix(i):  # sum of counts with rank < i
-        s_ = 0
-        while i > 0:
-            s_ += tree[i]
-            i -= i & -i
-        return s_
-
-    order = np.lexsort((ys, xs))
-    xs_o, yr_o, cs_o = xs[order], yr[order], cs[order]
-    S = 0
-    seen = 0
-    i = 0
-    K = len(order)
-    while i < K:
+    if len(xs) < 2:
+        return 0
+    vr = np.searchsorted(np.unique(vs), vs)
+    m = int(vr.max()) + 1
+    tree = [0] * (m + 1)
+    order = np.lexsort((vs, xs))
+    xs_o, vr_o, cs_o = xs[order], vr[order], cs[order]
+    total = seen = 0
+    i, k = 0, len(order)
+    while i < k:
         j = i
-        while j < K and xs_o[j] == xs_o[i]:
+        while j < k and xs_o[j] == xs_o[i]:
             j += 1
-        for t in range(i, j):  # pairs against strictly smaller x
-            below = prefix(int(yr_o[t]))
-            above = seen - prefix(int(yr_o[t]) + 1)
-            S += int(cs_o[t]) * (below - above)
+        for t in range(i, j):  # pairs against strictly smaller x: count earlier v strictly larger
+            q, s_ = int(vr_o[t]) + 1, 0
+            while q > 0:
+                s_ += tree[q]
+                q -= q & -q
+            total += int(cs_o[t]) * (seen - s_)
         for t in range(i, j):
-            add(int(yr_o[t]), int(cs_o[t]))
+            q = int(vr_o[t]) + 1
+            while q <= m:
+                tree[q] += int(cs_o[t])
+                q += q & -q
             seen += int(cs_o[t])
         i = j
+    return total
+
+
+def _block_ids(df: DataFrame, col: str, bounds: list[float], out: str) -> DataFrame:
+    """Block of each value: values below/above/between boundaries are interval blocks (even ids),
+    a value equal to a boundary is a single-value block (odd id) — so a hot value sits alone."""
+    from pyspark.ml.feature import Bucketizer
+
+    splits = [float("-inf")] + bounds + [float("inf")]
+    b = Bucketizer(splits=splits, inputCol="_v", outputCol="_k")
+    x = b.transform(df.withColumn("_v", F.col(col).cast("double")))
+    arr = F.array(*[F.lit(v) for v in bounds]) if bounds else F.array().cast("array<double>")
+    k = F.col("_k").cast("int")
+    eq = (k >= 1) & (F.element_at(arr, F.greatest(k, F.lit(1))) == F.col("_v"))
+    return x.withColumn(out, F.when(eq, 2 * k - 1).otherwise(2 * k)).drop("_v", "_k")
+
+
+def kendall_tau_b(df: DataFrame, x: str, y: str, local_cells: int = LOCAL_KENDALL_CELLS,
+                  group_cells: int = KENDALL_GROUP_CELLS) -> DataFrame:
+    """Exact Kendall τ-b of two numeric columns, distributed.
+
+    S = n0 − n1 − n2 + n3 − 2D, where n1/n2/n3 are tied pairs in x / y / both
+    (from group counts) and D is the weighted number of discordant pairs over
+    the distinct (x, y) cells. Up to ``local_cells`` cells D is one Fenwick
+    sweep on the (bounded) cell table. Beyond that, x and y are cut into
+    quantile blocks (boundary values become single-value blocks, so a hot
+    value never makes a block large): pairs in different blocks on both axes
+    are counted from the bounded block-count grid; pairs in one x block but
+    different y blocks, and pairs in one y block, are counted exactly inside
+    each block by ``applyInPandas`` (groups of about ``group_cells`` cells).
+    """
     import math
 
+    import numpy as np
+    import pandas as pd
+
+    from stratum.session import cut_lineage
+
+    spark = df.sparkSession
+    s = df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double"))
+                 & ~F.isnan(F.col(y).cast("double")))
+    cells = cut_lineage(s.groupBy(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+                        .agg(F.count(F.lit(1)).alias("c")))
+    tx = cells.groupBy("x").agg(F.sum("c").alias("t"))
+    ty = cells.groupBy("y").agg(F.sum("c").alias("t"))
+    pairs = F.sum(F.col("t") * (F.col("t") - 1) / 2)
+    n, n3, k = cells.agg(F.sum("c"), F.sum(F.col("c") * (F.col("c") - 1) / 2), F.count(F.lit(1))).first()
+    if not n:
+        return spark.createDataFrame([(None, 0)], "tau_b double, n long")
+    n1 = int(tx.agg(pairs).first()[0])
+    n2 = int(ty.agg(pairs).first()[0])
+    n, n3 = int(n), int(n3)
+    n0 = n * (n - 1) // 2
+    if k <= local_cells:
+        pdf = cells.toPandas()
+        d = _weighted_inversions(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["c"].to_numpy(dtype=np.int64))
+    else:
+        blocks = min(2000, max(2, math.ceil(k / group_cells)))
+        probs = [i / blocks for i in range(1, blocks)]
+        rel = 1.0 / (4 * blocks)
+        bx = sorted(set(cells.approxQuantile("x", probs, rel)))
+        by = sorted(set(cells.approxQuantile("y", probs, rel)))
+        b = _block_ids(_block_ids(cells, "x", bx, "xb"), "y", by, "yb")
+        b = cut_lineage(b)
+        # (1) different x block and different y block: from the bounded block grid
+        grid = b.groupBy("xb", "yb").agg(F.sum("c").alias("c")).toPandas()
+        gx, gy = 2 * len(bx) + 1, 2 * len(by) + 1
+        xi, yi = grid["xb"].to_numpy(dtype=np.int64), grid["yb"].to_numpy(dtype=np.int64)
+        cv = grid["c"].to_numpy(dtype=np.int64)
+        T = np.zeros((gx, gy), dtype=np.int64)
+        np.add.at(T, (xi, yi), cv)
+        # below[i, j] = Σ T[i', j'] over i' > i and j' < j (counts ≤ n, exact in int64)
+        later = np.zeros((gx, gy), dtype=np.int64)
+        later[:-1] = np.cumsum(T[::-1], axis=0)[::-1][1:]
+        below = np.zeros((gx, gy), dtype=np.int64)
+        below[:, 1:] = np.cumsum(later, axis=1)[:, :-1]
+        # products can exceed int64: sum them as Python integers over the non-empty cells only
+        d = sum(int(a) * int(b) for a, b in zip(cv, below[xi, yi]))
+        schema = "d long"
+
+        def within(key: str, v: str):
+            def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+                xs, vs = pdf["x"].to_numpy(), pdf[v].to_numpy()
+                return pd.DataFrame({"d": [_weighted_inversions(xs, vs, pdf["c"].to_numpy(dtype=np.int64))]})
+            return fn
+
+        # (2) same x block (interval blocks only), different y blocks: compare by y block
+        d2 = (b.where(F.col("xb") % 2 == 0).groupBy("xb").applyInPandas(within("xb", "yb"), schema)
+              .agg(F.sum("d")).first()[0] or 0)
+        # (3) same y block (interval blocks only), any x: exact y comparison
+        d3 = (b.where(F.col("yb") % 2 == 0).groupBy("yb").applyInPandas(within("yb", "y"), schema)
+              .agg(F.sum("d")).first()[0] or 0)
+        d = int(d) + int(d2) + int(d3)
+    S = n0 - n1 - n2 + n3 - 2 * int(d)
     den = math.sqrt(float((n0 - n1) * (n0 - n2)))
     tau = float(S) / den if den > 0 else None
     return spark.createDataFrame([(tau, n)], "tau_b double, n long")

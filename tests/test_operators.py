@@ -206,3 +206,21 @@ def test_subspace_pca_matches_svd(spark):
     for c in range(3):
         w = want[:, c] * np.sign(want[np.argmax(np.abs(want[:, c])), c])
         assert np.allclose(got[:, c], w, atol=1e-5)
+
+
+def test_kendall_distributed_path_matches_brute_force(spark):
+    rnd = random.Random(11)
+    # a hot x value (a third of the rows) and a hot y value, plus continuous-ish values
+    pts = [(5, rnd.randint(0, 40)) for _ in range(70)] + [(rnd.randint(0, 60), 7) for _ in range(40)] + \
+          [(rnd.randint(0, 60), rnd.randint(0, 40)) for _ in range(100)]
+    df = spark.createDataFrame(pts, "x int, y int")
+    got = P.kendall_tau_b(df, "x", "y", local_cells=10, group_cells=20).first()[0]
+    local = P.kendall_tau_b(df, "x", "y").first()[0]
+    s = n1 = n2 = 0
+    for (a, b), (c, d) in itertools.combinations(pts, 2):
+        s += np.sign(a - c) * np.sign(b - d)
+        n1 += a == c
+        n2 += b == d
+    n0 = len(pts) * (len(pts) - 1) // 2
+    want = s / math.sqrt((n0 - n1) * (n0 - n2))
+    assert abs(got - want) < 1e-12 and abs(local - want) < 1e-12
