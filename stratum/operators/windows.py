@@ -3,9 +3,10 @@
 Group statistics (z-score, max-abs scale) are computed with a partial hash
 aggregate and attached through a *size-checked broadcast* join, so a hot
 group (say one year holding a third of all rows) is never sent whole to one
-task as a ``Window.partitionBy(group)`` would do. Ordered per-entity windows
-(lag, running concatenation, ordinal) partition by the entity key; the
-window buffer spills, and entities are careers/sessions (bounded by domain).
+task as a ``Window.partitionBy(group)`` would do. Previous-row deltas and
+ordinals use a range-partitioned rank and an equi-join, not a window; only
+the running concatenation (whose output per row is the entity's history)
+is a window partitioned by the entity key.
 """
 
 from __future__ import annotations
@@ -81,11 +82,21 @@ def row_sum(cols: Sequence[str]) -> Column:
 
 
 def delta_previous(df: DataFrame, entity: str, order: str, cols: Sequence[str], prefix: str = "delta_") -> DataFrame:
-    """Change against the entity's previous row in ``order``; NULL for the first."""
-    w = Window.partitionBy(entity).orderBy(order)
+    """Change against the entity's previous row in ``order``; NULL for the first.
+
+    ``lag`` without a window: rows get their rank inside the entity from the
+    range-partitioned :func:`~stratum.operators.profile.rank_within` (a hot
+    entity spans many tasks), then join to the row ranked one lower on
+    (entity, rank). Rows with a NULL ``order`` are not ranked and dropped.
+    """
+    from stratum.operators.profile import rank_within
+
+    r = rank_within(df, [entity], order)
+    prev = r.select(entity, (F.col("rank") + 1).alias("rank"), *[F.col(c).alias(f"_prev_{c}") for c in cols])
+    out = r.join(prev, [entity, "rank"], "left")
     for c in cols:
-        df = df.withColumn(f"{prefix}{c}", F.col(c) - F.lag(c).over(w))
-    return df
+        out = out.withColumn(f"{prefix}{c}", F.col(c) - F.col(f"_prev_{c}"))
+    return out.drop("rank", *[f"_prev_{c}" for c in cols])
 
 
 def offset_from_first(df: DataFrame, entity: str, col: str, out: str) -> DataFrame:
@@ -95,8 +106,11 @@ def offset_from_first(df: DataFrame, entity: str, col: str, out: str) -> DataFra
 
 
 def ordinal(df: DataFrame, entity: str, order: str, out: str = "ordinal") -> DataFrame:
-    """0-based position of each row in its entity's ``order`` sequence."""
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(entity).orderBy(order)) - 1)
+    """0-based position of each row in its entity's ``order`` sequence (range-partitioned rank,
+    no single-task window); rows with a NULL ``order`` are dropped."""
+    from stratum.operators.profile import rank_within
+
+    return rank_within(df, [entity], order).withColumn(out, F.col("rank").cast("int")).drop("rank")
 
 
 def running_concat(df: DataFrame, entity: str, order: str, arr: str, out: str) -> DataFrame:
