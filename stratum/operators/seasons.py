@@ -89,7 +89,7 @@ def cumulative_vectors(scored: DataFrame, entity: str = "name", order: str = "ye
 
 
 def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name", level: str = "experience",
-                          vec: str = "vec", projections: int = 4) -> DataFrame:
+                          vec: str = "vec", projections: int = 4, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Ordered pairs of distinct entities at the same level with RMS distance ≤ ``radius``.
 
     Exact, without comparing all pairs: for any ±1 pattern h of the vector
@@ -103,6 +103,9 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
     """
     import itertools
 
+    from stratum.operators.joins import fits
+    from stratum.session import cut_lineage
+
     n = F.size(vec).cast("double")
 
     def walsh(k):
@@ -116,12 +119,16 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
     base = (vectors.where(F.forall(vec, lambda x: x.isNotNull()))
             .select(entity, level, "year", vec, *[F.floor(walsh(k) / radius).cast("long").alias(c)
                                                   for k, c in enumerate(cells)]))
+    # few bytes but heavy per row after replication: spread it over every core explicitly
+    # (AQE coalescing sizes partitions by bytes and would leave this to one task)
+    base = cut_lineage(base.repartition(vectors.sparkSession.sparkContext.defaultParallelism * 2, entity))
     offsets = F.array(*[F.array(*[F.lit(o) for o in combo])
                         for combo in itertools.product((-1, 0, 1), repeat=projections)])
     left = base.select(entity, level, "year", F.col(vec).alias("_va"), *cells, F.explode(offsets).alias("_o"))
     left = left.select(entity, level, "year", "_va",
                        *[(F.col(c) + F.col("_o")[k]).alias(c) for k, c in enumerate(cells)])
     right = base.select(F.col(entity).alias("similar_" + entity), level, F.col(vec).alias("_vb"), *cells)
+    right = F.broadcast(right) if fits(right, max_broadcast_rows) else right
     pairs = left.join(right, [level, *cells]).where(F.col(entity) != F.col("similar_" + entity))
     pairs = pairs.withColumn("similarity_score", rms_distance("_va", "_vb"))
     return pairs.where(F.col("similarity_score") <= radius).select(

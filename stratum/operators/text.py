@@ -40,14 +40,25 @@ def word_counts(df: DataFrame, text: str, stop_words: Sequence[str] = (), min_co
 
     explode → partial count per task → shuffle of distinct words only.
     """
-    w = df.select(F.explode(tokens(text)).alias("word"))
+    from stratum.session import spread
+
+    w = spread(df.select(text)).select(F.explode(tokens(text)).alias("word"))
     if stop_words:
         w = w.where(~F.col("word").isin(list(stop_words)))
     return w.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
 
 
 def ngrams(arr: Column, n: int = 2) -> Column:
-    """Space-joined n-grams of a token array (same output as ``ml.feature.NGram``)."""
+    """Space-joined n-grams of a token array (same output as ``ml.feature.NGram``).
+
+    Bigrams pair the array with itself shifted by one (one ``zip_with`` pass);
+    longer n-grams join a slice per position.
+    """
+    if n == 2:
+        pairs = F.zip_with(arr, F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(1))),
+                           lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b)))
+        grams = F.filter(pairs, lambda g: g.isNotNull())
+        return F.when(F.size(arr) >= 2, grams).otherwise(F.array().cast("array<string>"))
     idx = F.sequence(F.lit(0), F.size(arr) - n)
     grams = F.transform(idx, lambda i: F.array_join(F.slice(arr, i + 1, n), " "))
     return F.when(F.size(arr) >= n, grams).otherwise(F.array().cast("array<string>"))
@@ -59,7 +70,9 @@ def ngram_counts(df: DataFrame, text: str, n: int = 2, stop_words: Sequence[str]
         t = drop_words(t, stop_words)
     # Materialise the token array once: the n-gram lambda reads it per position, and an
     # inlined token expression would re-run the regex for every position.
-    g = df.select(t.alias("_t"))
+    from stratum.session import spread
+
+    g = spread(df.select(text)).select(t.alias("_t"))
     g = g.select(F.explode(ngrams(F.col("_t"), n)).alias("ngram"))
     return g.groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
 

@@ -65,7 +65,9 @@ def word_dictionary_top2000(spark, sf):
 SELECT lang, count(*) AS n_tokens, count(DISTINCT word) AS n_words
 FROM (SELECT lang, unnest({_tok_sql('text')}) AS word FROM documents) t GROUP BY lang""")
 def word_count_by_lang(spark, sf):
-    d = load(spark, sf, "documents")
+    from stratum.session import spread
+
+    d = spread(load(spark, sf, "documents").select("lang", "text"))
     w = d.select("lang", F.explode(TX.tokens("text")).alias("word"))
     return w.groupBy("lang").agg(F.count(F.lit(1)).alias("n_tokens"), F.count_distinct("word").alias("n_words"))
 
