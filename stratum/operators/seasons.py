@@ -31,10 +31,17 @@ def score_seasons(players: DataFrame, year: str = "year") -> DataFrame:
 
     # several passes read the same rows: materialise them once on shared storage
     players = cut_lineage(players)
-    s1 = W.with_group_stats(players, [year], [F.avg("fgp").alias("_afgp"), F.avg("ftp").alias("_aftp")])
+    # pass 1: one aggregate for the weighted-percentage means and the raw z-score statistics
+    raw = ["tp", "trb", "pts", "tov"]
+    aggs = [F.avg("fgp").alias("_afgp"), F.avg("ftp").alias("_aftp")]
+    aggs += [a for c in raw for a in (F.avg(c).alias(f"_a_{c}"), F.stddev_pop(c).alias(f"_s_{c}"))]
+    s1 = W.with_group_stats(players, [year], aggs)
     s1 = (s1.withColumn("fg", (F.col("fgp") - F.col("_afgp")) * F.col("fga"))
-            .withColumn("ft", (F.col("ftp") - F.col("_aftp")) * F.col("fta")).drop("_afgp", "_aftp"))
-    s1 = W.zscore_within(s1, [year], ["tp", "trb", "pts", "tov"], negate=["tov"])
+            .withColumn("ft", (F.col("ftp") - F.col("_aftp")) * F.col("fta")))
+    for c in raw:
+        z = W.safe_div(F.col(c) - F.col(f"_a_{c}"), F.col(f"_s_{c}"))
+        s1 = s1.withColumn(f"z{c}", -z if c == "tov" else z)
+    s1 = s1.drop("_afgp", "_aftp", *[f"_a_{c}" for c in raw], *[f"_s_{c}" for c in raw])
     s2 = W.zscore_within(s1, [year], ["fg", "ft"])
     s2 = s2.withColumn("ztot", W.row_sum(SCORES))
     s3 = W.maxabs_within(s2, [year], SCORES)

@@ -94,7 +94,10 @@ def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     """Round-robin spread before CPU-heavy per-row work when the input has fewer partitions than
     cores (e.g. one large row group). A no-op on large inputs, which already have many splits."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= par:
+            return df
+    except Exception:  # sessions without RDD access: leave partitioning to AQE
         return df
     return df.repartition(par * factor)
