@@ -97,9 +97,10 @@ _CHURN_FEATURES = ["state_idx", "n_calls", "total_charge"]
 
 
 def _churn_stages():
-    return [StringIndexer(inputCol="state", outputCol="state_idx"),
+    # categories unseen when fitting (another split) keep an extra index instead of failing
+    return [StringIndexer(inputCol="state", outputCol="state_idx", handleInvalid="keep"),
             VectorAssembler(inputCols=_CHURN_FEATURES, outputCol="raw"),
-            VectorIndexer(inputCol="raw", outputCol="features", maxCategories=40)]
+            VectorIndexer(inputCol="raw", outputCol="features", maxCategories=40, handleInvalid="keep")]
 
 
 @query("rf_tvs")
