@@ -95,13 +95,46 @@ def hwe_counts(spark, sf):
     return GT.hwe_counts(_g(spark, sf), _s(spark, sf))
 
 
-@query("hwe_pvalue")
+# The population labels of the samples view (region names), in sorted order.
+_POPS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+_HWE_SQL = """
+, cnt AS (
+  SELECT variant_id, super_population, count(*) FILTER (WHERE g = 0) AS aa, count(*) FILTER (WHERE g = 1) AS ab,
+         count(*) FILTER (WHERE g = 2) AS bb
+  FROM (SELECT variant_id, super_population, CASE WHEN contig <> 'X' OR is_female THEN gt END AS g
+        FROM genotypes JOIN samples USING (sample_id)) t GROUP BY 1, 2),
+al AS (SELECT *, aa + ab + bb AS n, 2 * aa + ab AS na, 2 * bb + ab AS nb FROM cnt),
+hs AS (SELECT variant_id, super_population, ab, n, na, nb, unnest(range(0, least(na, nb) + 1)) AS h FROM al WHERE n > 0),
+lp AS (
+  SELECT variant_id, super_population, ab, h,
+         lgamma(n + 1) - lgamma((na - h) / 2 + 1) - lgamma(h + 1) - lgamma((nb - h) / 2 + 1) + h * ln(2)
+         + lgamma(na + 1) + lgamma(nb + 1) - lgamma(2 * n + 1) AS lp
+  FROM hs WHERE (na - h) % 2 = 0),
+obs AS (SELECT variant_id, super_population, max(CASE WHEN h = ab THEN lp END) AS lpo FROM lp GROUP BY 1, 2),
+pv AS (
+  SELECT lp.variant_id, lp.super_population,
+         least(1.0, sum(exp(lp)) FILTER (WHERE exp(lp) <= exp(lpo) * (1 + 1e-7)) / sum(exp(lp))) AS p
+  FROM lp JOIN obs USING (variant_id, super_population) GROUP BY 1, 2),
+allp AS (SELECT al.variant_id, al.super_population, pv.p FROM al LEFT JOIN pv USING (variant_id, super_population)),
+wide AS (
+  SELECT variant_id, """ + ", ".join(
+    f"max(p) FILTER (WHERE super_population = '{p}') AS \"{p}\"" for p in _POPS) + """
+  FROM allp GROUP BY variant_id)
+SELECT variant_id, """ + ", ".join(f"round(\"{p}\", 8) AS \"{p}\"" for p in _POPS) + """,
+       CASE WHEN """ + " OR ".join(f"\"{p}\" <= 1e-6" for p in _POPS) + """ THEN false
+            WHEN """ + " OR ".join(f"\"{p}\" IS NULL" for p in _POPS) + """ THEN NULL ELSE true END AS all_pops_pass
+FROM wide"""
+
+
+@query("hwe_pvalue", with_views(_GS, _HWE_SQL))
 def hwe_pvalue(spark, sf):
-    """Exact HWE p per variant and population (pandas UDF on the aggregated counts)."""
+    """Exact HWE p per variant and population (pandas UDF on the aggregated counts), one column per
+    population, and whether every population passes p > 1e-6."""
     t = GT.hwe_test(GT.hwe_counts(_g(spark, sf), _s(spark, sf)))
     pops = [r[0] for r in t.select("super_population").distinct().orderBy("super_population").collect()]
     wide = t.groupBy("variant_id").pivot("super_population", pops).agg(F.first("p_hwe"))
-    return wide.withColumn("all_pops_pass", F.forall(F.array(*[F.col(f"`{p}`") for p in pops]), lambda x: x > 1e-6))
+    wide = wide.withColumn("all_pops_pass", F.forall(F.array(*[F.col(f"`{p}`") for p in pops]), lambda x: x > 1e-6))
+    return wide.select("variant_id", *[R(F.col(f"`{p}`")).alias(p) for p in pops], "all_pops_pass")
 
 
 _INTERVALS = """
@@ -155,11 +188,35 @@ def allele_counts_case_control(spark, sf):
     return GT.case_control_allele_counts(_g(spark, sf), _s(spark, sf), "purple_hair")
 
 
-@query("fisher_p")
+_ALLELE_SQL = """
+SELECT variant_id,
+  CAST(sum(CASE WHEN purple_hair AND gt = 1 THEN 1 ELSE 0 END) + 2 * sum(CASE WHEN purple_hair AND gt = 2 THEN 1 ELSE 0 END) AS BIGINT) AS minor_case,
+  CAST(sum(CASE WHEN NOT purple_hair AND gt = 1 THEN 1 ELSE 0 END) + 2 * sum(CASE WHEN NOT purple_hair AND gt = 2 THEN 1 ELSE 0 END) AS BIGINT) AS minor_control,
+  CAST(sum(CASE WHEN purple_hair AND gt = 1 THEN 1 ELSE 0 END) + 2 * sum(CASE WHEN purple_hair AND gt = 0 THEN 1 ELSE 0 END) AS BIGINT) AS major_case,
+  CAST(sum(CASE WHEN NOT purple_hair AND gt = 1 THEN 1 ELSE 0 END) + 2 * sum(CASE WHEN NOT purple_hair AND gt = 0 THEN 1 ELSE 0 END) AS BIGINT) AS major_control
+FROM genotypes JOIN samples USING (sample_id) GROUP BY variant_id"""
+
+
+@query("fisher_p", with_views(_GS, f"""
+, cc AS ({_ALLELE_SQL}),
+t AS (SELECT *, minor_case + minor_control AS r1, major_case + major_control AS r2,
+             minor_case + major_case AS c1, minor_case + minor_control + major_case + major_control AS n FROM cc),
+ks AS (SELECT variant_id, minor_case AS a, r1, r2, c1, n,
+              unnest(range(greatest(0, c1 - r2), least(r1, c1) + 1)) AS k FROM t WHERE n > 0),
+lp AS (SELECT variant_id, a, k,
+              lgamma(r1 + 1) - lgamma(k + 1) - lgamma(r1 - k + 1) + lgamma(r2 + 1) - lgamma(c1 - k + 1)
+              - lgamma(r2 - c1 + k + 1) - (lgamma(n + 1) - lgamma(c1 + 1) - lgamma(n - c1 + 1)) AS lp FROM ks),
+obs AS (SELECT variant_id, max(CASE WHEN k = a THEN lp END) AS lpo FROM lp GROUP BY 1),
+pv AS (SELECT variant_id, least(1.0, sum(exp(lp)) FILTER (WHERE exp(lp) <= exp(lpo) * (1 + 1e-7))) AS p
+       FROM lp JOIN obs USING (variant_id) GROUP BY 1)
+SELECT t.variant_id, minor_case, minor_control, major_case, major_control, round(p, 8) AS p_fisher
+FROM t LEFT JOIN pv USING (variant_id)"""))
 def fisher_p(spark, sf):
     """Two-sided Fisher exact p per variant on minor/major × case/control allele counts."""
     c = GT.case_control_allele_counts(_g(spark, sf), _s(spark, sf), "purple_hair")
-    return GT.fisher_test(c)
+    f = GT.fisher_test(c)
+    return f.select("variant_id", "minor_case", "minor_control", "major_case", "major_control",
+                    R(F.col("p_fisher")).alias("p_fisher"))
 
 
 _ASSOC_2DF = """
