@@ -111,3 +111,53 @@ def best_run(runs: DataFrame, metric: str, higher_is_better: bool = True) -> Dat
 
 __all__ = ["vectors", "one_hot_stage", "scaled", "kmeans_sweep", "distance_to_centroid", "feature_importances",
            "ols_with_intervals", "log_runs", "best_run", "VectorAssembler", "StringIndexer"]
+
+
+def permutation_map(base: DataFrame, seed: int = 42) -> DataFrame:
+    """(_rid, _src): a seeded random permutation of the row ids of ``base``.
+
+    Rows are ranked by id and by a seeded hash of the id (both
+    range-partitioned, no single-task window); the i-th id takes the row with
+    the i-th hash — an equi-join on the rank.
+    """
+    from stratum.operators.profile import rank_within
+
+    ids = base.select("_rid", F.lit(0).alias("_g"))
+    by_id = rank_within(ids, ["_g"], "_rid").select("_rid", F.col("rank").alias("_r"))
+    hashed = ids.withColumn("_h", F.xxhash64("_rid", F.lit(seed)))
+    by_hash = rank_within(hashed, ["_g"], "_h").select(F.col("_rid").alias("_src"), F.col("rank").alias("_r"))
+    return by_id.join(by_hash, "_r").drop("_r")
+
+
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """Stable row ids: assigned once and materialised (reliable checkpoint) so recomputation cannot renumber."""
+    from stratum.session import cut_lineage
+
+    return cut_lineage(df.withColumn("_rid", F.monotonically_increasing_id()))
+
+
+def permute_column(df: DataFrame, col: str, seed: int = 42, base: DataFrame | None = None,
+                   pmap: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``col`` permuted across rows (pass ``base``/``pmap`` to reuse one permutation)."""
+    base = base if base is not None else with_row_ids(df)
+    pmap = pmap if pmap is not None else permutation_map(base, seed)
+    src = base.select(F.col("_rid").alias("_src"), F.col(col).alias("_perm"))
+    out = base.drop(col).join(pmap, "_rid").join(src, "_src").withColumnRenamed("_perm", col)
+    return out.drop("_src", "_rid")
+
+
+def permutation_impact(model, df: DataFrame, features: Sequence[str], evaluator, seed: int = 42,
+                       higher_is_better: bool = False) -> DataFrame:
+    """Loss increase when each input column is permuted, and that increase normalised to the largest."""
+    base = evaluator.evaluate(model.transform(df))
+    ided = with_row_ids(df)
+    pmap = permutation_map(ided, seed)
+    rows = []
+    for f in features:
+        m = evaluator.evaluate(model.transform(permute_column(df, f, base=ided, pmap=pmap)))
+        rows.append((f, float(base - m if higher_is_better else m - base)))
+    top = max((abs(v) for _, v in rows), default=0.0) or 1.0
+    spark = df.sparkSession
+    return spark.createDataFrame([(f, v, v / top) for f, v in rows],
+                                 "feature string, impact double, normalized_impact double").orderBy(
+        F.col("impact").desc())

@@ -270,3 +270,14 @@ def poly_fit_lbfgs(spark, sf):
     c = m.coefficients.toArray()
     return spark.createDataFrame([(float(m.intercept), float(c[0]), float(c[1]), float(c[2]))],
                                  "intercept double, c1 double, c2 double, c3 double")
+
+
+@query("feature_impact")
+def feature_impact(spark, sf):
+    """Permutation impact of each input column on the held-out log-loss of the best leaderboard model type."""
+    train, test = _churn(spark, sf).randomSplit([0.8, 0.2], seed=42)
+    stages = _churn_stages() + [RandomForestClassifier(numTrees=20, seed=42)]
+    model = Pipeline(stages=stages).fit(train)
+    ev = MulticlassClassificationEvaluator(metricName="logLoss")
+    cols = test.select("c_custkey", "state", "n_calls", "total_charge", "label")
+    return ML.permutation_impact(model, cols, ["state", "n_calls", "total_charge"], ev)

@@ -224,3 +224,14 @@ def test_kendall_distributed_path_matches_brute_force(spark):
     n0 = len(pts) * (len(pts) - 1) // 2
     want = s / math.sqrt((n0 - n1) * (n0 - n2))
     assert abs(got - want) < 1e-12 and abs(local - want) < 1e-12
+
+
+def test_permute_column_is_a_permutation(spark):
+    from stratum.operators.ml import permute_column
+
+    df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    p = permute_column(df, "v", seed=3)
+    got = p.collect()
+    assert len(got) == 500
+    assert sorted(r["v"] for r in got) == [i * 3 for i in range(500)]
+    assert sum(1 for r in got if r["v"] == r["k"] * 3) < 50  # actually shuffled
