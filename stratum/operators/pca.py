@@ -63,7 +63,7 @@ def subspace_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, over
     v = cut_lineage(v)
 
     def xt(vv):  # W = Xᵀ V : (col, c, v)
-        j = lookup_join(z, vv, "_r", max_rows=5_000_000)
+        j = lookup_join(z, vv, "_r", max_rows=5_000_000, replant=False)
         return j.groupBy("_c", "c").agg(F.sum(F.col("_z") * F.col("v")).alias("v"))
 
     def xw(ww):  # U = X W : (row, c, v)

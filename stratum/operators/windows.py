@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-GROUP_STATS_MAX_ROWS = 5_000_000
+GROUP_STATS_MAX_ROWS = 100_000
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
@@ -27,21 +27,12 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
     The aggregate table has one row per group; it is broadcast only after its
     row count is checked, else joined by shuffle (AQE splits skewed partitions).
     """
+    from stratum.operators.joins import bounded_side
+
     stats = df.groupBy(*keys).agg(*aggs)
     return df.join(bounded_side(stats, max_rows), list(keys), "left")
 
 
-def bounded_side(stats: DataFrame, max_rows: int) -> DataFrame:
-    """A join side proven small: computed once, at most ``max_rows`` rows fetched, and
-    re-planted as a broadcast local relation (the upstream is not recomputed by the
-    join). Above the bound the aggregate stays distributed (shuffle join, AQE)."""
-    rows = stats.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return stats
-    local = stats.sparkSession.createDataFrame(rows, stats.schema)
-    return F.broadcast(local)
-
-
 def safe_div(num: Column, den: Column) -> Column:
     """num / den, NULL when den is 0 or NULL (zero variance gives no score)."""
     return F.when(den != 0, num / den)
