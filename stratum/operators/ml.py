@@ -161,3 +161,17 @@ def permutation_impact(model, df: DataFrame, features: Sequence[str], evaluator,
     return spark.createDataFrame([(f, v, v / top) for f, v in rows],
                                  "feature string, impact double, normalized_impact double").orderBy(
         F.col("impact").desc())
+
+
+def seeded_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
+    """``randomSplit`` on materialised rows: the input is checkpointed first, so a recomputed
+    upstream (shuffle order, lost executor) cannot move rows between the splits."""
+    from stratum.session import cut_lineage
+
+    return cut_lineage(df).randomSplit(list(weights), seed=seed)
+
+
+def seeded_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
+    from stratum.session import cut_lineage
+
+    return cut_lineage(df).sample(False, fraction, seed)

@@ -22,7 +22,7 @@ from stratum.operators import ml as ML
 from stratum.operators.ml_geometry import farthest_points
 from stratum.plans.registry import query
 from stratum.plans.views import view, with_views
-from stratum.session import checkpoint_dir, load
+from stratum.session import checkpoint_dir, cut_lineage, load
 
 
 def R(c, d: int = 6):
@@ -106,7 +106,7 @@ def _churn_stages():
 @query("rf_tvs")
 def rf_tvs(spark, sf):
     """Random forest tuned by train/validation split (trees × depth), AUROC on held-out rows, ranked importances."""
-    train, test = _churn(spark, sf).randomSplit([0.8, 0.2], seed=42)
+    train, test = ML.seeded_split(_churn(spark, sf), [0.8, 0.2], seed=42)
     rf = RandomForestClassifier(labelCol="label", featuresCol="features", seed=42, impurity="entropy", maxBins=32)
     grid = ParamGridBuilder().addGrid(rf.numTrees, [10, 20]).addGrid(rf.maxDepth, [3, 5]).build()
     ev = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
@@ -153,7 +153,7 @@ def _emb(spark, sf):
 @query("softmax_accuracy")
 def softmax_accuracy(spark, sf):
     """Multinomial logistic regression on the 64-d vectors; held-out accuracy (argmax)."""
-    train, test = _emb(spark, sf).randomSplit([0.8, 0.2], seed=42)
+    train, test = ML.seeded_split(_emb(spark, sf), [0.8, 0.2], seed=42)
     m = LogisticRegression(family="multinomial", maxIter=50, regParam=0.01).fit(train)
     acc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(m.transform(test))
     return spark.createDataFrame([("softmax", float(acc))], "model string, accuracy double")
@@ -162,7 +162,7 @@ def softmax_accuracy(spark, sf):
 @query("mlp_accuracy")
 def mlp_accuracy(spark, sf):
     """Multilayer perceptron 64 → 128 → 32 → 10, held-out accuracy."""
-    train, test = _emb(spark, sf).randomSplit([0.8, 0.2], seed=42)
+    train, test = ML.seeded_split(_emb(spark, sf), [0.8, 0.2], seed=42)
     m = MultilayerPerceptronClassifier(layers=[64, 128, 32, 10], maxIter=50, seed=42).fit(train)
     acc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(m.transform(test))
     return spark.createDataFrame([("mlp", float(acc))], "model string, accuracy double")
@@ -172,7 +172,7 @@ def mlp_accuracy(spark, sf):
 def transfer_errors(spark, sf):
     """Frozen features → elastic-net logistic regression (is label 0?) → error slices."""
     d = _emb(spark, sf).withColumn("label", (F.col("label") == 0).cast("double"))
-    train, test = d.randomSplit([0.6, 0.4], seed=42)
+    train, test = ML.seeded_split(d, [0.6, 0.4], seed=42)
     m = LogisticRegression(maxIter=20, regParam=0.05, elasticNetParam=0.3).fit(train)
     p = m.transform(test)
     return p.where("prediction != label").groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
@@ -182,7 +182,7 @@ def transfer_errors(spark, sf):
 def model_leaderboard(spark, sf):
     """Candidate classifiers ranked by held-out log-loss."""
     prep = Pipeline(stages=_churn_stages()).fit(_churn(spark, sf))
-    train, test = prep.transform(_churn(spark, sf)).randomSplit([0.8, 0.2], seed=42)
+    train, test = ML.seeded_split(prep.transform(_churn(spark, sf)), [0.8, 0.2], seed=42)
     cands = {"logistic": LogisticRegression(maxIter=30), "forest": RandomForestClassifier(numTrees=20, seed=42),
              "naive_bayes": NaiveBayes(smoothing=1.0)}
     ev = MulticlassClassificationEvaluator(metricName="logLoss")
@@ -197,7 +197,7 @@ def poly_fit(spark, sf):
     """Cubic fit by polynomial expansion + linear regression on x taken from lineitem discounts."""
     li = load(spark, sf, "lineitem").select((F.col("l_discount") * 60 - 2).alias("x"))
     y = 4 + 6 * F.col("x") + 2 * F.col("x") * F.col("x") - F.col("x") * F.col("x") * F.col("x")
-    d = li.withColumn("y", y + F.randn(42) * 0.5)
+    d = cut_lineage(li.withColumn("y", y + F.randn(42) * 0.5))  # noise drawn once
     d = VectorAssembler(inputCols=["x"], outputCol="x1").transform(d)
     d = PolynomialExpansion(degree=3, inputCol="x1", outputCol="features").transform(d)
     m = LinearRegression(labelCol="y", solver="normal").fit(d)
@@ -224,7 +224,7 @@ def model_save_load(spark, sf):
 def run_log_best(spark, sf):
     """Each regularisation run logs its AUROC to a runs table; the best run is read back."""
     prep = Pipeline(stages=_churn_stages()).fit(_churn(spark, sf))
-    train, test = prep.transform(_churn(spark, sf)).randomSplit([0.8, 0.2], seed=42)
+    train, test = ML.seeded_split(prep.transform(_churn(spark, sf)), [0.8, 0.2], seed=42)
     ev = BinaryClassificationEvaluator()
     runs = []
     for i, reg in enumerate([0.0, 0.01, 0.1, 1.0]):
@@ -239,8 +239,8 @@ def run_log_best(spark, sf):
 def split_and_sample(spark, sf):
     """Seeded 90/10 split and a seeded 50 % sample without replacement (row counts)."""
     c = _churn(spark, sf)
-    a, b = c.randomSplit([0.9, 0.1], seed=42)
-    s = c.sample(False, 0.5, 83)
+    a, b = ML.seeded_split(c, [0.9, 0.1], seed=42)
+    s = ML.seeded_sample(c, 0.5, 83)
     return spark.createDataFrame([("train", a.count()), ("test", b.count()), ("sample", s.count())],
                                  "part string, n long")
 
@@ -263,7 +263,7 @@ def poly_fit_lbfgs(spark, sf):
     """The cubic fit by an iterative optimiser (L-BFGS) instead of normal equations."""
     li = load(spark, sf, "lineitem").select((F.col("l_discount") * 60 - 2).alias("x"))
     y = 4 + 6 * F.col("x") + 2 * F.col("x") * F.col("x") - F.col("x") * F.col("x") * F.col("x")
-    d = li.withColumn("y", y + F.randn(42) * 0.5)
+    d = cut_lineage(li.withColumn("y", y + F.randn(42) * 0.5))  # noise drawn once
     d = VectorAssembler(inputCols=["x"], outputCol="x1").transform(d)
     d = PolynomialExpansion(degree=3, inputCol="x1", outputCol="features").transform(d)
     m = LinearRegression(labelCol="y", solver="l-bfgs", maxIter=200, tol=1e-9).fit(d)
@@ -275,7 +275,7 @@ def poly_fit_lbfgs(spark, sf):
 @query("feature_impact")
 def feature_impact(spark, sf):
     """Permutation impact of each input column on the held-out log-loss of the best leaderboard model type."""
-    train, test = _churn(spark, sf).randomSplit([0.8, 0.2], seed=42)
+    train, test = ML.seeded_split(_churn(spark, sf), [0.8, 0.2], seed=42)
     stages = _churn_stages() + [RandomForestClassifier(numTrees=20, seed=42)]
     model = Pipeline(stages=stages).fit(train)
     ev = MulticlassClassificationEvaluator(metricName="logLoss")
