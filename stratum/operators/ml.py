@@ -175,3 +175,19 @@ def seeded_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     from stratum.session import cut_lineage
 
     return cut_lineage(df).sample(False, fraction, seed)
+
+
+def frozen_featurizer(df: DataFrame, input_col: str, output_col: str, make_predict_fn, in_dim: int,
+                      batch_size: int = 256) -> DataFrame:
+    """Apply a user-supplied frozen model to an array column in Arrow batches (``predict_batch_udf``).
+
+    ``make_predict_fn`` is called once per Python worker and returns a function
+    ``np.ndarray (batch × in_dim) → np.ndarray (batch × out)``; the output becomes an ML vector.
+    """
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql import types as T
+
+    udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size,
+                            input_tensor_shapes=[[in_dim]])
+    out = df.withColumn("_feat", udf(F.col(input_col).cast("array<float>")))
+    return out.withColumn(output_col, array_to_vector(F.col("_feat").cast("array<double>"))).drop("_feat")

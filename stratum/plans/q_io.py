@@ -238,7 +238,8 @@ def export_sample_qc(spark, sf):
     nested = q.select("sample_id", F.struct("n_called", "call_rate").alias("qc"))
     path = _scratch(spark, "export")
     SK.export_delimited(nested.select("sample_id", "qc.*"), path)
-    back = RD.read_csv_schema(spark, path, "sample_id BIGINT, n_called BIGINT, call_rate DOUBLE", sep="\t", header=True)
+    back = RD.read_format(spark, "csv", path, schema="sample_id BIGINT, n_called BIGINT, call_rate DOUBLE",
+                          sep="\t", header="true")
     return back.select("sample_id", "n_called", R(F.col("call_rate")).alias("call_rate"))
 
 

@@ -93,7 +93,15 @@ def _churn(spark, sf):
     return view(spark, sf, "churn").withColumn("label", F.col("churned").cast("double"))
 
 
-_CHURN_FEATURES = ["state_idx", "n_calls", "total_charge"]
+_CHURN_FEATURES = C.feature_columns(["c_custkey", "state", "account_balance", "n_calls", "total_charge", "churned"],
+                                    exclude=["c_custkey", "state", "account_balance", "churned"],
+                                    extra=["state_idx"])
+
+
+def _churn_feature_names(df):
+    """Model inputs: every column except keys, raw categories and the label (ordered, not a set)."""
+    return C.feature_columns(df.columns, exclude=["c_custkey", "state", "account_balance", "churned", "label"],
+                             extra=["state_idx"])
 
 
 def _churn_stages():
@@ -281,3 +289,28 @@ def feature_impact(spark, sf):
     ev = MulticlassClassificationEvaluator(metricName="logLoss")
     cols = test.select("c_custkey", "state", "n_calls", "total_charge", "label")
     return ML.permutation_impact(model, cols, ["state", "n_calls", "total_charge"], ev)
+
+
+def _random_projection_model(seed: int = 7, out_dim: int = 16):
+    """A stand-in frozen network: fixed random projection + ReLU (user code supplies real weights)."""
+    def make():
+        import numpy as np
+
+        w = np.random.default_rng(seed).normal(size=(64, out_dim)).astype(np.float32) / 8.0
+
+        def predict(x):
+            return np.maximum(x @ w, 0.0)
+        return predict
+    return make
+
+
+@query("frozen_features_lr")
+def frozen_features_lr(spark, sf):
+    """Frozen featuriser (Arrow-batched predict_batch_udf) → logistic regression → held-out accuracy."""
+    d = view(spark, sf, "sessions").withColumn("label", F.col("label").cast("double"))
+    feats = ML.frozen_featurizer(d, "embedding", "features", _random_projection_model(), 64)
+    train, test = ML.seeded_split(feats.select("vec_id", "label", "features"), [0.8, 0.2], seed=42)
+    m = LogisticRegression(family="multinomial", maxIter=50, regParam=0.01).fit(train)
+    acc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(m.transform(test))
+    return spark.createDataFrame([("frozen_features", float(acc), len(_churn_feature_names(_churn(spark, sf))))],
+                                 "model string, accuracy double, churn_features int")

@@ -101,3 +101,27 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     except Exception:  # sessions without RDD access: leave partitioning to AQE
         return df
     return df.repartition(par * factor)
+
+
+class persisted:
+    """``with persisted(df) as d:`` — cache for a block of repeated actions, always unpersisted after.
+
+    For reuse inside one job; lineage cuts that must survive executor loss use
+    :func:`cut_lineage` instead.
+    """
+
+    def __init__(self, df: DataFrame, level=None):
+        from pyspark import StorageLevel
+
+        self.df, self.level = df, level or StorageLevel.MEMORY_AND_DISK
+
+    def __enter__(self) -> DataFrame:
+        return self.df.persist(self.level)
+
+    def __exit__(self, *exc) -> None:
+        self.df.unpersist()
+
+
+def sql_rows(spark: SparkSession, text: str, limit: int = 50, **frames) -> DataFrame:
+    """A SQL statement (optionally over DataFrame parameters) capped at ``limit`` rows for display."""
+    return spark.sql(text, **frames).limit(limit)

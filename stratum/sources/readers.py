@@ -57,9 +57,12 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str)
     return spark.read.schema(schema).json(path)
 
 
-def read_format(spark: SparkSession, fmt: str, path: str | None = None, **options) -> DataFrame:
+def read_format(spark: SparkSession, fmt: str, path: str | None = None, schema: T.StructType | str | None = None,
+                **options) -> DataFrame:
     """Any connector by name (keyed stores, JDBC, …); options pass through unchanged."""
     r = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        r = r.schema(schema)
     return r.load(path) if path else r.load()
 
 

@@ -58,3 +58,33 @@ def test_checkpoint_dir_from_session(spark):
 
     p = checkpoint_dir(spark)
     assert p and (os.path.isdir(p) or "://" in p)
+
+
+def test_fetch_guard_and_helpers(spark):
+    import pytest
+
+    from stratum.session import persisted, sql_rows
+    from stratum.sources.sinks import fetch
+
+    df = spark.range(10)
+    assert len(fetch(df, max_rows=10)) == 10
+    with pytest.raises(ValueError):
+        fetch(df, max_rows=9)
+    with persisted(df) as d:
+        assert d.count() == 10 and d.is_cached
+    assert not df.is_cached
+    assert sql_rows(spark, "SELECT * FROM {t}", limit=3, t=df).count() == 3
+
+
+def test_frozen_featurizer_shape(spark):
+    import numpy as np
+
+    from stratum.operators.ml import frozen_featurizer
+
+    def make():
+        w = np.ones((4, 2), dtype=np.float32)
+        return lambda x: x @ w
+
+    df = spark.createDataFrame([([1.0, 2.0, 3.0, 4.0],)], "a array<double>")
+    v = frozen_featurizer(df, "a", "f", make, 4).first()["f"]
+    assert list(v) == [10.0, 10.0]
