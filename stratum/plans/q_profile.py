@@ -98,3 +98,17 @@ SELECT round(CAST(s AS DOUBLE) / sqrt(CAST((n0 - n1) * (n0 - n2) AS DOUBLE)), 8)
 def kendall_tau_b(spark, sf):
     t = P.kendall_tau_b(view(spark, sf, "churn"), "account_balance", "n_calls")
     return t.select(R(F.col("tau_b")).alias("tau_b"), "n")
+
+
+@query("kendall_tau_b_blocked", with_views(["churn"], """
+, p AS (
+  SELECT sum(sign(a.account_balance - b.account_balance) * sign(a.n_calls - b.n_calls)) AS s, count(*) AS n0,
+         sum(CASE WHEN a.account_balance = b.account_balance THEN 1 ELSE 0 END) AS n1,
+         sum(CASE WHEN a.n_calls = b.n_calls THEN 1 ELSE 0 END) AS n2
+  FROM churn a JOIN churn b ON a.c_custkey < b.c_custkey)
+SELECT round(CAST(s AS DOUBLE) / sqrt(CAST((n0 - n1) * (n0 - n2) AS DOUBLE)), 8) AS tau_b,
+       (SELECT count(*) FROM churn) AS n FROM p"""))
+def kendall_tau_b_blocked(spark, sf):
+    """The distributed path of Kendall tau-b forced on the same data (quantile blocks, grid + per-block sweeps)."""
+    t = P.kendall_tau_b(view(spark, sf, "churn"), "account_balance", "n_calls", local_cells=0, group_cells=100)
+    return t.select(R(F.col("tau_b")).alias("tau_b"), "n")

@@ -88,3 +88,15 @@ def test_frozen_featurizer_shape(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0, 4.0],)], "a array<double>")
     v = frozen_featurizer(df, "a", "f", make, 4).first()["f"]
     assert list(v) == [10.0, 10.0]
+
+
+def test_batch_writer_is_idempotent(spark, tmp_path):
+    from stratum.streaming.sensors import idempotent_batch_writer
+
+    out = str(tmp_path / "out")
+    w = idempotent_batch_writer(out)
+    df = spark.range(5)
+    w(df, 0)
+    w(df, 0)  # replayed batch replaces its own output
+    w(spark.range(0), 1)  # empty batch writes nothing
+    assert spark.read.parquet(out).count() == 5
