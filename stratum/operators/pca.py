@@ -45,11 +45,13 @@ def _gram(u: DataFrame, key: str, k: int) -> np.ndarray:
 
 
 def subspace_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, oversample: int = 5, iters: int = 30,
-                 seed: int = 42) -> tuple[DataFrame, list[float]]:
+                 seed: int = 42, tol: float = 1e-12) -> tuple[DataFrame, list[float]]:
     """Top-``k`` left singular vectors of X (rows × cols, long form) scaled by singular values.
 
     Returns ((row, pc, score), eigenvalues λ = σ²). Signs are fixed so each
-    component's largest-magnitude score is positive.
+    component's largest-magnitude score is positive. Iteration stops early
+    once the top-k spectrum of the k×k Gram changes by less than ``tol``
+    (relative).
     """
     spark = x.sparkSession
     kk = k + oversample
@@ -70,9 +72,16 @@ def subspace_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, over
         j = z.join(ww, "_c")
         return j.groupBy("_r", "c").agg(F.sum(F.col("_z") * F.col("v")).alias("v"))
 
+    prev = None
     for _ in range(iters):
         u = cut_lineage(xw(xt(v)))
         g = _gram(u, "_r", kk)
+        spec = np.sort(np.linalg.eigvalsh(g))[::-1][:k]
+        if prev is not None and np.max(np.abs(spec - prev) / np.maximum(np.abs(spec), 1e-300)) < tol:
+            r = np.linalg.cholesky(g + 1e-12 * np.trace(g) * np.eye(kk)).T
+            v = cut_lineage(_apply_small(u, "_r", np.linalg.inv(r)))
+            break
+        prev = spec
         try:
             r = np.linalg.cholesky(g + 1e-12 * np.trace(g) * np.eye(kk)).T
         except np.linalg.LinAlgError:
