@@ -3,7 +3,6 @@ box-plot statistics, density, correlation, rank correlation, Q-Q table."""
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame

@@ -217,10 +217,7 @@ def monthly_cost(spark, sf):
             .agg(F.sum("cost").cast("long").alias("total_cost"), F.count(F.lit(1)).alias("n")).orderBy("month"))
 
 
-# Default maintenance cost rule for a correct decision
-# (Healthy costs nothing, Preventive costs the recorded cost, Corrective a fixed 30000);
-# a wrong decision costs the recorded cost.
-COST_RULE = {"Healthy": None, "Preventive": "cost", "Corrective": 30000}
+# The SQL form of the default cost rule in stratum.operators.savings (oracle side).
 _PRED_COST_SQL = """CASE WHEN maintenance_type = predicted_type THEN
     CASE maintenance_type WHEN 'Healthy' THEN 0 WHEN 'Preventive' THEN cost WHEN 'Corrective' THEN 30000 END
   ELSE cost END"""

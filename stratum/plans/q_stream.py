@@ -3,8 +3,6 @@ everything available now), checked against the same logic in batch SQL."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
