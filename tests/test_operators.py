@@ -235,3 +235,34 @@ def test_permute_column_is_a_permutation(spark):
     assert len(got) == 500
     assert sorted(r["v"] for r in got) == [i * 3 for i in range(500)]
     assert sum(1 for r in got if r["v"] == r["k"] * 3) < 50  # actually shuffled
+
+
+def test_group_stats_fallback_equals_broadcast(spark):
+    rnd = random.Random(8)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 17}", rnd.random()) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    aggs = [F.avg("v").alias("m"), F.stddev_pop("v").alias("s")]
+    small = sorted(W.with_group_stats(df, ["g"], aggs).collect())
+    big = sorted(W.with_group_stats(df, ["g"], aggs, max_rows=3).collect())  # above the bound: shuffle join
+    assert small == big
+
+
+def test_lookup_join_fallback_equals_broadcast(spark):
+    facts = spark.range(300).select((F.col("id") % 30).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    a = sorted(J.lookup_join(facts, dim, "k").collect())
+    b = sorted(J.lookup_join(facts, dim, "k", max_rows=5).collect())
+    c = sorted(J.lookup_join(facts, dim, "k", max_rows=5, replant=False).collect())
+    assert a == b == c and len(a) == 300
+
+
+def test_rank_within_hot_group_with_ties(spark):
+    rnd = random.Random(12)
+    rows = [("hot", rnd.randint(0, 50)) for _ in range(400)] + [(f"g{i % 5}", rnd.randint(0, 50)) for i in range(800)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    got = P.rank_within(df, ["g"], "v", partitions=16).collect()
+    for g in {r[0] for r in rows}:
+        ranks = sorted((r["v"], r["rank"]) for r in got if r["g"] == g)
+        vals = sorted(v for k, v in rows if k == g)
+        assert [r for _, r in ranks] == list(range(len(vals)))  # dense 0..n-1
+        assert [v for v, _ in ranks] == vals  # rank order follows value order
