@@ -123,20 +123,25 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
         return F.aggregate(signed, F.lit(0.0), lambda a, x: a + x) / n
 
     cells = [f"_c{k}" for k in range(projections)]
+    projs = [f"_p{k}" for k in range(projections)]
     base = (vectors.where(F.forall(vec, lambda x: x.isNotNull()))
-            .select(entity, level, "year", vec, *[F.floor(walsh(k) / radius).cast("long").alias(c)
-                                                  for k, c in enumerate(cells)]))
+            .select(entity, level, "year", vec, *[walsh(k).alias(p) for k, p in enumerate(projs)]))
+    base = base.select("*", *[F.floor(F.col(p) / radius).cast("long").alias(c) for p, c in zip(projs, cells)])
     # few bytes but heavy per row after replication: spread it over every core explicitly
     # (AQE coalescing sizes partitions by bytes and would leave this to one task)
     base = cut_lineage(base.repartition(vectors.sparkSession.sparkContext.defaultParallelism * 2, entity))
     offsets = F.array(*[F.array(*[F.lit(o) for o in combo])
                         for combo in itertools.product((-1, 0, 1), repeat=projections)])
-    left = base.select(entity, level, "year", F.col(vec).alias("_va"), *cells, F.explode(offsets).alias("_o"))
-    left = left.select(entity, level, "year", "_va",
+    left = base.select(entity, level, "year", F.col(vec).alias("_va"), *projs, *cells, F.explode(offsets).alias("_o"))
+    left = left.select(entity, level, "year", "_va", *projs,
                        *[(F.col(c) + F.col("_o")[k]).alias(c) for k, c in enumerate(cells)])
-    right = base.select(F.col(entity).alias("similar_" + entity), level, F.col(vec).alias("_vb"), *cells)
+    right = base.select(F.col(entity).alias("similar_" + entity), level, F.col(vec).alias("_vb"),
+                        *[F.col(p).alias(f"{p}b") for p in projs], *cells)
     right = F.broadcast(right) if fits(right, max_broadcast_rows) else right
     pairs = left.join(right, [level, *cells]).where(F.col(entity) != F.col("similar_" + entity))
+    # exact necessary condition, scalar and cheap: every projection gap within the radius
+    for p in projs:
+        pairs = pairs.where(F.abs(F.col(p) - F.col(f"{p}b")) <= radius)
     pairs = pairs.withColumn("similarity_score", rms_distance("_va", "_vb"))
     return pairs.where(F.col("similarity_score") <= radius).select(
         level, "year", entity, "similar_" + entity, "similarity_score")
