@@ -125,3 +125,41 @@ class persisted:
 def sql_rows(spark: SparkSession, text: str, limit: int = 50, **frames) -> DataFrame:
     """A SQL statement (optionally over DataFrame parameters) capped at ``limit`` rows for display."""
     return spark.sql(text, **frames).limit(limit)
+
+
+def cluster_settings(input_bytes: int, executor_memory_gb: float = 16.0, executor_cores: int = 4) -> dict[str, str]:
+    """Settings for a large cluster, derived from the input size (apply with :func:`apply_settings`).
+
+    * scan splits: 256 MB, 512 MB above 10 TB of input (≈200 k map tasks at 100 TB);
+    * shuffle partitions: about one per GB of *input* (shuffled bytes are far
+      smaller after column pruning and partial aggregation), between 200 and
+      50 000 — the map × reduce block count stays manageable; AQE coalesces
+      small partitions to the advisory size and splits skewed ones;
+    * skew: a partition above 5× the median and 1 GB is split (AQE skew join);
+    * broadcast: run-time conversion only below 64 MB (our own dimensions are
+      bounded by row count before they are broadcast).
+    """
+    tb = 1024 ** 4
+    split_mb = 512 if input_bytes > 10 * tb else 256
+    partitions = int(min(50_000, max(200, input_bytes // 1024 ** 3)))
+    per_core_mb = executor_memory_gb * 1024 * 0.6 / max(1, executor_cores)
+    advisory_mb = int(min(512, max(64, per_core_mb / 4)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return spark

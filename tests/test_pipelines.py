@@ -100,3 +100,12 @@ def test_batch_writer_is_idempotent(spark, tmp_path):
     w(df, 0)  # replayed batch replaces its own output
     w(spark.range(0), 1)  # empty batch writes nothing
     assert spark.read.parquet(out).count() == 5
+
+
+def test_cluster_settings_scale_with_input():
+    from stratum.session import cluster_settings
+
+    small = cluster_settings(10 * 1024 ** 3)
+    huge = cluster_settings(100 * 1024 ** 4)
+    assert int(huge["spark.sql.shuffle.partitions"]) == 50_000 > int(small["spark.sql.shuffle.partitions"]) >= 200
+    assert huge["spark.sql.adaptive.skewJoin.enabled"] == "true"
