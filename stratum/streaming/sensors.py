@@ -74,17 +74,27 @@ def idempotent_batch_writer(out_path: str, fmt: str = "parquet") -> Callable[[Da
 
 
 def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
-                      writer: Callable[[DataFrame, int], None] | None = None) -> str:
+                      writer: Callable[[DataFrame, int], None] | None = None, state_partitions: int | None = None) -> str:
     """Run a streaming query over everything available now, synchronously; returns its output folder.
 
     Checkpoint and output go below ``spark.checkpoint.dir`` (shared storage).
+    Stateful streams do not use AQE: their state is split into exactly
+    ``spark.sql.shuffle.partitions`` stores, fixed at the first start and kept
+    in the checkpoint. ``state_partitions`` (default: 2 × cores) is set for the
+    stream's own session copy only; the caller's setting is restored.
     """
     spark = stream.sparkSession
     base = os.path.join(checkpoint_dir(spark), "stratum-streams", f"{name}-{uuid.uuid4().hex[:12]}")
     out = os.path.join(base, "out")
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", os.path.join(base, "chk"))
     w = w.foreachBatch(writer or idempotent_batch_writer(out))
-    q = w.trigger(availableNow=True).start()
+    parts = state_partitions or 2 * spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        q = w.trigger(availableNow=True).start()  # the stream clones the session conf here
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
