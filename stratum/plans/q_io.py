@@ -145,14 +145,16 @@ def vcf_import(spark, sf):
                                    F.sum("gt").cast("long").alias("alt_alleles"))
 
 
-@query("binary_files_scan")
+@query("binary_files_scan", """
+SELECT CAST(sum(strlen(text) + 1) AS BIGINT) AS total_bytes, 1 AS label FROM documents""")
 def binary_files_scan(spark, sf):
-    """Document texts written as files, scanned back as binary (image/binary-folder source)."""
+    """Document texts written as text files, scanned back as a binary-file folder with a constant label:
+    the bytes read equal the UTF-8 text plus one newline per row (the file count depends on partitioning)."""
     d = load(spark, sf, "documents").select(F.col("text").alias("value"))
     path = _scratch(spark, "bin")
     SK.write_text(d, path)
     b = RD.read_binary_files(spark, path, glob="part-*", label=1)
-    return b.agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("total_bytes"), F.max("label").alias("label"))
+    return b.agg(F.sum("length").cast("long").alias("total_bytes"), F.max("label").cast("int").alias("label"))
 
 
 @query("csv_header_infer", """
