@@ -105,8 +105,11 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
     patterns (all +1, then signs from bits of the index) give k projections;
     rows are blocked on a grid of width r over them. The left side is
     replicated to the 3^k neighbouring cells and equi-joined with the right
-    side on (level, cells); each candidate pair meets exactly once and the
-    exact distance decides.
+    side on (level, cells); each candidate pair meets exactly once, the
+    projection gaps (scalars) must each be ≤ r, and the exact distance decides.
+    Up to ``max_broadcast_rows`` rows the probe side is broadcast and vectors
+    travel with the candidates; above it only keys and projections are
+    replicated and shuffled, and vectors are joined back to the survivors.
     """
     import itertools
 
@@ -132,16 +135,33 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
     base = cut_lineage(base.repartition(vectors.sparkSession.sparkContext.defaultParallelism * 2, entity))
     offsets = F.array(*[F.array(*[F.lit(o) for o in combo])
                         for combo in itertools.product((-1, 0, 1), repeat=projections)])
-    left = base.select(entity, level, "year", F.col(vec).alias("_va"), *projs, *cells, F.explode(offsets).alias("_o"))
-    left = left.select(entity, level, "year", "_va", *projs,
-                       *[(F.col(c) + F.col("_o")[k]).alias(c) for k, c in enumerate(cells)])
-    right = base.select(F.col(entity).alias("similar_" + entity), level, F.col(vec).alias("_vb"),
-                        *[F.col(p).alias(f"{p}b") for p in projs], *cells)
-    right = F.broadcast(right) if fits(right, max_broadcast_rows) else right
-    pairs = left.join(right, [level, *cells]).where(F.col(entity) != F.col("similar_" + entity))
-    # exact necessary condition, scalar and cheap: every projection gap within the radius
-    for p in projs:
-        pairs = pairs.where(F.abs(F.col(p) - F.col(f"{p}b")) <= radius)
+    other = "similar_" + entity
+    small = fits(base, max_broadcast_rows)
+    if small:
+        # broadcast probe side: the replicated left side never leaves its task, so carry vectors along
+        left = base.select(entity, level, "year", F.col(vec).alias("_va"), *projs, *cells,
+                           F.explode(offsets).alias("_o"))
+        left = left.select(entity, level, "year", "_va", *projs,
+                           *[(F.col(c) + F.col("_o")[k]).alias(c) for k, c in enumerate(cells)])
+        right = F.broadcast(base.select(F.col(entity).alias(other), level, F.col(vec).alias("_vb"),
+                                        *[F.col(p).alias(f"{p}b") for p in projs], *cells))
+        pairs = left.join(right, [level, *cells]).where(F.col(entity) != F.col(other))
+        for p in projs:  # exact necessary condition, scalar and cheap
+            pairs = pairs.where(F.abs(F.col(p) - F.col(f"{p}b")) <= radius)
+    else:
+        # shuffled probe side: replicate keys and projections only (tens of bytes per row, whatever
+        # the vector length), filter on the projection gaps, then join vectors back to the survivors
+        left = base.select(entity, level, "year", *projs, *cells, F.explode(offsets).alias("_o"))
+        left = left.select(entity, level, "year", *projs,
+                           *[(F.col(c) + F.col("_o")[k]).alias(c) for k, c in enumerate(cells)])
+        right = base.select(F.col(entity).alias(other), level, *[F.col(p).alias(f"{p}b") for p in projs], *cells)
+        cand = left.join(right, [level, *cells]).where(F.col(entity) != F.col(other))
+        for p in projs:
+            cand = cand.where(F.abs(F.col(p) - F.col(f"{p}b")) <= radius)
+        cand = cand.select(entity, level, "year", other)
+        va = base.select(entity, level, F.col(vec).alias("_va"))
+        vb = base.select(F.col(entity).alias(other), level, F.col(vec).alias("_vb"))
+        pairs = cand.join(va, [entity, level]).join(vb, [other, level])
     pairs = pairs.withColumn("similarity_score", rms_distance("_va", "_vb"))
     return pairs.where(F.col("similarity_score") <= radius).select(
-        level, "year", entity, "similar_" + entity, "similarity_score")
+        level, "year", entity, other, "similarity_score")

@@ -266,3 +266,12 @@ def test_rank_within_hot_group_with_ties(spark):
         vals = sorted(v for k, v in rows if k == g)
         assert [r for _, r in ranks] == list(range(len(vals)))  # dense 0..n-1
         assert [v for v, _ in ranks] == vals  # rank order follows value order
+
+
+def test_similarity_shuffled_path_matches_broadcast_path(spark):
+    rnd = random.Random(21)
+    rows = [(f"n{i}", e, 2000 + e, [rnd.gauss(0, 0.5) for _ in range(6 * (e + 1))]) for e in range(2) for i in range(50)]
+    df = spark.createDataFrame(rows, "name string, experience int, year int, vec array<double>")
+    a = sorted(tuple(r) for r in SN.similar_within_radius(df, 0.45).collect())
+    b = sorted(tuple(r) for r in SN.similar_within_radius(df, 0.45, max_broadcast_rows=1).collect())
+    assert a == b and len(a) > 0
