@@ -275,3 +275,22 @@ def test_similarity_shuffled_path_matches_broadcast_path(spark):
     a = sorted(tuple(r) for r in SN.similar_within_radius(df, 0.45).collect())
     b = sorted(tuple(r) for r in SN.similar_within_radius(df, 0.45, max_broadcast_rows=1).collect())
     assert a == b and len(a) > 0
+
+
+def test_per_variant_regression_equals_spark_ml(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    rnd = np.random.default_rng(6)
+    samples = [(s, bool(rnd.random() < 0.5), float(rnd.normal(5, 2))) for s in range(80)]
+    rows = [(v, s, int(rnd.integers(0, 3))) for v in range(2) for s in range(80)]
+    g = spark.createDataFrame(rows, "variant_id int, sample_id long, gt int")
+    sm = spark.createDataFrame(samples, "sample_id long, female boolean, y double")
+    got = {r["variant_id"]: r for r in GT.linear_assoc(g, sm, "y", "female").collect()}
+    for v in range(2):
+        one = g.where(F.col("variant_id") == v).join(sm, "sample_id").select(
+            F.col("y"), F.col("gt").cast("double").alias("gt"), F.col("female").cast("double").alias("f"))
+        d = VectorAssembler(inputCols=["gt", "f"], outputCol="features").transform(one)
+        m = LinearRegression(labelCol="y", solver="normal").fit(d)
+        assert abs(m.coefficients[0] - got[v]["beta"]) < 1e-9
+        assert abs(m.summary.coefficientStandardErrors[0] - got[v]["se"]) < 1e-9
