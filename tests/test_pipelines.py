@@ -109,3 +109,35 @@ def test_cluster_settings_scale_with_input():
     huge = cluster_settings(100 * 1024 ** 4)
     assert int(huge["spark.sql.shuffle.partitions"]) == 50_000 > int(small["spark.sql.shuffle.partitions"]) >= 200
     assert huge["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_stream_late_row_dropped_bucket_emitted_once(spark, tmp_path):
+    """A row arriving after its bucket was finalised is dropped; every bucket is emitted exactly once.
+
+    (The watermark a batch uses is the one computed after the previous batch, so a late row whose
+    window is still held in state is merged — Spark only guarantees dropping after finalisation.)
+    """
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    from stratum.streaming import sensors as ST
+
+    src = tmp_path / "src"
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    sec = dt.timedelta(seconds=1)
+    schema = "record_time timestamp, tag_id int, value double"
+    batches = [[(t0 + 5 * sec, 0, 1.0), (t0 + 50 * sec, 0, 5.0)],   # watermark → 00:00:50
+               [(t0 + 130 * sec, 0, 7.0)],                          # finalises the 00:00:00 bucket
+               [(t0 + 1 * sec, 0, 100.0), (t0 + 200 * sec, 0, 9.0)]]  # late row for a finalised bucket
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(src / f"b{i}"))
+    tags = spark.createDataFrame([(0, "Sensor_0")], "tag_id int, sensor_name string")
+    stream = ST.read_stream(spark, str(src), ST.READING_SCHEMA, max_files_per_trigger=1, recursiveFileLookup="true")
+    piv = ST.bucket_pivot_stream(ST.enrich_stream(stream, tags), ["Sensor_0"])
+    out = ST.run_available_now(piv, "late-test")
+    rows = ST.read_output(spark, out, T.StructType([T.StructField("bucket", T.TimestampType()),
+                                                    T.StructField("Sensor_0", T.DoubleType())])).collect()
+    got = {r["bucket"]: r["Sensor_0"] for r in rows}
+    assert len(rows) == len(got)  # no bucket twice
+    assert got == {t0: 1.0, t0 + 60 * sec: 5.0, t0 + 120 * sec: 7.0}  # the 00:03:30 bucket is still open
