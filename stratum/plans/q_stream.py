@@ -3,11 +3,15 @@ everything available now), checked against the same logic in batch SQL."""
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.plans.registry import query
 from stratum.plans.views import view, with_views
+from stratum.session import checkpoint_dir
 from stratum.streaming import sensors as ST
 
 _SENSORS = [f"Sensor_{i}" for i in range(10)]
@@ -82,3 +86,17 @@ def stream_scored(spark, sf):
                                                  T.StructField("sensor_name", T.StringType()),
                                                  T.StructField("prediction", T.DoubleType())]))
     return r.groupBy("sensor_name", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_batch_pivot_dynamic", with_views(["readings", "tag_mappings"], """
+SELECT CAST(to_timestamp(floor(epoch(record_time) / 30 + 0.5) * 30) AS TIMESTAMP) AS bucket, """ + ", ".join(
+    f"round(avg(value) FILTER (WHERE sensor_name = '{s}'), 8) AS {s}" for s in _SENSORS) + """
+FROM readings JOIN tag_mappings USING (tag_id) GROUP BY 1"""))
+def stream_batch_pivot_dynamic(spark, sf):
+    """Per-micro-batch pivot with sensor names discovered in each batch (one input file → one batch)."""
+    tags = view(spark, sf, "tag_mappings")
+    s = ST.enrich_stream(_readings_stream(spark, sf), tags).select("record_time", "sensor_name", "value")
+    out = os.path.join(checkpoint_dir(spark), "stratum-streams", f"dynpivot-{uuid.uuid4().hex[:12]}", "out")
+    ST.run_available_now(s, "dynpivot", writer=ST.pivot_each_batch_writer(out))
+    r = spark.read.parquet(out).drop("batch")
+    return r.select("bucket", *[_R(F.col(x)).alias(x) for x in sorted(c for c in r.columns if c != "bucket")])

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.functions.scalar import round_to_nearest_seconds
 from stratum.session import checkpoint_dir
 
 READING_SCHEMA = T.StructType([
@@ -111,3 +112,29 @@ def read_output(spark: SparkSession, out: str, schema: T.StructType) -> DataFram
 def score_stream(stream: DataFrame, model) -> DataFrame:
     """Apply a fitted (or loaded) PipelineModel to a stream (stateless transform)."""
     return model.transform(stream)
+
+
+def pivot_each_batch_writer(out_path: str, ts: str = "record_time", value: str = "value",
+                            sensor_col: str = "sensor_name", seconds: int = 30,
+                            max_sensors: int = 10_000) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` pivot for sensors not known in advance (value-less ``pivot`` is rejected on streams).
+
+    Each micro-batch discovers its sensor names (a bounded distinct, checked
+    against ``max_sensors``), averages per nearest ``seconds`` bucket and
+    writes ``out/batch=<id>`` (overwrite: a replayed batch replaces itself).
+    Buckets are per batch, not merged across batches; use
+    :func:`bucket_pivot_stream` when the sensor list is known and each bucket
+    must be emitted once.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        names = [r[0] for r in batch.select(sensor_col).distinct().limit(max_sensors + 1).collect()]
+        if len(names) > max_sensors:
+            raise ValueError(f"more than {max_sensors} sensors in batch {batch_id}")
+        b = batch.withColumn("bucket", round_to_nearest_seconds(ts, seconds))
+        wide = b.groupBy("bucket").pivot(sensor_col, sorted(n for n in names if n is not None)).agg(F.avg(value))
+        wide.write.mode("overwrite").parquet(os.path.join(out_path, f"batch={batch_id}"))
+
+    return write
