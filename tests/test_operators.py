@@ -294,3 +294,21 @@ def test_per_variant_regression_equals_spark_ml(spark):
         m = LinearRegression(labelCol="y", solver="normal").fit(d)
         assert abs(m.coefficients[0] - got[v]["beta"]) < 1e-9
         assert abs(m.summary.coefficientStandardErrors[0] - got[v]["se"]) < 1e-9
+
+
+def test_similarity_hot_cell_salting_is_exact(spark):
+    rnd = random.Random(33)
+    # a dense cluster (one hot cell) plus spread-out vectors
+    rows = [(f"h{i}", 0, 2000, [0.01 * rnd.random() for _ in range(6)]) for i in range(60)]
+    rows += [(f"n{i}", 0, 2000, [rnd.gauss(0, 1) for _ in range(6)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "name string, experience int, year int, vec array<double>")
+    r = 0.3
+    got = sorted(tuple(x) for x in SN.similar_within_radius(df, r, max_broadcast_rows=1, hot_cell_rows=7).collect())
+    want = []
+    for a, ea, ya, va in rows:
+        for b, eb, _, vb in rows:
+            if ea == eb and a != b:
+                d = math.sqrt(sum((p - q) ** 2 for p, q in zip(va, vb))) / math.sqrt(len(va))
+                if d <= r:
+                    want.append((ea, ya, a, b))
+    assert [g[:4] for g in got] == sorted(want) and len(want) >= 60 * 59
