@@ -114,8 +114,12 @@ def monthly_sum(df: DataFrame, date_col: str, value_cols: Sequence[str], fmt: st
 def scaled_intensity(df: DataFrame, count_col: str, out: str = "intensity", lo: int = 1, hi: int = 100) -> DataFrame:
     """Counts scaled to ``round(count / max * hi)`` with a floor of ``lo``.
 
-    The global max is one aggregate value, fetched as a literal (a single
-    row), so the scaling is a narrow projection — no single-partition window.
+    The (aggregated) input is materialised once with a reliable checkpoint, so
+    reading its max and scaling it do not recompute the upstream; the max is a
+    single value fetched as a literal — no single-partition window, no cross join.
     """
+    from stratum.session import cut_lineage
+
+    df = cut_lineage(df)
     mx = df.agg(F.max(count_col)).first()[0] or 1
     return df.withColumn(out, F.greatest(F.lit(lo), F.round(F.col(count_col) / F.lit(float(mx)) * hi)).cast("int"))

@@ -29,13 +29,20 @@ def _bounds(df: DataFrame, col: str):
     return r[0], r[1], r[2]
 
 
-def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: float | None = None) -> DataFrame:
+def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: float | None = None,
+              materialize: bool = False) -> DataFrame:
     """Exactly ``bins`` equal-width bins over [lo, hi] (data range by default); the last bin is closed.
 
     Returns (bin, lower, upper, n, density) with density = n / (N · width).
     Values outside [lo, hi] and NULLs are not counted. One partial-aggregated
     pass (plus one tiny aggregate when the range comes from the data).
+    ``materialize`` checkpoints the one column first — worth it when the
+    input is an expensive plan that the two passes would otherwise recompute.
     """
+    if materialize:
+        from stratum.session import cut_lineage
+
+        df = cut_lineage(df.select(col))
     if lo is None or hi is None:
         dlo, dhi, _ = _bounds(df, col)
         lo = dlo if lo is None else lo
@@ -62,8 +69,16 @@ def Window_all():
     return Window.partitionBy()
 
 
-def hist2d(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
-    """Square 2-D binning (hexbin / joint-plot data): counts per (xbin, ybin) over the data range."""
+def hist2d(df: DataFrame, x: str, y: str, bins: int, materialize: bool = False) -> DataFrame:
+    """Square 2-D binning (hexbin / joint-plot data): counts per (xbin, ybin) over the data range.
+
+    ``materialize`` checkpoints the two columns first so the range pass and the
+    binning pass do not both recompute an expensive input plan.
+    """
+    if materialize:
+        from stratum.session import cut_lineage
+
+        df = cut_lineage(df.select(x, y))
     r = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
     if r[0] is None:
         return df.sparkSession.createDataFrame([], "xbin int, ybin int, n long")

@@ -36,7 +36,8 @@ SELECT CAST(least(floor((dep_delay - x0) * 20.0 / (x1 - x0)), 19) AS INTEGER) AS
        CAST(least(floor((arr_delay - y0) * 20.0 / (y1 - y0)), 19) AS INTEGER) AS ybin, count(*) AS n
 FROM flights, b WHERE dep_delay IS NOT NULL AND arr_delay IS NOT NULL GROUP BY 1, 2"""))
 def hist2d_delays(spark, sf):
-    return P.hist2d(view(spark, sf, "flights"), "dep_delay", "arr_delay", 20)
+    # the flights view is a 7-way join: materialise the two columns once for the range and binning passes
+    return P.hist2d(view(spark, sf, "flights"), "dep_delay", "arr_delay", 20, materialize=True)
 
 
 @query("boxplot_stats", with_views(["readings", "tag_mappings"], """
