@@ -274,7 +274,9 @@ SELECT CAST(CAST(record_time AS DATE) AS VARCHAR) AS day, """ + ", ".join(
     f"round(avg(round(value, 2)) FILTER (WHERE sensor_name = '{s}'), 8) AS {s}" for s in _SENSORS) + """
 FROM readings JOIN tag_mappings USING (tag_id) GROUP BY 1"""))
 def sensor_pivot_daily(spark, sf):
-    r = view(spark, sf, "readings").join(F.broadcast(view(spark, sf, "tag_mappings")), "tag_id")
+    from stratum.operators.sensors import enrich
+
+    r = enrich(view(spark, sf, "readings"), view(spark, sf, "tag_mappings"))
     r = r.withColumn("day", F.to_date("record_time").cast("string"))
     p = A.pivot_mean(r, ["day"], "sensor_name", _SENSORS, "value", digits=2)
     return p.select("day", *[R(F.col(s)).alias(s) for s in _SENSORS])
@@ -285,7 +287,9 @@ SELECT CAST(to_timestamp(floor(epoch(record_time) / 30 + 0.5) * 30) AS TIMESTAMP
     f"round(avg(value) FILTER (WHERE sensor_name = '{s}'), 8) AS {s}" for s in _SENSORS) + """
 FROM readings JOIN tag_mappings USING (tag_id) GROUP BY 1"""))
 def sensor_bucket30s_pivot(spark, sf):
-    r = view(spark, sf, "readings").join(F.broadcast(view(spark, sf, "tag_mappings")), "tag_id")
+    from stratum.operators.sensors import enrich
+
+    r = enrich(view(spark, sf, "readings"), view(spark, sf, "tag_mappings"))
     r = r.withColumn("bucket", S.round_to_nearest_seconds("record_time", 30))
     p = A.pivot_mean(r, ["bucket"], "sensor_name", _SENSORS, "value")
     return p.select("bucket", *[R(F.col(s)).alias(s) for s in _SENSORS])
@@ -398,7 +402,8 @@ SELECT r_name, array_to_string(list_sort(list_distinct(list(n_name))), ',') AS n
 FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
 def nations_per_region(spark, sf):
     """Distinct values collected per group (sorted set, joined to a string)."""
-    n = load(spark, sf, "nation").join(F.broadcast(load(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    region = load(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    n = J.lookup_join(load(spark, sf, "nation"), region, "n_regionkey")
     return n.groupBy("r_name").agg(F.array_join(F.sort_array(F.collect_set("n_name")), ",").alias("nations"),
                                    F.count(F.lit(1)).alias("n"))
 

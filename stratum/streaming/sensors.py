@@ -42,9 +42,12 @@ def parse_json_values(stream: DataFrame, schema: T.StructType, value_col: str =
     return stream.select(F.from_json(F.col(value_col).cast("string"), schema).alias("_r")).select("_r.*")
 
 
-def enrich_stream(stream: DataFrame, static: DataFrame, key: str = "tag_id") -> DataFrame:
-    """Stream–static join; the static dimension is broadcast (bounded lookup table)."""
-    return stream.join(F.broadcast(static), key)
+def enrich_stream(stream: DataFrame, static: DataFrame, key: str = "tag_id", max_rows: int = 100_000) -> DataFrame:
+    """Stream–static join; the static dimension is broadcast only within ``max_rows`` (checked, re-planted
+    as a local relation), else joined as a distributed static side."""
+    from stratum.operators.joins import bounded_side
+
+    return stream.join(bounded_side(static, max_rows), key)
 
 
 def bucket_pivot_stream(enriched: DataFrame, sensors: Sequence[str], ts: str = "record_time", value: str = "value",
