@@ -141,3 +141,11 @@ def test_stream_late_row_dropped_bucket_emitted_once(spark, tmp_path):
     got = {r["bucket"]: r["Sensor_0"] for r in rows}
     assert len(rows) == len(got)  # no bucket twice
     assert got == {t0: 1.0, t0 + 60 * sec: 5.0, t0 + 120 * sec: 7.0}  # the 00:03:30 bucket is still open
+
+
+def test_cli_runs_a_query(spark, tmp_path):
+    from stratum.cli import main
+
+    out = str(tmp_path / "res")
+    main(["flights_by_year", SF, "--out", out])
+    assert spark.read.parquet(out).count() > 0
