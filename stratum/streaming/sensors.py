@@ -26,15 +26,25 @@ READING_SCHEMA = T.StructType([
 ])
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+# Sources whose schema is fixed by the connector (a custom schema is rejected); payloads are typed afterwards.
+FIXED_SCHEMA_SOURCES = {"kafka", "rate", "socket"}
+
+
+def read_stream(spark: SparkSession, path: str | None, schema: T.StructType | None, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None, **options) -> DataFrame:
-    """File (or any) stream source with an explicit schema."""
-    r = spark.readStream.format(fmt).schema(schema)
+    """Stream source with an explicit schema (files never infer); connectors with a fixed schema (e.g.
+    ``fmt="kafka"`` with ``subscribe`` / ``kafka.bootstrap.servers`` options) take none — type their
+    ``value`` with :func:`parse_json_values`."""
+    r = spark.readStream.format(fmt)
+    if fmt not in FIXED_SCHEMA_SOURCES:
+        if schema is None:
+            raise ValueError("file streams need an explicit schema")
+        r = r.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in options.items():
         r = r.option(k, v)
-    return r.load(path)
+    return r.load(path) if path else r.load()
 
 
 def parse_json_values(stream: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
