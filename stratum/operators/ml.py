@@ -8,7 +8,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,9 +109,6 @@ def best_run(runs: DataFrame, metric: str, higher_is_better: bool = True) -> Dat
     return m.orderBy(F.col("value").desc() if higher_is_better else F.col("value").asc()).limit(1)
 
 
-__all__ = ["vectors", "one_hot_stage", "scaled", "kmeans_sweep", "distance_to_centroid", "feature_importances",
-           "ols_with_intervals", "log_runs", "best_run", "VectorAssembler", "StringIndexer"]
-
 
 def permutation_map(base: DataFrame, seed: int = 42) -> DataFrame:
     """(_rid, _src): a seeded random permutation of the row ids of ``base``.
