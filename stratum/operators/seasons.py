@@ -88,11 +88,20 @@ def add_next_season(df: DataFrame, entity: str = "name", year: str = "year", bum
 
 def cumulative_vectors(scored: DataFrame, entity: str = "name", order: str = "year",
                        scores: Sequence[str] = SCORES) -> DataFrame:
-    """(entity, season ordinal e, year, vector of the scores of seasons 0..e)."""
+    """(entity, season ordinal e, year, vector of the scores of seasons 0..e).
+
+    The running concatenation needs the entity's rows in order anyway (a
+    window partitioned by entity), so the ordinal comes from the same window
+    sort instead of a separate ranking pass.
+    """
+    from pyspark.sql import Window
+
     x = scored.select(entity, order, F.array(*[F.col(c) for c in scores]).alias("_line"))
-    x = W.ordinal(x, entity, order, "experience")
-    x = W.running_concat(x, entity, order, "_line", "vec")
-    return x.drop("_line")
+    w = Window.partitionBy(entity).orderBy(order)
+    hist = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.select(entity, order, (F.row_number().over(w) - 1).cast("int").alias("experience"),
+                 F.flatten(F.collect_list("_line").over(hist)).alias("vec"))
+    return x
 
 
 def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name", level: str = "experience",
