@@ -34,8 +34,6 @@ def get_spark(app: str = "stratum", cpus: str | int = "*", shuffle_partitions: i
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
-        # reliable checkpoints are deleted once their data is no longer referenced
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -158,7 +156,6 @@ def cluster_settings(input_bytes: int, executor_memory_gb: float = 16.0, executo
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.session.timeZone": "UTC",
-        # (static, set at submit time) "spark.cleaner.referenceTracking.cleanCheckpoints": "true"
     }
 
 
