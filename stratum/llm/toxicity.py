@@ -26,8 +26,8 @@ from .common import id_text, table
 
 PER_CLASS = 3000
 MAX_FEATURES = 1500
-#: Features are left out whose shares differ by less than so many standard errors, or by a smaller factor.
-MIN_Z = 3.0
+#: Features are left out whose shares in toxic and clean texts differ by a smaller factor, or by fewer standard errors than the
+#: largest of so many chance differences would reach: the square root of 2 ln(number of features).
 MIN_LIFT = 8.0
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -124,7 +124,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
             .agg(F.sum((F.col("y") > 0).cast("long")).alias("t"), F.sum((F.col("y") == 0).cast("long")).alias("c")).where("t + c >= 5"))
     pt, pc = (F.col("t") + 0.5) / (toxic + 1), (F.col("c") + 0.5) / (clean + 1)
     each = each.withColumn("z", (pt - pc) / F.sqrt(pt * (1 - pt) / (toxic + 1) + pc * (1 - pc) / (clean + 1)))
-    chosen = each.where((F.abs("z") > MIN_Z) & ((pt > MIN_LIFT * pc) | (pc > MIN_LIFT * pt))).orderBy(F.abs("z").desc(), "f").limit(max_features).collect()
+    each = table(each, "toxicity-words")
+    least = float(np.sqrt(2 * np.log(max(2, each.count()))))
+    chosen = each.where((F.abs("z") > least) & ((pt > MIN_LIFT * pc) | (pc > MIN_LIFT * pt))).orderBy(F.abs("z").desc(), "f").limit(max_features).collect()
     if not chosen:
         return Ordinal({}, [40.0])
     names = [r.f for r in chosen]
@@ -147,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
     return Ordinal({f: float(v) for f, v in zip(names, w)}, [float(t) for t in thresholds])
 
 
-def score(df: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.25) -> DataFrame:
+def score(df: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.15) -> DataFrame:
     """doc_id, severity (expected grade), grade (rounded), toxic (severity >= ``limit``), kept (not toxic)."""
     docs = id_text(df, id_col, text_col)
 
@@ -163,7 +165,7 @@ def score(df: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str =
                          (F.col("severity") < limit).alias("kept"))
 
 
-def keep_clean(df: DataFrame, model: Ordinal, text_col: str = "text", limit: float = 0.25) -> DataFrame:
+def keep_clean(df: DataFrame, model: Ordinal, text_col: str = "text", limit: float = 0.15) -> DataFrame:
     """The rows of ``df``, all columns, whose severity is below ``limit``."""
     at = df.columns.index(text_col)
 
