@@ -167,8 +167,11 @@ def scan(docs: DataFrame, length: int, combine: bool) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {id_type}, anchor long, stretch long, row long, start long, windows long, n long")
 
 
-def suffix_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of all suffixes of the texts data[starts[i]:ends[i]] in order of their first ``depth`` bytes at least."""
+def suffix_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, tail: int = 0) -> np.ndarray:
+    """Suffixes of the texts data[starts[i]:ends[i]] in order of their first ``depth`` bytes at least.
+
+    Those that start in a text's last ``tail`` bytes are left out, but for the few from which others are induced.
+    """
     n = len(data)
     last = np.zeros(n, bool)
     last[ends - 1] = True
@@ -183,7 +186,9 @@ def suffix_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth:
     # stage one: the suffixes smaller than their successors, directly; those cut off by the end of their text come first
     end_of = np.repeat(ends, ends - starts)
     padded = np.concatenate([data, np.zeros(depth, np.uint8)])
-    s = np.flatnonzero(small)
+    after = np.minimum.accumulate(np.where(small, np.arange(n), n)[::-1])[::-1]  # the next smaller suffix, itself included
+    bound = np.minimum(after[np.maximum(ends - 1 - tail, starts)], ends - 1)
+    s = np.flatnonzero(small & (np.arange(n) <= np.repeat(bound, ends - starts)))
     s = s[np.argsort(end_of[s] - s >= depth, kind="stable")]
     grid = np.lib.stride_tricks.sliding_window_view(padded, depth)[s]
     cut = np.flatnonzero(end_of[s] - s < depth)
@@ -204,7 +209,7 @@ def suffix_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth:
         for part in np.split(at, cuts) if len(at) else ():
             waiting.setdefault(int(data[part[0]]), []).append(part)
 
-    push(ends - 1)
+    push((ends - 1)[~small[bound]])
     out = []
     for byte in range(256):
         bucket = waiting.pop(byte, [])
@@ -229,7 +234,7 @@ def repeated(contents: list[bytes], numbers: np.ndarray, length: int) -> list[np
     ends = np.cumsum(sizes)
     starts = ends - sizes
     data = np.frombuffer(b"".join(contents), np.uint8)
-    sa = suffix_array(data, starts, ends, length)
+    sa = suffix_array(data, starts, ends, length, length - 1)
     end_of = np.repeat(ends, sizes)
     sa = sa[end_of[sa] - sa >= length]  # windows keep their order
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
