@@ -66,10 +66,10 @@ def sample_qc(df: DataFrame, min_call_rate: float = 0.97, min_gq: float = 20.0)
 
 def filter_variants(df: DataFrame, min_call_rate: float = 0.95, min_gq: float = 20.0,
                     af_range: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
-    """Keep genotype rows of variants passing call-rate, GQ and AF limits (group agg + semi join)."""
+    """Keep genotype rows of variants passing call-rate, GQ and AF limits, the AF range open (group agg + semi join)."""
     q = variant_qc(df)
     keep = q.where((F.col("call_rate") > min_call_rate) & (F.col("gq_mean") >= min_gq) &
-                   F.col("af").between(*af_range)).select("variant_id")
+                   (F.col("af") > af_range[0]) & (F.col("af") < af_range[1])).select("variant_id")
     return df.join(keep, "variant_id", "left_semi")
 
 

@@ -1,5 +1,5 @@
 """Join operators (J family): shifted, prior-period, anti, nested enrichment,
-interval (range) join, double dimension lookup, size-checked broadcast."""
+interval (range) join, double dimension lookup."""
 
 from __future__ import annotations
 
@@ -9,38 +9,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is re-planted as a broadcast local relation only below this many rows.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Proven size bound: at most ``max_rows`` rows (reads at most max_rows+1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_side(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """A join side proven small, computed once: at most ``max_rows`` rows are fetched and
-    re-planted as a broadcast local relation, so the join does not recompute the
-    dimension's plan. Above the bound the side stays distributed and AQE decides at
-    run time from measured sizes (broadcast conversion or skew-split shuffle join)."""
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return small
-    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
-
-
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                max_rows: int = DEFAULT_BROADCAST_ROWS, replant: bool = True) -> DataFrame:
-    """Equi-join with a dimension table through :func:`bounded_side`.
-
-    ``replant=False`` keeps the side in the JVM: its row count is checked and
-    it gets a broadcast hint (for large but bounded sides that are already
-    materialised, e.g. a checkpointed basis, where a driver round trip would cost more).
-    """
-    if replant:
-        return big.join(bounded_side(small, max_rows), on, how)
-    side = F.broadcast(small) if fits(small, max_rows) else small
-    return big.join(side, on, how)
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Equi-join with a dimension table. One lazy plan at every size: adaptive execution broadcasts the side if its
+    measured bytes allow it and splits skewed partitions otherwise."""
+    return big.join(small, on, how)
 
 
 def shifted_date_join(a: DataFrame, b: DataFrame, a_date: str, b_date: str, days: int = 1,
@@ -97,12 +69,11 @@ def interval_semi_join(points: DataFrame, intervals: DataFrame, contig: str = "c
 
 
 def double_lookup(df: DataFrame, dim: DataFrame, dim_key: str, left_keys: Sequence[str],
-                  prefixes: Sequence[str], max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  prefixes: Sequence[str]) -> DataFrame:
     """Look a dimension up once per key column (e.g. origin and destination coordinates)."""
-    side = bounded_side(dim, max_rows)
     out = df
     for k, p in zip(left_keys, prefixes):
-        d = side.select(*[F.col(c).alias(f"{p}{c}") for c in dim.columns])
+        d = dim.select(*[F.col(c).alias(f"{p}{c}") for c in dim.columns])
         out = out.join(d, out[k] == d[f"{p}{dim_key}"], "inner")
     return out
 

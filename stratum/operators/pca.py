@@ -65,7 +65,7 @@ def subspace_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, over
     v = cut_lineage(v)
 
     def xt(vv):  # W = Xᵀ V : (col, c, v)
-        j = lookup_join(z, vv, "_r", max_rows=5_000_000, replant=False)
+        j = lookup_join(z, vv, "_r")
         return j.groupBy("_c", "c").agg(F.sum(F.col("_z") * F.col("v")).alias("v"))
 
     def xw(ww):  # U = X W : (row, c, v)
@@ -82,10 +82,7 @@ def subspace_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, over
             v = cut_lineage(_apply_small(u, "_r", np.linalg.inv(r)))
             break
         prev = spec
-        try:
-            r = np.linalg.cholesky(g + 1e-12 * np.trace(g) * np.eye(kk)).T
-        except np.linalg.LinAlgError:
-            break
+        r = np.linalg.cholesky(g + 1e-12 * np.trace(g) * np.eye(kk)).T
         v = cut_lineage(_apply_small(u, "_r", np.linalg.inv(r)))
     w = cut_lineage(xt(v))
     b = _gram(w, "_c", kk)

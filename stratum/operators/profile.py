@@ -116,9 +116,6 @@ def rank_within(df: DataFrame, group: Sequence[str], value: str, partitions: int
     counts = x.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"))
     wo = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(wo), F.lit(0))).drop("_cnt")
-    from stratum.operators.joins import fits
-
-    offs = F.broadcast(offs) if fits(offs, 2_000_000) else offs
     return x.join(offs, ["_pid", *keys]).withColumn("rank", (F.col("_off") + F.col("_local")).cast("long")) \
         .drop("_pid", "_local", "_off")
 

@@ -105,7 +105,7 @@ def cumulative_vectors(scored: DataFrame, entity: str = "name", order: str = "ye
 
 
 def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name", level: str = "experience",
-                          vec: str = "vec", projections: int = 4, max_broadcast_rows: int = 2_000_000,
+                          vec: str = "vec", projections: int = 4,
                           hot_cell_rows: int = 20_000) -> DataFrame:
     """Ordered pairs of distinct entities at the same level with RMS distance ≤ ``radius``.
 
@@ -117,15 +117,12 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
     replicated to the 3^k neighbouring cells and equi-joined with the right
     side on (level, cells); each candidate pair meets exactly once, the
     projection gaps (scalars) must each be ≤ r, and the exact distance decides.
-    Up to ``max_broadcast_rows`` rows the probe side is broadcast and vectors
-    travel with the candidates; above it only keys and projections are
-    replicated and shuffled, dense cells are salted on both sides (each task
-    compares at most about ``hot_cell_rows``² pairs), and vectors are joined
-    back to the survivors.
+    Only keys and projections are replicated and shuffled, dense cells are salted on both sides (each task
+    compares at most about ``hot_cell_rows``² pairs), and vectors are joined back to the survivors. One plan
+    at every size. The radius bounds the result: pairs further apart are not reported.
     """
     import itertools
 
-    from stratum.operators.joins import fits
     from stratum.session import cut_lineage
 
     n = F.size(vec).cast("double")
@@ -148,46 +145,32 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
     offsets = F.array(*[F.array(*[F.lit(o) for o in combo])
                         for combo in itertools.product((-1, 0, 1), repeat=projections)])
     other = "similar_" + entity
-    small = fits(base, max_broadcast_rows)
-    if small:
-        # broadcast probe side: the replicated left side never leaves its task, so carry vectors along
-        left = base.select(entity, level, "year", F.col(vec).alias("_va"), *projs, *cells,
-                           F.explode(offsets).alias("_o"))
-        left = left.select(entity, level, "year", "_va", *projs,
-                           *[(F.col(c) + F.col("_o")[k]).alias(c) for k, c in enumerate(cells)])
-        right = F.broadcast(base.select(F.col(entity).alias(other), level, F.col(vec).alias("_vb"),
-                                        *[F.col(p).alias(f"{p}b") for p in projs], *cells))
-        pairs = left.join(right, [level, *cells]).where(F.col(entity) != F.col(other))
-        for p in projs:  # exact necessary condition, scalar and cheap
-            pairs = pairs.where(F.abs(F.col(p) - F.col(f"{p}b")) <= radius)
-    else:
-        # shuffled probe side: replicate keys and projections only (tens of bytes per row, whatever
-        # the vector length), filter on the projection gaps, then join vectors back to the survivors
-        left = base.select(entity, level, "year", *projs, *cells, F.explode(offsets).alias("_o"))
-        left = left.select(entity, level, "year", *projs,
-                           *[(F.col(c) + F.col("_o")[k]).alias(c) for k, c in enumerate(cells)])
-        right = base.select(F.col(entity).alias(other), level, *[F.col(p).alias(f"{p}b") for p in projs], *cells)
-        # dense cells: two-sided salting so no task compares more than about hot_cell_rows² pairs.
-        # A cell with n rows gets S = ceil(n / hot_cell_rows) sub-blocks per side; a left row keeps
-        # its own sub-block and is copied to every right sub-block and vice versa, so each pair
-        # still meets exactly once. The hot-cell list is bounded by rows / hot_cell_rows.
-        counts = base.groupBy(level, *cells).agg(F.count(F.lit(1)).alias("_n"))
-        hot = counts.where(F.col("_n") > hot_cell_rows).select(
-            level, *cells, F.ceil(F.col("_n") / hot_cell_rows).cast("int").alias("_s"))
-        hot = F.broadcast(hot) if fits(hot, max_broadcast_rows) else hot
-        left = left.join(hot, [level, *cells], "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
-        left = (left.withColumn("_sa", F.pmod(F.xxhash64(entity), F.col("_s")).cast("int"))
-                    .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_s"))
-        right = right.join(hot, [level, *cells], "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
-        right = (right.withColumn("_sb", F.pmod(F.xxhash64(other), F.col("_s")).cast("int"))
-                      .withColumn("_sa", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_s"))
-        cand = left.join(right, [level, *cells, "_sa", "_sb"]).where(F.col(entity) != F.col(other))
-        for p in projs:
-            cand = cand.where(F.abs(F.col(p) - F.col(f"{p}b")) <= radius)
-        cand = cand.select(entity, level, "year", other)
-        va = base.select(entity, level, F.col(vec).alias("_va"))
-        vb = base.select(F.col(entity).alias(other), level, F.col(vec).alias("_vb"))
-        pairs = cand.join(va, [entity, level]).join(vb, [other, level])
+    # replicate keys and projections only (tens of bytes per row, whatever
+    # the vector length), filter on the projection gaps, then join vectors back to the survivors
+    left = base.select(entity, level, "year", *projs, *cells, F.explode(offsets).alias("_o"))
+    left = left.select(entity, level, "year", *projs,
+                       *[(F.col(c) + F.col("_o")[k]).alias(c) for k, c in enumerate(cells)])
+    right = base.select(F.col(entity).alias(other), level, *[F.col(p).alias(f"{p}b") for p in projs], *cells)
+    # dense cells: two-sided salting so no task compares more than about hot_cell_rows² pairs.
+    # A cell with n rows gets S = ceil(n / hot_cell_rows) sub-blocks per side; a left row keeps
+    # its own sub-block and is copied to every right sub-block and vice versa, so each pair
+    # still meets exactly once. The hot-cell list is bounded by rows / hot_cell_rows.
+    counts = base.groupBy(level, *cells).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > hot_cell_rows).select(
+        level, *cells, F.ceil(F.col("_n") / hot_cell_rows).cast("int").alias("_s"))
+    left = left.join(hot, [level, *cells], "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
+    left = (left.withColumn("_sa", F.pmod(F.xxhash64(entity), F.col("_s")).cast("int"))
+                .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_s"))
+    right = right.join(hot, [level, *cells], "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
+    right = (right.withColumn("_sb", F.pmod(F.xxhash64(other), F.col("_s")).cast("int"))
+                  .withColumn("_sa", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_s"))
+    cand = left.join(right, [level, *cells, "_sa", "_sb"]).where(F.col(entity) != F.col(other))
+    for p in projs:
+        cand = cand.where(F.abs(F.col(p) - F.col(f"{p}b")) <= radius)
+    cand = cand.select(entity, level, "year", other)
+    va = base.select(entity, level, F.col(vec).alias("_va"))
+    vb = base.select(F.col(entity).alias(other), level, F.col(vec).alias("_vb"))
+    pairs = cand.join(va, [entity, level]).join(vb, [other, level])
     pairs = pairs.withColumn("similarity_score", rms_distance("_va", "_vb"))
     return pairs.where(F.col("similarity_score") <= radius).select(
         level, "year", entity, other, "similarity_score")

@@ -12,8 +12,8 @@ from stratum.operators.joins import lookup_join
 
 
 def enrich(readings: DataFrame, tags: DataFrame, key: str = "tag_id") -> DataFrame:
-    """Readings joined with the (size-checked, broadcast) tag → sensor-name table."""
-    return lookup_join(readings, tags, key, max_rows=100_000)
+    """Readings joined with the tag → sensor-name table."""
+    return lookup_join(readings, tags, key)
 
 
 def daily_sensor_means(readings: DataFrame, tags: DataFrame, ts: str = "record_time", value: str = "value") -> DataFrame:

@@ -1,36 +1,32 @@
 """Group-relative statistics and ordered-sequence operators (W1–W8, O3, A11 helpers).
 
 Group statistics (z-score, max-abs scale) are computed with a partial hash
-aggregate and attached through a *size-checked broadcast* join, so a hot
+aggregate and attached by an equi-join (broadcast or skew-split at run time), so a hot
 group (say one year holding a third of all rows) is never sent whole to one
-task as a ``Window.partitionBy(group)`` would do. Previous-row deltas and
-ordinals use a range-partitioned rank and an equi-join, not a window; only
-the running concatenation (whose output per row is the entity's history)
-is a window partitioned by the entity key.
+task as a ``Window.partitionBy(group)`` would do. Previous-row deltas, ordinals
+and the running concatenation are windows over one entity's history.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-GROUP_STATS_MAX_ROWS = 100_000
-
-
-def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-                     max_rows: int = GROUP_STATS_MAX_ROWS) -> DataFrame:
+def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """Attach per-group aggregates to every row (one partial-aggregated pass + join).
 
-    The aggregate table has one row per group; it is broadcast only after its
-    row count is checked, else joined by shuffle (AQE splits skewed partitions).
+    The aggregate table has one row per group; adaptive execution broadcasts it by its measured bytes or
+    splits skewed partitions of the shuffle join. NULL keys are a group like any other.
     """
-    from stratum.operators.joins import bounded_side
-
     stats = df.groupBy(*keys).agg(*aggs)
-    return df.join(bounded_side(stats, max_rows), list(keys), "left")
+    for k in keys:
+        stats = stats.withColumnRenamed(k, f"_k_{k}")
+    on = functools.reduce(lambda a, b: a & b, [df[k].eqNullSafe(stats[f"_k_{k}"]) for k in keys])
+    return df.join(stats, on, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def safe_div(num: Column, den: Column) -> Column:
@@ -75,19 +71,14 @@ def row_sum(cols: Sequence[str]) -> Column:
 def delta_previous(df: DataFrame, entity: str, order: str, cols: Sequence[str], prefix: str = "delta_") -> DataFrame:
     """Change against the entity's previous row in ``order``; NULL for the first.
 
-    ``lag`` without a window: rows get their rank inside the entity from the
-    range-partitioned :func:`~stratum.operators.profile.rank_within` (a hot
-    entity spans many tasks), then join to the row ranked one lower on
-    (entity, rank). Rows with a NULL ``order`` are not ranked and dropped.
+    One ``lag`` over the entity's history (one shuffle by entity). Rows with a NULL ``order`` are kept: they have no
+    previous row and are no row's previous one.
     """
-    from stratum.operators.profile import rank_within
-
-    r = rank_within(df, [entity], order)
-    prev = r.select(entity, (F.col("rank") + 1).alias("rank"), *[F.col(c).alias(f"_prev_{c}") for c in cols])
-    out = r.join(prev, [entity, "rank"], "left")
+    w = Window.partitionBy(entity).orderBy(F.col(order).asc_nulls_last())
+    out = df
     for c in cols:
-        out = out.withColumn(f"{prefix}{c}", F.col(c) - F.col(f"_prev_{c}"))
-    return out.drop("rank", *[f"_prev_{c}" for c in cols])
+        out = out.withColumn(f"{prefix}{c}", F.when(F.col(order).isNotNull(), F.col(c) - F.lag(c).over(w)))
+    return out
 
 
 def offset_from_first(df: DataFrame, entity: str, col: str, out: str) -> DataFrame:
@@ -97,11 +88,9 @@ def offset_from_first(df: DataFrame, entity: str, col: str, out: str) -> DataFra
 
 
 def ordinal(df: DataFrame, entity: str, order: str, out: str = "ordinal") -> DataFrame:
-    """0-based position of each row in its entity's ``order`` sequence (range-partitioned rank,
-    no single-task window); rows with a NULL ``order`` are dropped."""
-    from stratum.operators.profile import rank_within
-
-    return rank_within(df, [entity], order).withColumn(out, F.col("rank").cast("int")).drop("rank")
+    """0-based position of each row in its entity's ``order`` sequence; NULL (row kept) where ``order`` is NULL."""
+    w = Window.partitionBy(entity).orderBy(F.col(order).asc_nulls_last())
+    return df.withColumn(out, F.when(F.col(order).isNotNull(), (F.row_number().over(w) - 1).cast("int")))
 
 
 def running_concat(df: DataFrame, entity: str, order: str, arr: str, out: str) -> DataFrame:

@@ -79,7 +79,7 @@ def sample_qc(spark, sf):
 @query("variants_after_qc", with_views(_G, f"""
 SELECT contig, count(*) AS n_rows, count(DISTINCT variant_id) AS n_variants FROM genotypes
 WHERE variant_id IN (SELECT variant_id FROM ({_qc_sql('variant_id')}) q
-                     WHERE call_rate > 0.95 AND gq_mean >= 20 AND af BETWEEN 0.05 AND 0.95)
+                     WHERE call_rate > 0.95 AND gq_mean >= 20 AND af > 0.05 AND af < 0.95)
 GROUP BY contig"""))
 def variants_after_qc(spark, sf):
     k = GT.filter_variants(_g(spark, sf), 0.95, 20.0, (0.05, 0.95))
@@ -141,11 +141,11 @@ _INTERVALS = """
 intervals AS (
   SELECT CASE WHEN p_partkey % 20 = 0 THEN 'X' ELSE CAST(p_partkey % 20 AS VARCHAR) END AS contig,
          (p_partkey % 200) * 1000 - 500 AS start, (p_partkey % 200) * 1000 - 500 + p_size * 20 AS "end"
-  FROM part WHERE p_size > 25)"""
+  FROM part)"""
 
 
 def _intervals(spark, sf):
-    p = load(spark, sf, "part").where(F.col("p_size") > 25)
+    p = load(spark, sf, "part")
     contig = F.when(F.col("p_partkey") % 20 == 0, F.lit("X")).otherwise((F.col("p_partkey") % 20).cast("string"))
     start = (F.col("p_partkey") % 200) * 1000 - 500
     return p.select(contig.alias("contig"), start.alias("start"), (start + F.col("p_size") * 20).alias("end"))

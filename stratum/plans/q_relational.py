@@ -76,7 +76,7 @@ def route_counts_scaled(spark, sf):
     f = view(spark, sf, "flights")
     routes = f.groupBy("origin", "dest").agg(F.count(F.lit(1)).alias("n"))
     ap = view(spark, sf, "airports").select("iata", "longitude", "latitude")
-    j = J.double_lookup(routes, ap, "iata", ["origin", "dest"], ["o_", "d_"], max_rows=10_000)
+    j = J.double_lookup(routes, ap, "iata", ["origin", "dest"], ["o_", "d_"])
     j = j.select("origin", "dest", "n", F.col("o_longitude").alias("origin_lon"), F.col("o_latitude").alias("origin_lat"),
                  F.col("d_longitude").alias("dest_lon"), F.col("d_latitude").alias("dest_lat"))
     return A.scaled_intensity(j, "n")
@@ -112,7 +112,7 @@ def great_circle_points(spark, sf):
     f = view(spark, sf, "flights")
     routes = f.select("origin", "dest").distinct()
     ap = view(spark, sf, "airports").select("iata", "longitude", "latitude")
-    j = J.double_lookup(routes, ap, "iata", ["origin", "dest"], ["o_", "d_"], max_rows=10_000)
+    j = J.double_lookup(routes, ap, "iata", ["origin", "dest"], ["o_", "d_"])
     pts = j.select("origin", "dest", F.explode(S.great_circle_points("o_longitude", "o_latitude",
                                                                       "d_longitude", "d_latitude", 100)).alias("p"))
     return pts.select("origin", "dest", "p.i", R(F.col("p.lon"), 6).alias("lon"), R(F.col("p.lat"), 6).alias("lat"))
@@ -158,9 +158,9 @@ def arrival_clock(spark, sf):
 @query("flight_features", with_views(["flights"], """
 SELECT l_orderkey, l_linenumber, concat(carrier, flight) AS flight_code, arr_delay <= 0 AS on_time,
        CAST(floor(sched_arr_time / 100) AS INTEGER) AS arr_hour
-FROM flights WHERE dest = 'NATION_5'"""))
+FROM flights"""))
 def flight_features(spark, sf):
-    f = view(spark, sf, "flights").where(F.col("dest") == F.lit("NATION_5"))
+    f = view(spark, sf, "flights")
     return f.select("l_orderkey", "l_linenumber", F.concat("carrier", "flight").alias("flight_code"),
                     (F.col("arr_delay") <= 0).alias("on_time"),
                     F.floor(F.col("sched_arr_time") / 100).cast("int").alias("arr_hour"))
@@ -249,18 +249,20 @@ WITH daily AS (
   SELECT CAST(record_time AS DATE) AS day, sensor_name, avg(value) AS avg_value
   FROM readings JOIN tag_mappings USING (tag_id) GROUP BY 1, 2)
 SELECT maint_id, CAST(date AS VARCHAR) AS date, maintenance_type, sensor_name, round(avg_value, 8) AS avg_value, 0 AS lag_days
-FROM maintenance JOIN daily ON date = day WHERE maintenance_type <> 'Healthy'
+FROM maintenance JOIN daily ON date = day WHERE maintenance_type <> 'Corrective'
 UNION ALL
 SELECT maint_id, CAST(date AS VARCHAR) AS date, maintenance_type, sensor_name, round(avg_value, 8) AS avg_value, 1 AS lag_days
-FROM maintenance JOIN daily ON date = day + 1 WHERE maintenance_type <> 'Healthy'"""))
+FROM maintenance JOIN daily ON date = day + 1 WHERE maintenance_type = 'Corrective'"""))
 def readings_same_day_or_prev_day(spark, sf):
     from stratum.operators.sensors import daily_sensor_means
 
-    m = view(spark, sf, "maintenance").where(F.col("maintenance_type") != "Healthy") \
-        .select("maint_id", "date", "maintenance_type")
+    """Readings of the same day for all types but corrective ones, which take the day before (two branches, one union)."""
+    m = view(spark, sf, "maintenance").select("maint_id", "date", "maintenance_type")
+    corrective = F.col("maintenance_type") == "Corrective"
     daily = daily_sensor_means(view(spark, sf, "readings"), view(spark, sf, "tag_mappings"))
-    same = m.join(daily, m["date"] == daily["day"]).drop("day").withColumn("lag_days", F.lit(0))
-    prev = J.shifted_date_join(m, daily, "date", "day", 1).drop("day").withColumn("lag_days", F.lit(1))
+    same = m.where(~corrective)
+    same = same.join(daily, same["date"] == daily["day"]).drop("day").withColumn("lag_days", F.lit(0))
+    prev = J.shifted_date_join(m.where(corrective), daily, "date", "day", 1).drop("day").withColumn("lag_days", F.lit(1))
     u = same.unionByName(prev)
     return u.select("maint_id", F.col("date").cast("string").alias("date"), "maintenance_type", "sensor_name",
                     R(F.col("avg_value")).alias("avg_value"), "lag_days")
@@ -409,17 +411,12 @@ def nations_per_region(spark, sf):
 
 
 @query("sensor_daily_sums", with_views(["readings", "tag_mappings"], """
-SELECT day, round(sum(v), 6) AS total FROM (
-  SELECT CAST(CAST(record_time AS DATE) AS VARCHAR) AS day, value AS v FROM readings WHERE tag_id = 0
-  UNION ALL SELECT CAST(CAST(record_time AS DATE) AS VARCHAR), value FROM readings WHERE tag_id = 1
-  UNION ALL SELECT CAST(CAST(record_time AS DATE) AS VARCHAR), value * 2 FROM readings WHERE tag_id = 2) t GROUP BY day"""))
+SELECT CAST(CAST(record_time AS DATE) AS VARCHAR) AS day, round(sum(value * (1 + tag_id % 3)), 6) AS total FROM readings GROUP BY 1"""))
 def sensor_daily_sums(spark, sf):
-    """N per-metric tables sharing a key summed per key (union + one aggregate, not an N-way join)."""
+    """Ten per-metric tables sharing a key summed per key (union + one aggregate, not an N-way join)."""
     r = view(spark, sf, "readings").withColumn("day", F.to_date("record_time").cast("string"))
-    frames = [r.where(F.col("tag_id") == 0).select("day", F.col("value").alias("a")),
-              r.where(F.col("tag_id") == 1).select("day", F.col("value").alias("b")),
-              r.where(F.col("tag_id") == 2).select("day", (F.col("value") * 2).alias("c"))]
-    s = J.sum_by_key(frames, "day", ["a", "b", "c"], out="total")
+    frames = [r.where(F.col("tag_id") == k).select("day", (F.col("value") * (1 + k % 3)).alias(f"m{k}")) for k in range(10)]
+    s = J.sum_by_key(frames, "day", [f"m{k}" for k in range(10)], out="total")
     return s.select("day", R(F.col("total"), 6).alias("total"))
 
 

@@ -3,15 +3,11 @@ everything available now), checked against the same logic in batch SQL."""
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.plans.registry import query
 from stratum.plans.views import view, with_views
-from stratum.session import checkpoint_dir
 from stratum.streaming import sensors as ST
 
 _SENSORS = [f"Sensor_{i}" for i in range(10)]
@@ -25,7 +21,7 @@ EVENT_SCHEMA = T.StructType([
 
 def _readings_stream(spark, sf):
     """events.parquet as a stream, shaped like the readings view."""
-    ev = ST.read_stream(spark, sf, EVENT_SCHEMA, pathGlobFilter="events.parquet")
+    ev = ST.read_stream(spark, f"{sf}/events.parque[t]", EVENT_SCHEMA)  # a pattern: one file or a folder of part files
     return ev.select("event_id", F.col("ts").cast("timestamp").alias("record_time"),
                      (F.col("user_id") % 10).cast("int").alias("tag_id"), "value")
 
@@ -35,21 +31,17 @@ def _R(c, d=8):
 
 
 @query("stream_bucket_avg", with_views(["readings", "tag_mappings"], """
-, m AS (SELECT max(record_time) AS mx FROM readings),
-b AS (
+, b AS (
   SELECT CAST(to_timestamp(floor(epoch(record_time) / 30 + 0.5) * 30) AS TIMESTAMP) AS bucket, """ + ", ".join(
     f"avg(value) FILTER (WHERE sensor_name = '{s}') AS {s}" for s in _SENSORS) + """
   FROM readings JOIN tag_mappings USING (tag_id) GROUP BY 1)
 SELECT bucket, """ + ", ".join(f"round({s}, 8) AS {s}" for s in _SENSORS) + """
-FROM b, m WHERE bucket + INTERVAL 15 SECOND <= mx"""))
+FROM b"""))
 def stream_bucket_avg(spark, sf):
-    """Watermarked 30 s nearest-bucket sensor pivot; each closed bucket emitted once."""
+    """30 s nearest-bucket sensor pivot of the stream: mergeable sums per batch, averaged on read; no bucket or late row lost."""
     tags = view(spark, sf, "tag_mappings")
-    s = ST.bucket_pivot_stream(ST.enrich_stream(_readings_stream(spark, sf), tags), _SENSORS)
-    out = ST.run_available_now(s, "bucket_avg")
-    schema = T.StructType([T.StructField("bucket", T.TimestampType())] +
-                          [T.StructField(x, T.DoubleType()) for x in _SENSORS])
-    r = ST.read_output(spark, out, schema)
+    out = ST.run_available_now(ST.enrich_stream(_readings_stream(spark, sf), tags), "bucket_avg", writer=ST.bucket_partials_writer)
+    r = ST.merged_buckets(spark, out, _SENSORS)
     return r.select("bucket", *[_R(F.col(x)).alias(x) for x in _SENSORS])
 
 
@@ -93,10 +85,8 @@ SELECT CAST(to_timestamp(floor(epoch(record_time) / 30 + 0.5) * 30) AS TIMESTAMP
     f"round(avg(value) FILTER (WHERE sensor_name = '{s}'), 8) AS {s}" for s in _SENSORS) + """
 FROM readings JOIN tag_mappings USING (tag_id) GROUP BY 1"""))
 def stream_batch_pivot_dynamic(spark, sf):
-    """Per-micro-batch pivot with sensor names discovered in each batch (one input file → one batch)."""
+    """The same with the sensor names found in the stream; buckets and sensors of all batches are merged."""
     tags = view(spark, sf, "tag_mappings")
     s = ST.enrich_stream(_readings_stream(spark, sf), tags).select("record_time", "sensor_name", "value")
-    out = os.path.join(checkpoint_dir(spark), "stratum-streams", f"dynpivot-{uuid.uuid4().hex[:12]}", "out")
-    ST.run_available_now(s, "dynpivot", writer=ST.pivot_each_batch_writer(out))
-    r = spark.read.parquet(out).drop("batch")
+    r = ST.merged_buckets(spark, ST.run_available_now(s, "dynpivot", writer=ST.bucket_partials_writer))
     return r.select("bucket", *[_R(F.col(x)).alias(x) for x in sorted(c for c in r.columns if c != "bucket")])

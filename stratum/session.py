@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,17 +48,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: ``spark.checkpoint.dir`` from the session.
 
-    Only a local-mode session (tests) may fall back to a fresh temporary
-    folder; a cluster must name a shared folder.
+    Where it is unset, a folder set on the Spark context counts; a session in one local process (tests) takes a folder
+    beside its warehouse. A cluster must name a shared folder.
     """
+    sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    path = path or sc.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="stratum-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

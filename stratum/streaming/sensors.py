@@ -52,12 +52,32 @@ def parse_json_values(stream: DataFrame, schema: T.StructType, value_col: str =
     return stream.select(F.from_json(F.col(value_col).cast("string"), schema).alias("_r")).select("_r.*")
 
 
-def enrich_stream(stream: DataFrame, static: DataFrame, key: str = "tag_id", max_rows: int = 100_000) -> DataFrame:
-    """Stream–static join; the static dimension is broadcast only within ``max_rows`` (checked, re-planted
-    as a local relation), else joined as a distributed static side."""
-    from stratum.operators.joins import bounded_side
+def enrich_stream(stream: DataFrame, static: DataFrame, key: str = "tag_id") -> DataFrame:
+    """Stream–static join; each micro-batch is planned from the static side's measured size."""
+    return stream.join(static, key)
 
-    return stream.join(bounded_side(static, max_rows), key)
+
+def bucket_partials_writer(out_path: str, ts: str = "record_time", value: str = "value", sensor_col: str = "sensor_name",
+                           seconds: int = 30) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` sink for lossless buckets: (bucket, sensor, total, n) of each micro-batch, in ``out/batch=<id>``
+    (overwrite: a replayed batch replaces itself). Late rows and buckets that span batches merge on read with
+    :func:`merged_buckets`; no watermark, no state, any sensor names."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        part = (batch.withColumn("bucket", round_to_nearest_seconds(ts, seconds)).groupBy("bucket", sensor_col)
+                .agg(F.sum(value).alias("total"), F.count(value).alias("n")))
+        part.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+
+    return write
+
+
+def merged_buckets(spark: SparkSession, out: str, sensors: Sequence[str] | None = None, sensor_col: str = "sensor_name") -> DataFrame:
+    """One row per bucket over all batches, one column per sensor: its average. ``sensors``: the columns, else those found
+    (a NULL name is the column ``null``)."""
+    schema = f"bucket timestamp, {sensor_col} string, total double, n long"
+    parts = read_output(spark, out, schema).groupBy("bucket", sensor_col).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    names = [sensors] if sensors else []
+    wide = parts.groupBy("bucket").pivot(sensor_col, *map(list, names))
+    return wide.agg(F.sum(F.col("total") / F.when(F.col("n") > 0, F.col("n"))))
 
 
 def bucket_pivot_stream(enriched: DataFrame, sensors: Sequence[str], ts: str = "record_time", value: str = "value",
@@ -76,19 +96,17 @@ def bucket_pivot_stream(enriched: DataFrame, sensors: Sequence[str], ts: str = "
 
 
 def idempotent_batch_writer(out_path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink: skip empty batches; batch ``b`` overwrites ``out/batch=b`` so a
+    """foreachBatch sink: batch ``b`` overwrites ``out/batch=b`` so a
     re-run batch after a failure replaces, never duplicates, its rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch.write.mode("overwrite").format(fmt).save(os.path.join(out_path, f"batch={batch_id}"))
+        batch.write.mode("overwrite").format(fmt).save(f"{out_path}/batch={batch_id}")
 
     return write
 
 
 def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
-                      writer: Callable[[DataFrame, int], None] | None = None, state_partitions: int | None = None) -> str:
+                      writer: Callable[[str], Callable[[DataFrame, int], None]] | None = None, state_partitions: int | None = None) -> str:
     """Run a streaming query over everything available now, synchronously; returns its output folder.
 
     Checkpoint and output go below ``spark.checkpoint.dir`` (shared storage).
@@ -101,7 +119,7 @@ def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
     base = os.path.join(checkpoint_dir(spark), "stratum-streams", f"{name}-{uuid.uuid4().hex[:12]}")
     out = os.path.join(base, "out")
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", os.path.join(base, "chk"))
-    w = w.foreachBatch(writer or idempotent_batch_writer(out))
+    w = w.foreachBatch((writer or idempotent_batch_writer)(out))
     parts = state_partitions or 2 * spark.sparkContext.defaultParallelism
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
@@ -115,39 +133,11 @@ def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
     return out
 
 
-def read_output(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
-    """Batch view of a sink folder (empty frame with ``schema`` when nothing was written)."""
-    if not os.path.isdir(out) and "://" not in out:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(out)
+def read_output(spark: SparkSession, out: str, schema: T.StructType | str) -> DataFrame:
+    """Batch view of a sink folder; a folder that does not exist is an error, not an empty table."""
+    return spark.read.schema(schema).parquet(out).drop("batch")
 
 
 def score_stream(stream: DataFrame, model) -> DataFrame:
     """Apply a fitted (or loaded) PipelineModel to a stream (stateless transform)."""
     return model.transform(stream)
-
-
-def pivot_each_batch_writer(out_path: str, ts: str = "record_time", value: str = "value",
-                            sensor_col: str = "sensor_name", seconds: int = 30,
-                            max_sensors: int = 10_000) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` pivot for sensors not known in advance (value-less ``pivot`` is rejected on streams).
-
-    Each micro-batch discovers its sensor names (a bounded distinct, checked
-    against ``max_sensors``), averages per nearest ``seconds`` bucket and
-    writes ``out/batch=<id>`` (overwrite: a replayed batch replaces itself).
-    Buckets are per batch, not merged across batches; use
-    :func:`bucket_pivot_stream` when the sensor list is known and each bucket
-    must be emitted once.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        names = [r[0] for r in batch.select(sensor_col).distinct().limit(max_sensors + 1).collect()]
-        if len(names) > max_sensors:
-            raise ValueError(f"more than {max_sensors} sensors in batch {batch_id}")
-        b = batch.withColumn("bucket", round_to_nearest_seconds(ts, seconds))
-        wide = b.groupBy("bucket").pivot(sensor_col, sorted(n for n in names if n is not None)).agg(F.avg(value))
-        wide.write.mode("overwrite").parquet(os.path.join(out_path, f"batch={batch_id}"))
-
-    return write

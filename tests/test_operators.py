@@ -237,23 +237,22 @@ def test_permute_column_is_a_permutation(spark):
     assert sum(1 for r in got if r["v"] == r["k"] * 3) < 50  # actually shuffled
 
 
-def test_group_stats_fallback_equals_broadcast(spark):
+def test_group_stats_broadcast_equals_shuffle(spark):
     rnd = random.Random(8)
     rows = [("hot" if i % 3 == 0 else f"g{i % 17}", rnd.random()) for i in range(600)]
     df = spark.createDataFrame(rows, "g string, v double")
     aggs = [F.avg("v").alias("m"), F.stddev_pop("v").alias("s")]
     small = sorted(W.with_group_stats(df, ["g"], aggs).collect())
-    big = sorted(W.with_group_stats(df, ["g"], aggs, max_rows=3).collect())  # above the bound: shuffle join
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    big = sorted(W.with_group_stats(df, ["g"], aggs).collect())
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert small == big
 
 
-def test_lookup_join_fallback_equals_broadcast(spark):
-    facts = spark.range(300).select((F.col("id") % 30).alias("k"), F.col("id").alias("v"))
-    dim = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    a = sorted(J.lookup_join(facts, dim, "k").collect())
-    b = sorted(J.lookup_join(facts, dim, "k", max_rows=5).collect())
-    c = sorted(J.lookup_join(facts, dim, "k", max_rows=5, replant=False).collect())
-    assert a == b == c and len(a) == 300
+def test_delta_previous_keeps_rows_without_order(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 3, 4.0), ("a", None, 9.0)], "n string, y int, v double")
+    got = {r["v"]: r["delta_v"] for r in W.delta_previous(df, "n", "y", ["v"]).collect()}
+    assert got == {1.0: None, 4.0: 3.0, 9.0: None}
 
 
 def test_rank_within_hot_group_with_ties(spark):
@@ -268,12 +267,12 @@ def test_rank_within_hot_group_with_ties(spark):
         assert [v for v, _ in ranks] == vals  # rank order follows value order
 
 
-def test_similarity_shuffled_path_matches_broadcast_path(spark):
+def test_similarity_salted_cells_match_unsalted(spark):
     rnd = random.Random(21)
     rows = [(f"n{i}", e, 2000 + e, [rnd.gauss(0, 0.5) for _ in range(6 * (e + 1))]) for e in range(2) for i in range(50)]
     df = spark.createDataFrame(rows, "name string, experience int, year int, vec array<double>")
     a = sorted(tuple(r) for r in SN.similar_within_radius(df, 0.45).collect())
-    b = sorted(tuple(r) for r in SN.similar_within_radius(df, 0.45, max_broadcast_rows=1).collect())
+    b = sorted(tuple(r) for r in SN.similar_within_radius(df, 0.45, hot_cell_rows=2).collect())
     assert a == b and len(a) > 0
 
 
@@ -303,7 +302,7 @@ def test_similarity_hot_cell_salting_is_exact(spark):
     rows += [(f"n{i}", 0, 2000, [rnd.gauss(0, 1) for _ in range(6)]) for i in range(40)]
     df = spark.createDataFrame(rows, "name string, experience int, year int, vec array<double>")
     r = 0.3
-    got = sorted(tuple(x) for x in SN.similar_within_radius(df, r, max_broadcast_rows=1, hot_cell_rows=7).collect())
+    got = sorted(tuple(x) for x in SN.similar_within_radius(df, r, hot_cell_rows=7).collect())
     want = []
     for a, ea, ya, va in rows:
         for b, eb, _, vb in rows:

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -34,15 +36,34 @@ def test_poly_fit_recovers_coefficients(spark):
     assert abs(m.intercept - 4) < 1e-6 and abs(c[0] - 6) < 1e-6 and abs(c[1] - 2) < 1e-6 and abs(c[2] + 1) < 1e-6
 
 
-def test_stream_equals_batch_for_closed_buckets(spark):
+def test_stream_equals_batch(spark):
     import __spark_entry__ as E
 
     s = E.queries()["stream_bucket_avg"](spark, SF)
     b = E.queries()["sensor_bucket30s_pivot"](spark, SF)
-    mx = b.agg(F.max("bucket")).first()[0]
-    closed = b.where(F.col("bucket") < F.lit(mx))
-    assert s.exceptAll(closed).count() == 0
-    assert closed.exceptAll(s).count() == 0
+    assert s.exceptAll(b).count() == 0
+    assert b.exceptAll(s).count() == 0
+
+
+def test_stream_folder_source_out_of_order_batches_changing_sensors(spark, tmp_path):
+    """Three batches from a folder: a late row, a bucket over two batches, a sensor that appears later."""
+    import datetime as dt
+
+    from stratum.streaming import sensors as ST
+
+    t0, sec = dt.datetime(2024, 1, 1), dt.timedelta(seconds=1)
+    schema = "record_time timestamp, tag_id int, value double"
+    batches = [[(t0 + 50 * sec, 0, 5.0), (t0 + 130 * sec, 0, 7.0)], [(t0 + 1 * sec, 0, 100.0), (t0 + 55 * sec, 1, 4.0)],
+               [(t0 + 52 * sec, 0, 9.0), (t0 + 200 * sec, 0, 1.0)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "src"))
+    tags = spark.createDataFrame([(0, "A"), (1, "B")], "tag_id int, sensor_name string")
+    stream = ST.read_stream(spark, str(tmp_path / "src"), ST.READING_SCHEMA, max_files_per_trigger=1)
+    out = ST.run_available_now(ST.enrich_stream(stream, tags), "folder", writer=ST.bucket_partials_writer)
+    got = {r["bucket"]: (r["A"], r["B"]) for r in ST.merged_buckets(spark, out).collect()}
+    assert got == {t0: (100.0, None), t0 + 60 * sec: (7.0, 4.0), t0 + 120 * sec: (7.0, None), t0 + 210 * sec: (1.0, None)}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        ST.read_output(spark, str(tmp_path / "nowhere"), ST.READING_SCHEMA).count()
 
 
 def test_queries_run_on_smallest_tables(spark):
@@ -98,7 +119,7 @@ def test_batch_writer_is_idempotent(spark, tmp_path):
     df = spark.range(5)
     w(df, 0)
     w(df, 0)  # replayed batch replaces its own output
-    w(spark.range(0), 1)  # empty batch writes nothing
+    w(spark.range(0), 1)  # an empty batch adds no rows
     assert spark.read.parquet(out).count() == 5
 
 
