@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 import unicodedata
 
 import numpy as np
@@ -23,10 +24,11 @@ from pyspark.sql import functions as F
 from .bpe_tables import SPACE, default_path, splitter, stretches, tables
 from .common import id_text
 
-# The word pattern in the vocabulary file, with its white space written out.
-WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+"
+# The word pattern in the vocabulary file, with its white space written out and letters first.
+WORDS = rf"\p{{L}}+|\p{{N}}|'s|'t|'re|'ve|'m|'ll|'d|[^{SPACE}\p{{L}}\p{{N}}]+"
+ASCII_WORDS = r"[a-z]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\t-\r a-z0-9]+"
 #: Words and fragments a worker remembers; it forgets all of them beyond this, which costs time only.
-MEMO = 500_000
+MEMO = 800_000
 
 
 def normalize(text: str) -> str:
@@ -36,19 +38,11 @@ def normalize(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
-def unassigned() -> str:
-    """A character class of the code points this Python's Unicode does not know; other libraries may know them already."""
-    points = [i for i in range(0x80, 0x110000) if unicodedata.category(chr(i)) == "Cn"]
-    starts = [p for p, q in zip(points, [-1, *points]) if p != q + 1]
-    ends = [p for p, q in zip(points, [*points[1:], -1]) if q != p + 1]
-    # U+1DF6 changed its combining class
-    return "[\\u1df6" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends)) + "]"
-
-
 class Codec:
     def __init__(self, path: str):
         self.t, self.path = tables(path), path
-        self.unknown, self.library = re.compile(unassigned()), None
+        self.ascii, self.library = re.compile(ASCII_WORDS), None
+        self.fine: set[str] = set()
         self.words, self.suffix = splitter(WORDS), self.t.suffix
         self.joined = {p for token in self.t.vocab for s in [self.symbols(token)] for p in zip(s, s[1:])}
         self.special = self.t.special
@@ -105,14 +99,21 @@ class Codec:
         """Ids of a normalised word, little-endian 32-bit."""
         chars = [self.t.chars[b] for b in word.encode()]
         chars[-1] += self.suffix
-        ids = np.array([i for f in self.fragments(chars) for i in self.fragment(f)], "<u4").tobytes()
+        found = [i for f in self.fragments(chars) for i in self.fragment(f)]
+        ids = struct.pack(f"<{len(found)}I", *found)
         if len(word) < 200:
             self.word_memo[word] = ids
         return ids
 
     def split(self, text: str) -> list[str]:
         """The normalised words. Code points newer than Python's Unicode are left to the library's normaliser and splitter."""
-        if text.isascii() or self.unknown.search(text) is None:
+        if text.isascii():
+            return self.ascii.findall(text.lower())
+        new = set(text) - self.fine
+        # what Python's Unicode does not know yet; U+1DF6 changed its combining class
+        unknown = {c for c in new if unicodedata.category(c) == "Cn" or c == "\u1df6"}
+        self.fine |= new - unknown
+        if not unknown:
             return self.words.findall(normalize(text))
         if self.library is None:
             from tokenizers import Tokenizer
