@@ -17,8 +17,7 @@ from stratum.session import load
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the threshold table."""
-    columns = docs.columns
-    return quality.quality(docs, keep=tuple(columns)).where("kept").select(*columns)
+    return quality.keep_good(docs)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,14 +35,13 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of repeated 200-byte strings; a character that lost some of its bytes goes whole."""
-    columns = docs.columns
-    made = suffix.dedup(docs.select("*", F.lit(0).alias("_none")), length=200, with_kept=True, keep=tuple(c for c in columns if c not in ("doc_id", "text", "n_chars")))
-    untouched = F.decode(F.col("kept"), "UTF-8")
-    text = F.when(F.col("n_removed") == 0, untouched).otherwise(_readable(F.col("kept")))
-    made = made.withColumn("text", text)
-    if "n_chars" in columns:
-        made = made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return made.select(*columns)
+    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))  # one column: names cannot clash
+    made = suffix.dedup(whole, length=200, with_kept=True, keep=("_row",))
+    made = made.withColumn("text", F.when(F.col("n_removed") == 0, F.decode(F.col("kept"), "UTF-8")).otherwise(_readable(F.col("kept"))))
+    own = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        own["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return made.select(*[own.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 @F.pandas_udf("string")

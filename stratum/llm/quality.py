@@ -107,3 +107,14 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (metrics(df, id_col, text_col, keep).withColumn("base_failed", base)
             .withColumn("kept", ~F.col("base_failed") & compile_rules(rules)))
+
+
+def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:
+    """The rows of ``df``, all columns, that are kept.
+
+    The partition number in the filter holds the optimizer from moving the filter below the metrics, where it would
+    compute every array of every rule anew.
+    """
+    whole = df.select(F.col(id_col), F.col(text_col), F.struct(*df.columns).alias("_row"))  # one column: names cannot clash
+    judged = quality(whole, id_col, text_col, rules, keep=("_row",)).withColumn("_part", F.spark_partition_id())
+    return judged.where(F.col("kept") & (F.col("_part") >= 0)).select("_row.*")
