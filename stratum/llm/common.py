@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from stratum.session import checkpoint_dir
 
 
+BATCH_ROWS = 1024
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder in ``spark.checkpoint.dir`` (visible to the driver and every executor)."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
@@ -30,7 +33,14 @@ def free_shuffles(spark: SparkSession) -> None:
 
 
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the two columns an operator needs, under fixed names; a null text is the empty text."""
+    """Only the two columns an operator needs, under fixed names; a null text is the empty text.
+
+    Whole texts are large rows: the session's Arrow batches are held to ``BATCH_ROWS`` rows, so that a task's two
+    processes hold few megabytes of them at a time.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 

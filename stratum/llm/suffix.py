@@ -29,11 +29,13 @@ from .common import free_shuffles, id_text, table
 
 GRAM = 64
 #: Bytes scanned at a time; positions must fit into 20 bits.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 #: Anchors gathered before a task counts equal ones together.
-FLUSH = 400_000
+FLUSH = 150_000
+#: Rows handled at a time in a task.
+ROWS = 512
 #: Bytes sorted at a time, and different stretches of one anchor up to which they are sorted together.
-SORT_BYTES = 1 << 20
+SORT_BYTES = 1 << 19
 CROWD = 2000
 #: Bytes of stretches dealt to one task, about.
 TASK_BYTES = 8 << 20
@@ -146,7 +148,7 @@ def scan(docs: DataFrame, length: int, combine: bool) -> DataFrame:
                 cols, ids = [c[keep] for c in cols], ids.take(pa.array(keep))
             return pa.RecordBatch.from_arrays([ids, *(pa.array(c) for c in (*cols, n))], names=["doc_id", *fields])
 
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             row = batch.column(0).to_numpy()
             texts = batch.column(2).cast(pa.binary()).to_pylist()
             for data, owner, offset, starts, ends in blocks(texts, length):
@@ -366,7 +368,7 @@ def dedup(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: st
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def finish(batches):
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             out = []
             for i, text in enumerate(batch.column(m + 1).cast(pa.binary()).to_pylist()):
                 spans_ = batch.column(m + 2)

@@ -26,9 +26,11 @@ from .common import id_text, table
 
 PER_CLASS = 3000
 MAX_FEATURES = 1500
+#: A text is toxic from this severity on.
+LIMIT = 0.15
 #: Features are left out whose shares in toxic and clean texts differ by a smaller factor, or by fewer standard errors than the
 #: largest of so many chance differences would reach: the square root of 2 ln(number of features).
-MIN_LIFT = 8.0
+MIN_LIFT = 20.0
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -54,8 +56,8 @@ def mark(text: str | None) -> int:
 class Ordinal:
     """Weights by feature, and thresholds in rising order."""
 
-    def __init__(self, weights: dict[str, float], thresholds: list[float]):
-        self.weights, self.thresholds = weights, thresholds
+    def __init__(self, weights: dict[str, float], thresholds: list[float], limit: float = LIMIT):
+        self.weights, self.thresholds, self.limit = weights, thresholds, limit
 
     def score(self, text: str | None) -> float:
         return sum(self.weights[f] for f in sorted(self.weights.keys() & features(text)))
@@ -146,12 +148,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
     if len(codes) < 2:
         return Ordinal({}, [40.0])
     w, thresholds = train(x, np.searchsorted(codes, y), len(codes))
-    return Ordinal({f: float(v) for f, v in zip(names, w)}, [float(t) for t in thresholds])
+    model = Ordinal({f: float(v) for f, v in zip(names, w)}, [float(t) for t in thresholds])
+    return model
 
 
-def score(df: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.15) -> DataFrame:
-    """doc_id, severity (expected grade), grade (rounded), toxic (severity >= ``limit``), kept (not toxic)."""
-    docs = id_text(df, id_col, text_col)
+def score(df: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text", limit: float | None = None) -> DataFrame:
+    """doc_id, severity (expected grade), grade (rounded), toxic (severity >= ``limit``, the model's if none is given), kept (not toxic)."""
+    docs, limit = id_text(df, id_col, text_col), model.limit if limit is None else limit
 
     def run(batches):
         for batch in batches:
@@ -165,9 +168,9 @@ def score(df: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str =
                          (F.col("severity") < limit).alias("kept"))
 
 
-def keep_clean(df: DataFrame, model: Ordinal, text_col: str = "text", limit: float = 0.15) -> DataFrame:
-    """The rows of ``df``, all columns, whose severity is below ``limit``."""
-    at = df.columns.index(text_col)
+def keep_clean(df: DataFrame, model: Ordinal, text_col: str = "text", limit: float | None = None) -> DataFrame:
+    """The rows of ``df``, all columns, whose severity is below ``limit`` (the model's if none is given)."""
+    at, limit = df.columns.index(text_col), model.limit if limit is None else limit
 
     def run(batches):
         for batch in batches:
