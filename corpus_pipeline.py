@@ -5,10 +5,10 @@ and reads it again as the next stage's documents. All stages but the last return
 same ``doc_id`` are the same document to the near-duplicate stage and stay or go together.
 """
 
-from __future__ import annotations
-
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from stratum.llm import packing, quality, simhash, suffix, toxicity
 from stratum.llm.common import free_shuffles, scratch, table
@@ -44,8 +44,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return made.select(*[own.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
-@F.pandas_udf("string")
-def _readable(kept):
+@F.pandas_udf(StringType())
+def _readable(kept: pd.Series) -> pd.Series:
     return kept.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
 
 
