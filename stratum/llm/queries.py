@@ -73,8 +73,8 @@ def quality_sql(source: str, rules=quality.RULES) -> str:
     """The counts, base_failed and kept for a table or subquery with doc_id and text."""
     return f"""
 WITH src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM {source}),
-w AS (SELECT rid, doc_id, t, list_filter(regexp_split_to_array(t, '[ \\t\\n\\x0b\\f\\r]+'), x -> x <> '') AS ws,
-             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^ \\t\\n\\x0b\\f\\r]')) AS ls FROM src),
+w AS (SELECT rid, doc_id, t, list_filter(regexp_split_to_array(t, '[ \\t\\n\\x0b\\f\\r]+'), lambda x: x <> '') AS ws,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0b\\f\\r]')) AS ls FROM src),
 g AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s
       FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
 r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, s) AS n FROM g) WHERE n > 1),
@@ -82,7 +82,7 @@ c AS (SELECT rid, count(DISTINCT i + k) AS n FROM r, (VALUES (0), (1), (2)) AS v
 m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
              (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
              (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
-             len(ls)::BIGINT AS n_lines, len(list_filter(ws, x -> x IN ({_STOP})))::BIGINT AS n_stop_words,
+             len(ls)::BIGINT AS n_lines, len(list_filter(ws, lambda x: x IN ({_STOP})))::BIGINT AS n_stop_words,
              len(regexp_extract_all(t, '\\p{{Lu}}{{2}}'))::BIGINT AS n_shout_pairs
       FROM w LEFT JOIN c USING (rid)),
 q AS (SELECT *, word_chars / greatest(n_words, 1) AS mean_word_chars, n_symbols / greatest(word_chars, 1) AS symbol_ratio,
@@ -117,8 +117,8 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN target IS NOT NULL AND
 
 EMBEDDING_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
-ok AS (SELECT *, sqrt(list_sum(list_transform(e, x -> x * x))) AS n FROM v
-       WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0),
+ok AS (SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM v
+       WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 good AS (SELECT * FROM ok WHERE n > 0),
 link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
          WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98),
