@@ -35,6 +35,8 @@ JOINT = 3
 DEVIATIONS = 2.5
 RECALL = 0.999
 BLOCK = 4096
+#: Pairs of one window that are counted and verified at a time.
+PAIRS = 1 << 17
 #: Oversized cells are few (each holds over BLOCK vectors); up to this many are broadcast, else joined.
 MAX_BROADCAST_ROWS = 100_000
 
@@ -203,21 +205,12 @@ class _Index:
         lead = self.p[:, self.t * JOINT]
         low = np.searchsorted(lead, p[:, self.t * JOINT] - window, "left")
         high = np.searchsorted(lead, p[:, self.t * JOINT] + window, "right")
-        number = high - low
-        q = np.repeat(np.arange(len(p)), number)
-        d = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number - low, number)
-        for j in range(self.t * JOINT + 1, (self.t + 1) * JOINT):
-            near = np.abs(p[q, j] - self.p[d, j]) <= window
-            q, d = q[near], d[near]
-        keep = (k1[q] != self.k1[d]) | (k2[q] != self.k2[d])
-        q, d = q[keep], d[keep]
-        hits = np.abs(p[q] - self.p[d]) <= window
-        fresh = hits.sum(axis=1) >= enough
-        for t in range(self.t):  # met in an earlier group already
-            fresh &= ~hits[:, t * JOINT:(t + 1) * JOINT].all(axis=1)
-        q, d = q[fresh], d[fresh]
-        linked = (x[q] * self.x[d]).sum(axis=1) >= cosine
-        q, d = q[linked], d[linked]
+        ends, first, found = np.cumsum(high - low), 0, []
+        while first < len(p):  # about PAIRS window collisions at a time, so that a dense block needs no more memory
+            stop = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + PAIRS, "right")))
+            found.append(self._linked(np.arange(first, stop), low, high, x, p, k1, k2, window, enough, cosine))
+            first = stop
+        q, d = (np.concatenate(side) for side in zip(*found)) if found else (np.zeros(0, int),) * 2
         if not len(q):
             return
         n = np.bincount(q, weights=self.members[d], minlength=len(p)).astype(np.int64)
@@ -232,3 +225,21 @@ class _Index:
         node, root = where[node], where[root]
         yield pa.RecordBatch.from_arrays([pa.array(pairs[node, 0].copy()), pa.array(pairs[node, 1].copy()), pa.array(np.zeros(len(node), np.int64)),
                                           pa.array(pairs[root, 0].copy()), pa.array(pairs[root, 1].copy())], names=["k1", "k2", "n", "r1", "r2"])
+
+    def _linked(self, asks, low, high, x, p, k1, k2, window: float, enough: int, cosine: float):
+        """(query, vector here) of the pairs that collide often enough and reach the cosine."""
+        number = high[asks] - low[asks]
+        q = np.repeat(asks, number)
+        d = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number - low[asks], number)
+        for j in range(self.t * JOINT + 1, (self.t + 1) * JOINT):
+            near = np.abs(p[q, j] - self.p[d, j]) <= window
+            q, d = q[near], d[near]
+        keep = (k1[q] != self.k1[d]) | (k2[q] != self.k2[d])
+        q, d = q[keep], d[keep]
+        hits = np.abs(p[q] - self.p[d]) <= window
+        fresh = hits.sum(axis=1) >= enough
+        for t in range(self.t):  # met in an earlier group already
+            fresh &= ~hits[:, t * JOINT:(t + 1) * JOINT].all(axis=1)
+        q, d = q[fresh], d[fresh]
+        linked = (x[q] * self.x[d]).sum(axis=1) >= cosine
+        return q[linked], d[linked]
