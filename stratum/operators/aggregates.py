@@ -93,8 +93,9 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def fraction_where(df: DataFrame, group: Sequence[str], pred: Column, name: str = "fraction") -> DataFrame:
-    return df.groupBy(*group).agg(F.avg(pred.cast("double")).alias(name))
+def fraction_where(df: DataFrame, group: Sequence[str], pred: Column, name: str = "fraction", count_name: str = "n") -> DataFrame:
+    """Share of rows for which ``pred`` holds, and the number of rows, per group in one pass."""
+    return df.groupBy(*group).agg(F.avg(pred.cast("double")).alias(name), F.count(F.lit(1)).alias(count_name))
 
 
 def conditional_counts(df: DataFrame, preds: dict[str, Column], extra: dict[str, Column] | None = None) -> DataFrame:

@@ -153,12 +153,13 @@ def box_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
 
 
 def bandwidth_nrd0(df: DataFrame, col: str) -> float:
-    """Silverman's rule (R ``bw.nrd0``): 0.9·min(sd, IQR/1.34)·n^(−1/5)."""
-    s = df.agg(F.stddev_samp(col).alias("sd"), F.count(col).alias("n")).first()
+    """Silverman's rule (R ``bw.nrd0``): 0.9·min(sd, IQR/1.34)·n^(−1/5); where both are zero, |value| or 1 stands for them."""
+    s = df.agg(F.stddev_samp(col).alias("sd"), F.count(col).alias("n"), F.min(F.abs(col)).alias("least")).first()
     q = exact_quantiles(df.select(F.lit(0).alias("_g"), col), ["_g"], col, [0.25, 0.75]).orderBy("p").collect()
     iqr = q[1]["q"] - q[0]["q"]
-    lo = min(s["sd"], iqr / 1.34) if iqr > 0 else s["sd"]
-    return 0.9 * lo * s["n"] ** (-0.2)
+    sd = s["sd"] or 0.0  # a single value has no deviation
+    lo = min(sd, iqr / 1.34) if iqr > 0 else sd
+    return 0.9 * (lo or float(s["least"]) or 1.0) * s["n"] ** (-0.2)
 
 
 def kde_grid(df: DataFrame, col: str, n: int = 512, adjust: float = 1.0, cut: float = 3.0,
@@ -169,8 +170,11 @@ def kde_grid(df: DataFrame, col: str, n: int = 512, adjust: float = 1.0, cut: fl
     (each value splits its weight between the two nearest grid points) in one
     partial-aggregated pass, so the data-sized work is linear; the kernel sum
     then runs on the ≤ n binned weights × n grid points (a bounded table).
+    A column without values gives an empty grid.
     """
     lo_v, hi_v, cnt = _bounds(df, col)
+    if not cnt:
+        return df.sparkSession.createDataFrame([], "i int, x double, density double")
     h = (bw if bw is not None else bandwidth_nrd0(df, col)) * adjust
     lo = lo_v - cut * h
     hi = hi_v + cut * h
@@ -200,7 +204,6 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
-LOCAL_KENDALL_CELLS = 200_000
 KENDALL_GROUP_CELLS = 50_000
 
 
@@ -251,19 +254,19 @@ def _block_ids(df: DataFrame, col: str, bounds: list[float], out: str) -> DataFr
     return x.withColumn(out, F.when(eq, 2 * k - 1).otherwise(2 * k)).drop("_v", "_k")
 
 
-def kendall_tau_b(df: DataFrame, x: str, y: str, local_cells: int = LOCAL_KENDALL_CELLS,
-                  group_cells: int = KENDALL_GROUP_CELLS) -> DataFrame:
+def kendall_tau_b(df: DataFrame, x: str, y: str, group_cells: int = KENDALL_GROUP_CELLS) -> DataFrame:
     """Exact Kendall τ-b of two numeric columns, distributed.
 
     S = n0 − n1 − n2 + n3 − 2D, where n1/n2/n3 are tied pairs in x / y / both
     (from group counts) and D is the weighted number of discordant pairs over
-    the distinct (x, y) cells. Up to ``local_cells`` cells D is one Fenwick
-    sweep on the (bounded) cell table. Beyond that, x and y are cut into
-    quantile blocks (boundary values become single-value blocks, so a hot
-    value never makes a block large): pairs in different blocks on both axes
-    are counted from the bounded block-count grid; pairs in one x block but
-    different y blocks, and pairs in one y block, are counted exactly inside
-    each block by ``applyInPandas`` (groups of about ``group_cells`` cells).
+    the distinct (x, y) cells. x and y are cut into quantile blocks (boundary
+    values become single-value blocks, so a hot value never makes a block
+    large): pairs in different blocks on both axes are counted from the block
+    grid (at most 4001 x 4001 numbers on the driver, whatever the data size);
+    pairs in one x block but different y blocks, and pairs in one y block, are
+    counted exactly inside each block by ``applyInPandas`` (groups of about
+    ``group_cells`` cells, more beyond 2000 times as many cells).
+    Counts are whole numbers throughout, so ties are exact at any size.
     """
     import math
 
@@ -279,54 +282,50 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, local_cells: int = LOCAL_KENDAL
                         .agg(F.count(F.lit(1)).alias("c")))
     tx = cells.groupBy("x").agg(F.sum("c").alias("t"))
     ty = cells.groupBy("y").agg(F.sum("c").alias("t"))
-    pairs = F.sum(F.col("t") * (F.col("t") - 1) / 2)
-    n, n3, k = cells.agg(F.sum("c"), F.sum(F.col("c") * (F.col("c") - 1) / 2), F.count(F.lit(1))).first()
+    pairs = lambda c: F.sum(F.expr(f"cast({c} as decimal(19,0)) * ({c} - 1)"))  # noqa: E731  twice the tied pairs
+    n, n3, k = cells.agg(F.sum("c"), pairs("c"), F.count(F.lit(1))).first()
     if not n:
         return spark.createDataFrame([(None, 0)], "tau_b double, n long")
-    n1 = int(tx.agg(pairs).first()[0])
-    n2 = int(ty.agg(pairs).first()[0])
-    n, n3 = int(n), int(n3)
+    n1 = int(tx.agg(pairs("t")).first()[0]) // 2
+    n2 = int(ty.agg(pairs("t")).first()[0]) // 2
+    n, n3 = int(n), int(n3) // 2
     n0 = n * (n - 1) // 2
-    if k <= local_cells:
-        pdf = cells.toPandas()
-        d = _weighted_inversions(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["c"].to_numpy(dtype=np.int64))
-    else:
-        blocks = min(2000, max(2, math.ceil(k / group_cells)))
-        probs = [i / blocks for i in range(1, blocks)]
-        rel = 1.0 / (4 * blocks)
-        bx = sorted(set(cells.approxQuantile("x", probs, rel)))
-        by = sorted(set(cells.approxQuantile("y", probs, rel)))
-        b = _block_ids(_block_ids(cells, "x", bx, "xb"), "y", by, "yb")
-        b = cut_lineage(b)
-        # (1) different x block and different y block: from the bounded block grid
-        grid = b.groupBy("xb", "yb").agg(F.sum("c").alias("c")).toPandas()
-        gx, gy = 2 * len(bx) + 1, 2 * len(by) + 1
-        xi, yi = grid["xb"].to_numpy(dtype=np.int64), grid["yb"].to_numpy(dtype=np.int64)
-        cv = grid["c"].to_numpy(dtype=np.int64)
-        T = np.zeros((gx, gy), dtype=np.int64)
-        np.add.at(T, (xi, yi), cv)
-        # below[i, j] = Σ T[i', j'] over i' > i and j' < j (counts ≤ n, exact in int64)
-        later = np.zeros((gx, gy), dtype=np.int64)
-        later[:-1] = np.cumsum(T[::-1], axis=0)[::-1][1:]
-        below = np.zeros((gx, gy), dtype=np.int64)
-        below[:, 1:] = np.cumsum(later, axis=1)[:, :-1]
-        # products can exceed int64: sum them as Python integers over the non-empty cells only
-        d = sum(int(a) * int(b) for a, b in zip(cv, below[xi, yi]))
-        schema = "d long"
-
-        def within(key: str, v: str):
-            def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-                xs, vs = pdf["x"].to_numpy(), pdf[v].to_numpy()
-                return pd.DataFrame({"d": [_weighted_inversions(xs, vs, pdf["c"].to_numpy(dtype=np.int64))]})
-            return fn
-
-        # (2) same x block (interval blocks only), different y blocks: compare by y block
-        d2 = (b.where(F.col("xb") % 2 == 0).groupBy("xb").applyInPandas(within("xb", "yb"), schema)
-              .agg(F.sum("d")).first()[0] or 0)
-        # (3) same y block (interval blocks only), any x: exact y comparison
-        d3 = (b.where(F.col("yb") % 2 == 0).groupBy("yb").applyInPandas(within("yb", "y"), schema)
-              .agg(F.sum("d")).first()[0] or 0)
-        d = int(d) + int(d2) + int(d3)
+    blocks = min(2000, max(2, math.ceil(k / group_cells)))
+    probs = [i / blocks for i in range(1, blocks)]
+    rel = 1.0 / (4 * blocks)
+    bx = sorted({v for v in cells.approxQuantile("x", probs, rel) if math.isfinite(v)})
+    by = sorted({v for v in cells.approxQuantile("y", probs, rel) if math.isfinite(v)})
+    b = _block_ids(_block_ids(cells, "x", bx, "xb"), "y", by, "yb")
+    b = cut_lineage(b)
+    # (1) different x block and different y block: from the bounded block grid
+    grid = b.groupBy("xb", "yb").agg(F.sum("c").alias("c")).toPandas()
+    gx, gy = 2 * len(bx) + 1, 2 * len(by) + 1
+    xi, yi = grid["xb"].to_numpy(dtype=np.int64), grid["yb"].to_numpy(dtype=np.int64)
+    cv = grid["c"].to_numpy(dtype=np.int64)
+    T = np.zeros((gx, gy), dtype=np.int64)
+    np.add.at(T, (xi, yi), cv)
+    # below[i, j] = Σ T[i', j'] over i' > i and j' < j (counts ≤ n, exact in int64)
+    later = np.zeros((gx, gy), dtype=np.int64)
+    later[:-1] = np.cumsum(T[::-1], axis=0)[::-1][1:]
+    below = np.zeros((gx, gy), dtype=np.int64)
+    below[:, 1:] = np.cumsum(later, axis=1)[:, :-1]
+    # products can exceed int64: sum them as Python integers over the non-empty cells only
+    d = sum(int(a) * int(b) for a, b in zip(cv, below[xi, yi]))
+    schema = "d long"
+
+    def within(key: str, v: str):
+        def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+            xs, vs = pdf["x"].to_numpy(), pdf[v].to_numpy()
+            return pd.DataFrame({"d": [_weighted_inversions(xs, vs, pdf["c"].to_numpy(dtype=np.int64))]})
+        return fn
+
+    # (2) same x block (interval blocks only), different y blocks: compare by y block
+    d2 = (b.where(F.col("xb") % 2 == 0).groupBy("xb").applyInPandas(within("xb", "yb"), schema)
+          .agg(F.sum("d")).first()[0] or 0)
+    # (3) same y block (interval blocks only), any x: exact y comparison
+    d3 = (b.where(F.col("yb") % 2 == 0).groupBy("yb").applyInPandas(within("yb", "y"), schema)
+          .agg(F.sum("d")).first()[0] or 0)
+    d = int(d) + int(d2) + int(d3)
     S = n0 - n1 - n2 + n3 - 2 * int(d)
     den = math.sqrt(float((n0 - n1) * (n0 - n2)))
     tau = float(S) / den if den > 0 else None

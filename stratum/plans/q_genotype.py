@@ -46,10 +46,8 @@ SELECT variant_id, count(gt) AS n_called_before, count(CASE WHEN {_AB_OK} THEN g
 FROM (SELECT *, CASE WHEN ad_ref + ad_alt > 0 THEN ad_alt / (ad_ref + ad_alt) END AS ab FROM genotypes) t
 GROUP BY variant_id"""))
 def balance_filter(spark, sf):
-    g = _g(spark, sf)
-    before = g.groupBy("variant_id").agg(F.count("gt").alias("n_called_before"))
-    after = GT.balance_filter(g).groupBy("variant_id").agg(F.count("gt").alias("n_called_after"))
-    return before.join(after, "variant_id")
+    g = GT.balance_filter(_g(spark, sf).withColumn("gt_before", F.col("gt")))
+    return g.groupBy("variant_id").agg(F.count("gt_before").alias("n_called_before"), F.count("gt").alias("n_called_after"))
 
 
 def _qc_sql(key: str) -> str:
@@ -59,8 +57,8 @@ def _qc_sql(key: str) -> str:
        round(avg(gq), 8) AS gq_mean FROM genotypes GROUP BY {key}"""
 
 
-def _round_qc(df, keys):
-    return df.select(*keys, "n", "n_called", R(F.col("call_rate")).alias("call_rate"), "n_hom_ref", "n_het",
+def _round_qc(df, keys, more=()):
+    return df.select(*keys, *more, "n", "n_called", R(F.col("call_rate")).alias("call_rate"), "n_hom_ref", "n_het",
                      "n_hom_var", R(F.col("af")).alias("af"), R(F.col("gq_mean")).alias("gq_mean"))
 
 
@@ -73,7 +71,7 @@ def variant_qc(spark, sf):
 SELECT *, call_rate >= 0.97 AND gq_mean >= 20 AS pass FROM ({_qc_sql('sample_id')}) q"""))
 def sample_qc(spark, sf):
     q = GT.sample_qc(_g(spark, sf))
-    return _round_qc(q, ["sample_id"]).join(q.select("sample_id", "pass"), "sample_id")
+    return _round_qc(q, ["sample_id"], ["pass"])
 
 
 @query("variants_after_qc", with_views(_G, f"""

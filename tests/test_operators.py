@@ -214,7 +214,7 @@ def test_kendall_distributed_path_matches_brute_force(spark):
     pts = [(5, rnd.randint(0, 40)) for _ in range(70)] + [(rnd.randint(0, 60), 7) for _ in range(40)] + \
           [(rnd.randint(0, 60), rnd.randint(0, 40)) for _ in range(100)]
     df = spark.createDataFrame(pts, "x int, y int")
-    got = P.kendall_tau_b(df, "x", "y", local_cells=10, group_cells=20).first()[0]
+    got = P.kendall_tau_b(df, "x", "y", group_cells=20).first()[0]
     local = P.kendall_tau_b(df, "x", "y").first()[0]
     s = n1 = n2 = 0
     for (a, b), (c, d) in itertools.combinations(pts, 2):
@@ -311,3 +311,18 @@ def test_similarity_hot_cell_salting_is_exact(spark):
                 if d <= r:
                     want.append((ea, ya, a, b))
     assert [g[:4] for g in got] == sorted(want) and len(want) >= 60 * 59
+
+
+def test_density_of_constant_single_and_no_values(spark):
+    for values in ([4.0] * 50, [4.0], [0.0, 0.0]):
+        rows = P.kde_grid(spark.createDataFrame([(v,) for v in values], "v double"), "v", n=64).orderBy("i").collect()
+        step = rows[1]["x"] - rows[0]["x"]
+        assert len(rows) == 64 and abs(sum(r["density"] for r in rows) * step - 1) < 0.02
+    for values in ([], [(None,)]):
+        assert P.kde_grid(spark.createDataFrame(values, "v double"), "v").count() == 0
+
+
+def test_kendall_few_cells(spark):
+    assert P.kendall_tau_b(spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "x int, y int"), "x", "y").first()[0] == 1.0
+    assert P.kendall_tau_b(spark.createDataFrame([(1, 1)] * 9, "x int, y int"), "x", "y").first()[0] is None
+    assert P.kendall_tau_b(spark.createDataFrame([], "x int, y int"), "x", "y").first()["n"] == 0
