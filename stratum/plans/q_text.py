@@ -89,7 +89,8 @@ SELECT role, tag, count(*) AS n FROM (
 def token_tags(spark, sf):
     c = load(spark, sf, "conversations")
     w = c.select("role", F.explode(TX.tokens("text")).alias("word"))
-    return w.groupBy("role", TX.pos_tag("word").alias("tag")).agg(F.count(F.lit(1)).alias("n"))
+    words = w.groupBy("role", "word").agg(F.count(F.lit(1)).alias("n"))  # the rules run once per distinct word
+    return words.groupBy("role", TX.pos_tag("word").alias("tag")).agg(F.sum("n").alias("n"))
 
 
 @query("lda_topics")
