@@ -1,7 +1,9 @@
 """Toxicity as ordinal regression: cumulative links over sparse text features, one weight vector for all thresholds.
 
-P(grade > k) = sigmoid(score - threshold_k) with thresholds in order; the score is a sum of weights of the words, and
-five-letter word beginnings, that occur in the text. The output is the expected grade (severity) and the verdict.
+P(grade > k) = sigmoid(score - threshold_k) with thresholds in order; the score is a sum of weights of the words and word
+beginnings (three to eight letters) that occur in the text, and of those that occur twice or more. The output is the expected
+grade (severity) and the verdict. The severity from which a text is toxic is the one that finds most toxic texts when either
+half of the sample is judged by a model of the other half, at no more than ``MAX_FALSE`` of its clean texts.
 
 Where labels only say toxic or not (0 / 1), the grades are 0 (not toxic), 1 and 2 (toxic, with fewer than / at least the
 median number of different features that are typical of toxic texts).
@@ -26,18 +28,34 @@ from .common import id_text, table
 
 PER_CLASS = 3000
 MAX_FEATURES = 1500
-#: A text is toxic from this severity on.
+#: A text is toxic from this severity on, where the halves of the sample find no toxic text of each other.
 LIMIT = 0.15
-#: Features are left out whose shares in toxic and clean texts differ by a smaller factor, or by fewer standard errors than the
-#: largest of so many chance differences would reach: the square root of 2 ln(number of features).
-MIN_LIFT = 20.0
+#: Severities tried on the halves, and the share of clean texts that may be taken for toxic there.
+LIMITS = (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5)
+MAX_FALSE = 0.01
+#: Features are left out whose shares in toxic and clean texts differ by a smaller factor, or by less than the largest of so many
+#: chance differences would reach: the square root of 2 ln(number of features), against the signed root of the likelihood ratio
+#: (a difference in standard errors, also for the few texts of a small language, where a normal one stays below the bound).
+MIN_LIFT = 3.0
+RIDGE = 1e-4
 WORD = re.compile(r"[^\W\d_]+")
+STEMS = range(3, 9)
+
+
+def _counted(words: Counter) -> set[str]:
+    found: Counter = Counter()
+    for w, n in words.items():
+        found[w] += n
+        for k in STEMS:
+            if len(w) <= k:
+                break
+            found[w[:k] + "*"] += n
+    return found.keys() | {f + "2" for f, n in found.items() if n > 1}
 
 
 def features(text: str | None) -> set[str]:
-    """Different lower-case words, and the first five letters of longer ones with a star."""
-    words = set(WORD.findall((text or "").lower()))
-    return words | {w[:5] + "*" for w in words if len(w) > 5}
+    """Lower-case words, beginnings of longer ones with a star, and either with a 2 if the text has it more than once."""
+    return _counted(Counter(WORD.findall((text or "").lower())))
 
 
 def _sigmoid(x):
@@ -58,9 +76,11 @@ class Ordinal:
 
     def __init__(self, weights: dict[str, float], thresholds: list[float], limit: float = LIMIT):
         self.weights, self.thresholds, self.limit = weights, thresholds, limit
+        self.heads = {f.rstrip("*2")[:STEMS[0]] for f in weights}
 
     def score(self, text: str | None) -> float:
-        return sum(self.weights[f] for f in sorted(self.weights.keys() & features(text)))
+        words = Counter(w for w in WORD.findall((text or "").lower()) if w[:STEMS[0]] in self.heads)  # others have no weight
+        return sum(self.weights[f] for f in sorted(self.weights.keys() & _counted(words)))
 
     def expected(self, scores: np.ndarray) -> np.ndarray:
         """The expected grade: the sum over thresholds of the chance to lie above."""
@@ -91,6 +111,65 @@ def train(x: np.ndarray, y: np.ndarray, grades: int, ridge: float = 1e-6, rounds
     return w, np.cumsum(np.concatenate([raw[:1], np.exp(raw[1:])]))
 
 
+def _typical(each: DataFrame, size: dict, halves: tuple, max_features: int) -> list:
+    """(f, z, lift) of the features typical of toxic or clean texts among the rows of ``halves``, the largest |z| first."""
+    nt = sum(n for (half, toxic), n in size.items() if half in halves and toxic)
+    nc = sum(n for (half, toxic), n in size.items() if half in halves and not toxic)
+    if not nt or not nc:
+        return []
+    t, c = (sum((F.col(f"{k}{h}") for h in halves[1:]), F.col(f"{k}{halves[0]}")) for k in "tc")
+    own = each.select("f", t.cast("double").alias("t"), c.cast("double").alias("c")).where("t + c >= 5")
+    t, c = F.col("t"), F.col("c")
+    share = (t + c) / (nt + nc)
+
+    def part(x, expected):
+        return F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
+
+    ratio = 2 * (part(t, nt * share) + part(nt - t, nt * (1 - share)) + part(c, nc * share) + part(nc - c, nc * (1 - share)))
+    own = own.select("f", (F.signum(t / nt - c / nc) * F.sqrt(F.greatest(ratio, F.lit(0.0)))).alias("z"),
+                     (((t + 0.5) / (nt + 1)) / ((c + 0.5) / (nc + 1))).alias("lift"))
+    least = float(np.sqrt(2 * np.log(max(2, own.count()))))
+    return (own.where((F.abs("z") > least) & ((F.col("lift") > MIN_LIFT) | (F.col("lift") < 1 / MIN_LIFT)))
+            .orderBy(F.round(F.abs("z"), 9).desc(), "f").limit(max_features).collect())
+
+
+def _learn(chosen: list, rows: list, place: dict, binary: bool) -> Ordinal:
+    """The model of the rows (y, half, numbers of the features found) on the chosen features."""
+    if not chosen or not rows:
+        return Ordinal({}, [40.0])
+    names = [r.f for r in chosen]
+    at = {place[f]: i for i, f in enumerate(names)}
+    x, y = np.zeros((len(rows), len(names)), np.float32), np.array([r.y for r in rows])
+    for i, r in enumerate(rows):
+        x[i, [at[f] for f in r.found if f in at]] = 1
+    order = np.lexsort(np.vstack([x.T, y]))  # the same sums whatever order the rows came in
+    x, y = x[order], y[order]
+    if binary:
+        strong = [i for i, r in enumerate(chosen) if r.z > 3 and r.lift > 20]
+        number = x[:, strong].sum(axis=1)
+        middle = np.median(number[y > 0]) if (y > 0).any() else 0
+        y = np.where(y == 0, 0, 1 + (number >= max(middle, 1)).astype(int))
+    codes = np.unique(y)
+    if len(codes) < 2:
+        return Ordinal({}, [40.0])
+    w, thresholds = train(x, np.searchsorted(codes, y), len(codes), RIDGE)
+    return Ordinal({f: float(v) for f, v in zip(names, w)}, [float(t) for t in thresholds])
+
+
+def _limit(models: list[Ordinal], rows: list, names: list[str]) -> float:
+    """The limit that finds most toxic rows of each half by the model of the other; the highest such, so that few are clean."""
+    severity = []
+    for r in rows:
+        weights = models[1 - r.half].weights
+        severity.append(models[1 - r.half].expected(np.array([sum(weights.get(names[f], 0.0) for f in sorted(r.found))]))[0])
+    severity, toxic = np.array(severity), np.array([r.y > 0 for r in rows])
+    tried = [((severity[toxic] >= k).mean(), k) for k in LIMITS if (severity[~toxic] >= k).mean() <= MAX_FALSE]
+    if not tried:
+        return max(LIMITS)
+    best = max(tried)
+    return best[1] if best[0] > 0 else LIMIT
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = PER_CLASS, max_features: int = MAX_FEATURES,
         id_col: str = "doc_id", text_col: str = "text") -> Ordinal:
     """Fit on the bounded sample. ``label_col`` holds grades 0, 1, ... ; with 0 and 1 only, grades are made as said above."""
@@ -108,8 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 texts = part.column(1).to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array([mark(x) for x in texts], pa.int64()),
@@ -117,38 +196,32 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
 
     id_type = sampled.schema["doc_id"].dataType.simpleString()
     seen = sampled.select("doc_id", "text", "y").mapInArrow(run, f"id {id_type}, y int, mark long, found array<string>")
-    # one of a group of near copies speaks for them, else their chance words would pass for typical ones
-    seen = table(seen.groupBy("mark", "y").agg(F.min_by("found", "id").alias("found")).select("y", "found"), "toxicity-features")
-    size = {r.y: r["count"] for r in seen.groupBy("y").count().collect()}
-    toxic, clean = sum(n for y, n in size.items() if y > 0), size.get(0, 0)
-    # typical features: the largest differences of their shares, in standard errors
-    each = (seen.select("y", F.explode("found").alias("f")).groupBy("f")
-            .agg(F.sum((F.col("y") > 0).cast("long")).alias("t"), F.sum((F.col("y") == 0).cast("long")).alias("c")).where("t + c >= 5"))
-    pt, pc = (F.col("t") + 0.5) / (toxic + 1), (F.col("c") + 0.5) / (clean + 1)
-    each = each.withColumn("z", (pt - pc) / F.sqrt(pt * (1 - pt) / (toxic + 1) + pc * (1 - pc) / (clean + 1)))
+    # one of a group of near copies speaks for them, else their chance words would pass for typical ones; they share a half
+    seen = table(seen.groupBy("mark", "y").agg(F.min_by("found", "id").alias("found"))
+                 .select("y", (F.xxhash64("mark").bitwiseAND(F.lit(1).cast("long"))).cast("int").alias("half"), "found"), "toxicity-features")
+    size = {(r.half, r.toxic): r["count"] for r in seen.groupBy("half", (F.col("y") > 0).alias("toxic")).count().collect()}
+    each = (seen.select("half", (F.col("y") > 0).alias("toxic"), F.explode("found").alias("f")).groupBy("f")
+            .agg(*[F.count(F.when((F.col("half") == h) & (F.col("toxic") == (k == "t")), 1)).alias(f"{k}{h}") for k in "tc" for h in (0, 1)])
+            .where("t0 + t1 + c0 + c1 >= 5"))
     each = table(each, "toxicity-words")
-    least = float(np.sqrt(2 * np.log(max(2, each.count()))))
-    chosen = each.where((F.abs("z") > least) & ((pt > MIN_LIFT * pc) | (pc > MIN_LIFT * pt))).orderBy(F.abs("z").desc(), "f").limit(max_features).collect()
-    if not chosen:
+    chosen = [_typical(each, size, halves, max_features) for halves in ((0,), (1,), (0, 1))]
+    if not chosen[-1]:
         return Ordinal({}, [40.0])
-    names = [r.f for r in chosen]
-    strong = {r.f for r in chosen if r.z > 3 and (r.t + 0.5) / (toxic + 1) > 20 * (r.c + 0.5) / (clean + 1)}
+    names = sorted({r.f for some in chosen for r in some})
     place = {f: i for i, f in enumerate(names)}
-    kept = seen.select("y", F.array_intersect("found", F.array(*[F.lit(f) for f in names])).alias("found")).collect()
-    x, y = np.zeros((len(kept), len(names)), np.float32), np.array([r.y for r in kept])
-    for i, r in enumerate(kept):
-        x[i, [place[f] for f in r.found]] = 1
-    order = np.lexsort(np.vstack([x[:, :8].T, x.sum(axis=1), y]))  # the same sums whatever order the rows came in
-    x, y = x[order], y[order]
-    if set(kinds) <= {0, 1}:
-        number = x[:, [place[f] for f in sorted(strong)]].sum(axis=1) if strong else np.zeros(len(y))
-        middle = np.median(number[y > 0]) if (y > 0).any() else 0
-        y = np.where(y == 0, 0, 1 + (number >= max(middle, 1)).astype(int))
-    codes = np.unique(y)
-    if len(codes) < 2:
-        return Ordinal({}, [40.0])
-    w, thresholds = train(x, np.searchsorted(codes, y), len(codes))
-    model = Ordinal({f: float(v) for f, v in zip(names, w)}, [float(t) for t in thresholds])
+
+    def number(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                found = [[place[f] for f in fs if f in place] for fs in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.int32()))], names=["y", "half", "found"])
+
+    rows = seen.mapInArrow(number, "y int, half int, found array<int>").collect()
+    binary = set(kinds) <= {0, 1}
+    models = [_learn(chosen[h], [r for r in rows if r.half == h], place, binary) for h in (0, 1)]
+    model = _learn(chosen[2], rows, place, binary)
+    model.limit = _limit(models, rows, names)
     return model
 
 

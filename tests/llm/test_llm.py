@@ -193,6 +193,19 @@ def test_toxicity_held_out(spark):
     assert toxicity.fit(d, labels.limit(0)).weights == {} and toxicity.score(docs(spark), model).where("not kept").count() == 0
 
 
+def test_toxicity_held_out_by_language(spark):
+    sf = "/root/testdata/sf0.1"
+    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    for half in (0, 1):
+        model = toxicity.fit(d, labels.where(f"doc_id % 2 = {half}"))
+        truth = labels.where(f"doc_id % 2 = {1 - half}").withColumnRenamed("toxic", "truth").join(d.select("doc_id", "lang"), "doc_id")
+        judged = toxicity.score(d, model).join(truth, "doc_id").select("truth", "lang", F.col("toxic").cast("int").alias("toxic"))
+        rates = {r.truth: r.rate for r in judged.groupBy("truth").agg(F.avg("toxic").alias("rate")).collect()}
+        found = {r.lang: r.rate for r in judged.where("truth = 1").groupBy("lang").agg(F.avg("toxic").alias("rate")).collect()}
+        print(half, model.limit, rates, found)
+        assert rates[1] > 0.85 and rates[0] < 0.02 and min(found.values()) > 0.7, (rates, found)
+
+
 def test_pipeline_stages_keep_columns(spark):
     import corpus_pipeline
 
