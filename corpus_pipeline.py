@@ -1,8 +1,8 @@
 """A training-data pipeline over ``documents``: quality rules, toxicity, SimHash near-duplicates, repeated passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet in the shared folder
-and reads it again as the next stage's documents. All stages but the last return the columns they were given. Rows with the
-same ``doc_id`` are the same document to the near-duplicate stage and stay or go together.
+and reads it again as the next stage's documents. All stages but the last return the columns they were given. The
+near-duplicate stage decides by row: ids may be null or repeat, with the same or with different texts.
 """
 
 import pandas as pd
@@ -27,10 +27,13 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id."""
-    groups = simhash.near_duplicates(docs, size=3, distance=2)
-    gone = table(groups.where("component_id is not null and not doc_id <=> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    """One row of each near-duplicate group: the smallest id, null ids last; of rows with that id, the smallest text hash."""
+    rows = table(docs.select(F.monotonically_increasing_id().alias("_key"), F.struct(*docs.columns).alias("_row")), "near-rows")
+    own = F.struct(F.col("_row.doc_id").isNull().alias("unnamed"), F.col("_row.doc_id").alias("id"),
+                   F.xxhash64("_row.text").alias("hash"), F.col("_key").alias("key"))
+    groups = simhash.near_duplicates(rows.select(own.alias("doc_id"), F.col("_row.text").alias("text")), size=3, distance=2)
+    kept = table(groups.where("doc_id.key = component_id.key").select(F.col("doc_id.key").alias("_key")), "near-kept")
+    return rows.join(kept, "_key", "left_semi").select("_row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

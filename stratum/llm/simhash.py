@@ -13,7 +13,7 @@ the smallest of its word, which gives the same components with a number of links
 
 Texts without words (null, empty) have fingerprint zero and are linked like any other; equal rows share a fingerprint and
 are never paired. Null ids get a component but never name one. An empty table gives an empty result; other columns are
-not read. Rows with the same id are the same document to ``near_duplicates``'s caller.
+not read. Ids may be structs: a caller that keeps one row of each group gives every row an id of its own.
 """
 
 from __future__ import annotations

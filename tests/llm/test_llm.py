@@ -206,6 +206,20 @@ def test_toxicity_held_out_by_language(spark):
         assert rates[1] > 0.85 and rates[0] < 0.02 and min(found.values()) > 0.7, (rates, found)
 
 
+def test_pipeline_decides_copies_by_row(spark):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    a, b, c, d, e, f = (" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(80)) for _ in range(6))
+    rows = [(1, a), (1, a), (1, a), (2, b), (None, b), (None, c), (3, d), (5, a), (5, e), (None, f), (None, f)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, kept string").repartition(4)
+    want = sorted([(1, a), (2, b), (None, c), (3, d), (5, e), (None, f)], key=str)
+    once = common.table(corpus_pipeline.simhash_dedup(spark, df, ""), "test-rows")
+    left = corpus_pipeline.repeated_passages(spark, once, "")
+    for got in (once, left):
+        assert got.columns == df.columns and sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == want
+
+
 def test_pipeline_stages_keep_columns(spark):
     import corpus_pipeline
 
