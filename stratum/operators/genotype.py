@@ -220,7 +220,11 @@ def logistic_wald(df: DataFrame, samples: DataFrame, y: str, covariate: str, ite
     checked before broadcast), ``XᵀWX`` (6 sums) and ``Xᵀ(y−p)`` (3 sums) per
     variant, then a closed-form 3×3 solve in column expressions. The
     coefficient table is checkpointed (reliable, shared folder) every step so
-    lineage stays one step long; iteration stops at ``tol`` or ``iters``.
+    lineage stays one step long. A step takes only the variants that have not
+    converged (largest coefficient step below ``tol``), until none is left or
+    after ``iters`` steps. ``converged`` says which have; the others (separated
+    or singular data, whose likelihood has no maximum, or too slow for
+    ``iters``) have NULL beta, se, z_stat and p_wald.
     """
     from stratum.session import cut_lineage
 
@@ -229,11 +233,12 @@ def logistic_wald(df: DataFrame, samples: DataFrame, y: str, covariate: str, ite
                                    F.col("gt").cast("double").alias("_x1"),
                                    F.col(covariate).cast("double").alias("_x2")))
     beta = rows.select("variant_id").distinct().select("variant_id", F.lit(0.0).alias("b0"), F.lit(0.0).alias("b1"),
-                                                         F.lit(0.0).alias("b2"))
+                                                         F.lit(0.0).alias("b2"), F.lit(False).alias("done"),
+                                                         F.lit(False).alias("stuck"))
     beta = cut_lineage(beta)
     one, x1, x2 = F.lit(1.0), F.col("_x1"), F.col("_x2")
     for _ in range(iters):
-        j = lookup_join(rows, beta, "variant_id")
+        j = lookup_join(rows, beta.where("not done and not stuck"), "variant_id")
         eta = F.col("b0") + F.col("b1") * x1 + F.col("b2") * x2
         p = 1.0 / (1.0 + F.exp(-eta))
         w = p * (1 - p)
@@ -249,13 +254,13 @@ def logistic_wald(df: DataFrame, samples: DataFrame, y: str, covariate: str, ite
         d0 = i11 * g1 + i12 * g2 + i13 * g3
         d1 = i12 * g1 + i22 * g2 + i23 * g3
         d2 = i13 * g1 + i23 * g2 + i33 * g3
-        new = s.select("variant_id", "n", (F.col("b0") + d0).alias("b0"), (F.col("b1") + d1).alias("b1"),
-                       (F.col("b2") + d2).alias("b2"), F.greatest(F.abs(d0), F.abs(d1), F.abs(d2)).alias("_step"),
-                       F.when(i22 > 0, F.sqrt(i22)).alias("se_prev"))
-        new = cut_lineage(new)
-        step = new.agg(F.max("_step")).first()[0]
-        beta = new.select("variant_id", "b0", "b1", "b2")
-        if step is None or step < tol:
+        step = F.when(d0.isNotNull() & d1.isNotNull() & d2.isNotNull(), F.greatest(F.abs(d0), F.abs(d1), F.abs(d2)))
+        stuck = step.isNull() | F.isnan(step)  # singular: no step to take
+        new = s.select("variant_id", *[F.when(stuck, F.col(b)).otherwise(F.col(b) + d).alias(b)
+                                       for b, d in (("b0", d0), ("b1", d1), ("b2", d2))],
+                       F.coalesce(~stuck & (step < tol), F.lit(False)).alias("done"), stuck.alias("stuck"))
+        beta = cut_lineage(new.unionByName(beta.where("done or stuck")))
+        if beta.where("not done and not stuck").limit(1).count() == 0:
             break
     # standard error from the information matrix at the final coefficients
     j = lookup_join(rows, beta, "variant_id")
@@ -263,10 +268,12 @@ def logistic_wald(df: DataFrame, samples: DataFrame, y: str, covariate: str, ite
     p = 1.0 / (1.0 + F.exp(-eta))
     w = p * (1 - p)
     s = j.groupBy("variant_id").agg(
-        F.first("b1").alias("beta"), F.count(F.lit(1)).alias("n"),
+        F.first("b1").alias("beta"), F.first("done").alias("converged"), F.count(F.lit(1)).alias("n"),
         F.sum(w).alias("h11"), F.sum(w * x1).alias("h12"), F.sum(w * x2).alias("h13"), F.sum(w * x1 * x1).alias("h22"),
         F.sum(w * x1 * x2).alias("h23"), F.sum(w * x2 * x2).alias("h33"))
     inv = _inv3(*[F.col(c) for c in ("h11", "h12", "h13", "h22", "h23", "h33")])
     se = F.when(inv[3] > 0, F.sqrt(inv[3]))
-    out = s.select("variant_id", "n", "beta", se.alias("se")).withColumn("z_stat", F.col("beta") / F.col("se"))
-    return out.withColumn("p_wald", normal_two_sided_p_udf("z_stat"))
+    out = s.select("variant_id", "n", F.when(F.col("converged"), F.col("beta")).alias("beta"),
+                   F.when(F.col("converged"), se).alias("se"), "converged").withColumn("z_stat", F.col("beta") / F.col("se"))
+    out = out.withColumn("p_wald", F.when(F.col("z_stat").isNotNull(), normal_two_sided_p_udf("z_stat")))
+    return out.select("variant_id", "n", "beta", "se", "z_stat", "p_wald", "converged")

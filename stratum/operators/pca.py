@@ -48,10 +48,10 @@ def subspace_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, over
                  seed: int = 42, tol: float = 1e-12) -> tuple[DataFrame, list[float]]:
     """Top-``k`` left singular vectors of X (rows × cols, long form) scaled by singular values.
 
-    Returns ((row, pc, score), eigenvalues λ = σ²). Signs are fixed so each
-    component's largest-magnitude score is positive. Iteration stops early
-    once the top-k spectrum of the k×k Gram changes by less than ``tol``
-    (relative).
+    Returns ((row, pc, score, converged), eigenvalues λ = σ²). Signs are fixed
+    so each component's largest-magnitude score is positive. Iteration stops
+    early once the top-k spectrum of the k×k Gram changes by less than ``tol``
+    (relative); ``converged`` says for which components the last step did.
     """
     spark = x.sparkSession
     kk = k + oversample
@@ -72,12 +72,14 @@ def subspace_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, over
         j = z.join(ww, "_c")
         return j.groupBy("_r", "c").agg(F.sum(F.col("_z") * F.col("v")).alias("v"))
 
-    prev = None
+    prev, settled = None, np.zeros(k, bool)
     for _ in range(iters):
         u = cut_lineage(xw(xt(v)))
         g = _gram(u, "_r", kk)
         spec = np.sort(np.linalg.eigvalsh(g))[::-1][:k]
-        if prev is not None and np.max(np.abs(spec - prev) / np.maximum(np.abs(spec), 1e-300)) < tol:
+        if prev is not None:
+            settled = np.abs(spec - prev) / np.maximum(np.abs(spec), 1e-300) < tol
+        if settled.all():
             r = np.linalg.cholesky(g + 1e-12 * np.trace(g) * np.eye(kk)).T
             v = cut_lineage(_apply_small(u, "_r", np.linalg.inv(r)))
             break
@@ -94,7 +96,7 @@ def subspace_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, over
     top = scores.groupBy("c").agg(F.max_by("v", F.abs("v")).alias("_t"))
     scores = scores.join(F.broadcast(top), "c").select(
         F.col("_r").alias(row), F.col("c").alias("pc"), F.when(F.col("_t") < 0, -F.col("v")).otherwise(F.col("v"))
-        .alias("score"))
+        .alias("score"), F.col("c").isin([i for i in range(k) if settled[i]]).alias("converged"))
     return scores, [float(x) for x in lam]
 
 

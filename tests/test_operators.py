@@ -187,6 +187,26 @@ def test_logistic_wald_matches_numpy_newton(spark):
         assert abs(got[v]["p_wald"] - math.erfc(abs(b[1] / se) / math.sqrt(2))) < 1e-7
 
 
+def test_unconverged_fits_are_marked(spark):
+    from stratum.operators.pca import subspace_pca
+
+    rnd = np.random.default_rng(8)
+    people = [(s, s % 2 == 0, bool(rnd.random() < 0.5)) for s in range(80)]
+    rows = [(0, s, int(rnd.integers(0, 3))) for s in range(80)] + [(1, s, 2 if s % 2 == 0 else 0) for s in range(80)]
+    rows += [(2, s, 1) for s in range(80)]  # 1: separated, 2: constant, singular
+    g = spark.createDataFrame(rows, "variant_id int, sample_id long, gt int")
+    sm = spark.createDataFrame(people, "sample_id long, case boolean, female boolean")
+    got = {r.variant_id: r for r in GT.logistic_wald(g, sm, "case", "female").collect()}
+    assert [got[v].converged for v in range(3)] == [True, False, False] and got[0].beta is not None
+    assert all(got[v][c] is None for v in (1, 2) for c in ("beta", "se", "z_stat", "p_wald")) and got[1].n == 80
+    a = rnd.normal(size=(30, 20))
+    a[0] += 40
+    df = spark.createDataFrame([(i, j, float(a[i, j])) for i in range(30) for j in range(20)], "r int, c int, v double")
+    for iters, want in ((1, {False}), (6, {True, False})):
+        scores, _ = subspace_pca(df, "r", "c", "v", k=3, oversample=3, iters=iters)
+        assert {r.converged for r in scores.collect()} == want
+
+
 def test_subspace_pca_matches_svd(spark):
     from stratum.operators.pca import subspace_pca
 
