@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratum.session import load
 
-from . import bpe, embdup, packing, quality, simhash, suffix, tokcount, toxicity, urlfilter, warc
+from . import bpe, convrepair, convtrie, embdup, mixing, packing, quality, simhash, suffix, tokcount, toxicity, urlfilter, warc
 
 #: (verdict, host, path)
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -55,8 +55,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(load(spark, sf_dir, "documents"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(load(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.prefix_trie(convtrie.rebuilt(convtrie.sequences(load(spark, sf_dir, "conversations")), group=5, most=9))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = load(spark, sf_dir, "conversations")
+    return convrepair.repair(convrepair.damage(turns), ids=turns)
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_packing, op5_suffix_array, op6_quality,
-                                   op7_embedding_links, op8_url_filter, op9_warc, op10_bpe)}
+                                   op7_embedding_links, op8_url_filter, op9_warc, op10_bpe, op11_mixing, op12_prefix_trie, op13_conversation_repair)}
 
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in quality.CASED)
 
@@ -128,4 +141,86 @@ k AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT vec_id, coalesce(k.n, 0)::BIGINT AS n_links, c.component_id, vec_id = c.component_id AS kept
 FROM embeddings LEFT JOIN k ON k.a = vec_id LEFT JOIN c ON c.a = vec_id"""
 
-ORACLE = {"op6_quality": quality_sql("documents"), "op7_embedding_links": EMBEDDING_SQL, "op8_url_filter": url_sql(), "op9_warc": WARC_SQL}
+
+def crc32_sql(text: str) -> str:
+    """The CRC-32 of an ASCII string: each byte is mixed in, then eight shifts with the polynomial."""
+    bits = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [unicode(substr({text}, i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    one = "(xor(c, x) >> 1)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda c, x: CASE WHEN xor(c, x) & 1 = 1 THEN "
+            f"xor({one}, 3988292384) ELSE {one} END), 4294967295)")
+
+
+#: Turns of equal number are ordered by the digest of role and text, as the operators do.
+_DIGEST = "md5(length(role) || ':' || role || text)"
+
+TRIE_SQL = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, {_DIGEST} AS w, strlen(text)::BIGINT AS b, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {_DIGEST}) AS p FROM t),
+c AS (SELECT DISTINCT conv_id, {crc32_sql("conv_id::VARCHAR")} % 9 AS h FROM t),
+r AS (SELECT c.conv_id, 0 AS tail, p, w, b FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 5 AND p <= h
+      UNION ALL SELECT conv_id, 1, p, w, b FROM c JOIN o USING (conv_id) WHERE p > h),
+s AS (SELECT conv_id, coalesce(list(w ORDER BY tail, p) FILTER (WHERE p IS NOT NULL), []) AS w,
+             coalesce(list(b ORDER BY tail, p) FILTER (WHERE p IS NOT NULL), []) AS b FROM c LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+e AS (SELECT conv_id, w, b, unnest(range(0, len(w) + 1)) AS depth FROM s),
+n AS (SELECT list_slice(w, 1, depth) AS k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(b[depth], 0)) AS b,
+             coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(w) = depth), '') AS ends FROM e GROUP BY 1, 2),
+up AS (SELECT *, list_slice(k, 1, depth - 1) AS pk FROM n WHERE depth > 0),
+kids AS (SELECT pk AS k, count(*) AS n_children FROM up GROUP BY 1),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * b AS saved FROM n LEFT JOIN kids USING (k)),
+sub AS (SELECT list_slice(k, 1, d) AS k, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved
+        FROM (SELECT k, n_children, saved, unnest(range(0, depth + 1)) AS d FROM f) GROUP BY 1)
+SELECT f.conv_id::BIGINT AS conv_id, f.depth::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id, f.n_convs::BIGINT AS n_convs,
+       f.n_children::BIGINT AS n_children, sub.n_leaves::BIGINT AS n_leaves, sub.saved::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN sub USING (k) LEFT JOIN n p ON f.depth > 0 AND p.k = list_slice(f.k, 1, f.depth - 1)"""
+
+
+def _repair_sql() -> str:
+    """Backward costs row by row, a value for each place of the pattern: nine digits of cost, the audit, ``!``, the repaired rows."""
+    def add(v: str, cost: str, letter: str, row: str = "''") -> str:
+        audit, rows = f"split_part(substr({v}, 10), '!', 1)", f"substr({v}, 11 + length(split_part(substr({v}, 10), '!', 1)))"
+        return f"lpad((substr({v}, 1, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || '{letter}' || {audit} || '!' || {row} || {rows}"
+
+    last, rows = "chr(10)", []
+    for x in range(4):
+        to = convrepair.STEP[x]
+        role = "assistant" if to == convrepair.AFTER_A else "user"
+        ways = [add(f"v{x}", "4", "D"),
+                f"CASE WHEN fault IN (0, 3) THEN {add(f'v{to}', '3 + fault', 'R', f"'{role}:' || text || {last}")} END"]
+        ways += [f"CASE WHEN fault IN (0, 3) AND initial = '{initial}' THEN {add(f'v{at}', 'fault', 'K', f"role || ':' || text || {last}")} END"
+                 for initial, at in zip("sua", convrepair.KEEP[x]) if at >= 0]
+        rows.append(f"least({', '.join(ways)}) AS r{x}")
+    inserted = []
+    for x in range(4):
+        one, two = convrepair.STEP[x], convrepair.STEP[convrepair.STEP[x]]
+        word = lambda to: "'assistant:' || chr(10)" if to == convrepair.AFTER_A else "'user:' || chr(10)"
+        twice = add(f"r{two}", "3", "I", word(two))
+        inserted.append(f"least(r{x}, {add(f'r{one}', '3', 'I', word(one))}, {add(f'({twice})', '3', 'I', word(one))}) AS v{x}")
+    end = ["'000000000!'", "'000000006II!user:' || chr(10) || 'assistant:' || chr(10)", "'000000003I!assistant:' || chr(10)", "'000000000!'"]
+    kind = crc32_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))") + " % 20"
+    return f"""
+WITH RECURSIVE t AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {kind} AS kind FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM t WHERE kind <> 0),
+g AS (SELECT *, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {_DIGEST}, copy) AS i FROM d),
+q AS (SELECT *, CASE WHEN body = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                     WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+             lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM g),
+s AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+             count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+             count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM q GROUP BY conv_id),
+v AS (SELECT conv_id, n AS i, {', '.join(f'{e} AS v{x}' for x, e in enumerate(end))} FROM s
+      UNION ALL
+      SELECT conv_id, i - 1, {', '.join(inserted)} FROM (SELECT v.conv_id, v.i, {', '.join(rows)} FROM v JOIN q ON q.conv_id IS NOT DISTINCT FROM v.conv_id AND q.i = v.i)),
+b AS (SELECT conv_id, substr(v0, 1, 9)::BIGINT AS cost, split_part(substr(v0, 10), '!', 1) AS audit,
+             substr(v0, 11 + length(split_part(substr(v0, 10), '!', 1))) AS fixed FROM v WHERE i = 0)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(left(fixed, greatest(length(fixed) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
+ORACLE = {"op6_quality": quality_sql("documents"), "op7_embedding_links": EMBEDDING_SQL, "op8_url_filter": url_sql(), "op9_warc": WARC_SQL,
+          "op12_prefix_trie": TRIE_SQL, "op13_conversation_repair": _repair_sql()}
