@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 from functools import lru_cache
 
 
@@ -83,3 +85,69 @@ def stretches(text: str, size: int = 1 << 20):
         end = m.start() if m else len(text)
         yield text[start:end]
         start = end
+
+
+class Pieces:
+    """Pieces of the byte-level split pattern as the tokenizers library cuts them.
+
+    The library's Unicode can be older or newer than that of ``regex``: it is asked once for every code point beyond ASCII
+    whether it takes it for a letter or a number, and the pattern says so where ``regex`` would not.
+    """
+
+    def __init__(self, path: str):
+        self.path, self.asked, self.pattern = path, set(), splitter(BYTE_LEVEL)
+        self.more: dict[str, set[str]] = {"L": set(), "N": set()}
+        self.less: dict[str, set[str]] = {"L": set(), "N": set()}
+        self.ascii = re.compile(ASCII_LEVEL)
+        self.odd: set[str] = set()
+        self.cut = None
+
+    def ask(self, text: str) -> None:
+        """Learn the classes of the text's code points."""
+        new = {c for c in set(text) - self.asked if not c.isascii()}
+        if not new:
+            return
+        if self.cut is None:
+            from tokenizers import Tokenizer
+
+            self.cut = Tokenizer.from_file(self.path).pre_tokenizer.pre_tokenize_str
+        before = len(self.odd)
+        for c in new:
+            for kind, like in (("L", "a"), ("N", "1")):
+                library, own = len(self.cut(like + c)) == 1, bool(splitter(rf"\p{{{kind}}}").match(c))
+                if library != own:
+                    (self.more if library else self.less)[kind].add(c)
+                    self.odd.add(c)
+        self.asked |= new
+        if len(self.odd) > before:
+            import regex
+
+            def members(kind):
+                some, none = ("".join(map(regex.escape, sorted(x[kind]))) for x in (self.more, self.less))
+                return f"[[\\p{{{kind}}}{some}]" + (f"--[{none}]]" if none else "]")
+
+            letters, numbers = members("L"), members("N")
+            space = rf"[{SPACE}]"
+            other = rf"[^{SPACE}{letters}{numbers}]"
+            self.pattern = regex.compile(rf" ?{letters}+| ?{numbers}+|'s|'t|'re|'ve|'m|'ll|'d| ?{other}+|{space}+(?![^{SPACE}])|{space}+", regex.V1)
+
+    def findall(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.ascii.findall(text)
+        self.ask(text)
+        return self.pattern.findall(text)
+
+    def plain(self, text: str) -> bool:
+        """Are all code points assigned and in the classes that every Unicode of the last years gives them?"""
+        if text.isascii():
+            return True
+        new = set(text) - self.asked
+        self.ask(text)
+        self.odd |= {c for c in new if unicodedata.category(c) == "Cn"}
+        return not self.odd or self.odd.isdisjoint(text)
+
+
+@lru_cache(maxsize=4)
+def pieces(path: str) -> Pieces:
+    """One per vocabulary and Python worker."""
+    return Pieces(path)

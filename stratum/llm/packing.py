@@ -5,14 +5,16 @@ sum over these totals (one row per partition) gives every partition's global off
 position is known, so its pieces follow from the window borders, with no further shuffle. Only the last window can be
 short; it is padded to the window length unless its length is a power of two.
 
-A null text is empty: its only token is the closing id. Repeated rows are packed each; an empty table gives an empty
+A null text is empty: its only token is the closing id. A very long text is encoded piece by piece. Repeated rows are packed each; an empty table gives an empty
 result; further columns are not read. Recomputed tasks cannot move a document: positions are read from the written pass.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe_tables import default_path, stretches, tables
+from .bpe_tables import default_path, pieces, stretches, tables
 from .common import id_text, table
 
 # The split pattern of the byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Longer texts, and texts with code points that the two libraries may class differently, are split here, not by the pattern
+#: of the tiktoken library (its matcher gives up on some hundred thousand blanks in a row).
+SHORT = 100_000
+MEMO = 200_000
 #: The totals (one row of two numbers per partition) are broadcast up to this many rows, else joined.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -38,14 +44,32 @@ def encoder(path: str):
     ranks = {bytes(t.bytes_of[c] for c in token): i for token, i in t.vocab.items()}
     enc = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=t.special)
 
+    split = pieces(path)
+    cut = re.compile("|".join(map(re.escape, sorted(t.special, key=len, reverse=True)))) if t.special else None
+
+    def by_piece(text: str):
+        """The library's own pieces, one at a time: any length of white space, any code point."""
+        for part in stretches(text):
+            for piece in split.findall(part):
+                known = short.get(piece)
+                if known is None:
+                    known = enc._encode_single_piece(piece)
+                    if len(piece) < 30:
+                        if len(short) > MEMO:
+                            short.clear()
+                        short[piece] = known
+                yield known
+
     def encode(text: str) -> np.ndarray:
-        if len(text) <= 1 << 20:
+        if len(text) <= SHORT and split.plain(text):
             return np.array(enc.encode(text, allowed_special="all"), np.uint32)
-        parts = [text]
-        if not any(s in text for s in t.special):
-            parts = list(stretches(text))
-        return np.concatenate([np.array(enc.encode(p, allowed_special="all"), np.uint32) for p in parts])
+        out, at = [], 0
+        for m in cut.finditer(text) if cut else ():
+            out += [*by_piece(text[at:m.start()]), [t.special[m.group()]]]
+            at = m.end()
+        return np.fromiter(chain.from_iterable(chain(out, by_piece(text[at:]))), np.uint32)
 
+    short: dict[str, list[int]] = {}
     return encode
 
 

@@ -7,12 +7,12 @@ split pattern) holds the count at each of its prefixes; a text's table is the ru
 piece's own, so truncation and budget questions are look-ups.
 
 A null text counts as empty (0 tokens, 0 bytes). Special strings inside a text are one token each, as in the tokenizers
-library. Repeated rows are counted each; an empty table gives an empty result; further input columns are not read.
+library; letters and numbers are what the library takes for them. Very long texts are cut where every split pattern has a
+border. Repeated rows are counted each; an empty table gives an empty result; further input columns are not read.
 """
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_left
 from itertools import accumulate
 from operator import itemgetter
@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .bpe_tables import ASCII_LEVEL, BYTE_LEVEL, default_path, splitter, stretches, tables
+from .bpe_tables import default_path, pieces, splitter, stretches, tables
 from .common import id_text
 
 #: Pieces whose tables a worker remembers; it forgets all of them beyond this, which costs time only.
@@ -39,7 +39,7 @@ class PrefixCounter:
         self.tails = {b[i:] for b in self.ids for i in range(len(b))}
         self.pair: dict[tuple[bytes, bytes], bool] = {}
         self.memo: dict[str, bytes | list[int]] = {}
-        self.split, self.ascii = splitter(BYTE_LEVEL), re.compile(ASCII_LEVEL)
+        self.split = pieces(path)
         self.special = self.t.special
         self.cut = splitter("|".join(sorted(map(_escape, self.special), key=len, reverse=True))) if self.special else None
 
@@ -101,14 +101,14 @@ class PrefixCounter:
 
     def pieces(self, text: str):
         for part in stretches(text):
-            yield from (self.ascii if part.isascii() else self.split).findall(part)
+            yield from self.split.findall(part)
 
     def counts(self, pieces: list[str]) -> list[int]:
         self.learn(set(pieces))
         return list(map(TOTAL, map(self.memo.__getitem__, pieces)))
 
     def split_all(self, text: str) -> list[str]:
-        return (self.ascii if text.isascii() else self.split).findall(text) if len(text) < 1 << 20 else list(self.pieces(text))
+        return self.split.findall(text) if len(text) < 1 << 20 else list(self.pieces(text))
 
     def totals(self, texts: list[str], limit: int) -> tuple[list[int], list[int]]:
         """Tokens of each text, and characters of its longest prefix of at most ``limit`` tokens."""

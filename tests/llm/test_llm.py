@@ -53,6 +53,26 @@ def test_bpe_round_trip(spark):
     assert len(back) == len(TEXTS)
 
 
+HOSTILE = [" " * 1_000_000, "\n" * 3_000_000, "a" + " " * 1_000_000 + "b", "x" * 300_000, "word <|endoftext|>" + " two" * 500_000,
+           "'\U0007e487\U00019036澾⊿㙴\U000f484a\U000606a0\U0002ee35", "\u1c89\ua7cb\U00010d4a1\U0001e5f1" * 3, " \t\n" * 200_000 + "<|endoftext|>"]
+
+
+def test_hostile_texts_get_the_library_ids(spark):
+    t = library("byte_bpe_50k.json")
+    want = [t.encode(x, add_special_tokens=False).ids for x in HOSTILE]
+    encode = packing.encoder(default_path("byte_bpe_50k.json"))
+    assert all(encode(x).tolist() == ids for x, ids in zip(HOSTILE, want))
+    counts = tokcount.counter(default_path("byte_bpe_50k.json"))
+    assert counts.totals(HOSTILE, 512)[0] == [len(ids) for ids in want] and len(want[5]) == 30
+    rng = random.Random(8)
+    pool = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    mixed = ["".join(rng.choice(pool if rng.random() < 0.5 else " a1.\n'") for _ in range(40)) for _ in range(3000)]
+    ids = [e.ids for e in t.encode_batch(mixed, add_special_tokens=False)]
+    assert [encode(x).tolist() for x in mixed] == ids and counts.totals(mixed, 512)[0] == list(map(len, ids))
+    rows = packing.pack(docs(spark, HOSTILE), window=2048).collect()
+    assert sum(r.length for r in rows) == sum(len(x) + 1 for x in want)
+
+
 def test_packing_tiles_the_stream(spark):
     t = library("byte_bpe_50k.json")
     rows = packing.pack(docs(spark), window=64).collect()
