@@ -1,8 +1,8 @@
 """Genotype operators on a long table (variant_id, contig, pos, sample_id, gt, gq, ad_ref, ad_alt).
 
 gt = number of alternate alleles (0/1/2), NULL = no call. Every per-variant
-or per-sample statistic is a partial-aggregated groupBy; statistical tests
-run as pandas UDFs on the aggregated counts (one row per variant).
+or per-sample statistic is a partial-aggregated groupBy; exact tests are folds in
+column expressions on the aggregated counts, tails of t and z pandas UDFs on them.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions import stats as ST
+from stratum.functions.exact_tests import fisher_p, hardy_weinberg_p
 from stratum.operators.joins import lookup_join
 
 
@@ -83,16 +84,6 @@ def hwe_counts(df: DataFrame, samples: DataFrame, pop: str = "super_population",
                                            F.count_if(g == 2).alias("n_hom_var"))
 
 
-@F.pandas_udf(T.DoubleType())
-def hwe_p_udf(aa: pd.Series, ab: pd.Series, bb: pd.Series) -> pd.Series:
-    return pd.Series([ST.hwe_exact_p(x, y, z) for x, y, z in zip(aa, ab, bb)])
-
-
-@F.pandas_udf(T.DoubleType())
-def fisher_p_udf(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    return pd.Series([ST.fisher_exact_p(w, x, y, z) for w, x, y, z in zip(a, b, c, d)])
-
-
 @F.pandas_udf(T.DoubleType())
 def t_p_udf(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(ST.t_two_sided_p(t.to_numpy(dtype=float), df.to_numpy(dtype=float)))
@@ -103,7 +94,7 @@ def hwe_test(counts: DataFrame) -> DataFrame:
     n = F.col("n_hom_ref") + F.col("n_het") + F.col("n_hom_var")
     p = (2 * F.col("n_hom_var") + F.col("n_het")) / (2 * n)
     return counts.withColumn("r_expected_het_frequency", F.when(n > 0, 2 * p * (1 - p))) \
-        .withColumn("p_hwe", hwe_p_udf("n_hom_ref", "n_het", "n_hom_var"))
+        .withColumn("p_hwe", hardy_weinberg_p("n_hom_ref", "n_het", "n_hom_var"))
 
 
 def case_control_allele_counts(df: DataFrame, samples: DataFrame, case: str) -> DataFrame:
@@ -122,7 +113,14 @@ def case_control_allele_counts(df: DataFrame, samples: DataFrame, case: str) ->
 
 
 def fisher_test(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("p_fisher", fisher_p_udf("minor_case", "minor_control", "major_case", "major_control"))
+    return counts.withColumn("p_fisher", fisher_p("minor_case", "minor_control", "major_case", "major_control"))
+
+
+def rare_variants(df: DataFrame, max_af: float = 0.05) -> DataFrame:
+    """Genotype rows of variants whose allele frequency lies in (0, max_af] or [1 - max_af, 1)."""
+    q = variant_qc(df)
+    keep = q.where(((F.col("af") > 0) & (F.col("af") <= max_af)) | ((F.col("af") >= 1 - max_af) & (F.col("af") < 1))).select("variant_id")
+    return df.join(keep, "variant_id", "left_semi")
 
 
 def genotype_association_2df(df: DataFrame, samples: DataFrame, case: str) -> DataFrame:
@@ -208,7 +206,7 @@ def _inv3(a, b, c, d, e, f):
 def normal_two_sided_p_udf(z: pd.Series) -> pd.Series:
     import math
 
-    return pd.Series([math.erfc(abs(v) / math.sqrt(2.0)) if v == v and v is not None else float("nan") for v in z])
+    return (z.abs() / math.sqrt(2.0)).map(math.erfc, na_action="ignore")
 
 
 def logistic_wald(df: DataFrame, samples: DataFrame, y: str, covariate: str, iters: int = 25,

@@ -1,4 +1,4 @@
-"""Principal components of a long (row, column, value) matrix by subspace iteration.
+"""Principal components of a long (row, column, value) matrix: block Lanczos to a residual bound, or subspace iteration.
 
 Scale design: the matrix is never densified and no rows×rows or cols×cols
 Gram matrix is formed. Each iteration is two join + aggregate passes over the
@@ -12,6 +12,7 @@ iteration, so lineage stays short and a lost executor recomputes one step.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +101,132 @@ def subspace_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, over
     return scores, [float(x) for x in lam]
 
 
+def _products(df: DataFrame, left: str, right: str) -> np.ndarray:
+    """Sum over rows of the outer products of two list columns: partial sums per Arrow batch, added per cell by Spark."""
+    def run(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (c.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for c in batch.columns)
+                total = a.T @ b if total is None else total + a.T @ b
+        if total is not None:
+            i, j = np.indices(total.shape)
+            yield pa.RecordBatch.from_arrays([pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())], names=["i", "j", "v"])
+
+    cells = df.select(left, right).mapInArrow(run, "i long, j long, v double").groupBy("i", "j").agg(F.sum("v")).collect()
+    out = np.zeros((max(r[0] for r in cells) + 1, max(r[1] for r in cells) + 1))
+    for i, j, v in cells:
+        out[i, j] = v
+    return out
+
+
+def _map_lists(df: DataFrame, columns: dict, key: str = "_r") -> DataFrame:
+    """key and new list columns: name -> function of a dict of matrices (one per list column of ``df``)."""
+    names = [c for c in df.columns if c != key]
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                at = {n: batch.column(batch.schema.get_field_index(n)).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for n in names}
+                made = [pa.array(list(f(at)), pa.list_(pa.float64())) for f in columns.values()]
+                yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(key)), *made], names=[key, *columns])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.mapInArrow(run, f"{key} {kind}, " + ", ".join(f"{n} array<double>" for n in columns))
+
+
+def lanczos_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, block: int | None = None, tol: float = 1e-9,
+                most: int = 400, seed: int = 42) -> tuple[DataFrame, list[float]]:
+    """Top-``k`` left singular vectors of X (rows x cols, long form) scaled by singular values, to a residual bound.
+
+    Block Lanczos on A = X X': one list of basis entries per row, each step two join + aggregate passes over the long table
+    (kept placed by row and by column, so that only lists move) and full re-orthogonalisation against the basis. On the driver
+    there are only basis x block products. The residual |A u - l u| of every component follows from the last block's
+    coupling; steps go on until all are below ``tol`` times the largest eigenvalue, or the space is exhausted, whose vectors
+    are exact. Beyond ``most`` basis vectors the basis is restarted from its best vectors. There is no cap on the steps.
+
+    Returns ((row, pc, score), eigenvalues). The largest score of a component is positive; components beyond the rank of X
+    are absent. An empty table gives an empty result.
+    """
+    z = x.select(F.col(row).alias("_r"), F.col(col).alias("_c"), F.col(value).cast("double").alias("_z")).where("_z <> 0")
+    by_row = cut_lineage(z.repartition("_r"))
+    by_col = cut_lineage(by_row.repartition("_c"))
+    b = block or 2 * k + 4
+
+    def times(q: DataFrame, name: str, width: int) -> DataFrame:  # A q
+        def one(side, lists, at, to):
+            sums = F.array(*[F.sum(F.col("_z") * F.col(name)[i]) for i in range(width)])
+            return side.join(lists, at).groupBy(to).agg(sums.alias(name))
+
+        return one(by_col, one(by_row, q, "_r", "_c"), "_c", "_r")
+
+    def orthonormal(s: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
+        """(m, c) with u m orthonormal and u = (u m) c, for u'u = s; directions of no length are left out."""
+        lam, e = np.linalg.eigh((s + s.T) / 2)
+        keep = lam > max(lam.max(initial=0.0) * 1e-20, scale * scale * 1e-22, 1e-300)
+        root = np.sqrt(lam[keep])
+        return e[:, keep] / root, (e[:, keep] * root).T
+
+    start = F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda i: (F.xxhash64("_r", i, F.lit(seed)) % 100003) / 100003.0 - 0.5)
+    v = cut_lineage(by_row.select("_r").distinct().select("_r", start.alias("v")))
+    if v.limit(1).count() == 0:
+        return x.sparkSession.createDataFrame([], v.select(F.col("_r").alias(row)).schema.add("pc", "integer").add("score", "double")), []
+    m, _ = orthonormal(_products(v, "v", "v"), 0.0)
+    if m.shape[1] < b:  # fewer rows than the block
+        b = m.shape[1]
+    basis = cut_lineage(_map_lists(v, {"q": lambda at, m=m: at["v"] @ m}))
+    small = np.zeros((0, 0))  # Q' A Q of the columns done
+    width = b
+    while True:
+        done = small.shape[0]
+        cols = slice(done, done + width)
+        u = times(basis.select("_r", F.slice("q", done + 1, width).alias("u")), "u", width)
+        both = cut_lineage(basis.join(u, "_r", "left").select("_r", "q", F.coalesce("u", F.array_repeat(F.lit(0.0), width)).alias("u")))
+        h = _products(both, "q", "u")
+        both = cut_lineage(_map_lists(both, {"q": lambda at: at["q"], "u": lambda at, h=h: at["u"] - at["q"] @ h}))
+        again = _products(_map_lists(both, {"w": lambda at: np.hstack([at["q"], at["u"]]), "u": lambda at: at["u"]}), "w", "u")
+        more, s = again[:done + width], again[done + width:]
+        h = h + more
+        grown = np.zeros((done + width, done + width))
+        grown[:done, :done] = small
+        grown[:, cols] = h
+        grown[cols, :] = h.T
+        small = (grown + grown.T) / 2
+        theta, y = np.linalg.eigh(small)
+        order = np.argsort(theta)[::-1]
+        theta, y = theta[order], y[:, order]
+        m, coupling = orthonormal(s - more.T @ more, theta[0])
+        left = np.linalg.norm(coupling @ y[cols, :k], axis=0) if m.shape[1] else np.zeros(min(k, len(theta)))
+        if not m.shape[1] or (len(theta) >= k and (left <= tol * theta[0]).all()):
+            break
+        keep = lambda at, m=m, more=more: (at["u"] - at["q"] @ more) @ m
+        if small.shape[0] + m.shape[1] > most:
+            best = y[:, :2 * k + b]
+            basis = cut_lineage(_map_lists(both, {"q": lambda at, best=best, keep=keep: np.hstack([at["q"] @ best, keep(at)])}))
+            small = np.diag(theta[:best.shape[1]])
+        else:
+            basis = cut_lineage(_map_lists(both, {"q": lambda at, keep=keep: np.hstack([at["q"], keep(at)])}))
+        width = m.shape[1]
+    real = theta[:k] > tol * theta[0]
+    theta, y = theta[:k][real], y[:, :k][:, real]
+    scores = _map_lists(both.select("_r", "q"), {"s": lambda at: at["q"] @ (y * np.sqrt(theta))})
+    scores = cut_lineage(scores.select("_r", F.posexplode("s").alias("pc", "v")))
+    top = scores.groupBy("pc").agg(F.max_by("v", F.abs("v")).alias("_t"))
+    return scores.join(top, "pc").select(F.col("_r").alias(row), "pc", (F.col("v") * F.sign("_t")).alias("score")), [float(t) for t in theta]
+
+
+def eigen_residuals(x: DataFrame, scores: DataFrame, row: str, col: str, value: str) -> DataFrame:
+    """pc, eigenvalue (sum of squared scores) and residual |X X' u - l u| / l of the unit vectors behind the scores."""
+    z = x.select(F.col(row).alias("_r"), F.col(col).alias("_c"), F.col(value).cast("double").alias("_z")).where("_z <> 0")
+    s = scores.select(F.col(row).alias("_r"), "pc", "score")
+    w = z.join(s, "_r").groupBy("_c", "pc").agg(F.sum(F.col("_z") * F.col("score")).alias("w"))
+    u = z.join(w, "_c").groupBy("_r", "pc").agg(F.sum(F.col("_z") * F.col("w")).alias("u"))
+    size = s.groupBy("pc").agg(F.sum(F.col("score") * F.col("score")).alias("eigenvalue"))
+    off = F.col("u") - F.col("eigenvalue") * F.col("score")
+    return s.join(u, ["_r", "pc"]).join(size, "pc").groupBy("pc", "eigenvalue").agg(F.sqrt(F.sum(off * off)).alias("_o")).select(
+        "pc", "eigenvalue", (F.col("_o") / F.pow("eigenvalue", 1.5)).alias("residual"))
+
+
 def standardized_genotypes(df: DataFrame) -> DataFrame:
     """(variant, sample, z): gt centred by 2p and scaled by √(2p(1−p)); missing calls → 0; monomorphic dropped."""
     af = df.groupBy("variant_id").agg((F.sum("gt") / (2 * F.count("gt"))).alias("_p"))

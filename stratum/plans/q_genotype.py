@@ -3,14 +3,16 @@ HWE, interval filter, sex imputation, case/control tests, association, Q-Q."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratum.operators import genotype as GT
 from stratum.operators import profile as P
+from stratum.operators.association import linear_fits, logistic_fits, normal_equations
 from stratum.operators.joins import interval_semi_join
 from stratum.plans.registry import query
 from stratum.plans.views import view, with_views
-from stratum.session import load
+from stratum.session import cut_lineage, load
 
 
 def R(c, d: int = 8):
@@ -126,10 +128,10 @@ FROM wide"""
 
 @query("hwe_pvalue", with_views(_GS, _HWE_SQL))
 def hwe_pvalue(spark, sf):
-    """Exact HWE p per variant and population (pandas UDF on the aggregated counts), one column per
-    population, and whether every population passes p > 1e-6."""
+    """Exact HWE p per variant and population (a fold over the counts), one column per population (those of the region
+    table, read from there), and whether every population passes p > 1e-6."""
     t = GT.hwe_test(GT.hwe_counts(_g(spark, sf), _s(spark, sf)))
-    pops = [r[0] for r in t.select("super_population").distinct().orderBy("super_population").collect()]
+    pops = [r[0] for r in load(spark, sf, "region").select("r_name").distinct().orderBy("r_name").collect()]
     wide = t.groupBy("variant_id").pivot("super_population", pops).agg(F.first("p_hwe"))
     wide = wide.withColumn("all_pops_pass", F.forall(F.array(*[F.col(f"`{p}`") for p in pops]), lambda x: x > 1e-6))
     return wide.select("variant_id", *[R(F.col(f"`{p}`")).alias(p) for p in pops], "all_pops_pass")
@@ -301,15 +303,140 @@ def assoc_logistic(spark, sf):
     return GT.logistic_wald(_g(spark, sf), _s(spark, sf), "purple_hair", "is_female")
 
 
+def _pca(spark, sf, k=5):
+    """Standardised genotypes of the variants on the interval list, and their first components per sample."""
+    from stratum.operators.pca import lanczos_pca, standardized_genotypes
+
+    g = _g(spark, sf)
+    listed = interval_semi_join(g, _intervals(spark, sf), "contig", "pos", "start", "end", bin_size=10_000)
+    z = cut_lineage(standardized_genotypes(listed))
+    return z, *lanczos_pca(z, "sample_id", "variant_id", "z", k=k)
+
+
 @query("geno_pca")
 def geno_pca(spark, sf):
-    """Top 5 principal-component scores per sample of the standardised genotype matrix (subspace iteration)."""
-    from stratum.operators.pca import standardized_genotypes, subspace_pca
-
-    z = standardized_genotypes(_g(spark, sf))
-    scores, lam = subspace_pca(z, "sample_id", "variant_id", "z", k=5, iters=20)
+    """Top 5 principal-component scores per sample of the standardised genotypes on the interval list (block Lanczos)."""
+    _, scores, lam = _pca(spark, sf)
     ev = spark.createDataFrame([(i, float(v)) for i, v in enumerate(lam)], "pc int, eigenvalue double")
-    return scores.join(F.broadcast(ev), "pc")
+    return scores.join(F.broadcast(ev), "pc")  # five rows
+
+
+@query("geno_pca_residuals", """
+SELECT CAST(range AS INTEGER) AS pc, true AS exact, true AS descending FROM range(0, 5)""")
+def geno_pca_residuals(spark, sf):
+    """Are the components eigenvectors? Each one's residual against X X', recomputed from the scores, and the order of the values."""
+    from stratum.operators.pca import eigen_residuals
+
+    z, scores, _ = _pca(spark, sf)
+    found = eigen_residuals(z, scores, "sample_id", "variant_id", "z")
+    over = Window.orderBy("pc")  # five rows
+    falls = F.coalesce(F.lag("eigenvalue").over(over) >= F.col("eigenvalue") * (1 - 1e-9), F.lit(True))
+    return found.select(F.col("pc").cast("int").alias("pc"), (F.col("residual") < 1e-6).alias("exact"), falls.alias("descending"))
+
+
+#: Populations as covariates: all but two of the regions stand against the rest.
+_ADJUST = {"is_female": "is_female", "in_africa": "super_population = 'AFRICA'", "in_america": "super_population = 'AMERICA'",
+           "in_asia": "super_population = 'ASIA'"}
+
+
+def _adjusted_samples(spark, sf):
+    return _s(spark, sf).select("sample_id", "caffeine", "purple_hair", *[F.expr(e).cast("double").alias(n) for n, e in _ADJUST.items()])
+
+
+#: Call rate, mean quality and the open frequency range of variants that are tested (the view calls about 95 % of its genotypes).
+_ASSOC_QC = (0.8, 20.0, (0.05, 0.95))
+_KEPT_SQL = f""", kept AS (SELECT variant_id FROM ({_qc_sql('variant_id')}) q WHERE call_rate > {_ASSOC_QC[0]} AND gq_mean >= {_ASSOC_QC[1]} AND af > 0.05 AND af < 0.95)"""
+
+
+def _eliminated_sql(y: str) -> str:
+    """Cross products per variant, then Gaussian elimination of all covariates: what is left belongs to gt and y."""
+    names = ["1.0", *[f"CAST({e} AS DOUBLE)" for e in (f"CASE WHEN {v} THEN 1 ELSE 0 END" for v in _ADJUST.values())], "CAST(gt AS DOUBLE)", y]
+    p = len(names)
+    cell = lambda i, j: f"a{min(i, j)}_{max(i, j)}"
+    steps = [f""", e0 AS (SELECT variant_id, count(*) AS n, {', '.join(f'sum(x{i} * x{j}) AS {cell(i, j)}' for i in range(p) for j in range(i, p))}
+FROM (SELECT variant_id, {', '.join(f'{e} AS x{i}' for i, e in enumerate(names))} FROM genotypes JOIN samples USING (sample_id)
+      WHERE gt IS NOT NULL AND variant_id IN (SELECT variant_id FROM kept)) t GROUP BY variant_id)"""]
+    for k in range(p - 2):
+        rest = [(i, j) for i in range(k + 1, p) for j in range(i, p)]
+        bad = f"abs({cell(k, k)}) <= 1e-9 * n"
+        steps.append(f", e{k + 1} AS (SELECT variant_id, n, " + ", ".join(
+            f"CASE WHEN {bad} THEN NULL ELSE {cell(i, j)} - {cell(k, i)} * {cell(k, j)} / {cell(k, k)} END AS {cell(i, j)}" for i, j in rest) + f" FROM e{k})")
+    g, last = p - 2, p - 1
+    steps.append(f""", fit AS (SELECT variant_id, n, {cell(g, last)} / {cell(g, g)} AS beta,
+  CASE WHEN n > {p - 1} THEN sqrt(({cell(last, last)} - {cell(g, last)} * {cell(g, last)} / {cell(g, g)}) / (n - {p - 1}) / {cell(g, g)}) END AS se
+FROM e{p - 2} WHERE {cell(g, g)} > 1e-9 * n)""")
+    return "".join(steps)
+
+
+@query("assoc_linear_adjusted", with_views(_GS, _KEPT_SQL + _eliminated_sql("caffeine") + """
+SELECT variant_id, n, round(beta, 8) AS beta, round(se, 8) AS se, round(beta / se, 6) AS t_stat FROM fit WHERE se IS NOT NULL"""))
+def assoc_linear_adjusted(spark, sf):
+    """caffeine ~ gt + sex + three population indicators per variant that passes QC and the open frequency range."""
+    kept = GT.filter_variants(_g(spark, sf), *_ASSOC_QC)
+    fits = linear_fits(kept, _adjusted_samples(spark, sf), "caffeine", list(_ADJUST))
+    return fits.where("se is not null").select("variant_id", "n", R(F.col("beta")).alias("beta"), R(F.col("se")).alias("se"),
+                                               R(F.col("t_stat"), 6).alias("t_stat"))
+
+
+@query("assoc_linear_pcs")
+def assoc_linear_pcs(spark, sf):
+    """caffeine ~ gt + sex + PC1-3 per variant that passes QC, with Student-t p-values."""
+    kept = GT.filter_variants(_g(spark, sf), *_ASSOC_QC)
+    fits = linear_fits(kept, _with_pcs(spark, sf), "caffeine", ["is_female", "pc1", "pc2", "pc3"])
+    return GT.with_t_pvalue(fits.drop("coefficients"), k=6)
+
+
+def _with_pcs(spark, sf):
+    _, scores, _ = _pca(spark, sf, k=3)
+    wide = scores.groupBy("sample_id").pivot("pc", [0, 1, 2]).agg(F.first("score")).toDF("sample_id", "pc1", "pc2", "pc3")
+    return _s(spark, sf).join(wide, "sample_id", "left").na.fill(0.0, ["pc1", "pc2", "pc3"]).withColumn("is_female", F.col("is_female").cast("double"))
+
+
+@query("assoc_pcs_optimality", with_views(_GS, _KEPT_SQL + """
+SELECT model, variant_id, count(gt) AS n, true AS optimal
+FROM genotypes JOIN samples USING (sample_id), (VALUES ('linear'), ('logistic')) AS m(model)
+WHERE variant_id IN (SELECT variant_id FROM kept) GROUP BY model, variant_id"""))
+def assoc_pcs_optimality(spark, sf):
+    """Both association models with sex and PC1-3: do the score equations vanish at the returned coefficients, per variant?
+
+    A fit that its own status calls singular or separated has no optimum; such a group counts as optimal only if a linear
+    fit has no degree of freedom for it either.
+    """
+    kept = cut_lineage(GT.filter_variants(_g(spark, sf), *_ASSOC_QC))
+    people = cut_lineage(_with_pcs(spark, sf).withColumn("purple_hair", F.col("purple_hair").cast("double")))
+    by = ["is_female", "pc1", "pc2", "pc3"]
+    out = []
+    for model, y, fit in (("linear", "caffeine", linear_fits), ("logistic", "purple_hair", logistic_fits)):
+        fits = cut_lineage(fit(kept, people, y, by))
+        worst = normal_equations(kept, people, fits.where("coefficients is not null"), y, by, logistic=model == "logistic")
+        fine = F.coalesce(F.col("worst") < 1e-7, (F.col("n") <= 6) | F.col("coefficients").isNull())
+        out.append(fits.join(worst, "variant_id", "left").select(F.lit(model).alias("model"), "variant_id", "n", fine.alias("optimal")))
+    return out[0].unionByName(out[1])
+
+
+@query("assoc_logistic_adjusted")
+def assoc_logistic_adjusted(spark, sf):
+    """purple hair ~ gt + sex + three population indicators per variant that passes QC: Wald test, or why there is none."""
+    kept = GT.filter_variants(_g(spark, sf), *_ASSOC_QC)
+    return logistic_fits(kept, _adjusted_samples(spark, sf), "purple_hair", list(_ADJUST))
+
+
+@query("fisher_rare", with_views(_GS, f"""
+, rare AS (SELECT variant_id FROM ({_qc_sql('variant_id')}) q WHERE af > 0 AND af <= 0.4 OR af >= 0.6 AND af < 1),
+cc AS ({_ALLELE_SQL}),
+t AS (SELECT *, minor_case + minor_control AS r1, major_case + major_control AS r2, minor_case + major_case AS c1,
+             minor_case + minor_control + major_case + major_control AS n FROM cc WHERE variant_id IN (SELECT variant_id FROM rare)),
+ks AS (SELECT variant_id, minor_case AS a, r1, r2, c1, n, unnest(range(greatest(0, c1 - r2), least(r1, c1) + 1)) AS k FROM t WHERE n > 0),
+lp AS (SELECT variant_id, a, k, lgamma(r1 + 1) - lgamma(k + 1) - lgamma(r1 - k + 1) + lgamma(r2 + 1) - lgamma(c1 - k + 1)
+              - lgamma(r2 - c1 + k + 1) - (lgamma(n + 1) - lgamma(c1 + 1) - lgamma(n - c1 + 1)) AS lp FROM ks),
+obs AS (SELECT variant_id, max(CASE WHEN k = a THEN lp END) AS lpo FROM lp GROUP BY 1)
+SELECT variant_id, round(least(1.0, sum(exp(lp)) FILTER (WHERE exp(lp) <= exp(lpo) * (1 + 1e-7))), 8) AS p_fisher
+FROM lp JOIN obs USING (variant_id) GROUP BY 1"""))
+def fisher_rare(spark, sf):
+    """Fisher's test for the variants whose rarer allele is rare (here at most 0.4: the view's frequencies lie near one half)."""
+    rare = GT.rare_variants(_g(spark, sf), 0.4)
+    f = GT.fisher_test(GT.case_control_allele_counts(rare, _s(spark, sf), "purple_hair"))
+    return f.where("p_fisher is not null").select("variant_id", R(F.col("p_fisher")).alias("p_fisher"))
 
 
 @query("split_multi_allelic", with_views(_G, """

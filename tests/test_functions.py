@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions import scalar as S
 from stratum.functions import stats as ST
+from stratum.functions.exact_tests import fisher_p, hardy_weinberg_p
 
 
 def test_clock_arithmetic(spark):
@@ -50,16 +51,42 @@ def test_great_circle_endpoints(spark):
     assert abs(pts[-1]["lon"] + 30) < 1e-9 and abs(pts[-1]["lat"] - 40) < 1e-9
 
 
-def test_fisher_and_hwe():
-    assert abs(ST.fisher_exact_p(3, 1, 1, 3) - 34 / 70) < 1e-12
-    assert abs(ST.fisher_exact_p(1, 3, 3, 1) - ST.fisher_exact_p(3, 1, 1, 3)) < 1e-12  # symmetric
-    for counts in [(25, 50, 25), (50, 0, 50), (10, 80, 10), (1, 2, 3)]:
-        p = ST.hwe_exact_p(*counts)
-        assert 0 < p <= 1
-    assert ST.hwe_exact_p(25, 50, 25) > 0.9
+def test_fisher_equals_all_tables(spark):
+    from fractions import Fraction
+
+    def by_tables(a, b, c, d):
+        each = {k: Fraction(math.comb(a + b, k) * math.comb(c + d, a + c - k)) for k in range(max(0, a - d), min(a + b, a + c) + 1)}
+        return float(sum(p for p in each.values() if p <= each[a]) / sum(each.values()))
+
+    tables = [(3, 1, 1, 3), (1, 3, 3, 1), (0, 0, 5, 7), (10, 2, 3, 15), (0, 9, 4, 0), (120, 80, 60, 140), (7, 0, 0, 0), (30, 10, 8, 33)]
+    df = spark.createDataFrame([(*t, i) for i, t in enumerate([*tables, (0, 0, 0, 0), (40_000, 1, 2, 50_000)])], "a long, b long, c long, d long, i int")
+    got = {r.i: r.p for r in df.select("i", fisher_p("a", "b", "c", "d").alias("p")).collect()}
+    assert all(abs(got[i] - by_tables(*t)) < 1e-12 for i, t in enumerate(tables))
+    assert got[len(tables)] is None and got[len(tables) + 1] == 0.0
+
+
+def test_hardy_weinberg_equals_all_tables(spark):
+    from fractions import Fraction
+
+    def by_tables(aa, ab, bb):
+        n, minor = aa + ab + bb, 2 * min(aa, bb) + ab
+        ways = {h: Fraction(2 ** h * math.factorial(n), math.factorial((minor - h) // 2) * math.factorial(h) * math.factorial(n - (minor + h) // 2))
+                for h in range(minor % 2, minor + 1, 2)}
+        return float(sum(p for p in ways.values() if p <= ways[ab]) / sum(ways.values()))
+
+    counts = [(25, 50, 25), (50, 0, 50), (10, 80, 10), (1, 2, 3), (0, 0, 9), (0, 1, 9), (3, 11, 90), (0, 30, 0), (57, 14, 50)]
+    df = spark.createDataFrame([(*t, i) for i, t in enumerate([*counts, (0, 0, 0)])], "a long, h long, b long, i int")
+    got = {r.i: r.p for r in df.select("i", hardy_weinberg_p("a", "h", "b").alias("p")).collect()}
+    assert all(abs(got[i] - by_tables(*t)) < 1e-12 for i, t in enumerate(counts)) and got[len(counts)] is None
 
 
 def test_t_tail():
     p = ST.t_two_sided_p([2.0, 0.0], [10, 5])
     assert abs(p[0] - 0.0733880347707) < 1e-9
     assert abs(p[1] - 1.0) < 1e-12
+    assert abs(ST.t_two_sided_p([1.0], [1])[0] - 0.5) < 1e-12 and abs(ST.t_two_sided_p([3.0], [2])[0] - (1 - 3 / math.sqrt(11))) < 1e-12
+    z = 5.5  # many degrees of freedom: the normal tail, corrected by its first-order term
+    normal = math.erfc(z / math.sqrt(2)) + 2 * math.exp(-z * z / 2) / math.sqrt(2 * math.pi) * (z ** 3 + z) / (4 * 1e8)
+    assert abs(ST.t_two_sided_p([z], [1e8])[0] / normal - 1) < 1e-6
+    far = ST.t_two_sided_p([40.0, float("nan")], [30, 5])
+    assert 0 < far[0] < 1e-26 and math.isnan(far[1])
