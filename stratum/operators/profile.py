@@ -3,6 +3,8 @@ box-plot statistics, density, correlation, rank correlation, Q-Q table."""
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -96,10 +98,11 @@ def hist2d(df: DataFrame, x: str, y: str, bins: int, materialize: bool = False)
 def rank_within(df: DataFrame, group: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
     """0-based rank of every row by ``value`` within its group, without a single-task window.
 
-    Range-partition on (group, value) so even a hot group is spread over many
-    tasks; rank locally per (partition, group); add the counts of the same
-    group in earlier partitions (a small table). The ranked data is cut from
-    its lineage with a reliable checkpoint so both passes see the same
+    Range-partition on (group, value) so that a large group spans many tasks;
+    rank locally per (partition, group); add the counts of the same group in
+    earlier partitions (a small table). Rows of one value stay in one task:
+    for values that repeat often use :func:`value_ranks`. The ranked data is
+    cut from its lineage with a reliable checkpoint so both passes see the same
     partitioning after executor loss.
     """
     from pyspark.sql import Window
@@ -120,27 +123,61 @@ def rank_within(df: DataFrame, group: Sequence[str], value: str, partitions: int
         .drop("_pid", "_local", "_off")
 
 
+def value_ranks(df: DataFrame, group: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
+    """(group, value, n, first): each distinct value with its number of rows and the 0-based rank of the first of them.
+
+    Rows are counted per value before anything is moved, so a value that most rows share is one row from then on. The
+    distinct values are range-partitioned; a running sum inside each partition plus the sums of the earlier partitions
+    (one row per partition and group) gives the ranks. NULL values have none.
+    """
+    from pyspark.sql import Window
+
+    from stratum.session import cut_lineage
+
+    keys = list(group)
+    cells = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    n_parts = [partitions] if partitions else []
+    cells = cells.repartitionByRange(*n_parts, *keys, value).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    cells = cut_lineage(cells.withColumn("_local", F.sum("n").over(local) - F.col("n")))
+    sums = cells.groupBy("_pid", *keys).agg(F.sum("n").alias("_sum"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_pid", *keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+    return cells.join(sums, ["_pid", *keys]).select(*keys, value, "n", (F.col("_off") + F.col("_local")).cast("long").alias("first"))
+
+
+def expand_ranks(ranked: DataFrame, piece: int = 10_000) -> DataFrame:
+    """One row per rank from :func:`value_ranks`: the ranks of a frequent value are dealt out in pieces before they expand."""
+    last = F.col("first") + F.col("n") - 1
+    pieces = ranked.withColumn("_from", F.explode(F.sequence(F.col("first"), last, F.lit(piece).cast("long"))))
+    # a given number of partitions, which adaptive execution does not coalesce: the rows are few before they expand
+    dealt = pieces.repartition(int(ranked.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_from")
+    return dealt.withColumn("rank", F.explode(F.sequence(F.col("_from"), F.least(last, F.col("_from") + piece - 1)))).drop("_from", "n", "first")
+
+
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolation quantiles (R type 7 / ``percentile``) per group, scalable.
 
-    Uses :func:`rank_within` then fetches only the ≤ 2·len(probs) rows per
-    group that the quantile positions need. Output: (group…, p, q).
+    The wanted ranks of a group (two a quantile) are looked up in the rank
+    ranges of its distinct values (:func:`value_ranks`); no row is expanded.
+    Output: (group…, p, q).
     """
     keys = list(group)
-    ranked = rank_within(df, keys, value)
-    n = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    tgt = n.select(*keys, "_n", F.explode(ps).alias("p"))
-    tgt = tgt.withColumn("_pos", F.col("p") * (F.col("_n") - 1)).withColumn("_k", F.floor("_pos").cast("long"))
-    need = tgt.select(*keys, F.explode(F.array(F.col("_k"), F.least(F.col("_k") + 1, F.col("_n") - 1))).alias("rank")) \
-        .distinct()
-    vals = ranked.join(need, [*keys, "rank"], "left_semi").select(*keys, "rank", F.col(value).alias("_v"))
-    lo = vals.withColumnRenamed("rank", "_k").withColumnRenamed("_v", "_vlo")
-    hi = vals.withColumn("_k", F.col("rank") - 1).drop("rank").withColumnRenamed("_v", "_vhi")
-    t = tgt.join(lo, [*keys, "_k"], "left").join(hi, [*keys, "_k"], "left")
-    frac = F.col("_pos") - F.col("_k")
+    ranked = value_ranks(df, keys, value)
+    n = ranked.groupBy(*keys).agg(F.sum("n").alias("_n"))
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos")) for p in probs])
+    found = ranked.join(n.select(*keys, wanted.alias("_w"), "_n"), keys)
+    each = F.transform("_w", lambda w: F.struct(
+        w["p"].alias("p"), w["pos"].alias("pos"), F.floor(w["pos"]).cast("long").alias("low"),
+        F.least(F.floor(w["pos"]).cast("long") + 1, F.col("_n") - 1).alias("high")))
+    inside = lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("n"))
+    hits = F.filter(each, lambda w: inside(w["low"]) | inside(w["high"]))
+    rows = found.select(*keys, F.col(value).alias("_v"), "first", "n", F.explode(hits).alias("_w"))
+    rows = rows.groupBy(*keys, "_w.p", "_w.pos").agg(F.max(F.when(inside(F.col("_w.low")), F.col("_v"))).alias("_vlo"),
+                                                      F.max(F.when(inside(F.col("_w.high")), F.col("_v"))).alias("_vhi"))
+    frac = F.col("pos") - F.floor("pos")
     q = F.when(frac == 0, F.col("_vlo")).otherwise(F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo")))
-    return t.select(*keys, "p", q.alias("q"))
+    return rows.select(*keys, "p", q.alias("q"))
 
 
 def box_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -204,143 +241,80 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
-KENDALL_GROUP_CELLS = 50_000
-
-
-def _weighted_inversions(xs, vs, cs) -> int:
-    """Σ c_i c_j over pairs with x_i < x_j and v_i > v_j (strict), by a Fenwick sweep in x order."""
-    import numpy as np
-
-    if len(xs) < 2:
-        return 0
-    vr = np.searchsorted(np.unique(vs), vs)
-    m = int(vr.max()) + 1
-    tree = [0] * (m + 1)
-    order = np.lexsort((vs, xs))
-    xs_o, vr_o, cs_o = xs[order], vr[order], cs[order]
-    total = seen = 0
-    i, k = 0, len(order)
-    while i < k:
-        j = i
-        while j < k and xs_o[j] == xs_o[i]:
-            j += 1
-        for t in range(i, j):  # pairs against strictly smaller x: count earlier v strictly larger
-            q, s_ = int(vr_o[t]) + 1, 0
-            while q > 0:
-                s_ += tree[q]
-                q -= q & -q
-            total += int(cs_o[t]) * (seen - s_)
-        for t in range(i, j):
-            q = int(vr_o[t]) + 1
-            while q <= m:
-                tree[q] += int(cs_o[t])
-                q += q & -q
-            seen += int(cs_o[t])
-        i = j
-    return total
-
-
-def _block_ids(df: DataFrame, col: str, bounds: list[float], out: str) -> DataFrame:
-    """Block of each value: values below/above/between boundaries are interval blocks (even ids),
-    a value equal to a boundary is a single-value block (odd id) — so a hot value sits alone."""
-    from pyspark.ml.feature import Bucketizer
-
-    splits = [float("-inf")] + bounds + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="_v", outputCol="_k")
-    x = b.transform(df.withColumn("_v", F.col(col).cast("double")))
-    arr = F.array(*[F.lit(v) for v in bounds]) if bounds else F.array().cast("array<double>")
-    k = F.col("_k").cast("int")
-    eq = (k >= 1) & (F.element_at(arr, F.greatest(k, F.lit(1))) == F.col("_v"))
-    return x.withColumn(out, F.when(eq, 2 * k - 1).otherwise(2 * k)).drop("_v", "_k")
-
-
-def kendall_tau_b(df: DataFrame, x: str, y: str, group_cells: int = KENDALL_GROUP_CELLS) -> DataFrame:
+def kendall_tau_b(df: DataFrame, x: str, y: str, digit_bits: int = 4) -> DataFrame:
     """Exact Kendall τ-b of two numeric columns, distributed.
 
     S = n0 − n1 − n2 + n3 − 2D, where n1/n2/n3 are tied pairs in x / y / both
-    (from group counts) and D is the weighted number of discordant pairs over
-    the distinct (x, y) cells. x and y are cut into quantile blocks (boundary
-    values become single-value blocks, so a hot value never makes a block
-    large): pairs in different blocks on both axes are counted from the block
-    grid (at most 4001 x 4001 numbers on the driver, whatever the data size);
-    pairs in one x block but different y blocks, and pairs in one y block, are
-    counted exactly inside each block by ``applyInPandas`` (groups of about
-    ``group_cells`` cells, more beyond 2000 times as many cells).
-    Counts are whole numbers throughout, so ties are exact at any size.
+    (from group counts) and D is the number of discordant pairs. The distinct
+    (x, y) cells are written with dense ranks in digits of ``digit_bits``
+    bits. A pair that differs in both ranks has one highest differing digit
+    in each, so it is counted at exactly one pair of levels, among the cells
+    that agree in all higher digits of both ranks: a table of at most
+    digits × digits counts. All levels are one aggregate (with map-side
+    combine) by those higher digits; whatever the data, no group holds more
+    than one table. The driver sees one row per range partition. Counts are whole numbers
+    throughout, so ties are exact at any size. NULL and NaN rows are left
+    out; tau is NULL where either column is constant or there are no rows.
     """
-    import math
-
-    import numpy as np
-    import pandas as pd
-
     from stratum.session import cut_lineage
 
-    spark = df.sparkSession
+    size = 1 << digit_bits
     s = df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double"))
                  & ~F.isnan(F.col(y).cast("double")))
     cells = cut_lineage(s.groupBy(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
                         .agg(F.count(F.lit(1)).alias("c")))
-    tx = cells.groupBy("x").agg(F.sum("c").alias("t"))
-    ty = cells.groupBy("y").agg(F.sum("c").alias("t"))
-    pairs = lambda c: F.sum(F.expr(f"cast({c} as decimal(19,0)) * ({c} - 1)"))  # noqa: E731  twice the tied pairs
-    n, n3, k = cells.agg(F.sum("c"), pairs("c"), F.count(F.lit(1))).first()
+    big = lambda c: F.col(c).cast("decimal(19,0)")
+    pairs = lambda c: F.sum(big(c) * (big(c) - 1)).cast("decimal(38,0)")  # noqa: E731  twice the tied pairs
+    # the values of both axes in sorted ranges: a place in the range, and the sizes of the ranges before
+    both = cells.select(F.explode(F.array(*[F.struct(F.lit(k).alias("axis"), F.col(v).alias("v")) for k, v in enumerate("xy")])).alias("_a"), "c")
+    own = both.groupBy("_a.axis", "_a.v").agg(F.sum("c").alias("t")).repartitionByRange("axis", "v").sortWithinPartitions("axis", "v")
+    own = cut_lineage(own.withColumn("_at", F.monotonically_increasing_id()))
+    own = own.select("axis", "v", "t", F.shiftright("_at", 33).alias("_pid"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_place"))
+    sums = own.groupBy("_pid", "axis").agg(F.count(F.lit(1)).alias("k"), F.min("_place").alias("_least"), pairs("t").alias("ties"))
+    sums = sums.collect()  # one row per range and axis
+    n, n3 = cells.agg(F.sum("c"), pairs("c")).first()
     if not n:
-        return spark.createDataFrame([(None, 0)], "tau_b double, n long")
-    n1 = int(tx.agg(pairs("t")).first()[0]) // 2
-    n2 = int(ty.agg(pairs("t")).first()[0]) // 2
-    n, n3 = int(n), int(n3) // 2
-    n0 = n * (n - 1) // 2
-    blocks = min(2000, max(2, math.ceil(k / group_cells)))
-    probs = [i / blocks for i in range(1, blocks)]
-    rel = 1.0 / (4 * blocks)
-    bx = sorted({v for v in cells.approxQuantile("x", probs, rel) if math.isfinite(v)})
-    by = sorted({v for v in cells.approxQuantile("y", probs, rel) if math.isfinite(v)})
-    b = _block_ids(_block_ids(cells, "x", bx, "xb"), "y", by, "yb")
-    b = cut_lineage(b)
-    # (1) different x block and different y block: from the bounded block grid
-    grid = b.groupBy("xb", "yb").agg(F.sum("c").alias("c")).toPandas()
-    gx, gy = 2 * len(bx) + 1, 2 * len(by) + 1
-    xi, yi = grid["xb"].to_numpy(dtype=np.int64), grid["yb"].to_numpy(dtype=np.int64)
-    cv = grid["c"].to_numpy(dtype=np.int64)
-    T = np.zeros((gx, gy), dtype=np.int64)
-    np.add.at(T, (xi, yi), cv)
-    # below[i, j] = Σ T[i', j'] over i' > i and j' < j (counts ≤ n, exact in int64)
-    later = np.zeros((gx, gy), dtype=np.int64)
-    later[:-1] = np.cumsum(T[::-1], axis=0)[::-1][1:]
-    below = np.zeros((gx, gy), dtype=np.int64)
-    below[:, 1:] = np.cumsum(later, axis=1)[:, :-1]
-    # products can exceed int64: sum them as Python integers over the non-empty cells only
-    d = sum(int(a) * int(b) for a, b in zip(cv, below[xi, yi]))
-    schema = "d long"
-
-    def within(key: str, v: str):
-        def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-            xs, vs = pdf["x"].to_numpy(), pdf[v].to_numpy()
-            return pd.DataFrame({"d": [_weighted_inversions(xs, vs, pdf["c"].to_numpy(dtype=np.int64))]})
-        return fn
-
-    # (2) same x block (interval blocks only), different y blocks: compare by y block
-    d2 = (b.where(F.col("xb") % 2 == 0).groupBy("xb").applyInPandas(within("xb", "yb"), schema)
-          .agg(F.sum("d")).first()[0] or 0)
-    # (3) same y block (interval blocks only), any x: exact y comparison
-    d3 = (b.where(F.col("yb") % 2 == 0).groupBy("yb").applyInPandas(within("yb", "y"), schema)
-          .agg(F.sum("d")).first()[0] or 0)
-    d = int(d) + int(d2) + int(d3)
-    S = n0 - n1 - n2 + n3 - 2 * int(d)
+        return df.sparkSession.createDataFrame([(None, 0)], "tau_b double, n long")
+    places, ends = [], [0, 0]
+    for r in sorted(sums, key=lambda r: (r["axis"], r["_pid"])):
+        places.append((r["_pid"], r["axis"], ends[r["axis"]] - r["_least"]))
+        ends[r["axis"]] += r["k"]
+    offsets = df.sparkSession.createDataFrame(places, "_pid long, axis int, _off long")
+    ranks = own.join(F.broadcast(offsets), ["_pid", "axis"]).select("axis", "v", (F.col("_off") + F.col("_place")).alias("r"))
+    ranked = (cells.join(ranks.where("axis = 0").select(F.col("v").alias("x"), F.col("r").alias("rx")), "x")
+              .join(ranks.where("axis = 1").select(F.col("v").alias("y"), F.col("r").alias("ry")), "y").select("rx", "ry", "c"))
+    levels = lambda most: range(max(1, -(-int(most).bit_length() // digit_bits)))
+    at = ", ".join(f"struct({a} AS a, {b} AS b, shiftright(rx, {digit_bits * (a + 1)}) AS nx, shiftright(ry, {digit_bits * (b + 1)}) AS ny, "
+                   f"shiftright(rx, {digit_bits * a}) & {size - 1} AS dx, shiftright(ry, {digit_bits * b}) & {size - 1} AS dy)"
+                   for a in levels(ends[0] - 1) for b in levels(ends[1] - 1))
+    rows = ranked.select("c", F.expr(f"inline(array({at}))"))
+    sums_where = lambda sign: "array(" + ", ".join(f"coalesce(sum(CASE WHEN dy {sign} {k} THEN c END), 0L)" for k in range(size)) + ")"
+    lines = rows.groupBy("a", "b", "nx", "ny", "dx").agg(F.expr(sums_where("=")).alias("own"), F.expr(sums_where(">")).alias("above"))
+    table = lines.groupBy("a", "b", "nx", "ny").agg(F.array_sort(F.collect_list(F.struct("dx", "own", "above"))).alias("t")).where(F.size("t") > 1)
+    # line by line, every count against those of a smaller x digit and a larger y digit
+    fold = (f"aggregate(t, struct(cast(0 as decimal(38,0)) AS d, array_repeat(0L, {size}) AS above), (acc, l) -> struct("
+            "cast(acc.d + aggregate(zip_with(l.own, acc.above, (u, v) -> cast(u as decimal(19,0)) * cast(v as decimal(19,0))), "
+            "cast(0 as decimal(38,0)), (p, q) -> cast(p + q as decimal(38,0))) as decimal(38,0)) AS d, "
+            "zip_with(acc.above, l.above, (u, v) -> u + v) AS above), acc -> acc.d)")
+    discordant = table.agg(F.expr(f"coalesce(sum({fold}), 0)").alias("d"))
+    n, n3, d = int(n), int(n3), int(discordant.first()[0])
+    n1, n2 = (sum(int(r["ties"]) for r in sums if r["axis"] == axis) for axis in (0, 1))
+    n0 = n * (n - 1)  # all of these twice the pairs
     den = math.sqrt(float((n0 - n1) * (n0 - n2)))
-    tau = float(S) / den if den > 0 else None
-    return spark.createDataFrame([(tau, n)], "tau_b double, n long")
+    tau = (n0 - n1 - n2 + n3 - 4 * d) / den if den > 0 else None
+    return df.sparkSession.createDataFrame([(tau, n)], "tau_b double, n long")
 
 
 def qq_table(df: DataFrame, p: str) -> DataFrame:
     """Q-Q table of p-values: NaN/NULL dropped, sorted ascending; expected −log10(i/n), observed −log10(p).
 
-    The global order comes from :func:`rank_within` (range-partitioned), not a
-    single-partition window.
+    The global order comes from :func:`value_ranks` (distinct values, range-partitioned), not a
+    single-partition window; equal p-values are expanded into their ranks afterwards.
     """
     clean = df.where(F.col(p).isNotNull() & ~F.isnan(p)).select(F.lit(0).alias("_g"), F.col(p))
-    ranked = rank_within(clean, ["_g"], p)
-    n = clean.count()
+    cells = value_ranks(clean, ["_g"], p)
+    n = cells.agg(F.sum("n")).first()[0] or 0
+    ranked = expand_ranks(cells)
     i = F.col("rank") + 1
     return ranked.select(i.alias("i"), F.col(p).alias("p"), (-F.log10(i / F.lit(float(n)))).alias("expected"),
                          (-F.log10(F.col(p))).alias("observed"))

@@ -234,7 +234,7 @@ def test_kendall_distributed_path_matches_brute_force(spark):
     pts = [(5, rnd.randint(0, 40)) for _ in range(70)] + [(rnd.randint(0, 60), 7) for _ in range(40)] + \
           [(rnd.randint(0, 60), rnd.randint(0, 40)) for _ in range(100)]
     df = spark.createDataFrame(pts, "x int, y int")
-    got = P.kendall_tau_b(df, "x", "y", group_cells=20).first()[0]
+    got = P.kendall_tau_b(df, "x", "y", digit_bits=1).first()[0]
     local = P.kendall_tau_b(df, "x", "y").first()[0]
     s = n1 = n2 = 0
     for (a, b), (c, d) in itertools.combinations(pts, 2):
@@ -287,6 +287,22 @@ def test_rank_within_hot_group_with_ties(spark):
         assert [v for v, _ in ranks] == vals  # rank order follows value order
 
 
+def test_value_ranks_of_a_value_in_most_rows(spark):
+    rnd = random.Random(13)
+    rows = [("a", 7.0)] * 3600 + [("a", float(rnd.randint(0, 60))) for _ in range(400)] + [("b", None), ("b", 2.0), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ranked = P.value_ranks(df, ["g"], "v", partitions=8)
+    got = sorted(tuple(r) for r in ranked.collect())
+    values = sorted(v for g, v in rows if g == "a")
+    assert got == sorted([("a", v, values.count(v), values.index(v)) for v in set(values)] + [("b", 2.0, 1, 0)])
+    pieces = P.expand_ranks(ranked.where("g = 'a'"), piece=100)
+    per_task = [r[0] for r in pieces.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sorted((r["rank"], r["v"]) for r in pieces.collect()) == list(enumerate(values)) and max(per_task) < 0.6 * len(values)
+    q = {(r["g"], r["p"]): r["q"] for r in P.exact_quantiles(df, ["g"], "v", [0.0, 0.03, 0.5, 0.991, 1.0]).collect()}
+    for p in (0.0, 0.03, 0.5, 0.991, 1.0):
+        assert abs(q["a", p] - np.quantile(values, p)) < 1e-12 and q["b", p] == 2.0 and ("c", p) not in q
+
+
 def test_similarity_salted_cells_match_unsalted(spark):
     rnd = random.Random(21)
     rows = [(f"n{i}", e, 2000 + e, [rnd.gauss(0, 0.5) for _ in range(6 * (e + 1))]) for e in range(2) for i in range(50)]
