@@ -68,6 +68,17 @@ def feature_importances(model, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc())
 
 
+def t_quantile(level: float, df: int) -> float:
+    """The t beyond which Student's tails hold 1 - level, by bisection (a driver-side scalar)."""
+    lo, hi = 0.0, 1.0
+    while t_two_sided_p([hi], [df])[0] > 1 - level:
+        hi *= 2
+    for _ in range(100):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if t_two_sided_p([mid], [df])[0] > 1 - level else (lo, mid)
+    return (lo + hi) / 2
+
+
 def ols_with_intervals(df: DataFrame, y: str, x: str, new_x: DataFrame, level: float = 0.95) -> DataFrame:
     """Simple OLS fit and, for each new x, prediction ± t·s·sqrt(1 + 1/n + (x−x̄)²/Sxx).
 
@@ -81,15 +92,7 @@ def ols_with_intervals(df: DataFrame, y: str, x: str, new_x: DataFrame, level: f
     n, mx, b, a, sxx, syy, sxy = s
     sse = syy - sxy * sxy / sxx
     sd = math.sqrt(sse / (n - 2))
-    lo, hi = 0.0, 100.0
-    alpha = 1 - level
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        if t_two_sided_p([mid], [n - 2])[0] > alpha:
-            lo = mid
-        else:
-            hi = mid
-    tq = (lo + hi) / 2
+    tq = t_quantile(level, n - 2)
     xv = F.col(x)
     yhat = F.lit(a) + F.lit(b) * xv
     se = F.lit(sd) * F.sqrt(1 + F.lit(1.0 / n) + (xv - F.lit(mx)) * (xv - F.lit(mx)) / F.lit(sxx))

@@ -21,9 +21,17 @@ def dedup_seasons(raw: DataFrame, keys=("name", "year"), team: str = "team", tot
     return clean.preferred_row(raw, list(keys), F.col(team) == total, [F.col(team)])
 
 
-def score_seasons(players: DataFrame, year: str = "year") -> DataFrame:
+#: All nine scores, in the order of summation.
+NINE = ["zfg", "zft", "ztp", "ztrb", "zast", "zstl", "zblk", "ztov", "zpts"]
+
+
+def score_seasons(players: DataFrame, year: str = "year", raw: Sequence[str] = ("tp", "trb", "pts", "tov"),
+                  scores: Sequence[str] = SCORES) -> DataFrame:
     """Two-pass z-scores within each year, total, max-abs normalised scores and total.
 
+    ``raw`` are the counting statistics, ``scores`` the scores in the order they are added up (``NINE`` with assists, steals
+    and blocks among ``raw``).
+
     Pass 1: ``fg=(fgp−avg fgp)·fga``, ``ft=(ftp−avg ftp)·fta``; tp, trb, pts are
     population z-scores; tov is a negated z-score. Pass 2: z-score of fg, ft.
     """
@@ -32,7 +40,6 @@ def score_seasons(players: DataFrame, year: str = "year") -> DataFrame:
     # several passes read the same rows: materialise them once on shared storage
     players = cut_lineage(players)
     # pass 1: one aggregate for the weighted-percentage means and the raw z-score statistics
-    raw = ["tp", "trb", "pts", "tov"]
     aggs = [F.avg("fgp").alias("_afgp"), F.avg("ftp").alias("_aftp")]
     aggs += [a for c in raw for a in (F.avg(c).alias(f"_a_{c}"), F.stddev_pop(c).alias(f"_s_{c}"))]
     s1 = W.with_group_stats(players, [year], aggs)
@@ -43,9 +50,9 @@ def score_seasons(players: DataFrame, year: str = "year") -> DataFrame:
         s1 = s1.withColumn(f"z{c}", -z if c == "tov" else z)
     s1 = s1.drop("_afgp", "_aftp", *[f"_a_{c}" for c in raw], *[f"_s_{c}" for c in raw])
     s2 = W.zscore_within(s1, [year], ["fg", "ft"])
-    s2 = s2.withColumn("ztot", W.row_sum(SCORES))
-    s3 = W.maxabs_within(s2, [year], SCORES)
-    return s3.withColumn("ntot", W.row_sum(NORMS))
+    s2 = s2.withColumn("ztot", W.row_sum(scores))
+    s3 = W.maxabs_within(s2, [year], scores)
+    return s3.withColumn("ntot", W.row_sum([f"n{c[1:]}" for c in scores]))
 
 
 def season_deltas(scored: DataFrame, entity: str = "name", order: str = "year") -> DataFrame:

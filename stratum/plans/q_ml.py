@@ -3,6 +3,7 @@ not exact trees); the least-squares ones have SQL oracles."""
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
 
@@ -15,11 +16,14 @@ from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClas
 from pyspark.ml.feature import PolynomialExpansion, StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.operators import clean as C
 from stratum.operators import ml as ML
 from stratum.operators.ml_geometry import farthest_points
+from stratum.operators.regression import multi_ols, with_prediction
+from stratum.operators.splits import key_bucket_sql, split_by_key, with_fold
 from stratum.plans.registry import query
 from stratum.plans.views import view, with_views
 from stratum.session import checkpoint_dir, cut_lineage, load
@@ -48,6 +52,62 @@ def delay_regression(spark, sf):
         .select(*[R(F.col(c)).alias(c) for c in ("intercept", "slope", "r2", "rmse")])
 
 
+_DELAY_FEATURES = ["month", "hour", "dayofweek", "carrier_cat", "dep_delay", "origin_cat", "dest_cat", "distance"]
+
+
+def _delay_sql() -> str:
+    """The design with indexed categories, cross products of the training half, and a sweep of every feature: what is left of
+    the sums are the coefficients, -(X'X)^-1 and the residual sum of squares."""
+    cats = "".join(f", {c}_i AS (SELECT {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS {c}_cat FROM late GROUP BY {c})"
+                   for c in ("carrier", "origin", "dest"))
+    v = ["1.0", *[f"CAST({c} AS DOUBLE)" for c in _DELAY_FEATURES], "arr_delay"]
+    p, cell = len(v), (lambda i, j: f"a{min(i, j)}_{max(i, j)}")
+    steps = [f", e0 AS (SELECT count(*) AS n, {', '.join(f'sum(x{i} * x{j}) AS {cell(i, j)}' for i in range(p) for j in range(i, p))} FROM x WHERE b < 5000)"]
+    for k in range(p - 1):
+        d = cell(k, k)
+        new = [f"{f'-1 / {d}' if i == j == k else f'{cell(i, j)} / {d}' if k in (i, j) else f'{cell(i, j)} - {cell(i, k)} * {cell(k, j)} / {d}'} AS {cell(i, j)}"
+               for i in range(p) for j in range(i, p)]
+        steps.append(f", e{k + 1} AS (SELECT n, {', '.join(new)} FROM e{k})")
+    y, q = p - 1, p - 1
+    fitted = " + ".join(f"{cell(i, y)} * x{i}" for i in range(q))
+    spread = " + ".join(f"({-1 if i == j else -2}) * {cell(i, j)} * x{i} * x{j}" for i in range(q) for j in range(i, q))
+    return f"""
+, late AS (SELECT *, dayofweek(make_date(year, month, day)) + 1 AS dayofweek, floor(sched_arr_time / 100) AS hour FROM flights WHERE arr_delay >= 5 AND dep_delay IS NOT NULL)
+{cats}
+, x AS (SELECT {key_bucket_sql(['l_orderkey', 'l_linenumber'])} AS b, {', '.join(f'{e} AS x{i}' for i, e in enumerate(v))} FROM (
+  SELECT l.*, carrier_cat, origin_cat, dest_cat, sqrt((o.longitude - d.longitude) * (o.longitude - d.longitude) + (o.latitude - d.latitude) * (o.latitude - d.latitude)) AS distance
+  FROM late l JOIN carrier_i USING (carrier) JOIN origin_i USING (origin) JOIN dest_i USING (dest) JOIN airports o ON o.iata = origin JOIN airports d ON d.iata = dest) t)
+{''.join(steps)}
+, f AS (SELECT e.n, {cell(y, y)} AS rss, x{y} AS y, {fitted} AS yhat, sqrt({cell(y, y)} / (e.n - {q}) * (1 + {spread})) AS se FROM x, e{q} e WHERE b >= 5000)
+SELECT any_value(n) AS n_train, count(*) AS n_test, round(any_value(1 - rss / (SELECT sum(x{y} * x{y}) - sum(x{y}) * sum(x{y}) / count(*) FROM x WHERE b < 5000)), 6) AS r2_train,
+       round(1 - sum((y - yhat) * (y - yhat)) / (sum(y * y) - sum(y) * sum(y) / count(*)), 6) AS r2_test,
+       round(sqrt(avg((y - yhat) * (y - yhat))), 6) AS rmse_test, round(avg(se), 6) AS mean_se_pred, round(avg(CASE WHEN abs(y - yhat) <= 2 * se THEN 1.0 ELSE 0.0 END), 6) AS within_2se
+FROM f"""
+
+
+@query("delay_regression_indexed", with_views(["flights", "airports"], _delay_sql()))
+def delay_regression_indexed(spark, sf):
+    """Arrival delay of late flights on eight features, three of them indexed categories, fitted on one half (by key hash) and
+    judged on the other: R², RMSE, width and hits of the prediction intervals."""
+    fl = view(spark, sf, "flights").where((F.col("arr_delay") >= 5) & F.col("dep_delay").isNotNull())
+    fl = fl.select("*", F.dayofweek(F.make_date("year", "month", "day")).alias("dayofweek"), F.floor(F.col("sched_arr_time") / 100).alias("hour"))
+    fl = cut_lineage(fl.select("l_orderkey", "l_linenumber", "month", "hour", "dayofweek", "carrier", "origin", "dest", "dep_delay", "arr_delay"))
+    index = StringIndexer(inputCols=["carrier", "origin", "dest"], outputCols=["carrier_cat", "origin_cat", "dest_cat"]).fit(fl)
+    from stratum.operators.joins import double_lookup
+
+    d = double_lookup(index.transform(fl), view(spark, sf, "airports"), "iata", ["origin", "dest"], ["o_", "d_"])
+    dx, dy = F.col("o_longitude") - F.col("d_longitude"), F.col("o_latitude") - F.col("d_latitude")
+    d = d.withColumn("distance", F.sqrt(dx * dx + dy * dy))
+    train, test = split_by_key(d, ["l_orderkey", "l_linenumber"], [0.5, 0.5])
+    fit = multi_ols(train, "arr_delay", _DELAY_FEATURES)
+    p = with_prediction(test, fit)
+    off, y = F.col("arr_delay") - F.col("yhat"), F.col("arr_delay")
+    return p.agg(F.lit(fit.n).alias("n_train"), F.count(F.lit(1)).alias("n_test"), F.lit(round(fit.r2, 6)).alias("r2_train"),
+                 R(1 - F.sum(off * off) / (F.sum(y * y) - F.sum(y) * F.sum(y) / F.count(y))).alias("r2_test"),
+                 R(F.sqrt(F.avg(off * off))).alias("rmse_test"), R(F.avg("se_pred")).alias("mean_se_pred"),
+                 R(F.avg(F.when(F.abs(off) <= 2 * F.col("se_pred"), 1.0).otherwise(0.0))).alias("within_2se"))
+
+
 @query("prediction_se", with_views(["flights"], """
 , f AS (SELECT dep_delay AS x, arr_delay AS y FROM flights WHERE dep_delay IS NOT NULL AND arr_delay IS NOT NULL),
 c AS (SELECT count(*) AS n, avg(x) AS mx, regr_intercept(y, x) AS a, regr_slope(y, x) AS b, regr_sxx(y, x) AS sxx,
@@ -129,13 +189,13 @@ def rf_tvs(spark, sf):
 
 @query("cv_grid")
 def cv_grid(spark, sf):
-    """3-fold cross-validated logistic-regression grid (parallelism 4): mean AUROC per grid point."""
+    """3-fold cross-validated logistic-regression grid (parallelism 4, folds by key hash): mean AUROC per grid point."""
     prep = Pipeline(stages=_churn_stages()).fit(_churn(spark, sf))
-    d = prep.transform(_churn(spark, sf))
+    d = with_fold(prep.transform(_churn(spark, sf)), ["c_custkey"], 3)
     lr = LogisticRegression(labelCol="label", featuresCol="features", maxIter=20)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.5]).build()
     ev = BinaryClassificationEvaluator(labelCol="label")
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, numFolds=3, parallelism=4, seed=42)
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, numFolds=3, foldCol="fold", parallelism=4, seed=42)
     m = cv.fit(d)
     rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(v)) for p, v in zip(grid, m.avgMetrics)]
     return spark.createDataFrame(rows, "reg_param double, elastic_net double, mean_auc double")
@@ -243,17 +303,21 @@ def run_log_best(spark, sf):
     return ML.best_run(table, "auc")
 
 
-@query("split_and_sample")
+@query("split_and_sample", with_views(["churn"], f"""
+, b AS (SELECT {key_bucket_sql(['c_custkey'])} AS b, {key_bucket_sql(['c_custkey'], 83)} AS s FROM churn)
+SELECT part, n FROM (SELECT 'train' AS part, count(*) FILTER (WHERE b < 9000) AS n FROM b UNION ALL SELECT 'test', count(*) FILTER (WHERE b >= 9000) FROM b
+  UNION ALL SELECT 'sample', count(*) FILTER (WHERE s < 5000) FROM b) t"""))
 def split_and_sample(spark, sf):
-    """Seeded 90/10 split and a seeded 50 % sample without replacement (row counts)."""
+    """90/10 split and 50 % sample by a hash of the customer key (row counts): no row is drawn or written."""
     c = _churn(spark, sf)
-    a, b = ML.seeded_split(c, [0.9, 0.1], seed=42)
-    s = ML.seeded_sample(c, 0.5, 83)
-    return spark.createDataFrame([("train", a.count()), ("test", b.count()), ("sample", s.count())],
-                                 "part string, n long")
+    a, b = split_by_key(c, ["c_custkey"], [0.9, 0.1])
+    s = split_by_key(c, ["c_custkey"], [0.5, 0.5], seed=83)[0]
+    parts = [("train", a), ("test", b), ("sample", s)]
+    return functools.reduce(DataFrame.unionByName, [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(p).alias("part"), "n") for p, d in parts])
 
 
-@query("one_hot_features")
+@query("one_hot_features", with_views(["churn"], """
+SELECT state, count(*) AS n, CAST((SELECT count(DISTINCT state) FROM churn) + 1 AS INTEGER) AS width FROM churn GROUP BY state"""))
 def one_hot_features(spark, sf):
     """Category → index → one-hot sub-pipeline feeding an assembler (vector width and rows per category)."""
     from pyspark.ml.functions import vector_to_array

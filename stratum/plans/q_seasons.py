@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from stratum.operators import aggregates as A
 from stratum.operators import seasons as SN
 from stratum.operators import windows as W
-from stratum.operators.regression import grouped_ols2, unpivot_features
+from stratum.operators import grid as G
+from stratum.operators.splits import key_bucket, key_bucket_sql
 from stratum.plans.registry import query
 from stratum.plans.views import view, with_views
+from stratum.session import cut_lineage
 
 
 def R(c, d: int = 8):
@@ -179,45 +181,93 @@ def similar_entities(spark, sf):
     return out.select("experience", "year", "name", "similar_name", R(F.col("similarity_score")).alias("similarity_score"))
 
 
-_MODEL_METRICS = ["zfg", "zft", "ztp", "ztrb", "ztov", "zpts"]
-
-
-@query("sum_metric_predictions", _sql("""
-, pairs AS (
-  SELECT p2.name, p2.year, CAST(p2.year - m.y0 AS DOUBLE) AS x1, unnest(['""" + "', '".join(_MODEL_METRICS) + """']) AS metric,
-         unnest([""" + ", ".join(f"p1.{m}" for m in _MODEL_METRICS) + """]) AS x2,
-         unnest([""" + ", ".join(f"p2.{m}" for m in _MODEL_METRICS) + """]) AS y
-  FROM players p2 JOIN players p1 ON p1.name = p2.name AND p1.year = p2.year - 1
-  CROSS JOIN (SELECT min(year) AS y0 FROM players) m),
-fitrows AS (SELECT * FROM pairs WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND y IS NOT NULL),
-sums AS (
-  SELECT metric, count(*) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(y) AS sy, sum(x1 * x1) AS s11, sum(x2 * x2) AS s22,
-         sum(x1 * x2) AS s12, sum(x1 * y) AS s1y, sum(x2 * y) AS s2y FROM fitrows GROUP BY metric),
-cov AS (
-  SELECT metric, n, s1 / n AS m1, s2 / n AS m2, sy / n AS my,
-         s11 - s1 * s1 / n AS c11, s22 - s2 * s2 / n AS c22, s12 - s1 * s2 / n AS c12,
-         s1y - s1 * sy / n AS c1y, s2y - s2 * sy / n AS c2y FROM sums),
-coef AS (
-  SELECT metric, b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM (
-    SELECT *, CASE WHEN c11 * c22 - c12 * c12 <> 0 THEN (c22 * c1y - c12 * c2y) / (c11 * c22 - c12 * c12) END AS b1,
-              CASE WHEN c11 * c22 - c12 * c12 <> 0 THEN (c11 * c2y - c12 * c1y) / (c11 * c22 - c12 * c12) END AS b2
-    FROM cov) q)
+_RAW9 = ["tp", "trb", "ast", "stl", "blk", "pts", "tov"]
+
+
+def _nine_sql() -> str:
+    """Scores of all nine statistics (players9) and their year pairs (pairs9: x1 experience, x2 prior value, y, or NULL to predict)."""
+    stats = ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in _RAW9)
+    z = ", ".join(f"{'-' if c == 'tov' else ''}(CASE WHEN s_{c} <> 0 THEN ({c} - a_{c}) / s_{c} END) AS z{c}" for c in _RAW9)
+    rows = "unnest([" + ", ".join(f"'{m}'" for m in SN.NINE) + "]) AS metric, unnest([" + ", ".join(f"p1.{m}" for m in SN.NINE) + "]) AS x2"
+    return f"""WITH dedup9 AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY name, year ORDER BY CASE WHEN team = 'TOT' THEN 1 ELSE 0 END DESC,
+                                                           team DESC) AS rn FROM raw_seasons9) t WHERE rn = 1),
+ys9 AS (SELECT year, avg(fgp) AS a_fgp, avg(ftp) AS a_ftp, {stats} FROM dedup9 GROUP BY year),
+p9 AS (SELECT d.name, d.year, d.age, (fgp - a_fgp) * fga AS fg, (ftp - a_ftp) * fta AS ft, {z} FROM dedup9 d JOIN ys9 ON d.year = ys9.year),
+yt9 AS (SELECT year, avg(fg) AS a_fg, stddev_pop(fg) AS s_fg, avg(ft) AS a_ft, stddev_pop(ft) AS s_ft FROM p9 GROUP BY year),
+players9 AS (SELECT p9.*, age - min(age) OVER (PARTITION BY name) AS exp, CASE WHEN s_fg <> 0 THEN (fg - a_fg) / s_fg END AS zfg,
+                    CASE WHEN s_ft <> 0 THEN (ft - a_ft) / s_ft END AS zft FROM p9 JOIN yt9 ON p9.year = yt9.year),
+pairs9 AS (
+  SELECT p2.name, p2.year, CAST(p2.exp AS DOUBLE) AS x1, {rows}, unnest([{', '.join(f'p2.{m}' for m in SN.NINE)}]) AS y
+  FROM players9 p2 JOIN players9 p1 ON p1.name = p2.name AND p1.year = p2.year - 1
+  UNION ALL
+  SELECT p1.name, p1.year + 1, CAST(p1.exp + 1 AS DOUBLE), {rows}, NULL FROM players9 p1 WHERE p1.year = (SELECT max(year) FROM players9)),
+"""
+
+
+def _models_sql() -> str:
+    """Elastic nets on two features by trying the nine sign patterns of the solution, which is unique; the best grid point per metric."""
+    grid = ", ".join(f"({i}, {reg}, {fit}, {a})" for i, (reg, fit, a) in enumerate(G.GRID))
+    sums = ("count(*) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(y) AS sy, sum(x1 * x1) AS s11, sum(x1 * x2) AS s12, sum(x2 * x2) AS s22, "
+            "sum(x1 * y) AS s1y, sum(x2 * y) AS s2y, sum(y * y) AS syy")
+
+    def fits(name: str, source: str, points: str) -> str:
+        return f"""
+{name}_m AS (SELECT metric, {sums} FROM {source} GROUP BY metric),
+{name}_d AS (SELECT *, sqrt((s11 - s1 * s1 / n) / (n - 1)) AS d1, sqrt((s22 - s2 * s2 / n) / (n - 1)) AS d2, sqrt((syy - sy * sy / n) / (n - 1)) AS dy FROM {name}_m),
+{name}_g AS (SELECT d.metric, id, reg, fit, alpha, n, s1, s2, sy, d1, d2, dy, CASE WHEN fit THEN 1 ELSE 0 END AS c, reg / dy * alpha AS l1, reg / dy * (1 - alpha) AS l2,
+  (s11 - CASE WHEN fit THEN s1 * s1 / n ELSE 0 END) / n / d1 / d1 AS g11, (s22 - CASE WHEN fit THEN s2 * s2 / n ELSE 0 END) / n / d2 / d2 AS g22,
+  (s12 - CASE WHEN fit THEN s1 * s2 / n ELSE 0 END) / n / d1 / d2 AS g12, (s1y - CASE WHEN fit THEN s1 * sy / n ELSE 0 END) / n / d1 / dy AS c1,
+  (s2y - CASE WHEN fit THEN s2 * sy / n ELSE 0 END) / n / d2 / dy AS c2 FROM {name}_d d JOIN {points}),
+{name}_b AS (SELECT *, CASE WHEN u = 0 THEN 0 WHEN v = 0 THEN (c1 - l1 * u) / (g11 + l2)
+                            ELSE ((c1 - l1 * u) * (g22 + l2) - (c2 - l1 * v) * g12) / ((g11 + l2) * (g22 + l2) - g12 * g12) END AS b1,
+                       CASE WHEN v = 0 THEN 0 WHEN u = 0 THEN (c2 - l1 * v) / (g22 + l2)
+                            ELSE ((c2 - l1 * v) * (g11 + l2) - (c1 - l1 * u) * g12) / ((g11 + l2) * (g22 + l2) - g12 * g12) END AS b2
+              FROM {name}_g, (VALUES (-1), (0), (1)) AS a(u), (VALUES (-1), (0), (1)) AS e(v)),
+{name} AS (SELECT metric, id, reg, fit, alpha, b1 / d1 * dy AS b1, b2 / d2 * dy AS b2, (sy - b1 / d1 * dy * s1 - b2 / d2 * dy * s2) / n * c AS b0 FROM {name}_b
+           WHERE CASE WHEN u = 0 THEN abs(c1 - g12 * b2) <= l1 ELSE b1 * u > 0 END AND CASE WHEN v = 0 THEN abs(c2 - g12 * b1) <= l1 ELSE b2 * v > 0 END)"""
+
+    bucket = key_bucket_sql(["name", "year"])
+    return f"""told AS (SELECT *, {bucket} < 7500 AS train FROM pairs9 WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND y IS NOT NULL),
+grid(id, reg, fit, alpha) AS (VALUES {grid}),
+learn AS (SELECT * FROM told WHERE train),{fits('tried', 'learn', 'grid ON true')},
+err AS (SELECT t.metric, id, reg, fit, alpha, round(sqrt(avg((y - b0 - b1 * x1 - b2 * x2) * (y - b0 - b1 * x1 - b2 * x2))), 9) AS rmse
+        FROM told JOIN tried t ON t.metric = told.metric WHERE NOT train GROUP BY ALL),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY rmse, id) AS k FROM err) q WHERE k = 1),{fits('final', 'told', 'best ON best.metric = d.metric')}"""
+
+
+def _pairs9(spark, sf):
+    """Long rows (name, year, metric, x1 experience, x2 prior value, y): past pairs, and the coming season with y NULL."""
+    s = SN.score_seasons(SN.dedup_seasons(view(spark, sf, "raw_seasons9")), raw=_RAW9, scores=SN.NINE)
+    s = SN.with_experience(s.select("name", "year", "age", *SN.NINE))
+    s = cut_lineage(SN.add_next_season(s))
+    prior = s.select("name", (F.col("year") + 1).alias("year"), *[F.col(c).alias(f"{c}0") for c in SN.NINE])
+    pairs = s.join(prior, ["name", "year"])
+    line = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"{m}0").alias("x2"), F.col(m).alias("y")) for m in SN.NINE])
+    last = s.agg(F.max("year")).first()[0]
+    long = pairs.select("name", "year", F.col("exp").cast("double").alias("x1"), F.explode(line).alias("_l")).select("name", "year", "x1", "_l.*")
+    return cut_lineage(long), last
+
+
+@query("metric_models", with_views(["raw_seasons9"], _nine_sql() + _models_sql() + """
+SELECT final.metric, reg AS reg_param, fit AS fit_intercept, alpha AS elastic_net, rmse AS valid_rmse, round(b0, 6) + 0.0 AS b0, round(b1, 6) + 0.0 AS b1,
+       round(b2, 6) + 0.0 AS b2 FROM final JOIN err USING (metric, id, reg, fit, alpha)"""))
+def metric_models(spark, sf):
+    """The best of 30 elastic nets per metric (experience and prior value), tuned on a hash split, fitted on all past pairs."""
+    long, last = _pairs9(spark, sf)
+    m = G.grid_search(long.where(F.col("year") <= F.lit(last)), "metric", ["x1", "x2"], "y", key_bucket(["name", "year"]) < 7500)
+    return m.select("metric", "reg_param", "fit_intercept", "elastic_net", "valid_rmse", *[(R(F.col("coefficients")[i], 6) + 0.0).alias(f"b{i}") for i in range(3)])
+
+
+@query("sum_metric_predictions", with_views(["raw_seasons9"], _nine_sql() + _models_sql() + """
 SELECT name, year, round(sum(b0 + b1 * x1 + b2 * x2), 6) AS predicted_total, count(*) AS n_metrics
-FROM fitrows JOIN coef USING (metric) GROUP BY name, year"""))
+FROM pairs9 JOIN final USING (metric) WHERE year = (SELECT max(year) FROM pairs9) AND x2 IS NOT NULL GROUP BY name, year"""))
 def sum_metric_predictions(spark, sf):
-    s = _scored(spark, sf)
-    y0 = s.agg(F.min("year")).first()[0]
-    from stratum.operators.joins import prior_period_pairs
-
-    p = prior_period_pairs(s, "name", "year", _MODEL_METRICS)
-    p = p.withColumn("x1", (F.col("year") - F.lit(y0)).cast("double"))
-    long = unpivot_features(p, ["name", "year", "x1"], {m: (f"{m}0", m) for m in _MODEL_METRICS})
-    long = long.where(F.col("x1").isNotNull() & F.col("x2").isNotNull() & F.col("y").isNotNull())
-    coef = grouped_ols2(long, "metric", "y", "x1", "x2")
-    pred = long.join(F.broadcast(coef), "metric").withColumn(
-        "_p", F.col("b0") + F.col("b1") * F.col("x1") + F.col("b2") * F.col("x2"))
-    return pred.groupBy("name", "year").agg(R(F.sum("_p"), 6).alias("predicted_total"),
-                                            F.count(F.lit(1)).alias("n_metrics"))
+    """The coming season's total of every entity seen in the last year: nine models' predictions of rows they were not fitted on."""
+    long, last = _pairs9(spark, sf)
+    models = G.grid_search(long.where(F.col("y").isNotNull()), "metric", ["x1", "x2"], "y", key_bucket(["name", "year"]) < 7500)
+    rows = long.where((F.col("year") == F.lit(last)) & F.col("x2").isNotNull()).join(models.select("metric", "coefficients"), "metric")
+    return rows.groupBy("name", "year").agg(R(F.sum(G.predicted(["x1", "x2"])), 6).alias("predicted_total"), F.count(F.lit(1)).alias("n_metrics"))
 
 
 @query("season_mean_by_year", _sql("SELECT year, count(*) AS n, " + ", ".join(

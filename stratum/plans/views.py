@@ -50,6 +50,14 @@ SELECT c_name AS name, CAST(year(o_orderdate) AS INT) AS year, CAST(18 + year(o_
        CASE WHEN o_orderpriority = '1-URGENT' THEN 'TOT' ELSE o_orderpriority END AS team,
        sum(l_quantity) AS fga, avg(l_discount) AS fgp, CAST(count(*) AS DOUBLE) AS fta, avg(l_tax) AS ftp,
        max(l_quantity) AS tp, min(l_quantity) AS trb, max(l_extendedprice) AS pts, CAST(sum(l_linenumber) AS DOUBLE) AS tov
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {lineitem} ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4""",
+    # the same with three more counting statistics: all nine scores
+    "raw_seasons9": """
+SELECT c_name AS name, CAST(year(o_orderdate) AS INT) AS year, CAST(18 + year(o_orderdate) - 1995 + c_custkey % 15 AS INT) AS age,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'TOT' ELSE o_orderpriority END AS team,
+       sum(l_quantity) AS fga, avg(l_discount) AS fgp, CAST(count(*) AS DOUBLE) AS fta, avg(l_tax) AS ftp,
+       max(l_quantity) AS tp, min(l_quantity) AS trb, max(l_extendedprice) AS pts, CAST(sum(l_linenumber) AS DOUBLE) AS tov,
+       avg(l_quantity) AS ast, CAST(sum(l_suppkey % 7) AS DOUBLE) AS stl, avg(l_extendedprice) AS blk
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {lineitem} ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4""",
     "sessions": """
 SELECT vec_id, label, embedding FROM {embeddings}""",
