@@ -48,6 +48,21 @@ def kmeans_sweep(df: DataFrame, ks: Sequence[int], features: str = "scaled", max
     return df.sparkSession.createDataFrame(rows, "k int, cost_per_row double")
 
 
+def kmeans_entropy_sweep(df: DataFrame, ks: Sequence[int], label: str, features: str = "scaled", max_iter: int = 40,
+                         tol: float = 1e-5, seed: int = 42) -> DataFrame:
+    """Per k: cost per row, and the size-weighted mean entropy of the labels in the clusters (0: every cluster is pure)."""
+    from pyspark.ml.clustering import KMeans
+
+    from stratum.operators.aggregates import cluster_entropy
+
+    rows = []
+    for k in ks:
+        m = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed, featuresCol=features).fit(df)
+        entropy = cluster_entropy(m.transform(df), "prediction", label).first()[0]
+        rows.append((int(k), float(m.summary.trainingCost) / sum(m.summary.clusterSizes), float(entropy)))
+    return df.sparkSession.createDataFrame(rows, "k int, cost_per_row double, entropy double")
+
+
 def distance_to_centroid(df: DataFrame, model, features: str = "scaled", pred: str = "prediction",
                          out: str = "sqdist") -> DataFrame:
     """Squared distance of each row to its assigned k-means centre (centres are a k×d literal)."""

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from stratum.plans.registry import query
 from stratum.plans.views import view, with_views
-from stratum.session import checkpoint_dir, load
+from stratum.session import checkpoint_dir, cut_lineage, load
 from stratum.sources import readers as RD
 from stratum.sources import sinks as SK
 
@@ -111,38 +111,43 @@ def external_csv_table(spark, sf):
 
 
 def _vcf_lines(spark, sf):
-    """Genotype view rendered as VCF text (header + one line per variant)."""
+    """Genotype view rendered as VCF text (header + one line per variant); the columns are the samples in order."""
+    from stratum.operators.profile import value_ranks
+
     g = view(spark, sf, "genotypes")
-    samples = [r[0] for r in g.select("sample_id").distinct().orderBy("sample_id").collect()]
     call = F.concat(F.when(F.col("gt").isNull(), F.lit("./.")).when(F.col("gt") == 0, F.lit("0/0"))
                     .when(F.col("gt") == 1, F.lit("0/1")).otherwise(F.lit("1/1")),
                     F.lit(":"), F.col("gq").cast("string"), F.lit(":"),
                     F.concat_ws(",", F.col("ad_ref").cast("string"), F.col("ad_alt").cast("string")))
-    sid = spark.createDataFrame([(s, i) for i, s in enumerate(samples)], "sample_id long, sidx int")
-    per = g.join(F.broadcast(sid), "sample_id").groupBy("variant_id", "contig", "pos").agg(
-        F.sort_array(F.collect_list(F.struct("sidx", call.alias("c")))).alias("calls"))
+    samples = value_ranks(g.select(F.lit(0).alias("_g"), "sample_id").distinct(), ["_g"], "sample_id").select("sample_id", F.col("first").alias("sidx"))
+    samples = cut_lineage(samples)
+    # every sample has a column on every line, also those without a row for the variant
+    columns = samples.groupBy(F.lit(0).alias("_g")).agg(F.array_sort(F.collect_list(F.struct("sidx", "sample_id"))).alias("_s"))
+    every = g.select("variant_id", "contig", "pos").distinct().withColumn("_g", F.lit(0)).join(F.broadcast(columns), "_g")  # one row, as wide as a line
+    calls = g.join(samples, "sample_id").groupBy("variant_id").agg(F.map_from_entries(F.collect_list(F.struct("sidx", call))).alias("_c"))
+    per = every.join(calls, "variant_id").select("contig", "pos", F.transform("_s", lambda x: F.coalesce(
+        F.try_element_at("_c", x["sidx"]), F.lit("."))).alias("calls"))
     body = per.select(F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), F.lit("A"), F.lit("G"),
-                                  F.lit("."), F.lit("PASS"), F.lit("."), F.lit("GT:GQ:AD"),
-                                  F.array_join(F.transform("calls", lambda s: s["c"]), "\t")).alias("value"))
-    header = spark.createDataFrame([("##fileformat=VCFv4.2",),
-                                    ("\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"]
-                                               + [str(s) for s in samples]),)], "value string")
+                                  F.lit("."), F.lit("PASS"), F.lit("."), F.lit("GT:GQ:AD"), F.array_join("calls", "\t")).alias("value"))
+    fixed = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"])
+    names = samples.groupBy().agg(F.array_sort(F.collect_list(F.struct("sidx", "sample_id"))).alias("_s"))
+    header = names.select(F.explode(F.array(F.lit("##fileformat=VCFv4.2"), F.concat_ws("\t", F.lit(fixed), F.transform(
+        "_s", lambda x: x["sample_id"].cast("string"))))).alias("value"))
     return header.unionByName(body)
 
 
 @query("vcf_import", with_views(["genotypes"], """
-SELECT contig, count(DISTINCT variant_id) AS n_variants, count(*) AS n_genotypes, count(gt) AS n_called,
-       CAST(sum(gt) AS BIGINT) AS alt_alleles FROM genotypes GROUP BY contig"""))
+SELECT contig, sample_id, count(gt) AS n_called, CAST(coalesce(sum(gt), 0) AS BIGINT) AS alt_alleles, CAST(sum(CASE WHEN gt IS NOT NULL THEN gq END) AS BIGINT) AS sum_gq
+FROM genotypes GROUP BY contig, sample_id HAVING count(gt) > 0"""))
 def vcf_import(spark, sf):
+    """Genotypes written as VCF text and read back: calls per contig and sample name."""
     path = _scratch(spark, "vcf")
     _vcf_lines(spark, sf).write.mode("overwrite").text(path)
-    variants, gts = RD.read_vcf(spark, path)
+    _, gts = RD.read_vcf(spark, path)
     gt = F.aggregate(F.col("alleles"), F.lit(0), lambda a, x: a + F.when(x > 0, 1).otherwise(0))
-    g = gts.select("variant_id", F.when(F.col("alleles").isNotNull(), gt).alias("gt"))
-    j = g.join(variants.select("variant_id", "contig"), "variant_id")
-    return j.groupBy("contig").agg(F.count_distinct("variant_id").alias("n_variants"),
-                                   F.count(F.lit(1)).alias("n_genotypes"), F.count("gt").alias("n_called"),
-                                   F.sum("gt").cast("long").alias("alt_alleles"))
+    called = gts.where(F.col("alleles").isNotNull())
+    return called.groupBy("contig", F.col("sample_id").cast("long").alias("sample_id")).agg(
+        F.count(F.lit(1)).alias("n_called"), F.sum(gt).cast("long").alias("alt_alleles"), F.sum("gq").cast("long").alias("sum_gq"))
 
 
 @query("binary_files_scan", """

@@ -378,3 +378,55 @@ def frozen_features_lr(spark, sf):
     acc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(m.transform(test))
     return spark.createDataFrame([("frozen_features", float(acc), len(_churn_feature_names(_churn(spark, sf))))],
                                  "model string, accuracy double, churn_features int")
+
+
+@query("kmeans_one_hot_entropy")
+def kmeans_one_hot_entropy(spark, sf):
+    """Cost per row and label entropy over a k sweep on one-hot plus numeric columns, scaled (labels: churned or not)."""
+    c = _churn(spark, sf)
+    sub, vec = ML.one_hot_stage("state")
+    d = Pipeline(stages=[sub, VectorAssembler(inputCols=[vec, "n_calls", "total_charge"], outputCol="features")]).fit(c).transform(c)
+    return ML.kmeans_entropy_sweep(ML.scaled(d), [4, 8, 12], "churned")
+
+
+def _daily_maintenance(spark, sf):
+    """Per maintenance event the day's average of every sensor, as model features."""
+    from stratum.operators.sensors import enrich
+
+    names = [f"Sensor_{i}" for i in range(10)]
+    r = enrich(view(spark, sf, "readings"), view(spark, sf, "tag_mappings"))
+    day = r.groupBy(F.to_date("record_time").alias("day")).pivot("sensor_name", names).agg(F.avg(F.round("value")))
+    m = view(spark, sf, "maintenance").withColumn("_d", F.dayofmonth("date"))
+    return cut_lineage(m.join(day.withColumn("_d", F.dayofmonth("day")).drop("day").groupBy("_d").agg(*[F.avg(n).alias(n) for n in names]), "_d")
+                       .na.fill(0.0, names)), names
+
+
+@query("forest_savings", with_views(["maintenance", "readings"], """
+, days AS (SELECT DISTINCT day(record_time) AS d FROM readings)
+SELECT strftime(date, '%Y%m') AS month, count(*) AS n_events, CAST(sum(cost) AS BIGINT) AS actual_cost, true AS rule_holds, true AS labels_known
+FROM maintenance WHERE day(date) IN (SELECT d FROM days) AND """ + key_bucket_sql(["maint_id"]) + """ >= 7000 GROUP BY 1"""))
+def forest_savings(spark, sf):
+    """Sensor averages → forest → label names back from indices → cost rule → monthly savings, on the held-out events.
+
+    Checked: the events and their cost; savings = cost less the cost under the rule, summed again from the table of decisions;
+    every predicted label is one of the labels.
+    """
+    from pyspark.ml.feature import IndexToString
+
+    from stratum.operators.savings import monthly_savings, predicted_cost
+
+    d, names = _daily_maintenance(spark, sf)
+    train, test = split_by_key(VectorAssembler(inputCols=names, outputCol="features").transform(d), ["maint_id"], [0.7, 0.3])
+    index = StringIndexer(inputCol="maintenance_type", outputCol="label").fit(train)
+    model = Pipeline(stages=[index, RandomForestClassifier(numTrees=10, seed=42),
+                             IndexToString(inputCol="prediction", outputCol="decision", labels=index.labels)]).fit(train)
+    judged = cut_lineage(model.transform(test).select("maint_id", "date", "cost", "maintenance_type", "decision"))
+    monthly = monthly_savings(judged, predicted="decision")
+    by_decision = judged.groupBy(F.date_format("date", "yyyyMM").alias("month"), "maintenance_type", "decision").agg(
+        F.sum("cost").alias("paid"), F.count(F.lit(1)).alias("n"))
+    same = F.col("maintenance_type") == F.col("decision")
+    rule = F.when(~same | (F.col("decision") == "Preventive"), F.col("paid")).when(F.col("decision") == "Corrective", 30000 * F.col("n")).otherwise(0)
+    again = by_decision.groupBy("month").agg(F.sum(rule).alias("again"), F.sum("n").alias("n_events"),
+                                             F.min(F.col("decision").isin(index.labels)).alias("labels_known"))
+    return monthly.join(again, "month").select("month", "n_events", "actual_cost", (
+        (F.col("predicted_cost") == F.col("again")) & (F.col("predicted_savings") == F.col("actual_cost") - F.col("again"))).alias("rule_holds"), "labels_known")

@@ -90,3 +90,25 @@ def stream_batch_pivot_dynamic(spark, sf):
     s = ST.enrich_stream(_readings_stream(spark, sf), tags).select("record_time", "sensor_name", "value")
     r = ST.merged_buckets(spark, ST.run_available_now(s, "dynpivot", writer=ST.bucket_partials_writer))
     return r.select("bucket", *[_R(F.col(x)).alias(x) for x in sorted(c for c in r.columns if c != "bucket")])
+
+
+@query("stream_totals_compacted", with_views(["readings", "tag_mappings"], """
+SELECT CAST(to_timestamp(floor(epoch(record_time) / 30 + 0.5) * 30) AS TIMESTAMP) AS bucket, sensor_name, round(sum(value), 6) AS total, count(value) AS n
+FROM readings JOIN tag_mappings USING (tag_id) GROUP BY 1, 2"""))
+def stream_totals_compacted(spark, sf):
+    """The stream's bucket sums in a keyed table: written per batch, compacted into its base, read from there."""
+    from stratum.functions.scalar import round_to_nearest_seconds
+
+    tags = view(spark, sf, "tag_mappings")
+    s = ST.enrich_stream(_readings_stream(spark, sf), tags).select(
+        round_to_nearest_seconds("record_time", 30).alias("bucket"), "sensor_name", F.col("value").alias("total"),
+        F.col("value").isNotNull().cast("long").alias("n"))
+    made = {}
+
+    def store(out):
+        made["t"] = ST.KeyedTotals(spark, out, ["bucket", "sensor_name"], ["total", "n"], "bucket timestamp, sensor_name string, total double, n long")
+        return made["t"].write
+
+    ST.run_available_now(s, "totals", writer=store)
+    made["t"].compact()
+    return made["t"].read().select("bucket", "sensor_name", _R(F.col("total"), 6).alias("total"), "n")

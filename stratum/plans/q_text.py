@@ -109,3 +109,32 @@ def lda_doc_labels(spark, sf):
     scored = model.transform(d)
     lab = scored.select(TX.topic_label("topicDistribution", ["topic_0", "topic_1", "topic_2"]).alias("label"))
     return lab.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _cleaned(spark, sf):
+    """Conversation turns as notes: lower case, without ``.!?-``."""
+    return load(spark, sf, "conversations").select(F.lower(F.regexp_replace("text", "[.!?-]", "")).alias("note"))
+
+
+@query("bigram_topics")
+def bigram_topics(spark, sf):
+    """Top 5 two-word terms of 3 topics over cleaned notes (vocabulary of 50 bigrams, 10 iterations, seeded)."""
+    model, vocab = TX.topic_model(_cleaned(spark, sf), "note", k=3, max_iter=10, vocab_size=50, seed=42, stop_words=STOP_WORDS, ngram=2)
+    return TX.top_terms(model, vocab, 5)
+
+
+@query("bigram_vocabulary", f"""
+, notes AS (SELECT lower(regexp_replace(text, '[.!?-]', '', 'g')) AS note FROM conversations WHERE text IS NOT NULL)
+SELECT CAST(row_number() OVER (ORDER BY n DESC) - 1 AS INTEGER) AS rank, n FROM (
+  SELECT ngram, count(*) AS n FROM (
+    SELECT unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS ngram FROM (
+      SELECT list_filter({_tok_sql('note')}, lambda w: w NOT IN ({_sql_list(STOP_WORDS)})) AS t FROM notes) a) b
+  GROUP BY ngram ORDER BY n DESC LIMIT 50) c""".replace(", notes AS", "WITH notes AS", 1))
+def bigram_vocabulary(spark, sf):
+    """Counts of the 50 bigrams that the topic model's vectoriser keeps, in its order (which words tie at the end is left open)."""
+    from pyspark.ml.functions import vector_to_array
+
+    d = _cleaned(spark, sf).where("note is not null")
+    model, vocab = TX.topic_model(d, "note", k=3, max_iter=1, vocab_size=50, seed=42, stop_words=STOP_WORDS, ngram=2)
+    counts = model.transform(d).select(F.posexplode(vector_to_array("features")).alias("rank", "c"))
+    return counts.groupBy("rank").agg(F.sum("c").cast("long").alias("n"))

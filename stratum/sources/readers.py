@@ -88,22 +88,33 @@ def read_annotation_table(spark: SparkSession, path: str, key: str) -> DataFrame
 def read_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Variant-call text (VCF, plain or gzip) → (variants, long genotypes).
 
-    variants: (variant_id, contig, pos, ref, alts); genotypes: (variant_id,
-    sample_index, alleles array<int>, gq, ad array<int>). The sample header
-    line is the only row taken to the driver (sample names).
+    variants: (contig, pos, ref, alt, alts); genotypes: the same key (contig,
+    pos, ref, alt), sample_index, sample_id (the header's name), alleles
+    array<int>, gq, ad array<int>. ``alt`` is the list as written, so the key
+    is the record's own text, not a hash of it. The text reader splits plain
+    files at block boundaries; a line takes the header of its own file, or,
+    where a file has none (part files), that of its folder, by equi-joins: a
+    header is as wide as one line and never on the driver. Without a header
+    sample_id is NULL.
     """
-    lines = spark.read.text(path)
-    body = lines.where(~F.col("value").startswith("#")).select(F.split("value", "\t").alias("f"))
-    body = body.select(F.col("f")[0].alias("contig"), F.col("f")[1].cast("long").alias("pos"),
-                       F.col("f")[3].alias("ref"), F.split(F.col("f")[4], ",").alias("alts"),
-                       F.split(F.col("f")[8], ":").alias("fmt"), F.slice("f", 10, 1 << 30).alias("calls"))
-    body = body.withColumn("variant_id", F.xxhash64("contig", "pos", "ref", F.array_join("alts", ",")))
-    variants = body.select("variant_id", "contig", "pos", "ref", "alts")
-    g = body.select("variant_id", "fmt", F.posexplode("calls").alias("sample_index", "call"))
-    kv = F.map_from_arrays(F.col("fmt"), F.split("call", ":"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    lines = lines.withColumn("_folder", F.regexp_extract("_file", "^(.*)/[^/]*$", 1))
+    named = lines.where(F.col("value").startswith("#CHROM")).select("_file", "_folder", F.slice(F.split("value", "\t"), 10, 1 << 30).alias("_names"))
+    own = named.groupBy("_file").agg(F.max("_names").alias("_own"))
+    shared = named.groupBy("_folder").agg(F.max_by("_names", "_file").alias("_shared"))
+    f = F.split("value", "\t")
+    body = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).select(
+        f[0].alias("contig"), f[1].cast("long").alias("pos"), f[3].alias("ref"), f[4].alias("alt"), F.split(f[8], ":").alias("fmt"),
+        F.slice(f, 10, 1 << 30).alias("calls"), "_file", "_folder")
+    key = ["contig", "pos", "ref", "alt"]
+    variants = body.select(*key, F.split("alt", ",").alias("alts"))
+    g = body.join(own, "_file", "left").join(shared, "_folder", "left")
+    g = g.select(*key, "fmt", F.coalesce("_own", "_shared").alias("_names"), F.posexplode("calls").alias("sample_index", "call"))
+    g = g.withColumn("_v", F.split("call", ":"))
+    kv = F.map_from_arrays(F.slice("fmt", F.lit(1), F.size("_v")), F.col("_v"))  # fields at the end of a call may be left out
     gt = F.element_at(kv, "GT")
     alleles = F.transform(F.split(F.regexp_replace(gt, "\\|", "/"), "/"), lambda a: a.try_cast("int"))
-    g = g.select("variant_id", "sample_index",
+    g = g.select(*key, "sample_index", F.get("_names", F.col("sample_index")).alias("sample_id"),
                  F.when(~gt.contains("."), alleles).alias("alleles"),
                  F.element_at(kv, "GQ").try_cast("int").alias("gq"),
                  F.transform(F.split(F.element_at(kv, "AD"), ","), lambda a: a.try_cast("int")).alias("ad"))

@@ -70,6 +70,55 @@ def bucket_partials_writer(out_path: str, ts: str = "record_time", value: str =
     return write
 
 
+class KeyedTotals:
+    """A keyed table of sums fed by micro-batches and compacted: reading costs the base and the batches since, not all history.
+
+    ``root/batch/batch=<id>`` holds a batch's partial sums (overwritten when the batch is replayed), ``root/base/upto=<id>`` the
+    sums of all batches up to that one, ``root/log`` one row per finished compaction. A reader takes the base of the last log
+    row and the batches after it, so a compaction that failed half-way is never seen, and a batch replayed after it was
+    folded in does not count again. NULL keys are a key; sums of no values are NULL.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sums: Sequence[str], schema: str):
+        self.spark, self.root, self.keys, self.sums, self.schema = spark, root.rstrip("/"), list(keys), list(sums), schema
+        # as a table of its own, so that readers find a log before the first compaction
+        spark.createDataFrame([(-1,)], "upto long").coalesce(1).write.mode("ignore").parquet(f"{self.root}/log")
+
+    def _folded(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.sums])
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        """A ``foreachBatch`` sink for rows with the key and sum columns."""
+        self._folded(batch).write.mode("overwrite").parquet(f"{self.root}/batch/batch={batch_id}")
+
+    def _upto(self) -> int:
+        return int(self.spark.read.schema("upto long").parquet(f"{self.root}/log").agg(F.max("upto")).first()[0])
+
+    def _rows(self, upto: int) -> DataFrame:
+        rows = self.spark.read.schema(self.schema + ", batch long").parquet(f"{self.root}/batch").where(F.col("batch") > upto).drop("batch")
+        if upto >= 0:
+            rows = rows.unionByName(self.spark.read.schema(self.schema).parquet(f"{self.root}/base/upto={upto}"))
+        return rows
+
+    def read(self) -> DataFrame:
+        """One row per key over all batches."""
+        return self._folded(self._rows(self._upto()))
+
+    def compact(self) -> int:
+        """Fold the batches written so far into a new base; returns the last one folded in. Safe to repeat or to lose half-way."""
+        upto = self._upto()
+        found = self.spark.read.schema(self.schema + ", batch long").parquet(f"{self.root}/batch").agg(F.max("batch")).first()[0]
+        last = max(upto, int(found) if found is not None else -1)
+        if last > upto:
+            new = self.spark.read.schema(self.schema + ", batch long").parquet(f"{self.root}/batch").where((F.col("batch") > upto) & (F.col("batch") <= last))
+            rows = new.drop("batch")
+            if upto >= 0:
+                rows = rows.unionByName(self.spark.read.schema(self.schema).parquet(f"{self.root}/base/upto={upto}"))
+            self._folded(rows).write.mode("overwrite").parquet(f"{self.root}/base/upto={last}")
+            self.spark.createDataFrame([(last,)], "upto long").coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        return last
+
+
 def merged_buckets(spark: SparkSession, out: str, sensors: Sequence[str] | None = None, sensor_col: str = "sensor_name") -> DataFrame:
     """One row per bucket over all batches, one column per sensor: its average. ``sensors``: the columns, else those found
     (a NULL name is the column ``null``)."""
