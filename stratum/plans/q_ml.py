@@ -55,19 +55,28 @@ def delay_regression(spark, sf):
 _DELAY_FEATURES = ["month", "hour", "dayofweek", "carrier_cat", "dep_delay", "origin_cat", "dest_cat", "distance"]
 
 
-def _delay_sql() -> str:
-    """The design with indexed categories, cross products of the training half, and a sweep of every feature: what is left of
-    the sums are the coefficients, -(X'X)^-1 and the residual sum of squares."""
-    cats = "".join(f", {c}_i AS (SELECT {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS {c}_cat FROM late GROUP BY {c})"
-                   for c in ("carrier", "origin", "dest"))
-    v = ["1.0", *[f"CAST({c} AS DOUBLE)" for c in _DELAY_FEATURES], "arr_delay"]
+def _swept_sql(v: list[str], where: str) -> tuple[str, list]:
+    """CTEs e0, e1, ...: cross products of x0.. (the last one the label) in table x, then a sweep of every column but the last.
+
+    What is left of the sums are the coefficients, -(X'X)^-1 and the residual sum of squares. Returns the text and the cells' names.
+    """
     p, cell = len(v), (lambda i, j: f"a{min(i, j)}_{max(i, j)}")
-    steps = [f", e0 AS (SELECT count(*) AS n, {', '.join(f'sum(x{i} * x{j}) AS {cell(i, j)}' for i in range(p) for j in range(i, p))} FROM x WHERE b < 5000)"]
+    steps = [f", e0 AS (SELECT count(*) AS n, {', '.join(f'sum(x{i} * x{j}) AS {cell(i, j)}' for i in range(p) for j in range(i, p))} FROM x WHERE {where})"]
     for k in range(p - 1):
         d = cell(k, k)
         new = [f"{f'-1 / {d}' if i == j == k else f'{cell(i, j)} / {d}' if k in (i, j) else f'{cell(i, j)} - {cell(i, k)} * {cell(k, j)} / {d}'} AS {cell(i, j)}"
                for i in range(p) for j in range(i, p)]
         steps.append(f", e{k + 1} AS (SELECT n, {', '.join(new)} FROM e{k})")
+    return "".join(steps), cell
+
+
+def _delay_sql() -> str:
+    """The design with indexed categories, swept on the training half; predictions and their errors on the other."""
+    cats = "".join(f", {c}_i AS (SELECT {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS {c}_cat FROM late GROUP BY {c})"
+                   for c in ("carrier", "origin", "dest"))
+    v = ["1.0", *[f"CAST({c} AS DOUBLE)" for c in _DELAY_FEATURES], "arr_delay"]
+    steps, cell = _swept_sql(v, "b < 5000")
+    p = len(v)
     y, q = p - 1, p - 1
     fitted = " + ".join(f"{cell(i, y)} * x{i}" for i in range(q))
     spread = " + ".join(f"({-1 if i == j else -2}) * {cell(i, j)} * x{i} * x{j}" for i in range(q) for j in range(i, q))
@@ -77,7 +86,7 @@ def _delay_sql() -> str:
 , x AS (SELECT {key_bucket_sql(['l_orderkey', 'l_linenumber'])} AS b, {', '.join(f'{e} AS x{i}' for i, e in enumerate(v))} FROM (
   SELECT l.*, carrier_cat, origin_cat, dest_cat, sqrt((o.longitude - d.longitude) * (o.longitude - d.longitude) + (o.latitude - d.latitude) * (o.latitude - d.latitude)) AS distance
   FROM late l JOIN carrier_i USING (carrier) JOIN origin_i USING (origin) JOIN dest_i USING (dest) JOIN airports o ON o.iata = origin JOIN airports d ON d.iata = dest) t)
-{''.join(steps)}
+{steps}
 , f AS (SELECT e.n, {cell(y, y)} AS rss, x{y} AS y, {fitted} AS yhat, sqrt({cell(y, y)} / (e.n - {q}) * (1 + {spread})) AS se FROM x, e{q} e WHERE b >= 5000)
 SELECT any_value(n) AS n_train, count(*) AS n_test, round(any_value(1 - rss / (SELECT sum(x{y} * x{y}) - sum(x{y}) * sum(x{y}) / count(*) FROM x WHERE b < 5000)), 6) AS r2_train,
        round(1 - sum((y - yhat) * (y - yhat)) / (sum(y * y) - sum(y) * sum(y) / count(*)), 6) AS r2_test,
@@ -260,24 +269,40 @@ def model_leaderboard(spark, sf):
     return spark.createDataFrame(rows, "model string, log_loss double").orderBy("log_loss")
 
 
-@query("poly_fit")
+def _cubic(spark, sf):
+    """x from lineitem discounts, y a cubic of it and an error that follows from the row's keys, so that any engine has the same."""
+    li = load(spark, sf, "lineitem").select((F.col("l_discount") * 60 - 2).alias("x"), ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3) % 11 - 5).alias("e"))
+    x = F.col("x")
+    d = li.select("x", (4 + 6 * x + 2 * x * x - x * x * x + F.col("e") / 8).alias("y"))
+    d = VectorAssembler(inputCols=["x"], outputCol="x1").transform(d)
+    return PolynomialExpansion(degree=3, inputCol="x1", outputCol="features").transform(d)
+
+
+def _cubic_sql(rmse: bool) -> str:
+    steps, cell = _swept_sql(["1"] * 5, "true")
+    found = ", ".join(f"round({cell(i, 4)}, 5) AS {name}" for i, name in enumerate(("intercept", "c1", "c2", "c3")))
+    return f"""
+WITH r AS (SELECT l_discount * 60 - 2 AS x, (l_orderkey * 7 + l_linenumber * 3) % 11 - 5 AS e FROM lineitem),
+x AS (SELECT 1.0 AS x0, CAST(x AS DOUBLE) AS x1, CAST(x * x AS DOUBLE) AS x2, CAST(x * x * x AS DOUBLE) AS x3, 4 + 6 * x + 2 * x * x - x * x * x + e / 8 AS x4 FROM r)
+{steps}
+SELECT {found}{f', round(sqrt({cell(4, 4)} / n), 6) AS rmse' if rmse else ''} FROM e4"""
+
+
+@query("poly_fit", _cubic_sql(True))
 def poly_fit(spark, sf):
     """Cubic fit by polynomial expansion + linear regression on x taken from lineitem discounts."""
-    li = load(spark, sf, "lineitem").select((F.col("l_discount") * 60 - 2).alias("x"))
-    y = 4 + 6 * F.col("x") + 2 * F.col("x") * F.col("x") - F.col("x") * F.col("x") * F.col("x")
-    d = cut_lineage(li.withColumn("y", y + F.randn(42) * 0.5))  # noise drawn once
-    d = VectorAssembler(inputCols=["x"], outputCol="x1").transform(d)
-    d = PolynomialExpansion(degree=3, inputCol="x1", outputCol="features").transform(d)
+    d = _cubic(spark, sf)
     m = LinearRegression(labelCol="y", solver="normal").fit(d)
     c = m.coefficients.toArray()
     rmse = RegressionEvaluator(labelCol="y").evaluate(m.transform(d))
     return spark.createDataFrame([(float(m.intercept), float(c[0]), float(c[1]), float(c[2]), float(rmse))],
-                                 "intercept double, c1 double, c2 double, c3 double, rmse double")
+                                 "intercept double, c1 double, c2 double, c3 double, rmse double").select(
+        *[R(F.col(n), 5).alias(n) for n in ("intercept", "c1", "c2", "c3")], R(F.col("rmse")).alias("rmse"))
 
 
-@query("model_save_load")
+@query("model_save_load", with_views(["churn"], "SELECT count(*) AS n, true AS same_scores FROM churn"))
 def model_save_load(spark, sf):
-    """Fit a pipeline, save it to shared storage, load it back and score all rows."""
+    """Fit a pipeline, save it to shared storage, load it back and score all rows: do both give every row the same score?"""
     stages = _churn_stages() + [LogisticRegression(maxIter=20)]
     m = Pipeline(stages=stages).fit(_churn(spark, sf))
     path = os.path.join(checkpoint_dir(spark), "stratum-models", uuid.uuid4().hex[:12])
@@ -285,7 +310,9 @@ def model_save_load(spark, sf):
 
     save_model(m, path)
     back = load_pipeline_model(path)
-    return back.transform(_churn(spark, sf)).groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+    scores = lambda model, name: model.transform(_churn(spark, sf)).select("c_custkey", F.struct("prediction", "probability").alias(name))
+    both = scores(m, "kept").join(scores(back, "loaded"), "c_custkey")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.min(F.col("kept") == F.col("loaded")).alias("same_scores"))
 
 
 @query("run_log_best")
@@ -330,18 +357,14 @@ def one_hot_features(spark, sf):
                                     F.max(F.size(vector_to_array("features"))).alias("width"))
 
 
-@query("poly_fit_lbfgs")
+@query("poly_fit_lbfgs", _cubic_sql(False))
 def poly_fit_lbfgs(spark, sf):
     """The cubic fit by an iterative optimiser (L-BFGS) instead of normal equations."""
-    li = load(spark, sf, "lineitem").select((F.col("l_discount") * 60 - 2).alias("x"))
-    y = 4 + 6 * F.col("x") + 2 * F.col("x") * F.col("x") - F.col("x") * F.col("x") * F.col("x")
-    d = cut_lineage(li.withColumn("y", y + F.randn(42) * 0.5))  # noise drawn once
-    d = VectorAssembler(inputCols=["x"], outputCol="x1").transform(d)
-    d = PolynomialExpansion(degree=3, inputCol="x1", outputCol="features").transform(d)
-    m = LinearRegression(labelCol="y", solver="l-bfgs", maxIter=200, tol=1e-9).fit(d)
+    m = LinearRegression(labelCol="y", solver="l-bfgs", maxIter=500, tol=1e-14).fit(_cubic(spark, sf))
     c = m.coefficients.toArray()
     return spark.createDataFrame([(float(m.intercept), float(c[0]), float(c[1]), float(c[2]))],
-                                 "intercept double, c1 double, c2 double, c3 double")
+                                 "intercept double, c1 double, c2 double, c3 double").select(
+        *[R(F.col(n), 5).alias(n) for n in ("intercept", "c1", "c2", "c3")])
 
 
 @query("feature_impact")

@@ -109,8 +109,14 @@ SELECT origin, dest, i, round(lon, 6) AS lon, round(lat, 6) AS lat FROM (
   ) t3
 ) t4"""))
 def great_circle_points(spark, sf):
-    f = view(spark, sf, "flights")
-    routes = f.select("origin", "dest").distinct()
+    # the routes of the flights view: pairs of nation keys are made distinct before any name is joined
+    li = load(spark, sf, "lineitem").join(load(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"), "left_semi")
+    ends = (li.join(load(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(load(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+            .join(load(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select("s_nationkey", "c_nationkey").distinct())
+    nation = load(spark, sf, "nation")
+    routes = (ends.join(nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin")), "s_nationkey")
+              .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("dest")), "c_nationkey").select("origin", "dest").distinct())
     ap = view(spark, sf, "airports").select("iata", "longitude", "latitude")
     j = J.double_lookup(routes, ap, "iata", ["origin", "dest"], ["o_", "d_"])
     pts = j.select("origin", "dest", F.explode(S.great_circle_points("o_longitude", "o_latitude",
