@@ -77,13 +77,6 @@ def scale_pixels(a, scale: float = 1.0 / 255.0, shift: float = -0.5) -> Column:
     return F.transform(_c(a), lambda x: x.cast("double") * F.lit(scale) + F.lit(shift))
 
 
-def vector_element(v, i: int) -> Column:
-    """Element ``i`` of an ML vector column (probability extract) as double."""
-    from pyspark.ml.functions import vector_to_array
-
-    return vector_to_array(_c(v)).getItem(i)
-
-
 def great_circle_points(lon1, lat1, lon2, lat2, n: int = 100) -> Column:
     """Array of ``n`` intermediate points plus both ends along the great circle (degrees).
 
@@ -117,9 +110,3 @@ def keep_true_or_missing(pred) -> Column:
 
 def first_of_month(year, month) -> Column:
     return F.make_date(_c(year), _c(month), F.lit(1))
-
-
-def recode(c, keep: str, other: str) -> Column:
-    """Values equal to ``keep`` stay, every other non-NULL value becomes ``other``."""
-    c = _c(c)
-    return F.when(c.isNull(), F.lit(None)).when(c == keep, c).otherwise(F.lit(other))

@@ -81,13 +81,6 @@ def cluster_entropy(df: DataFrame, cluster: str, label: str) -> DataFrame:
     return per_c.agg((F.sum(weighted) / F.sum("_nc")).alias("entropy"))
 
 
-def cluster_entropies(df: DataFrame, cluster: str, label: str) -> DataFrame:
-    """Per-cluster size and label entropy."""
-    per = df.groupBy(cluster, label).agg(F.count(F.lit(1)).alias("_n"))
-    per_c = per.groupBy(cluster).agg(F.sum("_n").alias("size"), F.sum(F.col("_n") * F.log("_n")).alias("_s"))
-    return per_c.select(cluster, "size", (F.log("size") - F.col("_s") / F.col("size")).alias("entropy"))
-
-
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Counter of values, NULL is its own group."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
@@ -105,13 +98,6 @@ def conditional_counts(df: DataFrame, preds: dict[str, Column], extra: dict[str,
     return df.agg(*aggs)
 
 
-def monthly_sum(df: DataFrame, date_col: str, value_cols: Sequence[str], fmt: str = "yyyyMM",
-                digits: int | None = None) -> DataFrame:
-    m = F.date_format(F.col(date_col), fmt).alias("month")
-    aggs = [(F.round(F.sum(c), digits) if digits is not None else F.sum(c)).alias(f"sum_{c}") for c in value_cols]
-    return df.groupBy(m).agg(*aggs)
-
-
 def scaled_intensity(df: DataFrame, count_col: str, out: str = "intensity", lo: int = 1, hi: int = 100) -> DataFrame:
     """Counts scaled to ``round(count / max * hi)`` with a floor of ``lo``.
 

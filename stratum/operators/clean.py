@@ -96,8 +96,3 @@ def feature_columns(columns: Sequence[str], exclude: Sequence[str] = (), extra:
 
 def keep_true_or_missing(df: DataFrame, pred: Column) -> DataFrame:
     return df.where(F.coalesce(pred, F.lit(True)))
-
-
-def read_lines_with_file_value(lines: DataFrame, pattern: str, out: str = "year") -> DataFrame:
-    """Take a partition value from the source file name (e.g. ``..._1976_...`` → 1976)."""
-    return lines.withColumn(out, F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).cast("int"))

@@ -11,13 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def unpivot_features(df: DataFrame, keep: Sequence[str], metrics: dict[str, tuple[str, str]]) -> DataFrame:
-    """Wide (x2, y) column pairs per metric → long rows (keep…, metric, x2, y)."""
-    items = [F.struct(F.lit(m).alias("metric"), F.col(x).cast("double").alias("x2"), F.col(y).cast("double").alias("y"))
-             for m, (x, y) in metrics.items()]
-    return df.select(*keep, F.explode(F.array(*items)).alias("_m")).select(*keep, "_m.*")
-
-
 def grouped_ols2(df: DataFrame, group: str, y: str, x1: str, x2: str) -> DataFrame:
     """Per-group OLS ``y ~ 1 + x1 + x2`` from centred cross-products (one aggregate pass).
 
@@ -106,9 +99,3 @@ def with_prediction(df: DataFrame, fit: Fit, level: float = 0.95) -> DataFrame:
     t = t_quantile(level, fit.n - len(fit.coefficients))
     out = df.withColumn("yhat", yhat).withColumn("se_pred", F.lit(fit.sd) * F.sqrt(1 + spread))
     return out.withColumn("lower", F.col("yhat") - t * F.col("se_pred")).withColumn("upper", F.col("yhat") + t * F.col("se_pred"))
-
-
-def simple_ols(df: DataFrame, y: str, x: str, group: Sequence[str] = ()) -> DataFrame:
-    """``y ~ 1 + x`` per group with built-in regression aggregates (slope, intercept, R²)."""
-    return df.groupBy(*group).agg(F.regr_intercept(y, x).alias("intercept"), F.regr_slope(y, x).alias("slope"),
-                                  F.regr_r2(y, x).alias("r2"), F.regr_count(y, x).alias("n"))

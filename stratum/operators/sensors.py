@@ -1,13 +1,10 @@
-"""Sensor-table operators: enrichment by tag, daily means, time-bucket pivots."""
+"""Sensor-table operators: enrichment by tag, daily means."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.scalar import round_to_nearest_seconds
 from stratum.operators.joins import lookup_join
 
 
@@ -20,10 +17,3 @@ def daily_sensor_means(readings: DataFrame, tags: DataFrame, ts: str = "record_t
     """Average value per (day, sensor)."""
     r = enrich(readings, tags)
     return r.groupBy(F.to_date(ts).alias("day"), "sensor_name").agg(F.avg(value).alias("avg_value"))
-
-
-def bucket_pivot(readings: DataFrame, sensors: Sequence[str], ts: str = "record_time", value: str = "value",
-                 seconds: int = 30, sensor_col: str = "sensor_name") -> DataFrame:
-    """Average per nearest ``seconds`` bucket, one column per (known) sensor."""
-    b = readings.withColumn("bucket", round_to_nearest_seconds(ts, seconds))
-    return b.groupBy("bucket").pivot(sensor_col, list(sensors)).agg(F.avg(value))

@@ -93,24 +93,6 @@ def ordinal(df: DataFrame, entity: str, order: str, out: str = "ordinal") -> Dat
     return df.withColumn(out, F.when(F.col(order).isNotNull(), (F.row_number().over(w) - 1).cast("int")))
 
 
-def running_concat(df: DataFrame, entity: str, order: str, arr: str, out: str) -> DataFrame:
-    """Concatenation of ``arr`` over the entity's rows up to and including the current one."""
-    w = Window.partitionBy(entity).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, F.flatten(F.collect_list(arr).over(w)))
-
-
-def nth_largest(df: DataFrame, col: str, n: int):
-    """The ``n``-th largest value of ``col`` (a top-n, bounded per task); None if fewer rows."""
-    vals = df.select(col).where(F.col(col).isNotNull()).orderBy(F.col(col).desc()).limit(n).collect()
-    return vals[-1][0] if len(vals) == n else None
-
-
 def top_k(df: DataFrame, by: str, k: int, where: Column | None = None) -> DataFrame:
     src = df.where(where) if where is not None else df
     return src.orderBy(F.col(by).desc()).limit(k)
-
-
-def top_k_per_group(df: DataFrame, group: Sequence[str], by: str, k: int) -> DataFrame:
-    """Top ``k`` rows per group by ``by`` descending (ties broken arbitrarily but stably by the sort)."""
-    w = Window.partitionBy(*group).orderBy(F.col(by).desc())
-    return df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")

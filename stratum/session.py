@@ -85,22 +85,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _normalise(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register driver tables as temp views under their own names."""
-    for n in names:
-        load(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     """Round-robin spread before CPU-heavy per-row work when the input has fewer partitions than
     cores (e.g. one large row group). A no-op on large inputs, which already have many splits."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= par:
-            return df
-    except Exception:  # sessions without RDD access: leave partitioning to AQE
-        return df
-    return df.repartition(par * factor)
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= par else df.repartition(par * factor)
 
 
 class persisted:

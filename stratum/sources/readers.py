@@ -34,20 +34,6 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def split_lines(lines: DataFrame, names: Sequence[str], sep: str = ",", types: Sequence[str] | None = None) -> DataFrame:
-    """Lines → typed columns by splitting on a (regex-escaped) separator."""
-    import re
-
-    parts = F.split(F.col("value"), re.escape(sep))
-    cols = []
-    for i, n in enumerate(names):
-        c = parts.getItem(i)
-        if types:
-            c = c.try_cast(types[i]) if hasattr(c, "try_cast") else c.cast(types[i])
-        cols.append(c.alias(n))
-    return lines.select(*cols)
-
-
 def with_path_value(df: DataFrame, pattern: str, out: str, cast: str = "int") -> DataFrame:
     """Value taken from each row's source file path (e.g. a year in the file name)."""
     return df.withColumn(out, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).cast(cast))
@@ -121,11 +107,6 @@ def read_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return variants, g
 
 
-def create_frame(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:
-    """Local rows → DataFrame with an explicit schema (small, driver-side inputs only)."""
-    return spark.createDataFrame(rows, schema)
-
-
 def polynomial_table(spark: SparkSession, n: int, seed: int = 42, lo: float = -2.0, hi: float = 4.0,
                      noise: float = 1.0, coefs=(4.0, 6.0, 2.0, -1.0), partitions: int | None = None) -> DataFrame:
     """Random table: x ~ U[lo, hi), y = Σ c_k x^k + N(0, noise²); generated in parallel by ``spark.range``."""

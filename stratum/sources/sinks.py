@@ -5,22 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet",
-               partition_by: list[str] | None = None, bucket_by: tuple[int, str] | None = None) -> None:
-    """Managed table; optional partitioning (pruning) and bucketing (shuffle-free joins on the key)."""
-    w = df.write.mode(mode).format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if bucket_by:
-        w = w.bucketBy(bucket_by[0], bucket_by[1]).sortBy(bucket_by[1])
-    w.saveAsTable(name)
-
-
-def ctas_if_absent(spark: SparkSession, name: str, select_sql: str, fmt: str = "parquet") -> DataFrame:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} AS {select_sql}")
-    return spark.table(name)
-
-
 def external_table(spark: SparkSession, name: str, location: str, fmt: str = "parquet", schema_ddl: str | None = None,
                    options: dict[str, str] | None = None) -> DataFrame:
     """External table over files (e.g. CSV with a header line, or Parquet) in the catalog."""
@@ -62,14 +46,6 @@ def fetch(df: DataFrame, max_rows: int = 100_000):
     return df.toPandas()
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
-
-
-def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
