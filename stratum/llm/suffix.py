@@ -8,12 +8,17 @@
    number. Each task sorts the suffixes of its text in two stages: only the suffixes smaller than their successors are
    sorted directly; the others follow by scanning the first-byte buckets in order. Neighbours in the array with a common
    prefix of ``length`` bytes, and stretches that occur twice, give the repeated windows. An anchor with very many
-   different stretches (text around a passage that countless documents share) is not put into one task: its windows are
-   dealt out by their own 128-bit hashes and counted.
+   different stretches (text around a passage that countless documents share) is not put into one task. Equal windows
+   have their anchor equally far from their start, so the windows are cut into ranges of that distance, and all windows
+   of a range hold the same core of bytes around the anchor: the pieces of stretches are dealt out by their core, equal
+   pieces once, and each core's pieces are sorted the same way. Cores that are still shared by very many different
+   pieces are dealt again by ranges a quarter as wide, whose cores are longer; a range of one window is its own core.
 3. Removal. A second scan joins each document's stretches to the repeated windows, and each document to its windows.
 
-Null and empty texts have 0 bytes and keep them; texts shorter than ``length`` lose nothing; equal rows repeat each other.
-An empty table gives an empty result; other columns are not read, so extra ones cannot clash.
+Null and empty texts have 0 bytes and keep them; texts shorter than ``length`` lose nothing; equal rows repeat each other
+(each of their strings starts elsewhere), also those with the same id; each is cut once, whatever their number. Very long
+texts are scanned in pieces that overlap by ``length`` - 1 bytes. An empty table gives an empty result; other columns are
+not read, so extra ones cannot clash.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ BLOCK = 1 << 18
 FLUSH = 150_000
 #: Rows handled at a time in a task.
 ROWS = 512
-#: Bytes sorted at a time, and different stretches of one anchor up to which they are sorted together.
+#: Bytes sorted at a time, and different stretches of one anchor (or pieces of one core) up to which one task sorts them.
 SORT_BYTES = 1 << 19
 CROWD = 2000
 #: Bytes of stretches dealt to one task, about.
@@ -124,19 +129,22 @@ def _block(rows, offsets, pieces):
     return np.frombuffer(b"".join(pieces), np.uint8), np.array(rows), np.array(offsets), starts, ends
 
 
+def _key(id_col: str, text_col: str) -> list:
+    """128 bits that name an id with its text; rows with equal ones have equal results."""
+    return [F.xxhash64(id_col, text_col).alias("k1"), F.xxhash64(F.lit(1), text_col, id_col).alias("k2")]
+
+
 def scan(docs: DataFrame, length: int, combine: bool) -> DataFrame:
-    """Anchors of all documents: anchor, stretch (hashes), row, doc_id, start (of the stretch's first window in its text),
-    windows, n. With ``combine``, equal stretches met by a task are one row with their number and one place."""
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    fields = ["anchor", "stretch", "row", "start", "windows", "n"]
+    """Anchors of all documents: anchor, stretch (hashes), k1, k2 (of id and text), start (of the stretch's first window in
+    its text), windows, n. With ``combine``, equal stretches met by a task are one row with their number and one place."""
+    rows = docs.select(*_key("doc_id", "text"), "text")
+    fields = ["anchor", "stretch", "k1", "k2", "start", "windows", "n"]
 
     def run(batches):
         held, size = [], 0
 
         def flush():
-            ids = pa.concat_arrays([h[0] for h in held])
-            cols = [np.concatenate([h[1][k] for h in held]) for k in range(5)]
+            cols = [np.concatenate([h[k] for h in held]) for k in range(6)]
             n = np.ones(len(cols[0]), np.int64)
             if combine:
                 order = np.lexsort((cols[1], cols[0]))
@@ -145,11 +153,11 @@ def scan(docs: DataFrame, length: int, combine: bool) -> DataFrame:
                 at = np.flatnonzero(new)
                 n = np.diff(np.append(at, len(order)))
                 keep = order[at]
-                cols, ids = [c[keep] for c in cols], ids.take(pa.array(keep))
-            return pa.RecordBatch.from_arrays([ids, *(pa.array(c) for c in (*cols, n))], names=["doc_id", *fields])
+                cols = [c[keep] for c in cols]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (*cols, n)], names=fields)
 
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
-            row = batch.column(0).to_numpy()
+            k1, k2 = (batch.column(k).to_numpy() for k in (0, 1))
             texts = batch.column(2).cast(pa.binary()).to_pylist()
             for data, owner, offset, starts, ends in blocks(texts, length):
                 found = anchors(data, starts, ends, length)
@@ -157,8 +165,7 @@ def scan(docs: DataFrame, length: int, combine: bool) -> DataFrame:
                     continue
                 piece, anchor, stretch, first, stop = found
                 mine = owner[piece]
-                held.append((batch.column(1).take(pa.array(mine)),
-                             (anchor, stretch, row[mine], first - starts[piece] + offset[piece], stop - first + 1)))
+                held.append((anchor, stretch, k1[mine], k2[mine], first - starts[piece] + offset[piece], stop - first + 1))
                 size += len(anchor)
                 if size >= FLUSH:
                     yield flush()
@@ -166,7 +173,7 @@ def scan(docs: DataFrame, length: int, combine: bool) -> DataFrame:
         if held:
             yield flush()
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, anchor long, stretch long, row long, start long, windows long, n long")
+    return rows.mapInArrow(run, ", ".join(f"{f} long" for f in fields))
 
 
 def suffix_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, tail: int = 0) -> np.ndarray:
@@ -262,15 +269,16 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
     met = scan(docs, length, True)
     # one shuffle by anchor; a task has sent each different stretch once
     parts = met.repartition("anchor").groupBy("anchor", "stretch").agg(
-        F.sum("n").alias("n"), *[F.first(c).alias(c) for c in ("row", "doc_id", "start", "windows")])
+        F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "start", "windows")).alias("place")).select("anchor", "stretch", "n", "place.*")
     known = table(parts, "stretches")
     free_shuffles(spark)
     per = table(known.groupBy("anchor").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where("total > 1"), "anchors")
     wanted = table(known.join(per, "anchor"), "recurring")
     bytes_ = wanted.agg(F.sum(F.col("windows") + length)).first()[0] or 0
-    lists = wanted.groupBy("row", "doc_id").agg(F.collect_list(F.struct("anchor", "stretch", "start", "windows", "n", "kinds")).alias("list"))
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").alias("_id"), "text")
-    with_text = rows.join(lists, (rows["row"] == lists["row"]) & rows["_id"].eqNullSafe(lists["doc_id"])).select("text", "list")
+    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "stretch", "start", "windows", "n", "kinds")).alias("list"))
+    # one of several rows with the same id and text is cut
+    with_text = (docs.select(*_key("doc_id", "text"), "text").join(lists, ["k1", "k2"]).groupBy("k1", "k2")
+                 .agg(F.first("text").alias("text"), F.first("list").alias("list")).select("text", "list"))
 
     def cut(batches):
         for batch in batches:
@@ -307,8 +315,13 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
                 first = stop
 
     schema = "anchor long, stretch long, firsts array<long>, lasts array<long>"
-    sorted_ = usual.repartition(tasks, "anchor").mapInArrow(sort, schema)
-    return table(sorted_.unionByName(_crowded(contents.where(F.col("kinds") > CROWD), length)), "repeated")
+    found = table(usual.repartition(tasks, "anchor").mapInArrow(sort, schema), "repeated")
+    crowd = contents.where(F.col("kinds") > CROWD).select("anchor", "stretch", "n", F.lit(0).alias("at"), F.lit(-1).alias("lead"), "content")
+    width = 4 ** max(0, int(np.ceil(np.log2(length - GRAM + 1) / 2)) - 1)  # below the number of distances
+    while not crowd.isEmpty():
+        some, crowd = _by_core(crowd, length, width, sort)
+        found, width = found.unionByName(some), max(1, width // 4)
+    return found
 
 
 def _groups(batches):
@@ -322,27 +335,61 @@ def _groups(batches):
         yield *(np.concatenate(h) for h in held[:3]), held[3]
 
 
-def _crowded(contents: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many different stretches: their windows, dealt out and counted by 128-bit hash."""
-    def windows(batches):
+def lead_of(content: bytes, length: int) -> int:
+    """How far from the start of a stretch its anchor lies."""
+    (up, down), _ = powers()
+    data = np.frombuffer(content[:length], np.uint8)
+    total = np.zeros(length + 1, np.uint64)
+    np.cumsum(CODE[0][data] * up[:length], out=total[1:])
+    return int(np.argmin(mix((total[GRAM:] - total[:-GRAM]) * down[:length - GRAM + 1]) >> np.uint64(20)))
+
+
+def pieces(content: bytes, lead: int, length: int, width: int):
+    """(range, core, offset, piece) of a stretch's windows, cut into ranges of ``width`` distances from start to anchor."""
+    windows = len(content) - length + 1
+    for k in range((lead - windows + 1) // width, lead // width + 1):
+        first, last = max(0, lead - (k + 1) * width + 1), min(windows - 1, lead - k * width)
+        core = lead - k * width  # the latest start in the range; the earliest one ends width - 1 bytes before its end
+        yield k, content[core:core + length - width + 1], first, content[first:last + length]
+
+
+def _by_core(crowd: DataFrame, length: int, width: int, sort) -> tuple[DataFrame, DataFrame]:
+    """(repeated windows as (anchor, stretch, firsts, lasts), pieces whose core is still shared by too many). Written."""
+    def split(batches):
         import xxhash
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                anchor, stretch, n = (part.column(k).to_numpy() for k in range(3))
-                content = part.column(4).to_pylist()
-                own = np.repeat(np.arange(len(content)), [len(c) - length + 1 for c in content])
-                digests = b"".join(xxhash.xxh3_128_digest(c[i:i + length]) for c in content for i in range(len(c) - length + 1))
-                both = np.frombuffer(digests, "<i8").reshape(-1, 2)
-                offset = np.concatenate([np.arange(len(c) - length + 1) for c in content])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor[own], stretch[own], n[own], both[:, 0].copy(), both[:, 1].copy(), offset)],
-                                                 names=["anchor", "stretch", "n", "w1", "w2", "at"])
-
-    each = table(contents.mapInArrow(windows, "anchor long, stretch long, n long, w1 long, w2 long, at long"), "crowded")
-    many = table(each.groupBy("w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").drop("n"), "crowded-repeated")
-    return (each.join(many, ["w1", "w2"]).groupBy("anchor", "stretch").agg(F.collect_list("at").alias("firsts"))
-            .select("anchor", "stretch", "firsts", F.col("firsts").alias("lasts")))
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+            anchor, stretch, n, at, lead = (batch.column(k).to_pylist() for k in range(5))
+            out = []
+            for i, content in enumerate(batch.column(5).to_pylist()):
+                here = lead[i] if lead[i] >= 0 else lead_of(content, length)
+                for k, core, first, piece in pieces(content, here, length, width):
+                    name = b"%d:%d:" % (anchor[i], k)
+                    out.append((xxhash.xxh3_64_intdigest(name + core) - (1 << 63), xxhash.xxh3_64_intdigest(name + piece, 7) - (1 << 63),
+                                anchor[i], stretch[i], n[i], at[i] + first, here - first, piece))
+            kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)],
+                                             names=["core", "piece", "anchor", "stretch", "n", "at", "lead", "content"])
+
+    each = table(crowd.mapInArrow(split, "core long, piece long, anchor long, stretch long, n long, at int, lead int, content binary"), "pieces")
+    kinds = table(each.groupBy("core", "piece").agg(F.sum("n").alias("n"), F.first("content").alias("content")), "piece-kinds")
+    per = table(kinds.groupBy("core").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where("total > 1"), "cores")
+    usual = kinds.join(per.where(F.col("kinds").between(2, CROWD)).select("core"), "core").select("core", "piece", "n", "content")
+    bytes_ = usual.agg(F.sum(F.length("content"))).first()[0] or 0
+    schema = "anchor long, stretch long, firsts array<long>, lasts array<long>"
+    spots = usual.repartition(max(1, int(-(-bytes_ // TASK_BYTES))), "core").mapInArrow(sort, schema)
+    spots = table(spots.select(F.col("anchor").alias("core"), F.col("stretch").alias("piece"), "firsts", "lasts"), "piece-repeated")
+    mine = each.select("core", "piece", "anchor", "stretch", "at")
+
+    def moved(c: str):
+        return F.transform(c, lambda x: x + F.col("at")).alias(c)
+
+    sorted_ = mine.join(spots, ["core", "piece"]).select("anchor", "stretch", moved("firsts"), moved("lasts"))
+    last = F.col("at") + F.length("content") - length
+    same = each.join(per.where("kinds = 1").select("core"), "core", "left_semi").select(  # all equal: every window is repeated
+        "anchor", "stretch", F.array(F.col("at").cast("long")).alias("firsts"), F.array(last.cast("long")).alias("lasts"))
+    many = each.join(per.where(F.col("kinds") > CROWD).select("core"), "core", "left_semi")
+    return table(sorted_.unionByName(same), "repeated"), many.select("anchor", "stretch", "n", "at", "lead", "content")
 
 
 def dedup(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False,
@@ -355,14 +402,15 @@ def dedup(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     found = repeated_windows(docs, length)
     hits = (scan(docs, length, False).join(found, ["anchor", "stretch"])
-            .select("row", "doc_id", F.explode(F.arrays_zip((F.transform("firsts", lambda x: x + F.col("start"))).alias("a"),
+            .select("k1", "k2", F.explode(F.arrays_zip((F.transform("firsts", lambda x: x + F.col("start"))).alias("a"),
                                                             (F.transform("lasts", lambda x: x + F.col("start"))).alias("b"))).alias("run")))
-    spans = table(hits.groupBy("row", "doc_id").agg(F.collect_list("run").alias("spans")), "spans")
+    # rows with the same id and text have the same runs: a set, merged before the shuffle
+    spans = table(hits.groupBy("k1", "k2").agg(F.collect_set("run").alias("spans")), "spans")
     free_shuffles(spark)
     extra = [F.col(c) for c in keep]
     rows = df.select(*[c.alias(f"_keep{i}") for i, c in enumerate(extra)], F.col(id_col).alias("_id"),
-                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("_row", F.xxhash64("_id", "text"))
-    joined = rows.join(spans, (rows["_row"] == spans["row"]) & rows["_id"].eqNullSafe(spans["doc_id"]), "left")
+                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    joined = rows.select("*", *_key("_id", "text")).join(spans, ["k1", "k2"], "left")
     joined = joined.select(*[f"_keep{i}" for i in range(len(extra))], "_id", "text", "spans")
     lead, m = [df.schema[c] for c in keep], len(extra)
     id_type = docs.schema["doc_id"].dataType.simpleString()

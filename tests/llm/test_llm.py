@@ -88,28 +88,70 @@ def test_packing_tiles_the_stream(spark):
     assert at == sum(len(t.encode(x or "", add_special_tokens=False).ids) + 1 for x in TEXTS)
 
 
-def test_suffix_array_equals_brute_force(spark):
-    rng = random.Random(4)
-    passage = "".join(rng.choice("abcdé ") for _ in range(90))
-    texts = [*("".join(rng.choice("vwxyz ") for _ in range(rng.randint(0, 120))) + passage[rng.randint(0, 40):] for _ in range(20)),
-             None, "", "q" * 100, "p" * 99 + "q" * 99]
-    length = 64
+def cut_by_hand(texts, length):
+    """(bytes, removed, spans, digest of the rest) of each text."""
     raw = [(t or "").encode() for t in texts]
     seen = collections.Counter(t[i:i + length] for t in raw for i in range(len(t) - length + 1))
-    for r in suffix.dedup(docs(spark, texts), length).collect():
-        t = raw[r.doc_id]
+    for t in raw:
         gone = bytearray(len(t))
         for i in range(len(t) - length + 1):
             if seen[t[i:i + length]] > 1:
                 gone[i:i + length] = b"\1" * length
-        assert r.n_removed == sum(gone)
-        assert r.n_spans == sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
-        assert r.kept_sha256 == hashlib.sha256(bytes(x for x, g in zip(t, gone) if not g)).hexdigest()
+        spans = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
+        yield len(t), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(t, gone) if not g)).hexdigest()
+
+
+def cut_by_spark(df, length):
+    return [tuple(r)[1:] for r in sorted(suffix.dedup(df, length).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())]
+
+
+def test_suffix_array_equals_brute_force(spark):
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcdé ") for _ in range(90))
+    texts = [*("".join(rng.choice("vwxyz ") for _ in range(rng.randint(0, 120))) + passage[rng.randint(0, 40):] for _ in range(20)),
+             None, "", "q" * 100, "p" * 99 + "q" * 99]
+    assert cut_by_spark(docs(spark, texts), 64) == list(cut_by_hand(texts, 64))
+    assert suffix.dedup(docs(spark).limit(0)).count() == 0
 
 
-def test_suffix_array_crowded_anchor(spark, monkeypatch):
+@pytest.mark.parametrize("length", [70, 200])
+def test_suffix_array_crowded_anchor(spark, monkeypatch, length):
+    """Passages among text of few letters, so that anchors, their cores and ever longer cores are shared by more than CROWD."""
+    widths, by_core = [], suffix._by_core
     monkeypatch.setattr(suffix, "CROWD", 3)
-    test_suffix_array_equals_brute_force(spark)
+    monkeypatch.setattr(suffix, "_by_core", lambda crowd, size, width, sort: (widths.append(width), by_core(crowd, size, width, sort))[1])
+    rng = random.Random(length)
+    passages = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in (length - 3, length + 5, length + 90, 3 * length)]
+    part = lambda n: "".join(rng.choice("xy") for _ in range(rng.randint(0, n)))
+    texts = [part(5) + p[rng.randint(0, 2):len(p) - rng.randint(0, 2)] + part(5) for p in passages for _ in range(30)]
+    texts += [part(300) + rng.choice(passages) + part(300) + rng.choice(passages) for _ in range(30)] + [None, "", "q" * 700, "z" * 3 + "q" * 701]
+    assert cut_by_spark(docs(spark, texts), length) == list(cut_by_hand(texts, length))
+    assert widths == {70: [4, 1], 200: [64, 16, 4, 1]}[length]
+
+
+def test_suffix_array_text_of_several_blocks(spark):
+    rng = random.Random(12)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnop é", k=n))
+    passage = letters(150)
+    long = letters(suffix.BLOCK - 1200) + passage + letters(2000) + passage + letters(suffix.BLOCK)
+    at = len(long.encode()[:suffix.BLOCK - 70].decode("utf-8", "ignore"))
+    long = long[:at] + passage + long[at:]  # over the border of the first two blocks
+    texts = [long, "x" + passage, long[at - 400:at + 500], letters(3000)]
+    assert cut_by_spark(docs(spark, texts), 100) == list(cut_by_hand(texts, 100))
+
+
+def test_suffix_array_repeated_rows(spark):
+    """Rows with equal id and text: what is written does not grow with the square of their number."""
+    rng = random.Random(13)
+    text, other = ("".join(rng.choices("abcdefgh ", k=900)) for _ in range(2))
+    found = {}
+    for m in (1, 5, 40):
+        rows = [(i, t, 7, "k") for i, t in [(1, text)] * m + [(None, other)] * m + [(2, other[:500]), (3, "short")]]
+        df = spark.createDataFrame(rows, "doc_id long, text string, n_words int, kept string").repartition(4)
+        want = sorted(cut_by_hand([r[1] for r in rows], 200))
+        assert sorted(tuple(r)[1:] for r in suffix.dedup(df, 200).collect()) == want
+        found[m] = suffix.repeated_windows(common.id_text(df), 200).count()
+    assert found[5] == found[40]
 
 
 def test_golay_keys_meet_within_two_bits():
@@ -182,14 +224,40 @@ def test_quality_counts(spark):
 
 
 def test_url_rules_and_join_agree(spark):
-    rules = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+    rules = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"),
+             ("block", "b.com", "/xy"), ("block", "Z.b.com", "/"), ("allow", "t.com", "/ab"), ("block", "a.t.com", "/"), ("allow", "t.com", "/ab")]
     urls = {"http://a.Example.NET/en/x": ("allow", "example.net/en/"), "http://a.example.net/en": ("block", "net/"), "https://net/": ("block", "net/"),
             "http://xnet/": ("allow", None), "http://example.com/de/?q": ("block", "example.com/de/"), "no scheme": ("allow", None), None: ("allow", None),
-            "http://b.net?x": ("allow", None), "http://q.org/fr/a#b": ("allow", "org/fr/")}
+            "http://b.net?x": ("allow", None), "http://q.org/fr/a#b": ("allow", "org/fr/"), "http://z.b.com/xy": ("block", "z.b.com/"),
+            "http://y.z.b.com/xyz": ("block", "z.b.com/"), "http://b.com/xyz": ("block", "b.com/xy"), "http://a.t.com/abc": ("block", "a.t.com/"), "": ("allow", None)}
     df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, host string")
     want = dict(enumerate(urls.values()))
-    for got in (urlfilter.filter_urls(df, rules), urlfilter.filter_urls_joined(df, spark.createDataFrame(rules, "verdict string, host string, path string"))):
+    table = spark.createDataFrame(rules, "verdict string, host string, path string")
+    for got in (urlfilter.filter_urls(df, rules), urlfilter.filter_urls(df, table), urlfilter.filter_urls_joined(df, table)):
         assert {r.page_id: (r.verdict, r.rule) for r in got.collect()} == want
+    assert urlfilter.filter_urls(df.limit(0), rules).count() == urlfilter.filter_urls_joined(df.limit(0), table).count() == 0
+
+
+def test_url_rules_and_join_agree_on_random_lists(spark):
+    """Both forms against every rule tried on every URL; odd URLs (no host, several ``://``, very long paths) among them."""
+    rng = random.Random(17)
+    host = lambda: ".".join(rng.choice("abC") for _ in range(rng.randint(1, 4)))
+    path = lambda: "/" + "/".join("".join(rng.choice("xy") for _ in range(rng.randint(0, 2))) for _ in range(rng.randint(1, 3)))
+    rules = [(rng.choice(["allow", "block"]), host(), path()) for _ in range(150)]
+    urls = [rng.choice(["http://", "://", "x://y://", ""]) + host() + rng.choice(["", path(), path() + "?q/" + path(), "#" + path()]) for _ in range(600)]
+    urls += ["http:///xy", "http://a.b", "http://a..b/x", "http://a" + "/x" * 50_000, "http://" + "a." * 200 + "b/x\ny"]
+
+    def judge(url):
+        h, p = urlfilter.parts(url)
+        fits = [(len(r[1] + r[2]), r[0] == "block", len(r[1]), r[1].lower() + r[2], r[0]) for r in rules
+                if (h == r[1].lower() or h.endswith("." + r[1].lower())) and p.startswith(r[2])]
+        return (h, p, *(max(fits)[3:] if fits else (None, "allow")))
+
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    short = df.where("length(url) < 1000")
+    assert {r.page_id: tuple(r)[1:] for r in urlfilter.filter_urls(df, rules).collect()} == {i: judge(u) for i, u in enumerate(urls)}
+    joined = urlfilter.filter_urls_joined(short, spark.createDataFrame(rules, "verdict string, host string, path string"))
+    assert {r.page_id: tuple(r)[1:] for r in joined.collect()} == {i: judge(u) for i, u in enumerate(urls) if len(u) < 1000}
 
 
 def test_warc_round_trip(spark):
