@@ -14,7 +14,8 @@ and a spanning forest of the block's links, so the output grows with the vectors
 
 Equal vectors of a label are one vector with a number. Null labels and vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; vectors of different lengths are never compared. A null id is counted as a partner and gets
-the smallest id of its component. Empty tables give empty results; further columns are not read.
+the smallest id of its component. Empty tables give empty results; further columns are not read. Vectors of any length are
+compared whole; they travel in the precision of their column.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ from math import comb, erf, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from .common import components, table
 
@@ -37,8 +40,6 @@ RECALL = 0.999
 BLOCK = 4096
 #: Pairs of one window that are counted and verified at a time.
 PAIRS = 1 << 17
-#: Oversized cells are few (each holds over BLOCK vectors); up to this many are broadcast, else joined.
-MAX_BROADCAST_ROWS = 100_000
 
 
 def needed(p: float, m: int = PROJECTIONS, recall: float = RECALL) -> int:
@@ -56,7 +57,9 @@ def directions(size: int) -> np.ndarray:
 
 
 def unit(raw: list[bytes], size: int) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), "<f8").reshape(-1, size)
+    """Vectors of length one in double precision, from rows of four or eight bytes a component."""
+    joined = b"".join(raw)
+    x = np.frombuffer(joined, "<f4" if len(joined) == 4 * size * len(raw) else "<f8").reshape(-1, size).astype(float)
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
@@ -78,11 +81,13 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def classes(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
-    """(rows: vec_id and its class k1, k2; classes: class number cid, label, size, raw doubles, members, smallest id). Written."""
-    v = F.col(vector_col).cast("array<double>")
+    """(rows: vec_id and its class k1, k2; classes: class number cid, label, vector, members, smallest id). Written."""
+    kind = df.schema[vector_col].dataType
+    kind = "float" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "double"
+    v = F.col(vector_col).cast(f"array<{kind}>")
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), v.alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    rows = rows.withColumn("v", F.when(F.col("label").isNotNull() & F.coalesce(fine, F.lit(False)), F.transform("v", lambda x: x + 0.0)))
+    rows = rows.withColumn("v", F.when(F.col("label").isNotNull() & F.coalesce(fine, F.lit(False)), F.transform("v", lambda x: x + F.lit(0.0).cast(kind))))
     rows = rows.withColumns({"k1": F.when(F.col("v").isNotNull(), F.xxhash64("label", "v")),
                              "k2": F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "v", "label"))})
     found = (rows.where("v is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("first"), F.count("*").alias("members"),
@@ -98,39 +103,47 @@ def near_duplicates(df: DataFrame, cosine: float = 0.98, id_col: str = "vec_id",
     window = DEVIATIONS * far
     enough = needed(erf(DEVIATIONS / sqrt(2)))
 
+    def touched(batches, own_only=False):
+        """Of slices of vectors of one length: (their rows, size, matrix, [(group, own cell?, cell names)])."""
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+            lengths, values = pc.list_value_length(batch.column(4)).to_numpy(), batch.column(4).flatten().to_numpy()
+            ends = np.cumsum(lengths)
+            labels = batch.column(3).to_pylist()
+            for size in np.unique(lengths).tolist():
+                rows = np.flatnonzero(lengths == size)
+                v = values[(ends[rows] - size)[:, None] + np.arange(size)]
+                x = v.astype(float)
+                p = (x / np.sqrt((x * x).sum(axis=1))[:, None]) @ directions_of(size)[:, :TABLES * JOINT]
+                cell = np.floor(p / (2 * window)).astype(int)
+                side = np.where(p - cell * 2 * window < window, -1, 1)
+                found = []
+                for t in range(TABLES):
+                    at = slice(t * JOINT, (t + 1) * JOINT)
+                    for move in ((0,) * JOINT,) if own_only else product((0, 1), repeat=JOINT):
+                        places = (cell[:, at] + side[:, at] * move).tolist()
+                        found.append((t, not any(move), [f"{t}:{size}:{','.join(map(str, c))}|{labels[r]}" for r, c in zip(rows.tolist(), places)]))
+                yield batch.take(pa.array(rows)), size, v, found
+
+    def own_cells(batches):
+        for _, _, _, found in touched(batches, own_only=True):
+            for _, _, cells in found:
+                yield pa.RecordBatch.from_arrays([pa.array(cells)], names=["cell"])
+
     def place(batches):
         """A row per group and touched cell; ``own`` marks the cell in which the vector itself lies."""
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                vectors, out = part.column(3).to_pylist(), []
-                for i, v in enumerate(vectors):
-                    x = np.array(v)
-                    p = (x / np.sqrt((x * x).sum())) @ directions_of(len(v))
-                    cell = np.floor(p[:TABLES * JOINT] / (2 * window)).astype(int)
-                    side = np.where(p[:TABLES * JOINT] - cell * 2 * window < window, -1, 1)
-                    raw = x.astype("<f8").tobytes()
-                    for t in range(TABLES):
-                        own = cell[t * JOINT:(t + 1) * JOINT]
-                        for move in product((0, 1), repeat=JOINT):
-                            touched = own + side[t * JOINT:(t + 1) * JOINT] * move
-                            out.append((i, f"{t}:{len(v)}:" + ",".join(map(str, touched)), t, len(v), not any(move), raw))
-                take = pa.array([o[0] for o in out], pa.int64())
+        for part, size, v, found in touched(batches):
+            n, raw = part.num_rows, pa.array([r.tobytes() for r in v], pa.binary())
+            for t, own, cells in found:
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(k).take(take) for k in (0, 1, 2)] + [pa.array([o[k] for o in out], kind) for k, kind in
-                                                                      ((1, pa.string()), (2, pa.int32()), (3, pa.int32()), (4, pa.bool_()), (5, pa.binary()))],
+                    [part.column(0), part.column(1), part.column(2), pa.array(cells), pa.array(np.full(n, t, np.int32)),
+                     pa.array(np.full(n, size, np.int32)), pa.array([own] * n), raw],
                     names=["k1", "k2", "members", "cell", "t", "size", "own", "raw"])
 
-    label = F.col("label").cast("string")
-    spots = (kinds.select("k1", "k2", "members", "v").mapInArrow(
-        place, "k1 long, k2 long, members long, cell string, t int, size int, own boolean, raw binary")
-        .join(kinds.select("k1", "k2", label.alias("label"), "first"), ["k1", "k2"]))
-    spots = table(spots.withColumn("cell", F.concat_ws("|", "cell", "label"))
-                  .select("k1", "k2", "members", "cell", "t", "size", "own", "raw"), "vec-cells")
-    crowded = table(spots.where("own").groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    vectors = kinds.select("k1", "k2", "members", F.col("label").cast("string").alias("label"), "v")
+    crowded = table(vectors.mapInArrow(own_cells, "cell string").groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
                     .select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "vec-crowded")
-    small = crowded.count() <= MAX_BROADCAST_ROWS
-    dealt = spots.join(F.broadcast(crowded) if small else crowded, "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    spots = vectors.mapInArrow(place, "k1 long, k2 long, members long, cell string, t int, size int, own boolean, raw binary")
+    dealt = spots.join(crowded, "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("mine", F.pmod(F.col("k1"), F.col("parts"))).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     sides = F.when(F.col("own"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))  # 0: it is looked for, 1: it asks
     dealt = dealt.withColumn("role", F.explode(sides)).select(

@@ -214,6 +214,48 @@ def test_embedding_links_equal_brute_force(spark):
     assert all(got[i].n_links == 0 and got[i].kept for i in (900, 901, 902, 903, 904))
 
 
+@pytest.mark.parametrize("kind,size", [("float", 16), ("float", 64), ("double", 24)])
+def test_embedding_links_planted_at_the_limit(spark, kind, size):
+    """Two thousand pairs just above the limit, chains of them, copies, a crowded label, pairs just below and across labels."""
+    rng = np.random.RandomState(size)
+    base = rng.normal(size=(2000, size))
+    base /= np.sqrt((base * base).sum(1))[:, None]
+    turn = rng.normal(size=base.shape)
+    turn -= (turn * base).sum(1)[:, None] * base
+    turn /= np.sqrt((turn * turn).sum(1))[:, None]
+
+    def at(cosine):
+        return cosine[:, None] * base + np.sqrt(1 - cosine ** 2)[:, None] * turn
+
+    near, below = at(rng.uniform(0.9801, 0.984, len(base))), at(rng.uniform(0.97, 0.9799, len(base)))
+    x = np.concatenate([base, near, near[:300] + 0.02 * rng.normal(size=(300, size)) / np.sqrt(size), base[:50] * 3, below[:500]])
+    x = x.astype(np.float32) if kind == "float" else x
+    label = np.concatenate([np.arange(2000) % 3, np.where(np.arange(2000) < 1900, np.arange(2000) % 3, 7), np.arange(300) % 3, np.arange(50) % 3, np.arange(500) % 3])
+    ids = np.random.RandomState(1).permutation(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist(), int(k), 0) for i, v, k in zip(ids, x, label)],
+                               f"vec_id long, embedding array<{kind}>, label int, n_links int").repartition(6)
+    u = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(1))[:, None]
+    link = (u @ u.T >= 0.98) & (label[:, None] == label)
+    np.fill_diagonal(link, False)
+    got = {r.vec_id: r for r in embdup.near_duplicates(df).collect()}
+    found, want = sum(r.n_links for r in got.values()), int(link.sum())
+    assert len(got) == len(x) and want > 3800 and found / want >= 0.995, (found, want)
+    assert all(got[int(i)].n_links <= n for i, n in zip(ids, link.sum(1)))
+    if found == want:
+        low, a, b = ids.copy(), *np.nonzero(link)
+        for _ in range(20):
+            np.minimum.at(low, a, low[b])
+        assert [got[int(i)].component_id for i in ids] == low.tolist()
+
+
+def test_embedding_links_in_blocks(spark, monkeypatch):
+    """Cells beyond one block and an empty table."""
+    monkeypatch.setattr(embdup, "BLOCK", 16)
+    test_embedding_links_equal_brute_force(spark)
+    rows = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert embdup.near_duplicates(rows).count() == 0
+
+
 def test_quality_counts(spark):
     words = " ".join(f"word{i} the" for i in range(60))
     texts = [None, "", words, words.replace("word", "w#"), "a b c " * 30, "one line\none line\n\n \nx"]
