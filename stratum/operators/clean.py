@@ -76,9 +76,9 @@ def head_rest_split(df: DataFrame, order_by: Sequence[str], n: int) -> tuple[Dat
 def preferred_row(df: DataFrame, keys: Sequence[str], prefer: Column, tiebreak: Sequence[Column]) -> DataFrame:
     """One row per ``keys``: the row where ``prefer`` is true wins, else the first by ``tiebreak``.
 
-    Expressed as ``max_by`` over a struct ordering key: a hash aggregate with
-    map-side partial combine, so a hot key is reduced before the shuffle and
-    never buffered whole in one task (unlike a window row_number).
+    Expressed as ``max_by`` over a struct ordering key, combined before the shuffle, so a hot key is one row per map
+    task and never buffered whole in one task (unlike a window row_number). Rows with strings cannot be kept in a
+    hash aggregate's fixed-width buffer: Spark sorts by the keys and aggregates runs, spilling where it must.
     """
     order = F.struct(prefer.cast("int").alias("_p"), *[t.alias(f"_t{i}") for i, t in enumerate(tiebreak)])
     others = [c for c in df.columns if c not in keys]

@@ -34,25 +34,38 @@ def score_seasons(players: DataFrame, year: str = "year", raw: Sequence[str] = (
 
     Pass 1: ``fg=(fgp−avg fgp)·fga``, ``ft=(ftp−avg ftp)·fta``; tp, trb, pts are
     population z-scores; tov is a negated z-score. Pass 2: z-score of fg, ft.
+    Two aggregates and two joins in all: the second aggregate carries the first one's row per year along, and the greatest
+    absolute score of a year follows from its smallest and greatest value, since a z-score is monotone in its value.
     """
     from stratum.session import cut_lineage
 
-    # several passes read the same rows: materialise them once on shared storage
+    # two passes read the same rows: materialise them once on shared storage
     players = cut_lineage(players)
-    # pass 1: one aggregate for the weighted-percentage means and the raw z-score statistics
-    aggs = [F.avg("fgp").alias("_afgp"), F.avg("ftp").alias("_aftp")]
-    aggs += [a for c in raw for a in (F.avg(c).alias(f"_a_{c}"), F.stddev_pop(c).alias(f"_s_{c}"))]
-    s1 = W.with_group_stats(players, [year], aggs)
-    s1 = (s1.withColumn("fg", (F.col("fgp") - F.col("_afgp")) * F.col("fga"))
-            .withColumn("ft", (F.col("ftp") - F.col("_aftp")) * F.col("fta")))
-    for c in raw:
-        z = W.safe_div(F.col(c) - F.col(f"_a_{c}"), F.col(f"_s_{c}"))
-        s1 = s1.withColumn(f"z{c}", -z if c == "tov" else z)
-    s1 = s1.drop("_afgp", "_aftp", *[f"_a_{c}" for c in raw], *[f"_s_{c}" for c in raw])
-    s2 = W.zscore_within(s1, [year], ["fg", "ft"])
+
+    def moments(cols):
+        return [a for c in cols for a in (F.avg(c).alias(f"_a_{c}"), F.stddev_pop(c).alias(f"_s_{c}"),
+                                          F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}"))]
+
+    def z(value, c):
+        return W.safe_div(value - F.col(f"_a_{c}"), F.col(f"_s_{c}"))
+
+    def weighted(df):
+        return (df.withColumn("fg", (F.col("fgp") - F.col("_afgp")) * F.col("fga"))
+                  .withColumn("ft", (F.col("ftp") - F.col("_aftp")) * F.col("fta")))
+
+    first = [F.avg("fgp").alias("_afgp"), F.avg("ftp").alias("_aftp"), *moments(raw)]
+    s1 = weighted(W.with_group_stats(players, [year], first))
+    carried = [c for c in s1.columns if c not in players.columns and c not in ("fg", "ft")]
+    per_year = s1.groupBy(year).agg(*[F.max(c).alias(c) for c in carried], *moments(["fg", "ft"]))
+    s2 = weighted(W.attach(players, per_year, [year]))
+    for c in (*raw, "fg", "ft"):
+        most = F.greatest(F.abs(z(F.col(f"_hi_{c}"), c)), F.abs(z(F.col(f"_lo_{c}"), c)))
+        s2 = s2.withColumn(f"z{c}", -z(F.col(c), c) if c == "tov" else z(F.col(c), c)).withColumn(f"_m_z{c}", most)
     s2 = s2.withColumn("ztot", W.row_sum(scores))
-    s3 = W.maxabs_within(s2, [year], scores)
-    return s3.withColumn("ntot", W.row_sum([f"n{c[1:]}" for c in scores]))
+    for c in scores:
+        s2 = s2.withColumn(f"n{c[1:]}", W.safe_div(F.col(c), F.col(f"_m_{c}")))
+    own = [c for c in s2.columns if c in players.columns or not c.startswith("_")]
+    return s2.select(*own).withColumn("ntot", W.row_sum([f"n{c[1:]}" for c in scores]))
 
 
 def season_deltas(scored: DataFrame, entity: str = "name", order: str = "year") -> DataFrame:
@@ -113,26 +126,29 @@ def cumulative_vectors(scored: DataFrame, entity: str = "name", order: str = "ye
 
 def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name", level: str = "experience",
                           vec: str = "vec", projections: int = 4,
-                          hot_cell_rows: int = 20_000) -> DataFrame:
+                          hot_cell_rows: int = 20_000, classes: int = 6) -> DataFrame:
     """Ordered pairs of distinct entities at the same level with RMS distance ≤ ``radius``.
 
     Exact, without comparing all pairs: for any ±1 pattern h of the vector
     length L, u = h/√L is a unit vector, so by Cauchy–Schwarz
     |h·a/L − h·b/L| ≤ ‖a−b‖/√L = RMS(a−b) ≤ r. The first ``projections`` Walsh
     patterns (all +1, then signs from bits of the index) give k projections;
-    rows are blocked on a grid of width r over them. The left side is
-    replicated to the 3^k neighbouring cells and equi-joined with the right
-    side on (level, cells); each candidate pair meets exactly once, the
-    projection gaps (scalars) must each be ≤ r, and the exact distance decides.
-    Only keys and projections are replicated and shuffled, dense cells are salted on both sides (each task
+    rows are blocked on a grid of width 2r over them, so whatever lies within r of a row is in one of two cells per
+    projection, its own among them. A row is copied to those of its 2^k cells that do not come before its own
+    (about half) and equi-joined with the rows of those cells: each unordered pair meets once, in the later of its
+    two cells, or by the entities' order where both are in one cell, and is mirrored after the exact distance.
+    A candidate must first pass a bound on scalars: coordinates i fall into ``classes`` classes i mod classes (for season
+    vectors of six scores a class is one score), the classes' indicators are orthogonal, so by Bessel's inequality the
+    squared gaps of the normalised class sums add up to at most RMS²; for vectors no longer than ``classes`` it is the
+    distance itself. Only keys and class sums are replicated and shuffled, dense cells are salted on both sides (each task
     compares at most about ``hot_cell_rows``² pairs), and vectors are joined back to the survivors. One plan
-    at every size. The radius bounds the result: pairs further apart are not reported.
+    at every size. The radius bounds the result: pairs further apart are not reported. Rows with an empty vector or a NULL in the
+    vector, the level or the entity match nothing.
     """
-    import itertools
-
-    from stratum.session import cut_lineage
+    from stratum.session import cut_lineage, stored
 
     n = F.size(vec).cast("double")
+    reach = radius * (1 + 1e-9)  # the bound holds for real numbers: leave room for rounding
 
     def walsh(k):
         if k == 0:
@@ -141,43 +157,52 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
         signed = F.transform(vec, lambda x, i: F.when(F.floor(i / bit) % 2 == 0, x).otherwise(-x))
         return F.aggregate(signed, F.lit(0.0), lambda a, x: a + x) / n
 
+    def class_sum(j):
+        size = F.floor((F.size(vec) + (classes - 1 - j)) / classes)
+        total = F.aggregate(F.filter(vec, lambda x, i: i % classes == j), F.lit(0.0), lambda a, x: a + x)
+        return F.when(size > 0, total / F.sqrt(size * n)).otherwise(0.0)
+
     cells = [f"_c{k}" for k in range(projections)]
+    sums = [f"_u{j}" for j in range(classes)]
     projs = [f"_p{k}" for k in range(projections)]
-    base = (vectors.where(F.forall(vec, lambda x: x.isNotNull()))
-            .select(entity, level, "year", vec, *[walsh(k).alias(p) for k, p in enumerate(projs)]))
-    base = base.select("*", *[F.floor(F.col(p) / radius).cast("long").alias(c) for p, c in zip(projs, cells)])
-    # few bytes but heavy per row after replication: spread it over every core explicitly
-    # (AQE coalescing sizes partitions by bytes and would leave this to one task)
-    base = cut_lineage(base.repartition(vectors.sparkSession.sparkContext.defaultParallelism * 2, entity))
-    offsets = F.array(*[F.array(*[F.lit(o) for o in combo])
-                        for combo in itertools.product((-1, 0, 1), repeat=projections)])
+    base = (vectors.where((F.size(vec) > 0) & F.forall(vec, lambda x: x.isNotNull()))
+            .select(entity, level, "year", vec, *[walsh(k).alias(p) for k, p in enumerate(projs)],
+                    *[class_sum(j).alias(u) for j, u in enumerate(sums)]))
+    base = cut_lineage(base.select("*", *[F.floor(F.col(p) / (2 * reach)).cast("long").alias(c) for p, c in zip(projs, cells)]))
     other = "similar_" + entity
-    # replicate keys and projections only (tens of bytes per row, whatever
-    # the vector length), filter on the projection gaps, then join vectors back to the survivors
-    left = base.select(entity, level, "year", *projs, *cells, F.explode(offsets).alias("_o"))
-    left = left.select(entity, level, "year", *projs,
-                       *[(F.col(c) + F.col("_o")[k]).alias(c) for k, c in enumerate(cells)])
-    right = base.select(F.col(entity).alias(other), level, *[F.col(p).alias(f"{p}b") for p in projs], *cells)
+    # the lower of the two cells within reach per projection, and the row's own choice among them as bits, first projection highest
+    lows = [F.floor((F.col(p) - reach) / (2 * reach)).cast("long") for p in projs]
+    own = sum((F.when(F.col(c) > low, 1 << (projections - 1 - k)).otherwise(0) for k, (c, low) in enumerate(zip(cells, lows))), F.lit(0))
+    left = base.select(entity, level, *sums, *[low.alias(c) for c, low in zip(cells, lows)], own.alias("_own"))
+    left = left.withColumn("_to", F.explode(F.sequence("_own", F.lit((1 << projections) - 1))))
+    left = left.select(entity, level, *sums, (F.col("_to") == F.col("_own")).alias("_home"),
+                       *[(F.col(c) + F.shiftright("_to", projections - 1 - k).bitwiseAND(F.lit(1))).alias(c) for k, c in enumerate(cells)])
+    right = base.select(F.col(entity).alias(other), level, *[F.col(u).alias(f"{u}b") for u in sums], *cells)
     # dense cells: two-sided salting so no task compares more than about hot_cell_rows² pairs.
     # A cell with n rows gets S = ceil(n / hot_cell_rows) sub-blocks per side; a left row keeps
     # its own sub-block and is copied to every right sub-block and vice versa, so each pair
-    # still meets exactly once. The hot-cell list is bounded by rows / hot_cell_rows.
+    # still meets exactly once. The list of hot cells (at most rows / hot_cell_rows) is a written table: its measured
+    # size decides whether it is broadcast, and then the copies are shuffled once, for the pairs alone.
     counts = base.groupBy(level, *cells).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_cell_rows).select(
-        level, *cells, F.ceil(F.col("_n") / hot_cell_rows).cast("int").alias("_s"))
+    hot = stored(counts.where(F.col("_n") > hot_cell_rows).select(
+        level, *cells, F.ceil(F.col("_n") / hot_cell_rows).cast("int").alias("_s")), "similar")
     left = left.join(hot, [level, *cells], "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
     left = (left.withColumn("_sa", F.pmod(F.xxhash64(entity), F.col("_s")).cast("int"))
                 .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_s"))
     right = right.join(hot, [level, *cells], "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
     right = (right.withColumn("_sb", F.pmod(F.xxhash64(other), F.col("_s")).cast("int"))
                   .withColumn("_sa", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_s"))
-    cand = left.join(right, [level, *cells, "_sa", "_sb"]).where(F.col(entity) != F.col(other))
-    for p in projs:
-        cand = cand.where(F.abs(F.col(p) - F.col(f"{p}b")) <= radius)
-    cand = cand.select(entity, level, "year", other)
-    va = base.select(entity, level, F.col(vec).alias("_va"))
-    vb = base.select(F.col(entity).alias(other), level, F.col(vec).alias("_vb"))
+    cand = left.join(right, [level, *cells, "_sa", "_sb"])
+    cand = cand.where(F.when(F.col("_home"), F.col(entity) < F.col(other)).otherwise(F.col(entity) != F.col(other)))
+    gap = sum(((F.col(u) - F.col(f"{u}b")) * (F.col(u) - F.col(f"{u}b")) for u in sums), F.lit(0.0))
+    cand = cand.where(gap <= reach * reach).select(entity, level, other)
+    va = base.select(entity, level, F.col("year").alias("_ya"), F.col(vec).alias("_va"))
+    vb = base.select(F.col(entity).alias(other), level, F.col("year").alias("_yb"), F.col(vec).alias("_vb"))
     pairs = cand.join(va, [entity, level]).join(vb, [other, level])
-    pairs = pairs.withColumn("similarity_score", rms_distance("_va", "_vb"))
-    return pairs.where(F.col("similarity_score") <= radius).select(
-        level, "year", entity, other, "similarity_score")
+    pairs = pairs.withColumn("similarity_score", rms_distance("_va", "_vb")).where(F.col("similarity_score") <= radius)
+
+    def side(year, a, b):
+        return F.struct(F.col(year).alias("year"), F.col(a).alias(entity), F.col(b).alias(other))
+
+    both = F.explode(F.array(side("_ya", entity, other), side("_yb", other, entity)))
+    return pairs.select(level, both.alias("_pair"), "similarity_score").select(level, "_pair.*", "similarity_score")

@@ -22,7 +22,11 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column])
     The aggregate table has one row per group; adaptive execution broadcasts it by its measured bytes or
     splits skewed partitions of the shuffle join. NULL keys are a group like any other.
     """
-    stats = df.groupBy(*keys).agg(*aggs)
+    return attach(df, df.groupBy(*keys).agg(*aggs), keys)
+
+
+def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row of ``df`` with its group's row of ``stats`` (one per ``keys``); NULL keys meet each other."""
     for k in keys:
         stats = stats.withColumnRenamed(k, f"_k_{k}")
     on = functools.reduce(lambda a, b: a & b, [df[k].eqNullSafe(stats[f"_k_{k}"]) for k in keys])

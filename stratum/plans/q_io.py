@@ -53,6 +53,21 @@ def pipe_delimited_schema_read(spark, sf):
                                              F.min("o_orderdate").cast("string").alias("first_date"))
 
 
+@query("delimited_notes_typed", """
+SELECT lower(regexp_replace(o_orderpriority || '. Checked!', '[.!?-]', '', 'g')) AS note, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n,
+       count(CASE WHEN o_orderkey % 7 <> 0 THEN 1 END) AS n_timed,
+       CAST(sum(CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey % 90 END) AS BIGINT) AS minutes FROM orders GROUP BY 1, 2""")
+def delimited_notes_typed(spark, sf):
+    """Headerless pipe-delimited notes (date, note, minutes; some minutes not a number) named, cleaned and typed on reading."""
+    path = _scratch(spark, "notes")
+    notes = load(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("date"), F.concat("o_orderpriority", F.lit(". Checked!")).alias("note"),
+                                             F.when(F.col("o_orderkey") % 7 == 0, F.lit("n/a")).otherwise((F.col("o_custkey") % 90).cast("string")).alias("minutes"))
+    SK.write_csv(notes, path, sep="|", header=False)
+    back = RD.read_delimited_typed(spark, path, {"date": "date", "note": "string", "minutes": "int"}, strip={"note": "[.!?-]"})
+    return back.groupBy("note", F.year("date").alias("year")).agg(F.count(F.lit(1)).alias("n"), F.count("minutes").alias("n_timed"),
+                                                                  F.sum("minutes").cast("long").alias("minutes"))
+
+
 EVENT_JSON_SCHEMA = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 

@@ -249,6 +249,16 @@ def _pairs9(spark, sf):
     return cut_lineage(long), last
 
 
+@query("season_nine_scores", with_views(["raw_seasons9"], _nine_sql() + "t9 AS (SELECT *, " + " + ".join(SN.NINE) + """ AS ztot,
+  """ + ", ".join(f"greatest(abs(max({c}) OVER w), abs(min({c}) OVER w)) AS m_{c}" for c in SN.NINE) + """
+  FROM players9 WINDOW w AS (PARTITION BY year))
+SELECT name, year, round(ztot, 8) AS ztot, """ + ", ".join(f"round(CASE WHEN m_{c} <> 0 THEN {c} / m_{c} END, 8) AS n{c[1:]}" for c in SN.NINE) + " FROM t9"))
+def season_nine_scores(spark, sf):
+    """All nine normalised scores and the total of the nine z-scores."""
+    s = SN.score_seasons(SN.dedup_seasons(view(spark, sf, "raw_seasons9")), raw=_RAW9, scores=SN.NINE)
+    return s.select("name", "year", R(F.col("ztot")).alias("ztot"), *[R(F.col(f"n{c[1:]}")).alias(f"n{c[1:]}") for c in SN.NINE])
+
+
 @query("metric_models", with_views(["raw_seasons9"], _nine_sql() + _models_sql() + """
 SELECT final.metric, reg AS reg_param, fit AS fit_intercept, alpha AS elastic_net, rmse AS valid_rmse, round(b0, 6) + 0.0 AS b0, round(b1, 6) + 0.0 AS b1,
        round(b2, 6) + 0.0 AS b2 FROM final JOIN err USING (metric, id, reg, fit, alpha)"""))

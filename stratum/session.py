@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: cut from its lineage, with a measured size the planner can go by.
+
+    The folder is left there, since lazy results read it.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stratum-tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _normalise(df: DataFrame) -> DataFrame:
     """timestamp_ntz → timestamp (UTC session) so casts to long work."""
     cols = []

@@ -312,6 +312,43 @@ def test_similarity_salted_cells_match_unsalted(spark):
     assert a == b and len(a) > 0
 
 
+def test_similarity_of_any_vector_length_and_cell_borders(spark):
+    rnd = random.Random(5)
+    # lengths below, at and between multiples of the classes; a grid of step r puts rows on the cell borders
+    rows = [(f"n{i}", e, 2000 + i, [rnd.choice([-0.5, 0.0, 0.5, 1.0]) for _ in range(length)])
+            for e, length in enumerate([1, 4, 6, 7, 9]) for i in range(40)]
+    extra = [("x", 2, 2000, [None] + [0.0] * 5), ("y", None, 2000, [0.0] * 6), (None, 2, 2000, [0.0] * 6), ("z", 0, 2000, []), ("w", 0, 2000, None)]
+    df = spark.createDataFrame(rows + extra, "name string, experience int, year int, vec array<double>")
+    for r in (0.25, 0.5):
+        want = {(e, ya, a, b) for a, e, ya, va in rows for b, eb, _, vb in rows
+                if e == eb and a != b and math.sqrt(sum((p - q) ** 2 for p, q in zip(va, vb))) / math.sqrt(len(va)) <= r}
+        got = [tuple(x)[:4] for x in SN.similar_within_radius(df, r).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_two_pass_scores_match_plain_python(spark):
+    rnd = random.Random(11)
+    cols = ["fgp", "fga", "ftp", "fta", "tp", "trb", "pts", "tov"]
+    rows = [(f"n{i}", y, *[rnd.uniform(0, 9) for _ in cols[:-1]], 2.0 if y == 2001 else rnd.uniform(0, 9))
+            for y in (2000, 2001, None) for i in range(25)]  # a year without a spread of tov, and rows without a year
+    df = spark.createDataFrame(rows, "name string, year int, " + ", ".join(f"{c} double" for c in cols))
+    got = {(r["name"], r["year"]): r for r in SN.score_seasons(df).collect()}
+    assert len(got) == len(rows)
+    for year in (2000, 2001, None):
+        v = {c: np.array([r[2 + k] for r in rows if r[1] == year]) for k, c in enumerate(cols)}
+        v["fg"], v["ft"] = (v["fgp"] - v["fgp"].mean()) * v["fga"], (v["ftp"] - v["ftp"].mean()) * v["fta"]
+        z = {c: (v[c] - v[c].mean()) / v[c].std() for c in ("tp", "trb", "pts", "fg", "ft")}
+        z["tov"] = -(v["tov"] - v["tov"].mean()) / v["tov"].std() if year != 2001 else None
+        for i in range(25):
+            r = got[f"n{i}", year]
+            for c, x in z.items():
+                if x is None:
+                    assert r["ztov"] is None and r["ntov"] is None and r["ztot"] is None and r["ntot"] is None
+                else:
+                    assert abs(r[f"z{c}"] - x[i]) < 1e-9 and abs(r[f"n{c}"] - x[i] / np.abs(x).max()) < 1e-9
+    assert SN.score_seasons(df.limit(0)).count() == 0
+
+
 def test_per_variant_regression_equals_spark_ml(spark):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression

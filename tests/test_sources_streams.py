@@ -75,3 +75,14 @@ def test_kmeans_entropy_sweep(spark):
     entropy = sum(-sum(own.count(v) * math.log(own.count(v) / len(own)) for v in set(own)) for own in clusters.values()) / len(rows)
     assert abs(got[3].entropy - entropy) < 1e-12 and abs(got[3].cost_per_row - m.summary.trainingCost / len(rows)) < 1e-12
     assert got[2].entropy > got[3].entropy > 0 and df.where(F.col("label").isNull()).count() == 0
+
+
+def test_delimited_fields_that_are_not_of_their_type(spark, tmp_path):
+    from stratum.sources import readers as RD
+
+    (tmp_path / "a.txt").write_text("2020-01-02|Fan-belt, worn!|12\nnever|OK.| 7 |more\n2020-02-30||x\n2020-03-04|short\n")
+    got = RD.read_delimited_typed(spark, str(tmp_path), {"date": "date", "note": "string", "minutes": "int"}, strip={"note": "[.!?-]"}).collect()
+    assert [(str(r["date"]), r["note"], r["minutes"]) for r in got] == [
+        ("2020-01-02", "fanbelt, worn", 12), ("None", "ok", 7), ("None", None, None), ("2020-03-04", "short", None)]
+    (tmp_path / "none").mkdir()
+    assert RD.read_delimited_typed(spark, str(tmp_path / "none"), {"date": "date"}).count() == 0
