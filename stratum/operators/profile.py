@@ -241,7 +241,7 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
-def kendall_tau_b(df: DataFrame, x: str, y: str, digit_bits: int = 4) -> DataFrame:
+def kendall_tau_b(df: DataFrame, x: str, y: str, digit_bits: int = 4, wide: bool | None = None) -> DataFrame:
     """Exact Kendall τ-b of two numeric columns, distributed.
 
     S = n0 − n1 − n2 + n3 − 2D, where n1/n2/n3 are tied pairs in x / y / both
@@ -253,7 +253,8 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, digit_bits: int = 4) -> DataFra
     digits × digits counts. All levels are one aggregate (with map-side
     combine) by those higher digits; whatever the data, no group holds more
     than one table. The driver sees one row per range partition. Counts are whole numbers
-    throughout, so ties are exact at any size. NULL and NaN rows are left
+    throughout, so ties are exact at any size: all pairs are counted in 64 bits where n(n−1) fits them, else in
+    38 decimal digits (``wide`` asks for those at any size). NULL and NaN rows are left
     out; tau is NULL where either column is constant or there are no rows.
     """
     from stratum.session import cut_lineage
@@ -291,10 +292,11 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, digit_bits: int = 4) -> DataFra
     sums_where = lambda sign: "array(" + ", ".join(f"coalesce(sum(CASE WHEN dy {sign} {k} THEN c END), 0L)" for k in range(size)) + ")"
     lines = rows.groupBy("a", "b", "nx", "ny", "dx").agg(F.expr(sums_where("=")).alias("own"), F.expr(sums_where(">")).alias("above"))
     table = lines.groupBy("a", "b", "nx", "ny").agg(F.array_sort(F.collect_list(F.struct("dx", "own", "above"))).alias("t")).where(F.size("t") > 1)
+    whole, factor = ("decimal(38,0)", "decimal(19,0)") if wide or int(n) * (int(n) - 1) >= 1 << 63 else ("bigint", "bigint")
     # line by line, every count against those of a smaller x digit and a larger y digit
-    fold = (f"aggregate(t, struct(cast(0 as decimal(38,0)) AS d, array_repeat(0L, {size}) AS above), (acc, l) -> struct("
-            "cast(acc.d + aggregate(zip_with(l.own, acc.above, (u, v) -> cast(u as decimal(19,0)) * cast(v as decimal(19,0))), "
-            "cast(0 as decimal(38,0)), (p, q) -> cast(p + q as decimal(38,0))) as decimal(38,0)) AS d, "
+    fold = (f"aggregate(t, struct(cast(0 as {whole}) AS d, array_repeat(0L, {size}) AS above), (acc, l) -> struct("
+            f"cast(acc.d + aggregate(zip_with(l.own, acc.above, (u, v) -> cast(u as {factor}) * cast(v as {factor})), "
+            f"cast(0 as {whole}), (p, q) -> cast(p + q as {whole})) as {whole}) AS d, "
             "zip_with(acc.above, l.above, (u, v) -> u + v) AS above), acc -> acc.d)")
     discordant = table.agg(F.expr(f"coalesce(sum({fold}), 0)").alias("d"))
     n, n3, d = int(n), int(n3), int(discordant.first()[0])

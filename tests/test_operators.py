@@ -396,6 +396,9 @@ def test_density_of_constant_single_and_no_values(spark):
 
 
 def test_kendall_few_cells(spark):
+    rnd = random.Random(8)
+    many = spark.createDataFrame([(rnd.randint(0, 40), rnd.randint(0, 30)) for _ in range(400)], "x int, y int")
+    assert P.kendall_tau_b(many, "x", "y").first() == P.kendall_tau_b(many, "x", "y", wide=True).first()
     assert P.kendall_tau_b(spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "x int, y int"), "x", "y").first()[0] == 1.0
     assert P.kendall_tau_b(spark.createDataFrame([(1, 1)] * 9, "x int, y int"), "x", "y").first()[0] is None
     assert P.kendall_tau_b(spark.createDataFrame([], "x int, y int"), "x", "y").first()["n"] == 0
