@@ -35,11 +35,20 @@ def scaled(df: DataFrame, features: str = "features", out: str = "scaled", with_
     return model.transform(df)
 
 
+def _for_kmeans(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns as materialised rows. KMeans zips its input with norms of the same input, so each task runs the input's plan
+    twice at once, and the sorts of a sort-merge join in it, which the two runs share, are freed by whichever run ends first."""
+    from stratum.session import cut_lineage
+
+    return cut_lineage(df.select(*columns))
+
+
 def kmeans_sweep(df: DataFrame, ks: Sequence[int], features: str = "scaled", max_iter: int = 40, tol: float = 1e-5,
                  seed: int = 42) -> DataFrame:
     """Cost per row for each k (within-cluster sum of squares / n)."""
     from pyspark.ml.clustering import KMeans
 
+    df = _for_kmeans(df, features)
     n = df.count()
     rows = []
     for k in ks:
@@ -55,6 +64,7 @@ def kmeans_entropy_sweep(df: DataFrame, ks: Sequence[int], label: str, features:
 
     from stratum.operators.aggregates import cluster_entropy
 
+    df = _for_kmeans(df, features, label)
     rows = []
     for k in ks:
         m = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed, featuresCol=features).fit(df)

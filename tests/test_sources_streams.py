@@ -5,6 +5,7 @@ import os
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from stratum.operators import ml as ML
@@ -86,3 +87,15 @@ def test_delimited_fields_that_are_not_of_their_type(spark, tmp_path):
         ("2020-01-02", "fanbelt, worn", 12), ("None", "ok", 7), ("None", None, None), ("2020-03-04", "short", None)]
     (tmp_path / "none").mkdir()
     assert RD.read_delimited_typed(spark, str(tmp_path / "none"), {"date": "date"}).count() == 0
+
+
+def test_kmeans_sweeps_over_a_sort_merge_join(spark):
+    """An aggregate on top of a sort-merge join, as the planner takes for tables too large to broadcast."""
+    base = spark.range(400).select("id", (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 3).alias("label"))
+    more = spark.range(1200).select((F.col("id") % 400).alias("id"), F.col("id").cast("double").alias("v"))
+    joined = base.join(more.hint("merge"), "id", "left").groupBy("id", "x", "label").agg(F.sum("v").alias("y"))
+    df = joined.withColumn("scaled", array_to_vector(F.array("x", "y")))
+    got = ML.kmeans_entropy_sweep(df, [2, 3], "label").collect()
+    assert [r.k for r in got] == [2, 3] and got[0].cost_per_row > got[1].cost_per_row > 0
+    again = {r.k: r.cost_per_row for r in ML.kmeans_sweep(df, [2, 3]).collect()}
+    assert all(abs(again[r.k] - r.cost_per_row) < 1e-6 * r.cost_per_row for r in got)
