@@ -140,10 +140,11 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
     A candidate must first pass a bound on scalars: coordinates i fall into ``classes`` classes i mod classes (for season
     vectors of six scores a class is one score), the classes' indicators are orthogonal, so by Bessel's inequality the
     squared gaps of the normalised class sums add up to at most RMS²; for vectors no longer than ``classes`` it is the
-    distance itself. Only keys and class sums are replicated and shuffled, dense cells are salted on both sides (each task
-    compares at most about ``hot_cell_rows``² pairs), and vectors are joined back to the survivors. One plan
-    at every size. The radius bounds the result: pairs further apart are not reported. Rows with an empty vector or a NULL in the
-    vector, the level or the entity match nothing.
+    distance itself. Rows travel with their vectors, so that no pair is ever shuffled or stored before it is a result: what
+    is written to disk is the rows, each copied to its cells, however many pairs there are. Dense cells are salted
+    on both sides (each task compares at most about ``hot_cell_rows``² pairs). One plan at every size. The radius bounds
+    the result: pairs further apart are not reported. Rows with an empty vector or a NULL in the vector, the level or the
+    entity match nothing.
     """
     from stratum.session import cut_lineage, stored
 
@@ -173,11 +174,11 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
     # the lower of the two cells within reach per projection, and the row's own choice among them as bits, first projection highest
     lows = [F.floor((F.col(p) - reach) / (2 * reach)).cast("long") for p in projs]
     own = sum((F.when(F.col(c) > low, 1 << (projections - 1 - k)).otherwise(0) for k, (c, low) in enumerate(zip(cells, lows))), F.lit(0))
-    left = base.select(entity, level, *sums, *[low.alias(c) for c, low in zip(cells, lows)], own.alias("_own"))
+    left = base.select(entity, level, F.col("year").alias("_ya"), F.col(vec).alias("_va"), *sums, *[low.alias(c) for c, low in zip(cells, lows)], own.alias("_own"))
     left = left.withColumn("_to", F.explode(F.sequence("_own", F.lit((1 << projections) - 1))))
-    left = left.select(entity, level, *sums, (F.col("_to") == F.col("_own")).alias("_home"),
+    left = left.select(entity, level, "_ya", "_va", *sums, (F.col("_to") == F.col("_own")).alias("_home"),
                        *[(F.col(c) + F.shiftright("_to", projections - 1 - k).bitwiseAND(F.lit(1))).alias(c) for k, c in enumerate(cells)])
-    right = base.select(F.col(entity).alias(other), level, *[F.col(u).alias(f"{u}b") for u in sums], *cells)
+    right = base.select(F.col(entity).alias(other), level, F.col("year").alias("_yb"), F.col(vec).alias("_vb"), *[F.col(u).alias(f"{u}b") for u in sums], *cells)
     # dense cells: two-sided salting so no task compares more than about hot_cell_rows² pairs.
     # A cell with n rows gets S = ceil(n / hot_cell_rows) sub-blocks per side; a left row keeps
     # its own sub-block and is copied to every right sub-block and vice versa, so each pair
@@ -192,14 +193,13 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
     right = right.join(hot, [level, *cells], "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
     right = (right.withColumn("_sb", F.pmod(F.xxhash64(other), F.col("_s")).cast("int"))
                   .withColumn("_sa", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_s"))
-    cand = left.join(right, [level, *cells, "_sa", "_sb"])
-    cand = cand.where(F.when(F.col("_home"), F.col(entity) < F.col(other)).otherwise(F.col(entity) != F.col(other)))
     gap = sum(((F.col(u) - F.col(f"{u}b")) * (F.col(u) - F.col(f"{u}b")) for u in sums), F.lit(0.0))
-    cand = cand.where(gap <= reach * reach).select(entity, level, other)
-    va = base.select(entity, level, F.col("year").alias("_ya"), F.col(vec).alias("_va"))
-    vb = base.select(F.col(entity).alias(other), level, F.col("year").alias("_yb"), F.col(vec).alias("_vb"))
-    pairs = cand.join(va, [entity, level]).join(vb, [other, level])
-    pairs = pairs.withColumn("similarity_score", rms_distance("_va", "_vb")).where(F.col("similarity_score") <= radius)
+    cand = left.join(right, [level, *cells, "_sa", "_sb"]).where(gap <= reach * reach)
+    cand = cand.where(F.when(F.col("_home"), F.col(entity) < F.col(other)).otherwise(F.col(entity) != F.col(other)))
+    cand = cand.withColumn("similarity_score", rms_distance("_va", "_vb"))
+    # not deterministic for the optimiser, which therefore leaves it above the join: inside, the distance of vectors, which has
+    # no compiled form, would make the join's bound on scalars interpreted too
+    pairs = cand.where(F.when(F.monotonically_increasing_id() >= 0, F.col("similarity_score") <= radius))
 
     def side(year, a, b):
         return F.struct(F.col(year).alias("year"), F.col(a).alias(entity), F.col(b).alias(other))

@@ -402,3 +402,12 @@ def test_kendall_few_cells(spark):
     assert P.kendall_tau_b(spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "x int, y int"), "x", "y").first()[0] == 1.0
     assert P.kendall_tau_b(spark.createDataFrame([(1, 1)] * 9, "x int, y int"), "x", "y").first()[0] is None
     assert P.kendall_tau_b(spark.createDataFrame([], "x int, y int"), "x", "y").first()["n"] == 0
+
+
+def test_similarity_stores_no_pairs(spark):
+    """Two lookups of dense cells and the join of the two sides: what pairs that join makes are not joined, so not shuffled, again."""
+    df = spark.createDataFrame([(f"p{i}", 0, 2000, [0.01 * i] * 6) for i in range(30)], "name string, experience int, year int, vec array<double>")
+    out = SN.similar_within_radius(df, 0.035)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 3
+    assert out.count() == 2 * (29 + 28 + 27)
