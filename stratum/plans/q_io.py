@@ -125,8 +125,16 @@ def external_csv_table(spark, sf):
     return t.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n"), F.min("n_name").alias("first_name"))
 
 
+#: Columns of a VCF line that are put together at a time.
+VCF_PIECE = 256
+
+
 def _vcf_lines(spark, sf):
-    """Genotype view rendered as VCF text (header + one line per variant); the columns are the samples in order."""
+    """Genotype view rendered as VCF text (header + one line per variant); the columns are the samples in order.
+
+    A line is as wide as there are samples, so it is put together from pieces of ``VCF_PIECE`` columns: only the text of a
+    line meets in one group, never its calls one by one.
+    """
     from stratum.operators.profile import value_ranks
 
     g = view(spark, sf, "genotypes")
@@ -135,19 +143,28 @@ def _vcf_lines(spark, sf):
                     F.lit(":"), F.col("gq").cast("string"), F.lit(":"),
                     F.concat_ws(",", F.col("ad_ref").cast("string"), F.col("ad_alt").cast("string")))
     samples = value_ranks(g.select(F.lit(0).alias("_g"), "sample_id").distinct(), ["_g"], "sample_id").select("sample_id", F.col("first").alias("sidx"))
-    samples = cut_lineage(samples)
+    samples = cut_lineage(samples.select("sample_id", F.floor(F.col("sidx") / VCF_PIECE).cast("int").alias("_p"), (F.col("sidx") % VCF_PIECE).cast("int").alias("_i")))
+
+    def row_of(pieces, *keys):
+        """Per key the texts of its pieces, in order."""
+        sorted_ = F.array_sort(F.collect_list(F.struct("_p", "_text")))
+        return pieces.groupBy(*keys).agg(F.array_join(F.transform(sorted_, lambda x: x["_text"]), "\t").alias("_row"))
+
     # every sample has a column on every line, also those without a row for the variant
-    columns = samples.groupBy(F.lit(0).alias("_g")).agg(F.array_sort(F.collect_list(F.struct("sidx", "sample_id"))).alias("_s"))
-    every = g.select("variant_id", "contig", "pos").distinct().withColumn("_g", F.lit(0)).join(F.broadcast(columns), "_g")  # one row, as wide as a line
-    calls = g.join(samples, "sample_id").groupBy("variant_id").agg(F.map_from_entries(F.collect_list(F.struct("sidx", call))).alias("_c"))
-    per = every.join(calls, "variant_id").select("contig", "pos", F.transform("_s", lambda x: F.coalesce(
-        F.try_element_at("_c", x["sidx"]), F.lit("."))).alias("calls"))
+    calls = g.join(samples, "sample_id").groupBy("variant_id", "_p").agg(F.map_from_entries(F.collect_list(F.struct("_i", call))).alias("_c"))
+    calls = cut_lineage(calls)
+    every = g.select("variant_id", "contig", "pos").distinct().join(calls.select("variant_id"), "variant_id", "left_semi")
+    columns = samples.groupBy("_p").agg(F.count(F.lit(1)).cast("int").alias("_w"))
+    cells = every.crossJoin(F.broadcast(columns)).join(calls, ["variant_id", "_p"], "left")  # one row of two numbers a piece
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.col("_w") - 1), lambda i: F.coalesce(F.try_element_at("_c", i), F.lit("."))), "\t")
+    per = row_of(cells.select("variant_id", "contig", "pos", "_p", text.alias("_text")), "variant_id", "contig", "pos")
     body = per.select(F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), F.lit("A"), F.lit("G"),
-                                  F.lit("."), F.lit("PASS"), F.lit("."), F.lit("GT:GQ:AD"), F.array_join("calls", "\t")).alias("value"))
+                                  F.lit("."), F.lit("PASS"), F.lit("."), F.lit("GT:GQ:AD"), "_row").alias("value"))
     fixed = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"])
-    names = samples.groupBy().agg(F.array_sort(F.collect_list(F.struct("sidx", "sample_id"))).alias("_s"))
-    header = names.select(F.explode(F.array(F.lit("##fileformat=VCFv4.2"), F.concat_ws("\t", F.lit(fixed), F.transform(
-        "_s", lambda x: x["sample_id"].cast("string"))))).alias("value"))
+    names = samples.groupBy("_p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", "sample_id"))), lambda x: x["sample_id"].cast("string")),
+                                                   "\t").alias("_text"))
+    header = row_of(names).select(F.explode(F.array(F.lit("##fileformat=VCFv4.2"), F.concat_ws(
+        "\t", F.lit(fixed), F.when(F.col("_row") != "", F.col("_row"))))).alias("value"))
     return header.unionByName(body)
 
 

@@ -93,32 +93,40 @@ def read_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     array<int>, gq, ad array<int>. ``alt`` is the list as written, so the key
     is the record's own text, not a hash of it. The text reader splits plain
     files at block boundaries; a line takes the header of its own file, or,
-    where a file has none (part files), that of its folder, by equi-joins: a
-    header is as wide as one line and never on the driver. Without a header
-    sample_id is NULL.
+    where a file has none (part files), that of its folder. Only the list of
+    the files with a header, shorter than the file listing, is broadcast to
+    find which; the names themselves are joined to the calls one by one, by
+    header and column, so that no call carries a line's names along. Without a
+    header sample_id is NULL.
     """
+    from stratum.session import cut_lineage
+
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
     lines = lines.withColumn("_folder", F.regexp_extract("_file", "^(.*)/[^/]*$", 1))
     named = lines.where(F.col("value").startswith("#CHROM")).select("_file", "_folder", F.slice(F.split("value", "\t"), 10, 1 << 30).alias("_names"))
-    own = named.groupBy("_file").agg(F.max("_names").alias("_own"))
-    shared = named.groupBy("_folder").agg(F.max_by("_names", "_file").alias("_shared"))
-    f = F.split("value", "\t")
+    heads = named.groupBy("_file", "_folder").agg(F.max("_names").alias("_names"))
+    heads = cut_lineage(heads.withColumn("_head", F.monotonically_increasing_id()))
+    names = heads.select("_head", F.posexplode("_names").alias("sample_index", "sample_id"))
+    own = heads.select("_file", F.col("_head").alias("_own"))
+    shared = heads.groupBy("_folder").agg(F.max_by("_head", "_file").alias("_shared"))
+    f = F.split("value", "\t", 10)  # the tenth part holds all calls
     body = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).select(
         f[0].alias("contig"), f[1].cast("long").alias("pos"), f[3].alias("ref"), f[4].alias("alt"), F.split(f[8], ":").alias("fmt"),
-        F.slice(f, 10, 1 << 30).alias("calls"), "_file", "_folder")
+        F.split(F.get(f, F.lit(9)), "\t").alias("calls"), "_file", "_folder")
     key = ["contig", "pos", "ref", "alt"]
     variants = body.select(*key, F.split("alt", ",").alias("alts"))
-    g = body.join(own, "_file", "left").join(shared, "_folder", "left")
-    g = g.select(*key, "fmt", F.coalesce("_own", "_shared").alias("_names"), F.posexplode("calls").alias("sample_index", "call"))
+    g = body.join(F.broadcast(own), "_file", "left").join(F.broadcast(shared), "_folder", "left")
+    g = g.select(*key, "fmt", F.coalesce("_own", "_shared").alias("_head"), F.posexplode("calls").alias("sample_index", "call"))
     g = g.withColumn("_v", F.split("call", ":"))
     kv = F.map_from_arrays(F.slice("fmt", F.lit(1), F.size("_v")), F.col("_v"))  # fields at the end of a call may be left out
     gt = F.element_at(kv, "GT")
     alleles = F.transform(F.split(F.regexp_replace(gt, "\\|", "/"), "/"), lambda a: a.try_cast("int"))
-    g = g.select(*key, "sample_index", F.get("_names", F.col("sample_index")).alias("sample_id"),
+    g = g.select(*key, "_head", "sample_index",
                  F.when(~gt.contains("."), alleles).alias("alleles"),
                  F.element_at(kv, "GQ").try_cast("int").alias("gq"),
                  F.transform(F.split(F.element_at(kv, "AD"), ","), lambda a: a.try_cast("int")).alias("ad"))
-    return variants, g
+    g = g.join(names, ["_head", "sample_index"], "left")
+    return variants, g.select(*key, "sample_index", "sample_id", "alleles", "gq", "ad")
 
 
 def polynomial_table(spark: SparkSession, n: int, seed: int = 42, lo: float = -2.0, hi: float = 4.0,

@@ -99,3 +99,24 @@ def test_kmeans_sweeps_over_a_sort_merge_join(spark):
     assert [r.k for r in got] == [2, 3] and got[0].cost_per_row > got[1].cost_per_row > 0
     again = {r.k: r.cost_per_row for r in ML.kmeans_sweep(df, [2, 3]).collect()}
     assert all(abs(again[r.k] - r.cost_per_row) < 1e-6 * r.cost_per_row for r in got)
+
+
+def test_vcf_lines_wider_than_a_piece(spark, tmp_path):
+    """Samples of three pieces, one of them missing from a variant: each line has a column per sample, and no call carries the names."""
+    from stratum.plans import q_io
+    from stratum.plans.views import view
+
+    n = 2 * q_io.VCF_PIECE + 10
+    rows = [(o, v, s, 1 + (s + v) % 3, float(1 + (s * 7 + v) % 49)) for o, (v, s) in enumerate((v, s) for v in range(1, 4) for s in range(n) if v > 1 or s >= n // 2)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    text = [r.value.split("\t") for r in q_io._vcf_lines(spark, str(tmp_path)).collect()]
+    head = next(t for t in text if t[0] == "#CHROM")
+    lines = {t[0]: t[9:] for t in text if not t[0].startswith("#")}
+    assert head[9:] == [str(s) for s in range(n)] and set(lines) == {"1", "2", "3"} and all(len(c) == n for c in lines.values())
+    assert lines["1"][:n // 2] == ["."] * (n // 2) and [c.split(":")[0] for c in lines["2"][300:302]] == ["0/0", "0/1"]
+    want = view(spark, str(tmp_path), "genotypes").where("gt is not null").groupBy("contig", "sample_id").agg(
+        F.count("gt").alias("n_called"), F.sum("gt").alias("alt_alleles"), F.sum("gq").alias("sum_gq"))
+    assert sorted(map(tuple, q_io.vcf_import(spark, str(tmp_path)).collect())) == sorted(map(tuple, want.collect()))
+    (tmp_path / "a.vcf").write_text(f"{HEAD}\tNA1\tNA2\n1\t100\t.\tA\tG\t.\tPASS\t.\tGT\t0/1\t./.\n")
+    plan = RD.read_vcf(spark, str(tmp_path / "a.vcf"))[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "sample_index" in next(line for line in plan.split("\n") if "Join LeftOuter" in line)
