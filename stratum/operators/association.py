@@ -156,7 +156,8 @@ def logistic_fits(df: DataFrame, samples: DataFrame, y: str, covariates: Sequenc
         likely = F.col("_y") * e - F.greatest(e, F.lit(0.0)) - F.log1p(F.exp(-F.abs(e)))
         sums = F.array(F.count("*").cast("double"), F.max(F.abs(e)), F.sum(likely), *[F.sum(v * (F.col("_y") - fitted)) for v in x],
                        *[F.sum(w * x[i] * x[k]) for i in range(p) for k in range(i, p)])
-        made = j.groupBy(group).agg(F.first("b").alias("b"), F.first("before").alias("before"), F.first("ll").alias("ll"), sums.alias("s"))
+        # sums alone keep to a hash aggregate: a first() of a list would sort all rows in every step
+        made = j.groupBy(group).agg(sums.alias("s")).join(state.select(group, "b", "before", "ll"), group).select(group, "b", "before", "ll", "s")
         state = cut_lineage(made.mapInArrow(run, schema).unionByName(state.where("status <> 'open'")))
         if state.where("status = 'open'").limit(1).count() == 0:
             break

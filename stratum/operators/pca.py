@@ -135,12 +135,18 @@ def _map_lists(df: DataFrame, columns: dict, key: str = "_r") -> DataFrame:
     return df.mapInArrow(run, f"{key} {kind}, " + ", ".join(f"{n} array<double>" for n in columns))
 
 
+#: Numbers in the lists of one Lanczos step up to which they are broadcast (8 MB).
+FEW_NUMBERS = 1_000_000
+
+
 def lanczos_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, block: int | None = None, tol: float = 1e-9,
                 most: int = 400, seed: int = 42) -> tuple[DataFrame, list[float]]:
     """Top-``k`` left singular vectors of X (rows x cols, long form) scaled by singular values, to a residual bound.
 
-    Block Lanczos on A = X X': one list of basis entries per row, each step two join + aggregate passes over the long table
-    (kept placed by row and by column, so that only lists move) and full re-orthogonalisation against the basis. On the driver
+    Block Lanczos on the smaller of A = X X' and A = X'X, which have the same eigenvalues: with v a unit vector of X'X the
+    scores are X v. There is one list of basis entries per row of A, each step is two join + aggregate passes over the long
+    table (kept placed by both keys, so that only lists move; where the lists of a step are few, they are broadcast and one
+    placement serves both passes) and full re-orthogonalisation against the basis. On the driver
     there are only basis x block products. The residual |A u - l u| of every component follows from the last block's
     coupling; steps go on until all are below ``tol`` times the largest eigenvalue, or the space is exhausted, whose vectors
     are exact. Beyond ``most`` basis vectors the basis is restarted from its best vectors. There is no cap on the steps.
@@ -149,16 +155,26 @@ def lanczos_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, block
     are absent. An empty table gives an empty result.
     """
     z = x.select(F.col(row).alias("_r"), F.col(col).alias("_c"), F.col(value).cast("double").alias("_z")).where("_z <> 0")
-    by_row = cut_lineage(z.repartition("_r"))
-    by_col = cut_lineage(by_row.repartition("_c"))
+    placed = cut_lineage(z.repartition("_r"))
+    n_rows, n_cols = (placed.select(c).distinct().count() for c in ("_r", "_c"))
+    turned = n_cols < n_rows
+    if turned:  # from here on _r is the column and _c the row of X
+        by_col = placed.select(F.col("_c").alias("_r"), F.col("_r").alias("_c"), "_z")
+    else:
+        by_col = cut_lineage(placed.repartition("_c"))
     b = block or 2 * k + 4
+    few = min(n_rows, n_cols) * b <= FEW_NUMBERS
+    by_row = by_col if few else cut_lineage(by_col.repartition("_r")) if turned else placed
 
-    def times(q: DataFrame, name: str, width: int) -> DataFrame:  # A q
-        def one(side, lists, at, to):
-            sums = F.array(*[F.sum(F.col("_z") * F.col(name)[i]) for i in range(width)])
-            return side.join(lists, at).groupBy(to).agg(sums.alias(name))
+    def one(side, lists, at, to, name, width):
+        sums = F.array(*[F.sum(F.col("_z") * F.col(name)[i]) for i in range(width)])
+        return side.join(lists, at).groupBy(to).agg(sums.alias(name))
 
-        return one(by_col, one(by_row, q, "_r", "_c"), "_c", "_r")
+    def near(q: DataFrame) -> DataFrame:
+        return F.broadcast(q) if few else q
+
+    def times(q: DataFrame, name: str, width: int) -> DataFrame:  # A q
+        return one(by_col, one(by_row, near(q), "_r", "_c", name, width), "_c", "_r", name, width)
 
     def orthonormal(s: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
         """(m, c) with u m orthonormal and u = (u m) c, for u'u = s; directions of no length are left out."""
@@ -170,7 +186,7 @@ def lanczos_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, block
     start = F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda i: (F.xxhash64("_r", i, F.lit(seed)) % 100003) / 100003.0 - 0.5)
     v = cut_lineage(by_row.select("_r").distinct().select("_r", start.alias("v")))
     if v.limit(1).count() == 0:
-        return x.sparkSession.createDataFrame([], v.select(F.col("_r").alias(row)).schema.add("pc", "integer").add("score", "double")), []
+        return x.sparkSession.createDataFrame([], x.select(row).schema.add("pc", "integer").add("score", "double")), []
     m, _ = orthonormal(_products(v, "v", "v"), 0.0)
     if m.shape[1] < b:  # fewer rows than the block
         b = m.shape[1]
@@ -197,6 +213,8 @@ def lanczos_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, block
         theta, y = theta[order], y[:, order]
         m, coupling = orthonormal(s - more.T @ more, theta[0])
         left = np.linalg.norm(coupling @ y[cols, :k], axis=0) if m.shape[1] else np.zeros(min(k, len(theta)))
+        if turned:  # the residual of X v is at most sigma_1 / sigma times that of v
+            left = left * np.sqrt(theta[0] / np.where(theta[:k] > tol * theta[0], theta[:k], theta[0]))
         if not m.shape[1] or (len(theta) >= k and (left <= tol * theta[0]).all()):
             break
         keep = lambda at, m=m, more=more: (at["u"] - at["q"] @ more) @ m
@@ -209,7 +227,11 @@ def lanczos_pca(x: DataFrame, row: str, col: str, value: str, k: int = 10, block
         width = m.shape[1]
     real = theta[:k] > tol * theta[0]
     theta, y = theta[:k][real], y[:, :k][:, real]
-    scores = _map_lists(both.select("_r", "q"), {"s": lambda at: at["q"] @ (y * np.sqrt(theta))})
+    scale = np.ones(len(theta)) if turned else np.sqrt(theta)
+    scores = _map_lists(both.select("_r", "q"), {"s": lambda at: at["q"] @ (y * scale)})
+    if turned:
+        scores = one(by_row, near(scores), "_r", "_c", "s", len(theta)).select(F.col("_c").alias("_r"), F.when(
+            F.col("_c").isNotNull(), F.col("s")).otherwise(F.array_repeat(F.lit(0.0), len(theta))).alias("s"))
     scores = cut_lineage(scores.select("_r", F.posexplode("s").alias("pc", "v")))
     top = scores.groupBy("pc").agg(F.max_by("v", F.abs("v")).alias("_t"))
     return scores.join(top, "pc").select(F.col("_r").alias(row), "pc", (F.col("v") * F.sign("_t")).alias("score")), [float(t) for t in theta]

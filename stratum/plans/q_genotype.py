@@ -303,12 +303,12 @@ def assoc_logistic(spark, sf):
     return GT.logistic_wald(_g(spark, sf), _s(spark, sf), "purple_hair", "is_female")
 
 
-def _pca(spark, sf, k=5):
+def _pca(spark, sf, k=5, g=None):
     """Standardised genotypes of the variants on the interval list, and their first components per sample."""
     from stratum.operators.pca import lanczos_pca, standardized_genotypes
 
-    g = _g(spark, sf)
-    listed = interval_semi_join(g, _intervals(spark, sf), "contig", "pos", "start", "end", bin_size=10_000)
+    g = g if g is not None else _g(spark, sf)
+    listed = cut_lineage(interval_semi_join(g, _intervals(spark, sf), "contig", "pos", "start", "end", bin_size=10_000).select("variant_id", "sample_id", "gt"))
     z = cut_lineage(standardized_genotypes(listed))
     return z, *lanczos_pca(z, "sample_id", "variant_id", "z", k=k)
 
@@ -386,8 +386,8 @@ def assoc_linear_pcs(spark, sf):
     return GT.with_t_pvalue(fits.drop("coefficients"), k=6)
 
 
-def _with_pcs(spark, sf):
-    _, scores, _ = _pca(spark, sf, k=3)
+def _with_pcs(spark, sf, g=None):
+    _, scores, _ = _pca(spark, sf, k=3, g=g)
     wide = scores.groupBy("sample_id").pivot("pc", [0, 1, 2]).agg(F.first("score")).toDF("sample_id", "pc1", "pc2", "pc3")
     return _s(spark, sf).join(wide, "sample_id", "left").na.fill(0.0, ["pc1", "pc2", "pc3"]).withColumn("is_female", F.col("is_female").cast("double"))
 
@@ -402,8 +402,9 @@ def assoc_pcs_optimality(spark, sf):
     A fit that its own status calls singular or separated has no optimum; such a group counts as optimal only if a linear
     fit has no degree of freedom for it either.
     """
-    kept = cut_lineage(GT.filter_variants(_g(spark, sf), *_ASSOC_QC))
-    people = cut_lineage(_with_pcs(spark, sf).withColumn("purple_hair", F.col("purple_hair").cast("double")))
+    g = cut_lineage(_g(spark, sf).select("variant_id", "contig", "pos", "sample_id", "gt", "gq"))  # read by quality control and components
+    kept = cut_lineage(GT.filter_variants(g, *_ASSOC_QC))
+    people = cut_lineage(_with_pcs(spark, sf, g).withColumn("purple_hair", F.col("purple_hair").cast("double")))
     by = ["is_female", "pc1", "pc2", "pc3"]
     out = []
     for model, y, fit in (("linear", "caffeine", linear_fits), ("logistic", "purple_hair", logistic_fits)):

@@ -95,3 +95,23 @@ def test_rare_variants(spark):
     rows += [(3, "1", 7, i, 0, 30) for i in range(20)] + [(4, "1", 8, i, 2 if i else 1, 30) for i in range(20)]
     df = spark.createDataFrame(rows, "variant_id int, contig string, pos long, sample_id int, gt int, gq int")
     assert {r.variant_id for r in GT.rare_variants(df, 0.05).select("variant_id").distinct().collect()} == {1, 4}
+
+
+def test_lanczos_keeps_its_basis_on_the_smaller_side(spark, monkeypatch):
+    from stratum.operators import pca
+
+    rnd = np.random.default_rng(3)
+    a = rnd.normal(size=(90, 12))
+    df = spark.createDataFrame([(i, j, float(a[i, j])) for i in range(90) for j in range(12)] + [(None, 0, 1.0)], "r int, c int, v double")
+    sizes, plain = [], pca._map_lists
+    monkeypatch.setattr(pca, "_map_lists", lambda d, *args, **more: sizes.append(d.count()) or plain(d, *args, **more))
+    u, s, _ = np.linalg.svd(a, full_matrices=False)
+    for limit in (pca.FEW_NUMBERS, 0):  # lists broadcast, and joined
+        monkeypatch.setattr(pca, "FEW_NUMBERS", limit)
+        scores, lam = pca.lanczos_pca(df, "r", "c", "v", k=3)
+        assert sizes and max(sizes) == 12 and np.allclose(lam, s[:3] ** 2, rtol=1e-10)
+        found = {(r.r, r.pc): r.score for r in scores.collect()}
+        assert len(found) == 3 * 91 and all(abs(found[None, c]) < 1e-9 for c in range(3))
+        for c in range(3):
+            want = u[:, c] * s[c]
+            assert np.allclose([found[i, c] for i in range(90)], want * np.sign(want[np.abs(want).argmax()]), atol=1e-6)
