@@ -399,19 +399,21 @@ WHERE variant_id IN (SELECT variant_id FROM kept) GROUP BY model, variant_id""")
 def assoc_pcs_optimality(spark, sf):
     """Both association models with sex and PC1-3: do the score equations vanish at the returned coefficients, per variant?
 
-    A fit that its own status calls singular or separated has no optimum; such a group counts as optimal only if a linear
-    fit has no degree of freedom for it either.
+    Each variant that passes quality control has a row per model. A fit without coefficients (singular, separated, no degree of
+    freedom or no row to fit) has shown nothing: it is not optimal.
     """
     g = cut_lineage(_g(spark, sf).select("variant_id", "contig", "pos", "sample_id", "gt", "gq"))  # read by quality control and components
     kept = cut_lineage(GT.filter_variants(g, *_ASSOC_QC))
     people = cut_lineage(_with_pcs(spark, sf, g).withColumn("purple_hair", F.col("purple_hair").cast("double")))
+    tested = cut_lineage(kept.join(people.select("sample_id"), "sample_id", "left_semi").select("variant_id").distinct())
     by = ["is_female", "pc1", "pc2", "pc3"]
     out = []
     for model, y, fit in (("linear", "caffeine", linear_fits), ("logistic", "purple_hair", logistic_fits)):
         fits = cut_lineage(fit(kept, people, y, by))
         worst = normal_equations(kept, people, fits.where("coefficients is not null"), y, by, logistic=model == "logistic")
-        fine = F.coalesce(F.col("worst") < 1e-7, (F.col("n") <= 6) | F.col("coefficients").isNull())
-        out.append(fits.join(worst, "variant_id", "left").select(F.lit(model).alias("model"), "variant_id", "n", fine.alias("optimal")))
+        found = tested.join(fits, "variant_id", "left").join(worst, "variant_id", "left")
+        out.append(found.select(F.lit(model).alias("model"), "variant_id", F.coalesce("n", F.lit(0).cast("long")).alias("n"),
+                                F.coalesce(F.col("worst") < 1e-7, F.lit(False)).alias("optimal")))
     return out[0].unionByName(out[1])
 
 

@@ -115,3 +115,25 @@ def test_lanczos_keeps_its_basis_on_the_smaller_side(spark, monkeypatch):
         for c in range(3):
             want = u[:, c] * s[c]
             assert np.allclose([found[i, c] for i in range(90)], want * np.sign(want[np.abs(want).argmax()]), atol=1e-6)
+
+
+def test_fits_without_coefficients_are_not_optimal(spark, monkeypatch):
+    """A failed fit must not look like a verified one: constant genotypes (singular), genotypes that tell the outcome (separated), no fitted row."""
+    from stratum.plans import q_genotype as Q
+
+    rnd = np.random.default_rng(4)
+    n = 80
+    case = rnd.random(n) < 0.5
+    gt = {v: rnd.integers(0, 3, n) for v in range(1, 6)} | {6: np.ones(n), 7: np.where(case, 2, 0)}
+    rows = [(v, "1", v * 1000, i, int(x), 50) for v, col in gt.items() for i, x in enumerate(col)]
+    rows += [(8, "1", 8000, n + i, i % 3, 50) for i in range(6)]  # only samples without an outcome
+    people = [(i, float(i % 2), bool(case[i]), *map(float, rnd.normal(size=4))) for i in range(n)] + [(n + i, 1.0, None, None, 0.0, 0.0, 0.0) for i in range(6)]
+    g = spark.createDataFrame(rows, "variant_id int, contig string, pos int, sample_id int, gt int, gq int")
+    s = spark.createDataFrame(people, "sample_id int, is_female double, purple_hair boolean, caffeine double, pc1 double, pc2 double, pc3 double")
+    monkeypatch.setattr(Q, "_g", lambda spark, sf: g)
+    monkeypatch.setattr(Q, "_with_pcs", lambda spark, sf, g=None: s)
+    got = {(r.model, r.variant_id): (r.n, r.optimal) for r in Q.assoc_pcs_optimality(spark, None).collect()}
+    assert set(got) == {(m, v) for m in ("linear", "logistic") for v in range(1, 9)}
+    assert all(got[m, v] == (n, True) for m in ("linear", "logistic") for v in range(1, 6)) and got["linear", 7] == (n, True)
+    assert got["linear", 6] == got["logistic", 6] == got["logistic", 7] == (n, False)
+    assert got["linear", 8] == got["logistic", 8] == (0, False)
