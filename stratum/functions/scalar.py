@@ -68,6 +68,14 @@ def rms_distance(a, b) -> Column:
     return F.sqrt(squared_distance(a, b)) / F.sqrt(F.size(_c(a)).cast("double"))
 
 
+def rounded(c, digits: int) -> Column:
+    """``F.round`` of a double, by decimal arithmetic only near a tie or where the scaled value is too large to tell."""
+    x, scale = _c(c), float(10 ** digits)
+    scaled = x * scale
+    sure = (F.abs(scaled) < 2.0 ** 31) & (F.abs(scaled - F.floor(scaled) - 0.5) > 1e-6)
+    return F.when(sure, F.rint(scaled) / scale + 0.0).otherwise(F.round(x, digits))
+
+
 def array_sum(a) -> Column:
     return F.aggregate(_c(a), F.lit(0.0).cast("double"), lambda acc, v: acc + v)
 

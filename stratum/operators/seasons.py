@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.scalar import rms_distance
 from stratum.operators import clean, windows as W
 
 # Output score order (first-pass percentages weighted by attempts, then counting stats).
@@ -125,84 +124,82 @@ def cumulative_vectors(scored: DataFrame, entity: str = "name", order: str = "ye
 
 
 def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name", level: str = "experience",
-                          vec: str = "vec", projections: int = 4,
-                          hot_cell_rows: int = 20_000, classes: int = 6) -> DataFrame:
+                          vec: str = "vec", hot_cell_rows: int = 32_768, classes: int = 6) -> DataFrame:
     """Ordered pairs of distinct entities at the same level with RMS distance ≤ ``radius``.
 
-    Exact, without comparing all pairs: for any ±1 pattern h of the vector
-    length L, u = h/√L is a unit vector, so by Cauchy–Schwarz
-    |h·a/L − h·b/L| ≤ ‖a−b‖/√L = RMS(a−b) ≤ r. The first ``projections`` Walsh
-    patterns (all +1, then signs from bits of the index) give k projections;
-    rows are blocked on a grid of width 2r over them, so whatever lies within r of a row is in one of two cells per
-    projection, its own among them. A row is copied to those of its 2^k cells that do not come before its own
-    (about half) and equi-joined with the rows of those cells: each unordered pair meets once, in the later of its
-    two cells, or by the entities' order where both are in one cell, and is mirrored after the exact distance.
-    A candidate must first pass a bound on scalars: coordinates i fall into ``classes`` classes i mod classes (for season
-    vectors of six scores a class is one score), the classes' indicators are orthogonal, so by Bessel's inequality the
-    squared gaps of the normalised class sums add up to at most RMS²; for vectors no longer than ``classes`` it is the
-    distance itself. Rows travel with their vectors, so that no pair is ever shuffled or stored before it is a result: what
-    is written to disk is the rows, each copied to its cells, however many pairs there are. Dense cells are salted
-    on both sides (each task compares at most about ``hot_cell_rows``² pairs). One plan at every size. The radius bounds
-    the result: pairs further apart are not reported. Rows with an empty vector or a NULL in the vector, the level or the
-    entity match nothing.
+    Exact. Coordinates i fall into ``classes`` classes i mod classes (for season vectors of six scores a class is one score); the
+    classes' indicators are orthogonal, so by Bessel's inequality the squared gaps of the normalised class sums, and that of the
+    lengths of what the sums leave over, add up to at most RMS². Rows of a level are sorted along the direction in which their
+    class sums vary most and cut into blocks of at most ``hot_cell_rows`` rows, each one row with its bounds in these
+    directions. Blocks whose bounds are further apart than the radius never meet; of the others each unordered pair of blocks
+    meets once, in a task that compares leaves of close rows with the rows near their bounds, as matrix products in single
+    precision with all rounding on the side of the candidates, and decides by the exact distance (``radius.comparer``). Both
+    directions of a pair are results. What is shuffled is blocks, no pair before or after it is a result; a task holds two
+    blocks and the products of some rows with a leaf. The work, and possibly the result, still grows with the square of the rows.
+    The radius bounds the result: pairs further apart are not reported. Vectors of different lengths, rows with an empty vector or
+    a NULL, NaN or infinite value in it, and rows without a level or an entity match nothing.
     """
-    from stratum.session import cut_lineage, stored
+    from stratum.operators.radius import comparer, packer
+    from stratum.session import cut_lineage
 
     n = F.size(vec).cast("double")
-    reach = radius * (1 + 1e-9)  # the bound holds for real numbers: leave room for rounding
-
-    def walsh(k):
-        if k == 0:
-            return F.aggregate(vec, F.lit(0.0), lambda a, x: a + x) / n
-        bit = 1 << (k - 1)
-        signed = F.transform(vec, lambda x, i: F.when(F.floor(i / bit) % 2 == 0, x).otherwise(-x))
-        return F.aggregate(signed, F.lit(0.0), lambda a, x: a + x) / n
 
     def class_sum(j):
         size = F.floor((F.size(vec) + (classes - 1 - j)) / classes)
         total = F.aggregate(F.filter(vec, lambda x, i: i % classes == j), F.lit(0.0), lambda a, x: a + x)
         return F.when(size > 0, total / F.sqrt(size * n)).otherwise(0.0)
 
-    cells = [f"_c{k}" for k in range(projections)]
     sums = [f"_u{j}" for j in range(classes)]
-    projs = [f"_p{k}" for k in range(projections)]
-    base = (vectors.where((F.size(vec) > 0) & F.forall(vec, lambda x: x.isNotNull()))
-            .select(entity, level, "year", vec, *[walsh(k).alias(p) for k, p in enumerate(projs)],
-                    *[class_sum(j).alias(u) for j, u in enumerate(sums)]))
-    base = cut_lineage(base.select("*", *[F.floor(F.col(p) / (2 * reach)).cast("long").alias(c) for p, c in zip(projs, cells)]))
+    finite = F.size(vec).__gt__(0) & F.forall(vec, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+    base = cut_lineage(vectors.where(finite & F.col(entity).isNotNull() & F.col(level).isNotNull())
+                       .select(level, entity, "year", F.xxhash64(entity).alias("_number"), vec, F.size(vec).alias("_len"),
+                               *[class_sum(j).alias(u) for j, u in enumerate(sums)]))
+    group = [level, "_len"]
+    spread = base.groupBy(*group).agg(*[F.covar_pop(a, b).alias(f"_v{i}_{j}") for i, a in enumerate(sums) for j, b in enumerate(sums) if i <= j])
+    along = spread.select(*group, F.array(*[F.col(f"_v{min(i, j)}_{max(i, j)}") for i in range(classes) for j in range(classes)]).alias("_along"))
+    kind = along.schema[level].dataType.simpleString()
+    along = along.mapInArrow(_widest(classes), f"{level} {kind}, _len int, _along array<double>")
+    place = sum((F.col(u) * F.col("_along")[j] for j, u in enumerate(sums)), F.lit(0.0))
+    placed = base.join(along, group).select(level, entity, "year", "_number", vec, "_len", place.alias("_place"))
+    placed = placed.repartitionByRange(level, "_len", "_place", "_number").sortWithinPartitions(level, "_len", "_place", "_number")
+    packed = placed.select(level, entity, "year", "_number", F.col(vec).cast("array<double>")).mapInArrow(
+        packer(classes, hot_cell_rows), f"{level} {kind}, _len int, _lo array<double>, _hi array<double>, _rows binary")
+    blocks = cut_lineage(packed.withColumn("_block", F.monotonically_increasing_id()))  # once: the numbers are kept
+    parts = max(1, min(4 * blocks.count(), 20_000))  # tasks by the blocks there are, whose bytes say little of the work in them
+
+    edges = blocks.select(level, "_len", "_block", "_lo", "_hi")
+    a, b = (edges.select(level, "_len", *[F.col(c).alias(f"{c}_{s}") for c in ("_block", "_lo", "_hi")]) for s in "ab")
+    gaps = F.zip_with(F.zip_with("_lo_a", "_hi_b", lambda x, y: x - y), F.zip_with("_lo_b", "_hi_a", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0)))
+    apart = F.aggregate(gaps, F.lit(0.0), lambda t, x: t + x * x)
+    reach = radius * (1 + 1e-9)  # the bound holds for real numbers: leave room for rounding
+    # each unordered pair once, and about as often in one order as in the other, so that the tasks of all blocks get their share
+    once = (F.col("_block_a") == F.col("_block_b")) | ((F.col("_block_a") < F.col("_block_b")) == ((F.col("_block_a") + F.col("_block_b")) % 2 == 0))
+    met = a.join(b, group).where(once & (F.col("_block_a") != F.col("_block_b")) & (apart <= reach * reach) | (F.col("_block_a") == F.col("_block_b")))
+    met = met.select(level, "_len", "_block_a", "_block_b")
+
+    def side(s):
+        return blocks.select(F.col("_block").alias(f"_block_{s}"), F.col("_rows").alias(f"_rows_{s}")).repartition(parts, f"_block_{s}").hint("merge")
+
+    met = met.repartition(parts, "_block_a").join(side("a"), "_block_a")
+    met = met.repartition(parts, "_block_b").join(side("b"), "_block_b")
     other = "similar_" + entity
-    # the lower of the two cells within reach per projection, and the row's own choice among them as bits, first projection highest
-    lows = [F.floor((F.col(p) - reach) / (2 * reach)).cast("long") for p in projs]
-    own = sum((F.when(F.col(c) > low, 1 << (projections - 1 - k)).otherwise(0) for k, (c, low) in enumerate(zip(cells, lows))), F.lit(0))
-    left = base.select(entity, level, F.col("year").alias("_ya"), F.col(vec).alias("_va"), *sums, *[low.alias(c) for c, low in zip(cells, lows)], own.alias("_own"))
-    left = left.withColumn("_to", F.explode(F.sequence("_own", F.lit((1 << projections) - 1))))
-    left = left.select(entity, level, "_ya", "_va", *sums, (F.col("_to") == F.col("_own")).alias("_home"),
-                       *[(F.col(c) + F.shiftright("_to", projections - 1 - k).bitwiseAND(F.lit(1))).alias(c) for k, c in enumerate(cells)])
-    right = base.select(F.col(entity).alias(other), level, F.col("year").alias("_yb"), F.col(vec).alias("_vb"), *[F.col(u).alias(f"{u}b") for u in sums], *cells)
-    # dense cells: two-sided salting so no task compares more than about hot_cell_rows² pairs.
-    # A cell with n rows gets S = ceil(n / hot_cell_rows) sub-blocks per side; a left row keeps
-    # its own sub-block and is copied to every right sub-block and vice versa, so each pair
-    # still meets exactly once. The list of hot cells (at most rows / hot_cell_rows) is a written table: its measured
-    # size decides whether it is broadcast, and then the copies are shuffled once, for the pairs alone.
-    counts = base.groupBy(level, *cells).agg(F.count(F.lit(1)).alias("_n"))
-    hot = stored(counts.where(F.col("_n") > hot_cell_rows).select(
-        level, *cells, F.ceil(F.col("_n") / hot_cell_rows).cast("int").alias("_s")), "similar")
-    left = left.join(hot, [level, *cells], "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
-    left = (left.withColumn("_sa", F.pmod(F.xxhash64(entity), F.col("_s")).cast("int"))
-                .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_s"))
-    right = right.join(hot, [level, *cells], "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
-    right = (right.withColumn("_sb", F.pmod(F.xxhash64(other), F.col("_s")).cast("int"))
-                  .withColumn("_sa", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_s"))
-    gap = sum(((F.col(u) - F.col(f"{u}b")) * (F.col(u) - F.col(f"{u}b")) for u in sums), F.lit(0.0))
-    cand = left.join(right, [level, *cells, "_sa", "_sb"]).where(gap <= reach * reach)
-    cand = cand.where(F.when(F.col("_home"), F.col(entity) < F.col(other)).otherwise(F.col(entity) != F.col(other)))
-    cand = cand.withColumn("similarity_score", rms_distance("_va", "_vb"))
-    # not deterministic for the optimiser, which therefore leaves it above the join: inside, the distance of vectors, which has
-    # no compiled form, would make the join's bound on scalars interpreted too
-    pairs = cand.where(F.when(F.monotonically_increasing_id() >= 0, F.col("similarity_score") <= radius))
-
-    def side(year, a, b):
-        return F.struct(F.col(year).alias("year"), F.col(a).alias(entity), F.col(b).alias(other))
-
-    both = F.explode(F.array(side("_ya", entity, other), side("_yb", other, entity)))
-    return pairs.select(level, both.alias("_pair"), "similarity_score").select(level, "_pair.*", "similarity_score")
+    types = {f.name: f.dataType.simpleString() for f in base.schema}
+    return met.select(level, "_len", (F.col("_block_a") == F.col("_block_b")).alias("_same"), "_rows_a", "_rows_b").mapInArrow(
+        comparer(radius, classes, [level, "year", entity, other, "similarity_score"]),
+        f"{level} {kind}, year {types['year']}, {entity} {types[entity]}, {other} {types[entity]}, similarity_score double")
+
+
+def _widest(classes: int):
+    """mapInArrow step: the leading eigenvector of each group's matrix of covariances."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for m in batch.column(2).to_pylist():
+                m = np.array(m, float).reshape(classes, classes)
+                found.append(np.linalg.eigh(m)[1][:, -1].tolist() if np.isfinite(m).all() else [1.0] + [0.0] * (classes - 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=batch.schema.names)
+
+    return run

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stratum.functions.scalar import rounded
 from stratum.operators import aggregates as A
 from stratum.operators import seasons as SN
 from stratum.operators import windows as W
@@ -178,7 +179,7 @@ def similar_entities(spark, sf):
     s = SN.exclude_first_year(_scored(spark, sf))
     v = SN.cumulative_vectors(s)
     out = SN.similar_within_radius(v, SIMILARITY_RADIUS)
-    return out.select("experience", "year", "name", "similar_name", R(F.col("similarity_score")).alias("similarity_score"))
+    return out.select("experience", "year", "name", "similar_name", rounded("similarity_score", 8).alias("similarity_score"))
 
 
 _RAW9 = ["tp", "trb", "ast", "stl", "blk", "pts", "tov"]

@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stratum.operators import aggregates as A
@@ -411,3 +412,88 @@ def test_similarity_stores_no_pairs(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") == 3
     assert out.count() == 2 * (29 + 28 + 27)
+
+
+@pytest.mark.parametrize("most", [7, 100, 10_000])
+def test_similarity_blocks_equal_brute_force(monkeypatch, most):
+    """Rows into blocks, blocks into pairs: entities that come twice, equal numbers, vectors far from the origin, values beyond single precision."""
+    import pyarrow as pa
+
+    from stratum.operators import radius as RD
+
+    monkeypatch.setattr(RD, "LEAF", 8)
+    monkeypatch.setattr(RD, "TALL", 16)
+    monkeypatch.setattr(RD, "FLUSH", 50)
+    rnd = np.random.default_rng(2)
+    rows, r = [], 0.4
+    for level, (size, scale, shift) in enumerate([(6, 0.4, 0.0), (30, 0.35, 1e5), (1, 0.5, 0.0), (20, 0.3, 0.0), (4, 1e30, 0.0)]):
+        vecs = scale * rnd.normal(size=(90, size)) + shift
+        vecs[80:] = vecs[:10]  # copies
+        rows += [(level, f"n{i % 85}", 2000 + i, i % 85 % 40, v.tolist()) for i, v in enumerate(vecs)]
+    kind = pa.schema([("l", pa.int32()), ("name", pa.string()), ("year", pa.int32()), ("number", pa.int64()), ("vec", pa.list_(pa.float64()))])
+    told = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
+    blocks = list(RD.packer(6, most)(told.to_batches(33)))
+    assert sum(-(-90 // most) for _ in range(5)) == len(blocks)
+    pairs = []
+    for i, a in enumerate(blocks):
+        for b in blocks[i:]:
+            if a.column(0)[0] == b.column(0)[0]:
+                apart = math.sqrt(sum(max(p - q, s - t, 0) ** 2 for p, q, s, t in zip(
+                    a.column(2)[0].as_py(), b.column(3)[0].as_py(), b.column(2)[0].as_py(), a.column(3)[0].as_py())))
+                got = list(RD.comparer(r, 6, ["l", "year", "name", "other", "score"])([pa.RecordBatch.from_arrays(
+                    [a.column(0), a.column(1), pa.array([a is b]), a.column(4), b.column(4)], names=list("abcde"))]))
+                assert apart <= r or not got  # bounds never part a pair
+                pairs += [tuple(x.values()) for g in got for x in g.to_pylist()]
+    want = []
+    for (la, a, ya, _, va), (lb, b, _, _, vb) in itertools.permutations(rows, 2):
+        if la == lb and a != b:
+            d = math.sqrt(sum((p - q) ** 2 for p, q in zip(va, vb))) / math.sqrt(len(va))
+            if d <= r:
+                want.append((la, ya, a, b, d))
+    assert len(want) > 300 and {x[0] for x in want} == {0, 1, 2, 3, 4}
+    assert [x[:4] for x in sorted(pairs)] == [x[:4] for x in sorted(want)] and np.allclose([x[4] for x in sorted(pairs)], [x[4] for x in sorted(want)], atol=1e-12)
+
+
+def test_similarity_far_rows_are_no_candidates():
+    """Vectors alike in their sums only: few products, no exact distance; rows out of a leaf's reach take part in no product."""
+    import pyarrow as pa
+
+    from stratum.operators import radius as RD
+
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(4000, 36))
+    x[2000:] += 9
+    rows = pa.table({"l": pa.array([0] * 4000, pa.int32()), "name": [f"n{i}" for i in range(4000)], "year": [1] * 4000, "number": np.arange(4000), "vec": x.tolist()})
+    [block] = list(RD.packer(6, 10_000)(rows.to_batches()))
+    b = RD._Block(block.column(4)[0], 36, 6)
+    assert sum(len(i) for i, _ in RD.candidates(b, b, True, 0.35)) < 4000 * 3999 / 2 / 200
+
+
+def test_similarity_joins_blocks_not_rows(spark):
+    """What is joined are blocks: a join whose rows are candidates takes a step per candidate, of which there are as many as pairs of rows."""
+    df = spark.createDataFrame([(f"p{i}", 0, 2000, [0.001 * i] * 6) for i in range(300)], "name string, experience int, year int, vec array<double>")
+    out = SN.similar_within_radius(df, 0.0105)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    top = plan.split("Join ")[0]
+    assert "MapInArrow" in top and out.count() == 2 * sum(300 - k for k in range(1, 11))
+
+
+def test_similarity_of_values_that_are_not_finite(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", 0, 1, [0.0, 1.0]), ("b", 0, 1, [0.0, 1.1]), ("c", 0, 1, [0.0, nan]), ("d", 0, 1, [0.0, nan]), ("e", 0, 1, [inf, 1.0]), ("f", 0, 1, [inf, 1.0]),
+            ("g", 0, 1, [0.0]), ("h", 0, 1, [1e300, 1.0]), ("i", 0, 1, [1e300, 1.0])]
+    df = spark.createDataFrame(rows, "name string, experience int, year int, vec array<double>")
+    assert {(x["name"], x["similar_name"]) for x in SN.similar_within_radius(df, 0.2).collect()} == {("a", "b"), ("b", "a"), ("h", "i"), ("i", "h")}
+    assert SN.similar_within_radius(df.limit(0), 0.2).count() == 0
+
+
+def test_rounded_equals_round(spark):
+    from stratum.functions.scalar import rounded
+
+    rnd = random.Random(4)
+    values = [None, float("nan"), float("inf"), 0.0, -0.0, -1e-12, 0.5, 2.5, 0.125, 1e-9, 5e-9, 1.000000005, 0.123456785, -0.123456785, 1e7, 1e12 + 0.123456789, 1e300]
+    values += [rnd.uniform(-1, 1) for _ in range(3000)] + [rnd.randint(-10**9, 10**9) / 10**9 for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for d in (0, 2, 8):
+        got = df.select(rounded("v", d).cast("string").alias("a"), F.round("v", d).cast("string").alias("b"))
+        assert got.where("not a <=> b").count() == 0
