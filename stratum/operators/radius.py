@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 LEAF, TALL, FLUSH = 256, 1024, 1 << 16
+#: Most bytes of a block's vectors, however long they are.
+BYTES = 16 << 20
 #: Coordinates that the products are made of; longer vectors are told apart by the first ones and then decided exactly.
 TOLD = 18
 
@@ -52,7 +54,7 @@ def slack(x: np.ndarray) -> float:
 
 
 def packer(classes: int, most: int):
-    """mapInArrow step: rows (level, entity, year, number, vector), sorted by level and length, into blocks of at most ``most`` rows."""
+    """mapInArrow step: rows (level, entity, year, number, vector), sorted by level and length, into blocks of at most ``most`` rows and ``BYTES`` bytes."""
 
     def block(rows: pa.Table) -> pa.RecordBatch:
         level, *own, vec = (_array(c) for c in rows.columns)
@@ -84,12 +86,12 @@ def packer(classes: int, most: int):
                 if held and now != key:
                     yield block(pa.Table.from_batches(held))
                     held, count = [], 0
-                key = now
+                key, full = now, min(most, max(1, BYTES // (8 * now[1])))
                 while a < b:
-                    part = batch.slice(a, min(b - a, most - count))
+                    part = batch.slice(a, min(b - a, full - count))
                     held.append(part)
                     count, a = count + part.num_rows, a + part.num_rows
-                    if count == most:
+                    if count == full:
                         yield block(pa.Table.from_batches(held))
                         held, count = [], 0
         if held:

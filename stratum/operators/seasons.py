@@ -130,8 +130,8 @@ def similar_within_radius(vectors: DataFrame, radius: float, entity: str = "name
     Exact. Coordinates i fall into ``classes`` classes i mod classes (for season vectors of six scores a class is one score); the
     classes' indicators are orthogonal, so by Bessel's inequality the squared gaps of the normalised class sums, and that of the
     lengths of what the sums leave over, add up to at most RMS². Rows of a level are sorted along the direction in which their
-    class sums vary most and cut into blocks of at most ``hot_cell_rows`` rows, each one row with its bounds in these
-    directions. Blocks whose bounds are further apart than the radius never meet; of the others each unordered pair of blocks
+    class sums vary most and cut into blocks of at most ``hot_cell_rows`` rows (fewer of very long vectors), each one row with its
+    bounds in these directions. Blocks whose bounds are further apart than the radius never meet; of the others each unordered pair of blocks
     meets once, in a task that compares leaves of close rows with the rows near their bounds, as matrix products in single
     precision with all rounding on the side of the candidates, and decides by the exact distance (``radius.comparer``). Both
     directions of a pair are results. What is shuffled is blocks, no pair before or after it is a result; a task holds two

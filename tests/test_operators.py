@@ -454,6 +454,17 @@ def test_similarity_blocks_equal_brute_force(monkeypatch, most):
     assert [x[:4] for x in sorted(pairs)] == [x[:4] for x in sorted(want)] and np.allclose([x[4] for x in sorted(pairs)], [x[4] for x in sorted(want)], atol=1e-12)
 
 
+def test_similarity_blocks_of_long_vectors_are_small(monkeypatch):
+    import pyarrow as pa
+
+    from stratum.operators import radius as RD
+
+    monkeypatch.setattr(RD, "BYTES", 8 * 50 * 12)
+    rows = pa.table({"l": pa.array([0] * 40, pa.int32()), "name": [f"n{i}" for i in range(40)], "year": [1] * 40, "number": np.arange(40), "vec": np.eye(40, 50).tolist()})
+    sizes = [RD._Block(b.column(4)[0], 50, 6).x.shape for b in RD.packer(6, 10_000)(rows.to_batches())]
+    assert sizes == [(50, 12)] * 3 + [(50, 4)]
+
+
 def test_similarity_far_rows_are_no_candidates():
     """Vectors alike in their sums only: few products, no exact distance; rows out of a leaf's reach take part in no product."""
     import pyarrow as pa
